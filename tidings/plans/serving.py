@@ -68,7 +68,9 @@ def matching(feed: DataFrame, topic: str | None = None, q: str | None = None) ->
     return feed
 
 
-_NEWEST = [F.desc("enriched_at"), F.asc("cluster_id")]
+def _newest() -> list[Column]:
+    """Newest enrichment first; the id settles equal times."""
+    return [F.desc("enriched_at"), F.asc("cluster_id")]
 
 
 def feed_page(
@@ -80,7 +82,7 @@ def feed_page(
 ) -> DataFrame:
     """A page of the anonymous feed, newest enrichment first."""
     _check_page(limit, offset)
-    return matching(feed, topic, q).orderBy(*_NEWEST).offset(offset).limit(limit)
+    return matching(feed, topic, q).orderBy(*_newest()).offset(offset).limit(limit)
 
 
 def feed_after(
@@ -94,7 +96,7 @@ def feed_after(
             (F.col("enriched_at") == enriched_at) & (F.col("cluster_id") > cluster_id)
         )
         feed = feed.where(later)
-    return feed.orderBy(*_NEWEST).limit(limit)
+    return feed.orderBy(*_newest()).limit(limit)
 
 
 def user_votes(votes: DataFrame, user_id: int) -> DataFrame:
@@ -143,8 +145,8 @@ def affinity_feed(
     ``offset + limit`` of the feed.
     """
     _check_page(limit, offset)
-    top = matching(feed, topic, q).orderBy(*_NEWEST).limit(CANDIDATES)
-    place = F.row_number().over(Window.orderBy(*_NEWEST)) - 1
+    top = matching(feed, topic, q).orderBy(*_newest()).limit(CANDIDATES)
+    place = F.row_number().over(Window.orderBy(*_newest())) - 1
     window = top.withColumn("place", place)
     end = min(offset + limit, CANDIDATES)
     readers = votes.select("user_id").distinct()
