@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _NUMBER = r"(?i)^\s*[+-]?(\d+\.?\d*|\.\d+)(e[+-]?\d+)?\s*$"
@@ -80,55 +80,62 @@ def _perspective_ok(item: Column) -> Column:
     )
 
 
-def parse_response(raw: Column) -> Column:
-    """Struct of a response: ``valid`` and its fields with defaults.
+_REQUIRED = ("summary", "topic", "sentiment")
+_LISTS = ("keywords", "consensus_points", "disagreement_points")
+_FACTS = ("organizations", "locations", "people")
+_STATES = ("before_state", "after_state")
+_FIELDS = (*_REQUIRED, *_LISTS, *_STATES, "key_facts", "why_it_matters", "sentiment_score",
+           "source_perspectives")
+
+
+def with_answer(df: DataFrame, raw: str, name: str = "answer") -> DataFrame:
+    """Add the struct of a parsed response: ``valid`` and its fields with defaults.
 
     Three texts are required. Lists must hold texts only, an explicit null is allowed for the
     score and the two states only, a number is not a text, and unknown keys are ignored.
+
+    Each step is a projection of its own, so that a text is parsed once and not once for every
+    field that is looked at.
     """
-    doc = F.try_parse_json(json_block(raw))
-    required = ("summary", "topic", "sentiment")
-    lists = ("keywords", "consensus_points", "disagreement_points")
-    facts = _child(doc, "key_facts")
-    fact_lists = ("organizations", "locations", "people")
-    score = _child(doc, "sentiment_score")
-    views = _child(doc, "source_perspectives")
-    checks = [_kind(doc).startswith("OBJECT")]
-    checks += [_kind(_child(doc, name)) == "STRING" for name in required]
-    checks += [_ok_if_present(_child(doc, n), _is_text_list(_child(doc, n))) for n in lists]
-    checks.append(_ok_if_present(facts, _kind(facts).startswith("OBJECT")))
-    checks += [_ok_if_present(_child(facts, n), _is_text_list(_child(facts, n)))
-               for n in fact_lists]
-    why = _child(doc, "why_it_matters")
-    checks.append(_ok_if_present(why, _kind(why) == "STRING"))
-    for name in ("before_state", "after_state"):
-        state = _child(doc, name)
-        checks.append(_ok_if_present(state, _kind(state).isin("STRING", "VOID")))
-    checks.append(
-        _ok_if_present(score, (_kind(score) == "VOID") | _as_float(score).isNotNull())
-    )
-    items = _elements(views)
-    checks.append(_ok_if_present(views, items.isNotNull() & F.forall(items, _perspective_ok)))
+    parsed = df.withColumn("_doc", F.try_parse_json(json_block(F.col(raw))))
+    fields = parsed.withColumns({f"_{field}": _child(F.col("_doc"), field) for field in _FIELDS})
+    facts = fields.withColumns({f"_{n}": _child(F.col("_key_facts"), n) for n in _FACTS})
+    items = facts.withColumn("_items", _elements(F.col("_source_perspectives")))
+    checks = [_kind(F.col("_doc")).startswith("OBJECT")]
+    checks += [_kind(F.col(f"_{n}")) == "STRING" for n in _REQUIRED]
+    checks += [_ok_if_present(F.col(f"_{n}"), _is_text_list(F.col(f"_{n}")))
+               for n in (*_LISTS, *_FACTS)]
+    checks += [_ok_if_present(F.col(f"_{n}"), _kind(F.col(f"_{n}")).isin("STRING", "VOID"))
+               for n in _STATES]
+    why, score = F.col("_why_it_matters"), F.col("_sentiment_score")
+    checks += [
+        _ok_if_present(F.col("_key_facts"), _kind(F.col("_key_facts")).startswith("OBJECT")),
+        _ok_if_present(why, _kind(why) == "STRING"),
+        _ok_if_present(score, (_kind(score) == "VOID") | _as_float(score).isNotNull()),
+        _ok_if_present(
+            F.col("_source_perspectives"),
+            F.col("_items").isNotNull() & F.forall("_items", _perspective_ok),
+        ),
+    ]
     valid = F.lit(True)
     for check in checks:
         valid = valid & F.coalesce(check, F.lit(False))
     focus = F.transform(
-        items,
+        "_items",
         lambda item: F.struct(
             _as_whole(_child(item, "index")).alias("index"),
             _text(_child(item, "focus")).alias("focus"),
         ),
     )
-    return F.struct(
+    no_focus = F.array().cast("array<struct<index:bigint,focus:string>>")
+    answer = F.struct(
         valid.alias("valid"),
-        *[_text(_child(doc, name)).alias(name) for name in required],
+        *[_text(F.col(f"_{n}")).alias(n) for n in _REQUIRED],
         _as_float(score).alias("sentiment_score"),
-        *[_text_list(_child(doc, name)).alias(name) for name in lists],
-        *[_text_list(_child(facts, name)).alias(f"key_facts_{name}") for name in fact_lists],
+        *[_text_list(F.col(f"_{n}")).alias(n) for n in _LISTS],
+        *[_text_list(F.col(f"_{n}")).alias(f"key_facts_{n}") for n in _FACTS],
         F.coalesce(_text(why), F.lit("")).alias("why_it_matters"),
-        _text(_child(doc, "before_state")).alias("before_state"),
-        _text(_child(doc, "after_state")).alias("after_state"),
-        F.coalesce(
-            focus, F.array().cast("array<struct<index:bigint,focus:string>>")
-        ).alias("perspectives"),
+        *[_text(F.col(f"_{n}")).alias(n) for n in _STATES],
+        F.coalesce(focus, no_focus).alias("perspectives"),
     )
+    return items.select(*df.columns, answer.alias(name))

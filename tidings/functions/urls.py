@@ -44,7 +44,7 @@ def _canonical_query(query: Column) -> Column:
             _decode(F.coalesce(F.get(F.split(piece, "=", 2), F.lit(1)), F.lit(""))).alias("value"),
         ),
     )
-    kept = F.array_sort(F.filter(pairs, lambda pair: _is_kept(pair["name"])))
+    kept = F.sort_array(F.filter(pairs, lambda pair: _is_kept(pair["name"])))
     texts = F.transform(
         kept, lambda pair: F.concat(_encode(pair["name"]), F.lit("="), _encode(pair["value"]))
     )

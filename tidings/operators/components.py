@@ -32,18 +32,22 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.unionByName(smallest.select("u", F.col("m").alias("v"))).distinct()
 
 
-def _fingerprint(edges: DataFrame):
-    return edges.agg(
-        F.count(F.lit(1)), F.sum("v"), F.bit_xor(F.xxhash64("u", "v"))
-    ).first()
+def _is_settled(edges: DataFrame) -> bool:
+    """Whether every node points to exactly one node, and that one points nowhere."""
+    ends = edges.select(F.col("u").alias("id"), F.lit(1).alias("out"), F.lit(0).alias("is_root"))
+    ends = ends.unionByName(
+        edges.select(F.col("v").alias("id"), F.lit(0).alias("out"), F.lit(1).alias("is_root"))
+    )
+    nodes = ends.groupBy("id").agg(F.sum("out").alias("out"), F.max("is_root").alias("is_root"))
+    return nodes.where(F.col("out") + F.col("is_root") > 1).isEmpty()
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
     """``(id, label)`` of every node with an edge; the label is the smallest id it reaches.
 
     ``edges`` has two long columns. Each round is one job whose result is written to the work
-    folder; the number of rounds grows with the logarithm of the component sizes. Only three
-    numbers per round come back to the driver.
+    folder; the number of rounds grows with the logarithm of the component sizes. Only the
+    answer whether another round is needed comes back to the driver.
     """
     a, b = edges.columns
     current = (
@@ -51,14 +55,10 @@ def connected_components(edges: DataFrame) -> DataFrame:
         .select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
         .distinct()
     )
-    current = materialize(current, "edges")
-    before = _fingerprint(current)
-    while True:
+    settled = False
+    while not settled:
         current = materialize(_small_star(_large_star(current)), "stars")
-        after = _fingerprint(current)
-        if after == before:
-            break
-        before = after
+        settled = _is_settled(current)
     roots = current.select(F.col("v").alias("id")).distinct()
     return current.select(F.col("u").alias("id"), F.col("v").alias("label")).unionByName(
         roots.select("id", F.col("id").alias("label"))

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from tidings.functions.text import title_tokens
 from tidings.operators.components import connected_components
+from tidings.operators.skew import join_spread
 from tidings.session import materialize
 
 DAY = 86_400_000_000  # microseconds
@@ -53,36 +54,38 @@ def title_rows(articles: DataFrame) -> DataFrame:
     at = F.unix_micros(F.col("published_at").cast("timestamp"))
     rows = articles.select("url_hash", tokens.alias("tokens"), at.alias("at"))
     key = F.when(F.size("tokens") > 0, F.md5(F.array_join("tokens", " ")))
+    # Whole days in integers; the remainder is never negative, also before 1970.
+    midnight = F.col("at") - F.pmod("at", F.lit(DAY))
     return rows.select(
         "url_hash",
         "tokens",
         "at",
         F.coalesce(key, F.col("url_hash")).alias("title_key"),
-        F.coalesce(F.floor(F.col("at") / F.lit(DAY)), F.lit(ANY_TIME)).alias("day"),
+        F.coalesce(F.call_function("div", midnight, F.lit(DAY)), F.lit(ANY_TIME)).alias("day"),
     )
 
 
 def title_nodes(rows: DataFrame) -> DataFrame:
-    """One row per token set and day, with ids in the order of the first member.
+    """One row per token set and day, with an id.
 
     ``first`` is the smallest ``(time, url_hash)`` of the node, unknown time before all others.
-    The smallest id of a component therefore belongs to the node of its earliest article.
     """
     nodes = (
-        rows.where(F.size("tokens") > 0)
-        .groupBy("title_key", "day")
+        rows.groupBy("title_key", "day")
         .agg(
             F.any_value("tokens").alias("tokens"),
             F.min("at").alias("first_at"),
             F.max("at").alias("last_at"),
             F.min(F.struct("at", "url_hash")).alias("first"),
         )
+        # Tested here and not on the rows, where the tokens would be computed twice.
+        .where(F.size("tokens") > 0)
     )
-    ordered = nodes.orderBy("first").select(F.monotonically_increasing_id().alias("id"), "*")
+    # The ids hold because the written table is the only copy that is read.
     return materialize(
-        ordered.select(
-            "id", "title_key", "day", "tokens", F.size("tokens").alias("len"),
-            "first_at", "last_at", F.col("first.url_hash").alias("first_member"),
+        nodes.select(
+            F.monotonically_increasing_id().alias("id"), "title_key", "day", "tokens",
+            F.size("tokens").alias("len"), "first_at", "last_at", "first",
         ),
         "nodes",
     )
@@ -100,18 +103,20 @@ def _same_title_links(nodes: DataFrame) -> DataFrame:
     """Links between the days of one token set: neighbours in time, and undated to dated."""
     slim = nodes.select("id", "title_key", "day", "first_at", "last_at")
     dated = slim.where(F.col("day") != ANY_TIME)
-    # A window per title sees at most one row per day.
-    previous = Window.partitionBy("title_key").orderBy("day")
-    chain = dated.select(
-        "id",
-        F.lag("id").over(previous).alias("other"),
-        (F.col("first_at") - F.lag("last_at").over(previous)).alias("gap"),
-    ).where(F.col("gap") <= DAY)
+    # A window per title sees at most one row per day. A run of days starts after a gap of more
+    # than a day; all its nodes are linked to the first.
+    in_time = Window.partitionBy("title_key").orderBy("day")
+    starts = F.coalesce(
+        F.col("first_at") - F.lag("last_at").over(in_time) > DAY, F.lit(True)
+    )
+    runs = dated.withColumn("starts", starts).select(
+        "id", F.last(F.when(F.col("starts"), F.col("id")), True).over(in_time).alias("other")
+    ).where("id != other")
     undated = slim.where(F.col("day") == ANY_TIME).select(
         "title_key", F.col("id").alias("other")
     )
     stars = dated.join(undated, "title_key")
-    return chain.select("id", "other").unionByName(stars.select("id", "other"))
+    return runs.unionByName(stars.select("id", "other"))
 
 
 def _single_links(nodes: DataFrame) -> DataFrame:
@@ -323,9 +328,8 @@ def _large_group_pairs(large: DataFrame, labels: DataFrame, limits: Limits) -> D
 def title_components(nodes: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """``(id, label)`` of every node that is linked to another one."""
     members = _members(nodes, limits)
-    groups = materialize(_groups(members, limits), "groups")
-    # Both sides are plain shuffles, so a large group's rows are split by the skew join.
-    sized = materialize(members.join(groups, ["key", "bucket"]), "members")
+    sized = join_spread(members, _groups(members, limits), ["key", "bucket"], "id")
+    sized = materialize(sized, "members")
     links = materialize(
         _same_title_links(nodes)
         .unionByName(_single_links(nodes))
@@ -339,5 +343,7 @@ def title_components(nodes: DataFrame, limits: Limits = Limits()) -> DataFrame:
     links = links.unionByName(materialize(_verify(pivot_pairs, nodes), "pivot_links"))
     labels = materialize(connected_components(links), "labels")
     rest = materialize(_verify(_large_group_pairs(large, labels, limits), nodes), "rest_links")
+    if rest.isEmpty():
+        return labels
     return connected_components(labels.select("id", F.col("label").alias("other"))
                                 .unionByName(rest))

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidings.functions.responses import parse_response
+from tidings.functions.responses import with_answer
 from tidings.operators.keyed import latest
 from tidings.operators.numbering import number_within
 from tidings.operators.skew import join_spread
@@ -125,9 +125,7 @@ def checked_responses(responses: DataFrame) -> DataFrame:
 
     Up to three attempts are looked at: the first valid one counts, otherwise the last one.
     """
-    checked = responses.where(F.col("attempt") <= MAX_ATTEMPTS).withColumn(
-        "answer", parse_response(F.col("raw_text"))
-    )
+    checked = with_answer(responses.where(F.col("attempt") <= MAX_ATTEMPTS), "raw_text")
     valid = F.col("answer.valid")
     rank = F.struct(valid, F.when(valid, -F.col("attempt")).otherwise(F.col("attempt")))
     chosen = F.struct("attempt", "raw_text", "error", "answer")

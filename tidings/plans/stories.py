@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidings.operators.similarity import Limits, title_components, title_nodes, title_rows
+from tidings.operators.skew import join_spread
 from tidings.session import materialize
 
 
@@ -19,12 +20,10 @@ def story_clusters(articles: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """
     rows = title_rows(articles)
     nodes = title_nodes(rows)
-    labels = materialize(title_components(nodes, limits), "labels")
-    linked = nodes.join(labels, "id", "left").select(
-        "title_key", "day", F.coalesce("label", "id").alias("id")
-    )
-    heads = nodes.select("id", F.col("first_member").alias("cluster_id"))
-    stories = materialize(linked.join(heads, "id").drop("id"), "stories")
+    labels = title_components(nodes, limits)
+    stories = materialize(_story_of_nodes(nodes, labels), "stories")
+    # A title of the day may have any number of copies: with a written table on one side and
+    # the articles on the other, the skew join can split its rows.
     return (
         rows.select("url_hash", "title_key", "day")
         .join(stories, ["title_key", "day"], "left")
@@ -32,6 +31,19 @@ def story_clusters(articles: DataFrame, limits: Limits = Limits()) -> DataFrame:
     )
 
 
+def _story_of_nodes(nodes: DataFrame, labels: DataFrame) -> DataFrame:
+    """Story of each node; only linked nodes are aggregated, the others are their own story."""
+    heads = (
+        labels.join(nodes.select("id", "first"), "id")
+        .groupBy("label")
+        .agg(F.min("first").alias("head"))
+    )
+    linked = join_spread(labels, heads, ["label"], "id").select("id", "head")
+    return nodes.select("id", "title_key", "day", "first").join(linked, "id", "left").select(
+        "title_key", "day", F.coalesce("head", "first")["url_hash"].alias("cluster_id")
+    )
+
+
 def assignment_rows(clusters: DataFrame, computed_at: Column) -> DataFrame:
     """Rows to append to the assignment table."""
     return clusters.select("url_hash", "cluster_id", computed_at.alias("computed_at"))

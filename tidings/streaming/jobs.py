@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from tidings.functions.responses import parse_response
+from tidings.functions.responses import with_answer
 from tidings.operators.keyed import first_seen, fold_votes
 from tidings.plans.enrichment import checked_responses
 from tidings.schemas import LANDED_ITEM
@@ -138,8 +138,8 @@ def current_votes(spark: SparkSession, table: str, schema: StructType) -> DataFr
 
 def check_response_stream(responses: DataFrame, table: str, checkpoint: str) -> StreamingQuery:
     """Parse answers as they arrive and append them with their verdict."""
-    checked = responses.withColumn("is_valid", parse_response(F.col("raw_text"))["valid"])
-    return append_batches(checked, table, checkpoint)
+    checked = with_answer(responses, "raw_text").withColumn("is_valid", F.col("answer.valid"))
+    return append_batches(checked.drop("answer"), table, checkpoint)
 
 
 def settled_responses(spark: SparkSession, table: str, schema: StructType) -> DataFrame:
