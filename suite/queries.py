@@ -143,7 +143,9 @@ def ods_increment(spark: SparkSession, folder: str) -> DataFrame:
 
 def _mart(spark: SparkSession, folder: str) -> DataFrame:
     ods = layers.stage_articles(v.articles(spark, folder))
-    return layers.mart_articles(ods, layers.source_dimension(ods))
+    # The dimension is a table of its own; its known size decides about a broadcast.
+    dimension = materialize(layers.source_dimension(ods), "dim_source")
+    return layers.mart_articles(ods, dimension)
 
 
 def source_dim(spark: SparkSession, folder: str) -> DataFrame:

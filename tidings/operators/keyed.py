@@ -1,41 +1,41 @@
 """Keyed state on append-only tables.
 
-Every fold is an aggregation, not a window: the partial aggregation keeps one row per key and
-task before the shuffle, so a key that holds a third of all rows costs no more than any other.
+The row of a key is chosen by ``row_number() = 1``. Spark applies such a limit in every task
+before the shuffle (``WindowGroupLimit``), so a key that holds a third of all rows sends one row
+per task, and unused columns are still pruned down to the scan.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidings.operators.skew import join_spread
 
 
-def _pick(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], pick) -> DataFrame:
-    rest = [name for name in df.columns if name not in keys]
-    kept = df.groupBy(*keys).agg(pick(F.struct(*rest), F.struct(*order)).alias("_row"))
-    return kept.select(*keys, "_row.*").select(*df.columns)
+def _first_of_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    return df.withColumn("_place", place).where(F.col("_place") == 1).drop("_place")
 
 
-def latest(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
+def latest(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The row with the largest ``order`` of each key.
 
     ``order`` is the version followed by the insert sequence: of equal versions the one
     inserted last is kept.
     """
-    return _pick(df, keys, order, F.max_by)
+    return _first_of_key(df, keys, [F.desc(name) for name in order])
 
 
-def earliest(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
+def earliest(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The row with the smallest ``order`` of each key."""
-    return _pick(df, keys, order, F.min_by)
+    return _first_of_key(df, keys, [F.asc(name) for name in order])
 
 
 def first_seen(
-    batch: DataFrame, target: DataFrame | None, key: str, order: Sequence[Column | str]
+    batch: DataFrame, target: DataFrame | None, key: str, order: Sequence[str]
 ) -> DataFrame:
     """Rows of ``batch`` to append to ``target``: the first row of each key not yet in it.
 

@@ -34,8 +34,8 @@ UNDATED_PAIRS = ANY_TIME + 1  # bucket in which a dated single meets undated pai
 class Limits:
     """Sizes that steer the work, not the result."""
 
-    #: nodes of one day that make a token hot, and members that make a group large
-    group: int = 256
+    #: nodes of one day that make a token hot; a group holds two days and is large beyond both
+    group: int = 64
     #: hot tokens broadcast; beyond them a token counts as cold
     hot_tokens: int = 20_000
     #: pivots per large group
@@ -43,6 +43,11 @@ class Limits:
     #: pieces of the comparison of a large group
     pieces: int = 16
 
+    @property
+    def small(self) -> int:
+        """Members up to which all pairs of a group are looked at."""
+        return 2 * self.group
+
 
 def title_rows(articles: DataFrame) -> DataFrame:
     """``articles(url_hash, title, published_at)`` with token set, its key, and day.
@@ -283,8 +288,8 @@ def _verify(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def _small_group_pairs(sized: DataFrame, limits: Limits) -> DataFrame:
-    """Candidate pairs of the groups with at most ``limits.group`` members."""
-    small = sized.where(F.col("size") <= limits.group)
+    """Candidate pairs of the groups with at most ``limits.small`` members."""
+    small = sized.where(F.col("size") <= limits.small)
     a, b = small.alias("a"), small.alias("b")
     return a.join(
         b,
@@ -336,7 +341,7 @@ def title_components(nodes: DataFrame, limits: Limits = Limits()) -> DataFrame:
         .unionByName(_verify(_small_group_pairs(sized, limits), nodes)),
         "links",
     )
-    large = sized.where(F.col("size") > limits.group)
+    large = sized.where(F.col("size") > limits.small)
     if large.isEmpty():
         return connected_components(links)
     pivot_pairs = large.select("id", F.explode("pivots").alias("other"))

@@ -13,6 +13,7 @@ from tidings.functions.text import contains_pattern
 from tidings.operators.keyed import latest
 from tidings.operators.skew import join_spread
 from tidings.plans.enrichment import successful
+from tidings.session import materialize
 
 CANDIDATES = 200
 TOPIC_WEIGHT = 2
@@ -147,7 +148,8 @@ def affinity_feed(
     _check_page(limit, offset)
     top = matching(feed, topic, q).orderBy(*_newest()).limit(CANDIDATES)
     place = F.row_number().over(Window.orderBy(*_newest())) - 1
-    window = top.withColumn("place", place)
+    # Written once, since it is used several times and the feed behind it is large.
+    window = materialize(top.withColumn("place", place), "candidates")
     end = min(offset + limit, CANDIDATES)
     readers = votes.select("user_id").distinct()
     topics, keywords = affinity_profiles(votes, summaries)

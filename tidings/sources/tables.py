@@ -31,6 +31,20 @@ def publish_table(df: DataFrame, folder: str, name: str) -> DataFrame:
     return table
 
 
+def publish_bucketed(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
+    """Publish a table bucketed and sorted by its key.
+
+    Upserts, anti-joins and joins on the key then read the stored side without a shuffle. Use
+    one number of buckets for all tables of a key.
+    """
+    spark = df.sparkSession
+    stored = f"{name}_{uuid.uuid4().hex}"
+    df.write.bucketBy(buckets, key).sortBy(key).saveAsTable(stored)
+    table = spark.table(stored)
+    table.createOrReplaceTempView(name)
+    return table
+
+
 def publish_incremental(
     incoming: DataFrame, existing: DataFrame | None, key: str, folder: str, name: str
 ) -> DataFrame:

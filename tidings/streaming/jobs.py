@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from tidings.functions.responses import with_answer
-from tidings.operators.keyed import first_seen, fold_votes
+from tidings.operators.keyed import first_seen, fold_votes, latest
 from tidings.plans.enrichment import checked_responses
 from tidings.schemas import LANDED_ITEM
 from tidings.sources.landing import normalise_items
@@ -121,13 +121,8 @@ def fold_vote_stream(events: DataFrame, table: str, checkpoint: str) -> Streamin
     """
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        last = batch.groupBy("user_id", "cluster_id").agg(
-            F.max_by(
-                F.struct("vote", "created_at", "event_id"), F.struct("created_at", "event_id")
-            ).alias("last")
-        )
-        rows = last.select("user_id", "cluster_id", "last.*")
-        rows.write.mode("overwrite").parquet(_folder(table, batch_id))
+        last = latest(batch, ["user_id", "cluster_id"], ["created_at", "event_id"])
+        last.write.mode("overwrite").parquet(_folder(table, batch_id))
 
     return _run(events, checkpoint, each)
 
