@@ -383,10 +383,9 @@ ORACLE = {
             regexp_extract(url, '://([^/:?#]+)', 1) AS host
         FROM ({_canonical("pages")})""",
     "run_copy": _query("article_versions", """
-        SELECT url_hash, title, seq, 'run-2024-02-01 00:00:00' AS ingestion_run_id,
-            count(*) OVER () AS rows_copied
-        FROM article_versions
-        WHERE doc_id // 100 = 0"""),
+        SELECT url_hash, title, 'run-' || seq AS ingestion_run_id,
+            count(*) OVER (PARTITION BY seq) AS rows_copied
+        FROM article_versions"""),
     "evolved_schema": _query("articles", """
         SELECT category, 'newsapi' AS source_provider, '' AS key_facts, count(*) AS rows,
             count(url_to_image) AS images

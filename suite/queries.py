@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -79,13 +81,23 @@ def page_keys(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def run_copy(spark: SparkSession, folder: str) -> DataFrame:
-    """Copy of one run's rows, the first run of the table, into an empty table."""
+    """Copy of the runs of both article versions into an empty table, one run at a time.
+
+    The runs are the two versions, so that both copies together hold every row.
+    """
+    columns = ["url_hash", "title", "ingestion_run_id"]
+    run = F.concat(F.lit("run-"), F.col("seq").cast("string"))
+    source = v.article_versions(spark, folder).withColumn("ingestion_run_id", run)
+    target = f"copy_{uuid.uuid4().hex}"
     path = new_path(spark, "copy")
-    columns = ["url_hash", "title", "seq", "ingestion_run_id"]
-    source = v.article_versions(spark, folder)
-    count = landing.append_run(source, "run-2024-02-01 00:00:00", path, columns)
-    copied = spark.read.schema(source.select(*columns).schema).parquet(path)
-    return copied.withColumn("rows_copied", F.lit(count).cast("long"))
+    counts = {
+        name: landing.append_run(source, name, target, columns, path)
+        for name in ("run-0", "run-1")
+    }
+    copied = F.when(F.col("ingestion_run_id") == "run-0", counts["run-0"])
+    return spark.table(target).withColumn(
+        "rows_copied", copied.otherwise(counts["run-1"]).cast("long")
+    )
 
 
 def evolved_schema(spark: SparkSession, folder: str) -> DataFrame:

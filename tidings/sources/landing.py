@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidings.functions.text import parse_time
 from tidings.functions.urls import url_key
 from tidings.operators.keyed import first_seen
 from tidings.schemas import LANDED_ITEM, PROVIDER_ARTICLE, RAW_ARTICLES
+from tidings.sources.tables import append_table
 
 # Names of the providers, in the order their batches are inserted.
 PROVIDERS = ("newsapi", "gnews")
@@ -145,19 +146,13 @@ def insert_counts(rows: DataFrame, inserted: DataFrame) -> DataFrame:
 
 
 def append_run(
-    source: DataFrame, run_id: str, path: str, columns: list[str] | None = None
+    source: DataFrame, run_id: str, target: str, columns: list[str] | None = None,
+    path: str | None = None,
 ) -> int:
-    """Append one run's rows of ``source`` to the table at ``path``; returns their number.
+    """Append one run's rows of ``source`` to the table ``target``; returns their number.
 
-    The filter reaches the scan of ``source``, and the count is taken by the write itself.
+    The filter reaches the scan of ``source``: its folder when the table is partitioned by run.
     """
     names = columns or RAW_ARTICLES.fieldNames()
     run = source.where(F.col("ingestion_run_id") == run_id).select(*names)
-    return append_rows(run, path)
-
-
-def append_rows(df: DataFrame, path: str) -> int:
-    """Append rows to a table; returns their number."""
-    written = Observation()
-    df.observe(written, F.count(F.lit(1)).alias("rows")).write.mode("append").parquet(path)
-    return int(written.get["rows"])
+    return append_table(run, target, path=path)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -12,45 +12,66 @@ from tidings.operators.keyed import delete_insert
 from tidings.schemas import LAYERS, LINEAGE
 
 
+def create_namespaces(spark: SparkSession) -> None:
+    """One database per layer."""
+    for name in dict.fromkeys(table.split(".")[0] for table in LAYERS if "." in table):
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}")
+
+
 def publish_view(df: DataFrame, name: str) -> None:
-    """Publish a layer as a view: computed when it is read."""
+    """Publish a layer as a view of the session: computed when it is read."""
     df.createOrReplaceTempView(name)
 
 
-def publish_table(df: DataFrame, folder: str, name: str) -> DataFrame:
+def publish_table(
+    df: DataFrame, name: str, key: str | None = None, buckets: int = 0
+) -> DataFrame:
     """Publish a layer as a full rebuild.
 
-    The rows go to a new folder and the view is moved to it afterwards, so that a plan that
-    reads the current version can build the next one, and readers never see half a table.
-    """
-    spark = df.sparkSession
-    path = f"{folder}/{name}/{uuid.uuid4().hex}"
-    df.write.mode("error").parquet(path)
-    table = spark.read.schema(df.schema).parquet(path)
-    table.createOrReplaceTempView(name)
-    return table
-
+    The rows go to a new table and the view ``name`` is moved to it afterwards, so that a plan
+    that reads the current version can build the next one, and readers never see half a table.
 
-def publish_bucketed(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
-    """Publish a table bucketed and sorted by its key.
-
-    Upserts, anti-joins and joins on the key then read the stored side without a shuffle. Use
-    one number of buckets for all tables of a key.
+    With a key and buckets the table is bucketed and sorted: upserts, anti-joins and joins on
+    the key then read the stored side without a shuffle. Use one number of buckets for all
+    tables of a key.
     """
-    spark = df.sparkSession
     stored = f"{name}_{uuid.uuid4().hex}"
-    df.write.bucketBy(buckets, key).sortBy(key).saveAsTable(stored)
-    table = spark.table(stored)
-    table.createOrReplaceTempView(name)
-    return table
+    writer = df.write.mode("error")
+    if key and buckets:
+        writer = writer.bucketBy(buckets, key).sortBy(key)
+    writer.saveAsTable(stored)
+    df.sparkSession.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {stored}")
+    return df.sparkSession.table(name)
 
 
 def publish_incremental(
-    incoming: DataFrame, existing: DataFrame | None, key: str, folder: str, name: str
+    incoming: DataFrame, existing: DataFrame | None, key: str, name: str, buckets: int = 0
 ) -> DataFrame:
     """Publish a layer as its current rows with the incoming keys replaced."""
     merged = incoming if existing is None else delete_insert(existing, incoming, key)
-    return publish_table(merged, folder, name)
+    return publish_table(merged, name, key, buckets)
+
+
+def append_table(
+    df: DataFrame, name: str, partition: str | None = None, path: str | None = None
+) -> int:
+    """Append rows to an append-only table, creating it if needed; returns their number.
+
+    The number is taken by the write itself. ``path`` puts a new table outside the warehouse.
+    """
+    written = Observation()
+    writer = df.observe(written, F.count(F.lit(1)).alias("rows")).write.mode("append")
+    if partition:
+        writer = writer.partitionBy(partition)
+    if path:
+        writer = writer.option("path", path)
+    writer.saveAsTable(name)
+    return int(written.get["rows"])
+
+
+def stored(spark: SparkSession, name: str) -> DataFrame | None:
+    """A table or view of the catalog, or None before its first build."""
+    return spark.table(name) if spark.catalog.tableExists(name) else None
 
 
 def evolve(
