@@ -251,11 +251,7 @@ def _may_match(a: str, b: str):
     """Cheap tests of a pair in a group; true for every similar pair in its first group."""
     la, lb = F.col(f"{a}.len"), F.col(f"{b}.len")
     reach = F.least(la - F.col(f"{a}.pos"), lb - F.col(f"{b}.pos"))
-    return (
-        (F.col(f"{a}.own") | F.col(f"{b}.own"))
-        & (2 * F.least(la, lb) >= F.greatest(la, lb))
-        & (3 * reach >= la + lb)
-    )
+    return (2 * F.least(la, lb) >= F.greatest(la, lb)) & (3 * reach >= la + lb)
 
 
 def _sizes_agree(a: str, b: str):
@@ -288,13 +284,16 @@ def _verify(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def _small_group_pairs(sized: DataFrame, limits: Limits) -> DataFrame:
-    """Candidate pairs of the groups with at most ``limits.small`` members."""
+    """Candidate pairs of the groups with at most ``limits.small`` members.
+
+    An owner is compared with all visitors and with the owners of larger id.
+    """
     small = sized.where(F.col("size") <= limits.small)
-    a, b = small.alias("a"), small.alias("b")
+    a, b = small.where("own").alias("a"), small.alias("b")
     return a.join(
         b,
         _same_group("a", "b") & _sizes_agree("a", "b") & _may_match("a", "b")
-        & (F.col("a.id") < F.col("b.id")),
+        & (~F.col("b.own") | (F.col("a.id") < F.col("b.id"))),
     ).select(F.col("a.id").alias("id"), F.col("b.id").alias("other"))
 
 
@@ -302,7 +301,8 @@ def _large_group_pairs(large: DataFrame, labels: DataFrame, limits: Limits) -> D
     """Candidate pairs of large groups between nodes of different components.
 
     Of two such nodes at least one is outside the group's main component, so only these
-    *minor* members are compared with the others, in ``limits.pieces`` pieces per group.
+    *minor* members are compared with the others, in ``limits.pieces`` pieces per group. Of two
+    nodes one must own the bucket: minor owners meet all others, minor visitors the owners.
     """
     labelled = large.join(labels, "id", "left").withColumn(
         "component", F.coalesce("label", "id")
@@ -320,14 +320,19 @@ def _large_group_pairs(large: DataFrame, labels: DataFrame, limits: Limits) -> D
     minor = open_groups.where("component != main").withColumn(
         "piece", F.explode(F.sequence(F.lit(0), F.lit(limits.pieces - 1)))
     )
-    a, b = minor.alias("a"), others.alias("b")
-    pair_once = (F.col("b.component") == F.col("b.main")) | (F.col("a.id") < F.col("b.id"))
-    return a.join(
-        b,
-        _same_group("a", "b") & (F.col("a.piece") == F.col("b.piece"))
-        & _sizes_agree("a", "b") & _may_match("a", "b")
-        & (F.col("a.component") != F.col("b.component")) & pair_once,
-    ).select(F.col("a.id").alias("id"), F.col("b.id").alias("other"))
+
+    def pairs(left: DataFrame, right: DataFrame) -> DataFrame:
+        a, b = left.alias("a"), right.alias("b")
+        return a.join(
+            b,
+            _same_group("a", "b") & (F.col("a.piece") == F.col("b.piece"))
+            & _sizes_agree("a", "b") & _may_match("a", "b")
+            & (F.col("a.component") != F.col("b.component")),
+        ).select(F.col("a.id").alias("id"), F.col("b.id").alias("other"))
+
+    return pairs(minor.where("own"), others).unionByName(
+        pairs(minor.where("not own"), others.where("own"))
+    )
 
 
 def title_components(nodes: DataFrame, limits: Limits = Limits()) -> DataFrame:
