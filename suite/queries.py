@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -88,16 +86,14 @@ def run_copy(spark: SparkSession, folder: str) -> DataFrame:
     columns = ["url_hash", "title", "ingestion_run_id"]
     run = F.concat(F.lit("run-"), F.col("seq").cast("string"))
     source = v.article_versions(spark, folder).withColumn("ingestion_run_id", run)
-    target = f"copy_{uuid.uuid4().hex}"
     path = new_path(spark, "copy")
-    counts = {
-        name: landing.append_run(source, name, target, columns, path)
+    counts = [
+        tables.append_files(landing.run_rows(source, name, columns), path)
         for name in ("run-0", "run-1")
-    }
-    copied = F.when(F.col("ingestion_run_id") == "run-0", counts["run-0"])
-    return spark.table(target).withColumn(
-        "rows_copied", copied.otherwise(counts["run-1"]).cast("long")
-    )
+    ]
+    copied = F.when(F.col("ingestion_run_id") == "run-0", counts[0]).otherwise(counts[1])
+    rows = spark.read.schema(source.select(*columns).schema).parquet(path)
+    return rows.withColumn("rows_copied", copied.cast("long"))
 
 
 def evolved_schema(spark: SparkSession, folder: str) -> DataFrame:

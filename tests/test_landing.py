@@ -214,10 +214,17 @@ def test_run_copy(spark, tmp_path):
     rows = raw_table(spark)
     runs = rows.withColumn("ingestion_run_id", F.when(F.col("url_hash") < "c", "r1").otherwise("r2"))
     path = str(tmp_path / "copy")
-    assert landing.append_run(runs, "r1", "default.copied_t", path=path) == 2
-    assert landing.append_run(runs, "r9", "default.copied_t", path=path) == 0
-    assert landing.append_run(runs, "r2", "default.copied_t", path=path) == 2
-    assert spark.table("default.copied_t").count() == 4
+    counts = [tables.append_files(landing.run_rows(runs, run), path) for run in ("r1", "r9", "r2")]
+    assert counts == [2, 0, 2]
+    assert spark.read.parquet(path).count() == 4
+
+
+def test_item_counts(spark):
+    no_url = {**first_article(3), "url": None}
+    empty = {**first_article(4), "url": ""}
+    some = items(spark, ("newsapi", 0, first_article(1)), ("newsapi", 1, no_url),
+                 ("gnews", 0, empty), ("gnews", 1, second_article(1)))
+    assert landing.item_counts(some) == (4, 2)
 
 
 def test_work_folder_is_required_on_a_cluster(spark, monkeypatch):

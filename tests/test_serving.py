@@ -141,6 +141,14 @@ def test_liked_page_may_be_short(spark):
     assert {r.cluster_id for r in serving.user_votes(mine, 1).collect()} == {"a", "gone", "b", "c"}
 
 
+def test_deep_liked_pages(spark):
+    ids_ = [f"c{n:04d}" for n in range(1300)]
+    feed = serving.cards(summaries(spark, *[(i, "t", []) for i in ids_]), media(spark, *ids_))
+    mine = votes(spark, *[(1, i, 1) for i in ids_])
+    rows = serving.liked_page(mine, feed, 100, 1150).orderBy("like_rank").collect()
+    assert [r.cluster_id for r in rows] == ids_[::-1][1150:1250]
+
+
 def test_detail_and_sources(spark):
     table = summaries(
         spark, ("a", "t", [], {"why": "w", "before": "b", "after": "a", "organizations": ["o"]}),

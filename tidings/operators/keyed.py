@@ -56,11 +56,13 @@ def delete_insert(existing: DataFrame, incoming: DataFrame, key: str) -> DataFra
 def above_watermark(incoming: DataFrame, existing: DataFrame, version: str) -> DataFrame:
     """Incoming rows newer than everything in ``existing``; all rows when it is empty.
 
-    The bound is a scalar subquery, strict: rows of the same second as the newest known row
-    are not taken.
+    Strict: rows of the same second as the newest known row are not taken. The bound is a plain
+    scalar subquery, which Spark pushes into the scan of the incoming rows.
     """
+    if existing.isEmpty():
+        return incoming
     newest = existing.agg(F.max(version)).scalar()
-    return incoming.where(newest.isNull() | (F.col(version) > newest))
+    return incoming.where(F.col(version) > newest)
 
 
 def split_votes(events: DataFrame) -> tuple[DataFrame, DataFrame]:

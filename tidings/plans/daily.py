@@ -15,7 +15,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidings.operators.keyed import fold_runs, fold_votes, split_votes
+from tidings.operators.keyed import above_watermark, fold_runs, fold_votes, split_votes
 from tidings.operators.quality import quality_report
 from tidings.plans import enrichment, history, layers
 from tidings.plans.stories import assignment_rows, story_clusters
@@ -83,29 +83,42 @@ def ingest(spark: SparkSession, path: str, run_id: str, dt: str | None = None) -
     )
     # The rows of a run share a folder, so a copy of one run reads that folder only.
     new = tables.append_table(fresh, RAW, "ingestion_run_id")
-    seen = rows.count()
-    return {"fetched": items.count(), "new": new, "duplicate": seen - new}
+    fetched, with_url = landing.item_counts(items)
+    return {"fetched": fetched, "new": new, "duplicate": with_url - new}
 
 
 def refresh_layers(spark: SparkSession, buckets: int = 0) -> dict:
-    """Stage view, incremental ODS, dimension, mart and daily counts."""
-    stage = layers.stage_articles(layers.current_articles(spark.table(RAW)))
+    """Stage view, incremental ODS, dimension, mart and daily counts.
+
+    The ODS table is append-only: a step appends the newest version of every raw row above the
+    watermark, and its readers take the newest version of a key. That equals replacing the
+    keys, without writing the whole table again. Versions are chosen after the watermark
+    filter, which keeps the newest version of a key whenever it is new, so that old raw rows
+    are not shuffled. With buckets the readers need no shuffle either.
+    """
+    stage = layers.stage_articles(spark.table(RAW))
     tables.publish_view(stage, STAGE)
-    ods = tables.publish_table(
-        layers.ods_articles(stage, tables.stored(spark, ODS)), ODS, KEY, buckets
-    )
+    known = tables.stored(spark, ODS)
+    fresh = stage if known is None else above_watermark(stage, known, "fetched_at")
+    tables.append_table(layers.current_articles(fresh), ODS, key=KEY, buckets=buckets)
+    ods = current_ods(spark)
     sources = tables.publish_table(layers.source_dimension(ods), SOURCES)
     mart = tables.publish_table(layers.mart_articles(ods, sources), MART, KEY, buckets)
     daily = tables.publish_table(layers.daily_stats(mart), DAILY)
     return {"articles": mart.count(), "sources": sources.count(), "days": daily.count()}
 
 
+def current_ods(spark: SparkSession) -> DataFrame:
+    """Newest version of each deduplicated article."""
+    return layers.current_articles(spark.table(ODS))
+
+
 def check_layers(spark: SparkSession) -> DataFrame:
     """Data tests of the layers."""
     return quality_report(
         {
             "stage": (spark.table(STAGE), [KEY, "url"], [KEY]),
-            "ods": (spark.table(ODS), [KEY, "url", "fetched_at"], [KEY]),
+            "ods": (current_ods(spark), [KEY, "url", "fetched_at"], [KEY]),
             "mart": (spark.table(MART), [KEY, "url"], [KEY]),
             "dim_source": (spark.table(SOURCES), ["source_name"], ["source_name"]),
         }

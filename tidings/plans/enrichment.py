@@ -14,6 +14,7 @@ from tidings.operators.keyed import latest
 from tidings.operators.numbering import number_within
 from tidings.operators.skew import join_spread
 from tidings.schemas import SUMMARY_CLUSTERS
+from tidings.session import materialize
 
 MAX_ATTEMPTS = 3
 MAX_FAILURE_RATE = 0.2
@@ -63,6 +64,8 @@ def pending_members(
     open_articles = join_spread(
         assignments.select("url_hash", "cluster_id"), done, ["cluster_id"], "url_hash", "left_anti"
     )
+    # Written, so that its size is known: few open keys are broadcast to the article scan.
+    open_articles = materialize(open_articles, "open")
     texts = articles.select("url_hash", "title", "description", "source_name")
     members = open_articles.join(texts, "url_hash")
     return number_within(members, "cluster_id", "url_hash", "member_no")

@@ -17,6 +17,10 @@ from tidings.session import materialize
 
 CANDIDATES = 200
 TOPIC_WEIGHT = 2
+#: rows up to which Spark limits a window before the shuffle
+WINDOW_LIMIT = 1000
+#: pieces a reader's likes are cut in beyond that
+PIECES = 64
 CARD = [
     "cluster_id", "summary", "topic", "sentiment", "sentiment_score", "keywords",
     "article_count", "enriched_at", "first_published_at", "image_url",
@@ -197,14 +201,21 @@ def liked_page(votes: DataFrame, feed: DataFrame, limit: int = 20, offset: int =
 
     The page is cut before the cards are joined, so likes of stories without a card leave it
     short. The rank filter reduces a reader's likes to the page in every task before the
-    shuffle.
+    shuffle. Spark does so up to 1000 rows; for deeper pages a reader's likes are cut in pieces
+    first.
     """
     _check_page(limit, offset)
-    order = Window.partitionBy("user_id").orderBy(F.desc("created_at"), "cluster_id")
-    ranked = liked(votes).select(
-        "user_id", "cluster_id", F.row_number().over(order).alias("like_rank"), "created_at"
-    )
-    page = ranked.where(F.col("like_rank") <= offset + limit).where(F.col("like_rank") > offset)
+    end = offset + limit
+    newest = [F.desc("created_at"), F.asc("cluster_id")]
+    likes = liked(votes).select("user_id", "cluster_id", "created_at")
+    if end > WINDOW_LIMIT:
+        likes = likes.withColumn("piece", F.pmod(F.xxhash64("cluster_id"), F.lit(PIECES)))
+        of_piece = Window.partitionBy("user_id", "piece").orderBy(*newest)
+        likes = likes.withColumn("place", F.row_number().over(of_piece))
+        likes = likes.where(F.col("place") <= end).drop("piece", "place")
+    order = Window.partitionBy("user_id").orderBy(*newest)
+    ranked = likes.withColumn("like_rank", F.row_number().over(order))
+    page = ranked.where(F.col("like_rank") <= end).where(F.col("like_rank") > offset)
     shown = join_spread(
         page.select("user_id", "cluster_id", "like_rank"), feed, ["cluster_id"], "user_id"
     )

@@ -4,9 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+_scratch: ContextVar[str | None] = ContextVar("scratch", default=None)
+
 RUNTIME_SETTINGS = {
     # Times are compared and printed as UTC everywhere.
     "spark.sql.session.timeZone": "UTC",
@@ -57,13 +62,30 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{work_dir(spark)}/tidings/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Collect the intermediate tables of a job in one folder and delete it at the end.
+
+    Results that are read after the job must be written with ``keep=True``.
+    """
+    folder = new_path(spark, "scratch")
+    token = _scratch.set(folder)
+    try:
+        yield
+    finally:
+        _scratch.reset(token)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def materialize(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """Write ``df`` as a table in the work folder and read it back.
 
     Cuts the lineage, so a lost executor costs one stage and not the whole history, and makes
     generated ids stable, because the committed files are the only copy that is read.
     """
     spark = df.sparkSession
-    path = new_path(spark, name)
+    folder = None if keep else _scratch.get()
+    path = f"{folder}/{name}-{uuid.uuid4().hex}" if folder else new_path(spark, name)
     df.write.mode("error").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

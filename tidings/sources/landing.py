@@ -9,7 +9,6 @@ from tidings.functions.text import parse_time
 from tidings.functions.urls import url_key
 from tidings.operators.keyed import first_seen
 from tidings.schemas import LANDED_ITEM, PROVIDER_ARTICLE, RAW_ARTICLES
-from tidings.sources.tables import append_table
 
 # Names of the providers, in the order their batches are inserted.
 PROVIDERS = ("newsapi", "gnews")
@@ -145,14 +144,20 @@ def insert_counts(rows: DataFrame, inserted: DataFrame) -> DataFrame:
     )
 
 
-def append_run(
-    source: DataFrame, run_id: str, target: str, columns: list[str] | None = None,
-    path: str | None = None,
-) -> int:
-    """Append one run's rows of ``source`` to the table ``target``; returns their number.
+def run_rows(source: DataFrame, run_id: str, columns: list[str] | None = None) -> DataFrame:
+    """One run's rows of ``source``, to append to another table.
 
     The filter reaches the scan of ``source``: its folder when the table is partitioned by run.
+    A run without rows appends nothing.
     """
     names = columns or RAW_ARTICLES.fieldNames()
-    run = source.where(F.col("ingestion_run_id") == run_id).select(*names)
-    return append_table(run, target, path=path)
+    return source.where(F.col("ingestion_run_id") == run_id).select(*names)
+
+
+def item_counts(items: DataFrame) -> tuple[int, int]:
+    """Landed items, and those with a URL; only the URLs are read from the articles."""
+    url = F.from_json("article", PROVIDER_ARTICLE)["url"]
+    row = items.agg(
+        F.count(F.lit(1)).alias("fetched"), F.count_if(url != "").alias("with_url")
+    ).first()
+    return row.fetched, row.with_url

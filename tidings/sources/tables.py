@@ -52,19 +52,30 @@ def publish_incremental(
     return publish_table(merged, name, key, buckets)
 
 
+def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
+    """``df`` with a count of its rows, taken while they are written."""
+    written = Observation()
+    return df.observe(written, F.count(F.lit(1)).alias("rows")), written
+
+
+def append_files(df: DataFrame, path: str) -> int:
+    """Append rows to the table at a path; returns their number."""
+    counted, written = _counted(df)
+    counted.write.mode("append").parquet(path)
+    return int(written.get["rows"])
+
+
 def append_table(
-    df: DataFrame, name: str, partition: str | None = None, path: str | None = None
+    df: DataFrame, name: str, partition: str | None = None, key: str | None = None,
+    buckets: int = 0,
 ) -> int:
-    """Append rows to an append-only table, creating it if needed; returns their number.
-
-    The number is taken by the write itself. ``path`` puts a new table outside the warehouse.
-    """
-    written = Observation()
-    writer = df.observe(written, F.count(F.lit(1)).alias("rows")).write.mode("append")
+    """Append rows to an append-only table, creating it if needed; returns their number."""
+    counted, written = _counted(df)
+    writer = counted.write.mode("append")
     if partition:
         writer = writer.partitionBy(partition)
-    if path:
-        writer = writer.option("path", path)
+    if key and buckets:
+        writer = writer.bucketBy(buckets, key).sortBy(key)
     writer.saveAsTable(name)
     return int(written.get["rows"])
 
