@@ -4,13 +4,19 @@ The units compared are *nodes*: all articles with the same title tokens on the s
 Members of one node are always linked, so copies of a title never meet pairwise.
 
 Two different token sets with a Jaccard index of 1/2 or more share a token among the rarest of
-each (prefix filter: Bayardo et al., WWW 2007; Xiao et al., WWW 2008). Nodes meet in groups of
-equal rare token and equal or next day. A token carried by many nodes of a day is *hot*; hot
-tokens come last in the order, and if the first shared token is hot then all shared ones are,
-so nodes with enough hot tokens meet in groups of their first two shared tokens and of the two
-set sizes. Groups that are still large are linked through a few pivots first; after that
-only nodes of different components are compared. Nothing is dropped: every pair of similar
-nodes is linked directly or was connected before.
+each (prefix filter: Bayardo et al., WWW 2007; Xiao et al., WWW 2008). A token carried by many
+nodes of a day is *hot*; hot tokens come last in the order. So there are two cases:
+
+* The first shared token is cold. Such nodes meet in groups of equal token and equal or next
+  day, which are small.
+* It is hot. Then all shared tokens are, and only hot tokens and set sizes matter. Nodes of a
+  day with the same hot tokens and size are a *clique* if the hot tokens alone make them
+  similar; near copies of a title collapse to one unit this way. Units with enough hot tokens
+  meet in groups of their first two shared tokens and of the two set sizes.
+
+Groups that are still large are linked through a few pivots first; after that only members of
+different components are compared. Nothing is dropped: every pair of similar nodes is linked
+directly or was connected before.
 """
 
 from __future__ import annotations
@@ -161,44 +167,81 @@ def _hot_tokens(nodes: DataFrame, limits: Limits) -> DataFrame:
     )
 
 
-def _group_keys(nodes: DataFrame, limits: Limits) -> DataFrame:
-    """The groups each node belongs to: ``(key, id, day, len, want, pos)``.
-
-    ``want`` is the set size of the partners (0: any), ``pos`` the position of the first token
-    of the key in the node's token order, cold before hot.
-    """
+def _ordered_nodes(nodes: DataFrame, limits: Limits) -> DataFrame:
+    """Nodes of two or more tokens with their cold and hot tokens, each in the common order."""
     exploded = nodes.where("len >= 2").select(
-        "id", "day", "len", F.explode("tokens").alias("token")
+        "id", "day", "len", "first_at", "last_at", F.explode("tokens").alias("token")
     )
     # The hot list is bounded by its limit, so it can be broadcast.
     heated = exploded.join(F.broadcast(_hot_tokens(nodes, limits)), "token", "left")
-    ordered = heated.groupBy("id", "day", "len").agg(
-        F.sort_array(
-            F.collect_list(F.struct(F.coalesce("heat", F.lit(0)).alias("heat"), "token"))
-        ).alias("order"),
-        F.count("heat").cast("int").alias("hot"),
+    is_hot = F.col("heat").isNotNull()
+    ordered = heated.groupBy("id", "day", "len", "first_at", "last_at").agg(
+        F.sort_array(F.collect_list(F.when(~is_hot, F.col("token")))).alias("cold"),
+        F.sort_array(F.collect_list(F.when(is_hot, F.struct("heat", "token")))).alias("hot"),
     )
-    length, hot = F.col("len"), F.col("hot")
-    # Smallest overlap with any partner of two or more tokens, and with partners of `want`.
-    least_overlap = F.greatest(F.lit(2), F.ceil(length / 2)).cast("int")
-    cold = (
-        ordered.select("id", "day", "len", "hot", F.posexplode("order").alias("pos", "entry"))
-        .where((F.col("pos") <= length - least_overlap) & (F.col("pos") < length - hot))
-        .select(
-            F.xxhash64(F.lit(0), F.lit(0), "entry.token", F.lit("")).alias("key"),
-            "id", "day", "len", F.lit(0).alias("want"), "pos",
-        )
+    return materialize(ordered.withColumn("hot", F.col("hot.token")), "ordered")
+
+
+def _cliques(ordered: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Units with two or more hot tokens, and the links of the members of cliques.
+
+    Nodes of one day with the same hot tokens and size share at least these tokens. If that
+    makes them similar they are one unit: its times are those of all members together, and
+    all members are linked to the one that gives the id. Any other node is a unit by itself.
+    """
+    rows = ordered.where(F.size("hot") >= 2).select(
+        "id", "day", "len", "hot", "first_at", "last_at",
+        F.md5(F.array_join("hot", " ")).alias("pattern"),
+        (3 * F.size("hot") >= 2 * F.col("len")).alias("similar"),
     )
-    overlap = F.ceil((length + F.col("want")) / 3).cast("int")
+    alike = rows.where("similar")
+    pattern = ["pattern", "len", "day"]
+    cliques = alike.groupBy(*pattern).agg(
+        F.min("id").alias("unit"),
+        F.any_value("hot").alias("hot"),
+        F.min("first_at").alias("first_at"),
+        F.max("last_at").alias("last_at"),
+    )
+    cliques = materialize(cliques, "cliques")
+    # Plain shuffles on both sides: the skew join can split the members of a large clique.
+    links = alike.select("id", *pattern).join(cliques.select("unit", *pattern), pattern)
+    columns = ["id", "day", "len", "hot", "first_at", "last_at"]
+    units = cliques.withColumnRenamed("unit", "id").select(*columns).unionByName(
+        rows.where("not similar").select(*columns)
+    )
+    return units, links.where("id != unit").select("id", F.col("unit").alias("other"))
+
+
+def _cold_keys(ordered: DataFrame) -> DataFrame:
+    """Cold tokens in the prefix of each node: ``(key, id, day, len, want, pos)``.
+
+    Any partner of two or more tokens shares at least ``max(2, len / 2)`` tokens, so the first
+    shared one leaves room for the others behind it. ``want`` is 0: partners of any size.
+    """
+    overlap = F.greatest(F.lit(2), F.ceil(F.col("len") / 2)).cast("int")
+    entries = ordered.select("id", "day", "len", F.posexplode("cold").alias("pos", "token"))
+    return entries.where(F.col("pos") <= F.col("len") - overlap).select(
+        F.xxhash64(F.lit(0), F.lit(0), "token", F.lit("")).alias("key"),
+        "id", "day", "len", F.lit(0).alias("want"), "pos",
+    )
+
+
+def _hot_keys(units: DataFrame) -> DataFrame:
+    """Pairs of hot tokens in the prefix of each unit, for each size of partners.
+
+    With partners of ``want`` tokens the overlap is at least ``(len + want) / 3``, so only units
+    with that many hot tokens have a key for them.
+    """
+    length, hot = F.col("len"), F.size("hot")
     smallest = F.greatest(F.lit(2), F.ceil(length / 2)).cast("int")
     largest = F.least(2 * length, 3 * hot - length)
-    first = F.explode(F.sequence(length - hot, length - F.col("overlap"))).alias("pos")
-    second = F.explode(
-        F.sequence(F.col("pos") + 1, length - F.col("overlap") + 1)
-    ).alias("next")
-    warm = (
-        ordered.where((hot >= 2) & (smallest <= largest))
-        .select("*", F.explode(F.sequence(smallest, largest)).alias("want"))
+    overlap = F.ceil((length + F.col("want")) / 3).cast("int")
+    # Positions within the hot tokens; those of the whole set start after the cold ones.
+    first = F.explode(F.sequence(F.lit(0), hot - F.col("overlap"))).alias("i")
+    second = F.explode(F.sequence(F.col("i") + 1, hot - F.col("overlap") + 1)).alias("j")
+    return (
+        units.where(smallest <= largest)
+        .select("id", "day", "len", "hot", F.explode(F.sequence(smallest, largest)).alias("want"))
         .select("*", overlap.alias("overlap"))
         .where(hot >= F.col("overlap"))
         .select("*", first)
@@ -206,31 +249,37 @@ def _group_keys(nodes: DataFrame, limits: Limits) -> DataFrame:
         .select(
             F.xxhash64(
                 F.least("len", "want"), F.greatest("len", "want"),
-                F.get("order", F.col("pos"))["token"], F.get("order", F.col("next"))["token"],
+                F.get("hot", F.col("i")), F.get("hot", F.col("j")),
             ).alias("key"),
-            "id", "day", "len", "want", "pos",
+            "id", "day", "len", "want", (length - hot + F.col("i")).alias("pos"),
         )
     )
-    return cold.unionByName(warm)
 
 
-def _members(nodes: DataFrame, limits: Limits) -> DataFrame:
+def _members(keys: DataFrame) -> DataFrame:
     """Group keys with time buckets.
 
     A dated node owns the bucket of its day and visits the next one; two nodes meet where one
     of them is the owner. Undated nodes own the bucket of any time, which dated nodes visit if
     an undated node has the same key.
     """
-    keys = materialize(_group_keys(nodes, limits), "keys")
     undated = F.col("day") == ANY_TIME
-    dated = keys.where(~undated)
-    own = keys.withColumn("bucket", F.col("day")).withColumn("own", F.lit(True))
-    late = dated.withColumn("bucket", F.col("day") + 1).withColumn("own", F.lit(False))
+
+    def place(bucket, own):
+        return F.struct(bucket.cast("long").alias("bucket"), F.lit(own).alias("own"))
+
+    day = F.col("day")
+    places = F.when(undated, F.array(place(day, True))).otherwise(
+        F.array(place(day, True), place(day + 1, False))
+    )
     wanted = keys.where(undated).select("key").distinct()
-    anytime = dated.join(wanted, "key", "left_semi")
-    anytime = anytime.withColumn("bucket", F.lit(ANY_TIME).cast("long"))
-    anytime = anytime.withColumn("own", F.lit(False))
-    return own.unionByName(late).unionByName(anytime.select(own.columns)).drop("day")
+    anytime = keys.where(~undated).join(wanted, "key", "left_semi")
+    columns = ["key", "id", "len", "want", "pos"]
+    return keys.select(*columns, F.inline(places)).unionByName(
+        anytime.select(
+            *columns, F.lit(ANY_TIME).cast("long").alias("bucket"), F.lit(False).alias("own")
+        )
+    )
 
 
 def _groups(members: DataFrame, limits: Limits) -> DataFrame:
@@ -266,23 +315,40 @@ def _same_group(a: str, b: str):
     )
 
 
-def _verify(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+def _subjects(nodes: DataFrame, units: DataFrame) -> DataFrame:
+    """What is compared: whole nodes in groups of cold keys, hot tokens of units in the others."""
+    return nodes.select(
+        "id", F.lit(False).alias("is_hot"), "tokens", "len", "first_at", "last_at"
+    ).unionByName(
+        units.select(
+            "id", F.lit(True).alias("is_hot"), F.col("hot").alias("tokens"), "len", "first_at",
+            "last_at",
+        )
+    )
+
+
+def _verify(pairs: DataFrame, subjects: DataFrame) -> DataFrame:
     """The pairs ``(id, other)`` whose titles are similar and close in time."""
-    slim = nodes.select("id", "tokens", "first_at", "last_at")
     unique = pairs.select(
-        F.least("id", "other").alias("id"), F.greatest("id", "other").alias("other")
+        "is_hot", F.least("id", "other").alias("id"), F.greatest("id", "other").alias("other")
     ).where("id != other").distinct()
-    a, b = slim.alias("a"), slim.alias("b")
-    joined = (
-        unique.alias("p")
-        .join(a, F.col("p.id") == F.col("a.id"))
-        .join(b, F.col("p.other") == F.col("b.id"))
-    )
+    p, a, b = unique.alias("p"), subjects.alias("a"), subjects.alias("b")
+    joined = p.join(
+        a, (F.col("p.id") == F.col("a.id")) & (F.col("p.is_hot") == F.col("a.is_hot"))
+    ).join(b, (F.col("p.other") == F.col("b.id")) & (F.col("p.is_hot") == F.col("b.is_hot")))
     shared = F.size(F.array_intersect("a.tokens", "b.tokens"))
-    similar = 3 * shared >= F.size("a.tokens") + F.size("b.tokens")
+    similar = 3 * shared >= F.col("a.len") + F.col("b.len")
     return joined.where(_within_a_day("a", "b") & similar).select("p.id", "p.other")
 
 
+def _pair(a: str, b: str):
+    return [
+        (F.col(f"{a}.want") > 0).alias("is_hot"),
+        F.col(f"{a}.id").alias("id"),
+        F.col(f"{b}.id").alias("other"),
+    ]
+
+
 def _small_group_pairs(sized: DataFrame, limits: Limits) -> DataFrame:
     """Candidate pairs of the groups with at most ``limits.small`` members.
 
@@ -294,7 +360,7 @@ def _small_group_pairs(sized: DataFrame, limits: Limits) -> DataFrame:
         b,
         _same_group("a", "b") & _sizes_agree("a", "b") & _may_match("a", "b")
         & (~F.col("b.own") | (F.col("a.id") < F.col("b.id"))),
-    ).select(F.col("a.id").alias("id"), F.col("b.id").alias("other"))
+    ).select(*_pair("a", "b"))
 
 
 def _large_group_pairs(large: DataFrame, labels: DataFrame, limits: Limits) -> DataFrame:
@@ -328,7 +394,7 @@ def _large_group_pairs(large: DataFrame, labels: DataFrame, limits: Limits) -> D
             _same_group("a", "b") & (F.col("a.piece") == F.col("b.piece"))
             & _sizes_agree("a", "b") & _may_match("a", "b")
             & (F.col("a.component") != F.col("b.component")),
-        ).select(F.col("a.id").alias("id"), F.col("b.id").alias("other"))
+        ).select(*_pair("a", "b"))
 
     return pairs(minor.where("own"), others).unionByName(
         pairs(minor.where("not own"), others.where("own"))
@@ -337,23 +403,32 @@ def _large_group_pairs(large: DataFrame, labels: DataFrame, limits: Limits) -> D
 
 def title_components(nodes: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """``(id, label)`` of every node that is linked to another one."""
-    members = _members(nodes, limits)
+    ordered = _ordered_nodes(nodes, limits)
+    units, clique_links = _cliques(ordered)
+    subjects = _subjects(nodes, units)
+    members = _members(_cold_keys(ordered).unionByName(_hot_keys(units)))
     sized = join_spread(members, _groups(members, limits), ["key", "bucket"], "id")
     sized = materialize(sized, "members")
     links = materialize(
         _same_title_links(nodes)
         .unionByName(_single_links(nodes))
-        .unionByName(_verify(_small_group_pairs(sized, limits), nodes)),
+        .unionByName(clique_links)
+        .unionByName(_verify(_small_group_pairs(sized, limits), subjects)),
         "links",
     )
     large = sized.where(F.col("size") > limits.small)
     if large.isEmpty():
         return connected_components(links)
-    pivot_pairs = large.select("id", F.explode("pivots").alias("other"))
-    links = links.unionByName(materialize(_verify(pivot_pairs, nodes), "pivot_links"))
+    pivot_pairs = large.select(
+        (F.col("want") > 0).alias("is_hot"), "id", F.explode("pivots").alias("other")
+    )
+    links = links.unionByName(materialize(_verify(pivot_pairs, subjects), "pivot_links"))
     labels = materialize(connected_components(links), "labels")
-    rest = materialize(_verify(_large_group_pairs(large, labels, limits), nodes), "rest_links")
+    rest = materialize(
+        _verify(_large_group_pairs(large, labels, limits), subjects), "rest_links"
+    )
     if rest.isEmpty():
         return labels
-    return connected_components(labels.select("id", F.col("label").alias("other"))
-                                .unionByName(rest))
+    return connected_components(
+        labels.select("id", F.col("label").alias("other")).unionByName(rest)
+    )
