@@ -125,3 +125,36 @@ def test_single_words(spark):
 
 def test_empty_input(spark):
     assert clusters(spark, []) == {}
+
+
+def test_copies_of_one_title_are_split_over_tasks(spark):
+    """With sizes scaled down, the last join splits the rows of a title with many copies."""
+    from pyspark.sql import functions as F
+
+    title = F.when(F.col("id") % 3 == 0, "one headline copied everywhere").otherwise(
+        F.concat(F.lit("headline number"), F.col("id").cast("string"))
+    )
+    articles = spark.range(0, 60000, 1, 8).select(
+        F.sha2(F.col("id").cast("string"), 256).alias("url_hash"),
+        title.alias("title"),
+        F.lit("2024-01-01 00:00:00").cast("timestamp").alias("published_at"),
+    )
+    scaled = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100k",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {name: spark.conf.get(name) for name in scaled}
+    for name, value in scaled.items():
+        spark.conf.set(name, value)
+    try:
+        found = story_clusters(articles)
+        assert found.groupBy("cluster_id").count().agg(F.max("count")).first()[0] == 20000
+        found.collect()
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "skewed" in plan
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)

@@ -152,8 +152,7 @@ def record_answers(spark: SparkSession, responses: DataFrame, model: str) -> dic
     Put the counts into the run log, then call :func:`require_success` on them.
     """
     now = F.date_trunc("second", F.lit(_now()).cast("timestamp"))
-    members = materialize(pending(spark), "pending")
-    rows = enrichment.outcomes(members, responses, F.lit(model), now)
+    rows = enrichment.outcomes(pending(spark), responses, F.lit(model), now)
     rows = materialize(rows, "outcomes")
     tables.append_table(rows, SUMMARIES)
     counts = enrichment.enrichment_counts(rows).first()

@@ -104,7 +104,9 @@ def prompts(
         F.col("member_no"), F.col("source_name"), F.col("title"), F.col("description")
     )
     blocks = (
-        members.select("cluster_id", part.alias("part"), F.struct("member_no", line.alias("line")).alias("entry"))
+        members.select(
+            "cluster_id", part.alias("part"), F.struct("member_no", line.alias("line")).alias("entry")
+        )
         .groupBy("cluster_id", "part")
         .agg(F.sort_array(F.collect_list("entry")).alias("entries"))
         .select(
@@ -113,7 +115,8 @@ def prompts(
         )
     )
     parts = F.ceil(F.col("article_count") / lines_per_part).cast("int")
-    return blocks.join(counts, "cluster_id").select(
+    whole = join_spread(blocks, counts, ["cluster_id"], "part")
+    return whole.select(
         "cluster_id", "part", parts.alias("parts"), "article_count",
         F.concat(
             F.when(F.col("part") == 0, head).otherwise(""),
@@ -175,7 +178,9 @@ def outcomes(
     A story with a valid answer succeeds with all its fields; any other gets a failed row with
     empty fields and the answer or error text. One bad answer never touches another story.
     """
-    chosen = checked_responses(responses)
+    # Both are used twice: for the stories and for the articles their answers refer to.
+    members = materialize(members.select("cluster_id", "url_hash", "member_no"), "members")
+    chosen = materialize(checked_responses(responses), "chosen")
     stories = (
         pending_clusters(members)
         .join(chosen, "cluster_id", "left")
