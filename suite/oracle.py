@@ -322,7 +322,7 @@ def _quality() -> str:
     versions = "(SELECT url_hash, url, published_at FROM article_versions)"
     tables = [
         ("stage", versions, ["url_hash", "url", "published_at"], "url_hash"),
-        ("ods", "ods", ["url_hash", "fetched_at", "source_name"], "url_hash"),
+        ("ods", "ods", ["url_hash", "title", "url", "source_name"], "url_hash"),
         ("mart", "mart", ["url_hash", "url"], "url_hash"),
         ("dim_source", "dim", ["source_name"], "source_name"),
     ]

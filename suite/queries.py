@@ -432,7 +432,7 @@ def quality_report(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality_report(
         {
             "stage": (stage, ["url_hash", "url", "published_at"], ["url_hash"]),
-            "ods": (ods, ["url_hash", "fetched_at", "source_name"], ["url_hash"]),
+            "ods": (ods, ["url_hash", "title", "url", "source_name"], ["url_hash"]),
             "mart": (_mart(spark, folder), ["url_hash", "url"], ["url_hash"]),
             "dim_source": (source_dim(spark, folder), ["source_name"], ["source_name"]),
         }

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -43,8 +45,12 @@ def is_truncated(content: Column) -> Column:
 
 
 def contains_pattern(text: str) -> str:
-    """LIKE pattern for a substring; ``%`` and ``_`` of the reader act as wildcards."""
-    return f"%{text}%"
+    """LIKE pattern for a substring; ``%`` and ``_`` of the reader act as wildcards.
+
+    A backslash escapes these and itself; before any other character, where Spark would refuse
+    the pattern, it stands for itself.
+    """
+    return re.sub(r"\\(?:([%_\\])|)", lambda m: m.group() if m.group(1) else "\\\\", f"%{text}%")
 
 
 def parse_time(text: Column) -> Column:

@@ -118,7 +118,7 @@ def check_layers(spark: SparkSession) -> DataFrame:
     return quality_report(
         {
             "stage": (spark.table(STAGE), [KEY, "url"], [KEY]),
-            "ods": (current_ods(spark), [KEY, "url", "fetched_at"], [KEY]),
+            "ods": (current_ods(spark), [KEY, "title", "url"], [KEY]),
             "mart": (spark.table(MART), [KEY, "url"], [KEY]),
             "dim_source": (spark.table(SOURCES), ["source_name"], ["source_name"]),
         }
