@@ -132,6 +132,17 @@ def test_every_reader_is_ranked_with_own_votes(spark):
     assert ranks == {"d": (1, 2), "c": (2, 2), "b": (3, 0), "a": (4, 0)}
 
 
+def test_given_readers_are_ranked(spark):
+    table = summaries(spark, *CARDS)
+    feed = serving.cards(table, media(spark, "a", "b", "c", "d"))
+    mine = votes(spark, (1, "a", 1), (2, "b", 1))
+    some = spark.createDataFrame([(2,), (9,)], "user_id long")
+    rows = serving.affinity_feed(feed, mine, table, readers=some).collect()
+    order = {u: [r.cluster_id for r in sorted(rows, key=lambda r: r.rank) if r.user_id == u]
+             for u in (1, 2, 9)}
+    assert order == {1: [], 2: ["d", "c", "b", "a"], 9: ["d", "c", "b", "a"]}
+
+
 def test_liked_page_may_be_short(spark):
     feed = serving.cards(summaries(spark, ("a", "t", []), ("c", "t", [])), media(spark, "a", "c"))
     mine = votes(spark, (1, "a", 1), (1, "gone", 1), (1, "b", -1), (1, "c", 1), (2, "a", 1))

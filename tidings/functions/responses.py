@@ -36,9 +36,9 @@ def _elements(value: Column) -> Column:
     return F.try_variant_get(value, "$", "array<variant>")
 
 
-def _as_float(value: Column) -> Column:
+def _as_float(value: Column, kind: Column) -> Column:
     """Float of a number, boolean or numeric string."""
-    kind, text = _kind(value), _text(value)
+    text = _text(value)
     return F.when(kind == "BOOLEAN", F.try_variant_get(value, "$", "boolean").cast("float")).when(
         _is_number(kind) | ((kind == "STRING") & text.rlike(_NUMBER)),
         F.trim(text).try_cast("double").cast("float"),
@@ -101,17 +101,24 @@ def with_answer(df: DataFrame, raw: str, name: str = "answer") -> DataFrame:
     fields = parsed.withColumns({f"_{field}": _child(F.col("_doc"), field) for field in _FIELDS})
     facts = fields.withColumns({f"_{n}": _child(F.col("_key_facts"), n) for n in _FACTS})
     items = facts.withColumn("_items", _elements(F.col("_source_perspectives")))
-    checks = [_kind(F.col("_doc")).startswith("OBJECT")]
-    checks += [_kind(F.col(f"_{n}")) == "STRING" for n in _REQUIRED]
+    typed = (*_REQUIRED, *_STATES, "doc", "key_facts", "why_it_matters", "sentiment_score")
+    kinds = items.withColumns({f"_kind_{n}": _kind(F.col(f"_{n}")) for n in typed})
+    score = _as_float(F.col("_sentiment_score"), F.col("_kind_sentiment_score"))
+    values = kinds.withColumn("_score", score)
+
+    def kind(field):
+        return F.col(f"_kind_{field}")
+
+    checks = [kind("doc").startswith("OBJECT")]
+    checks += [kind(n) == "STRING" for n in _REQUIRED]
     checks += [_ok_if_present(F.col(f"_{n}"), _is_text_list(F.col(f"_{n}")))
                for n in (*_LISTS, *_FACTS)]
-    checks += [_ok_if_present(F.col(f"_{n}"), _kind(F.col(f"_{n}")).isin("STRING", "VOID"))
-               for n in _STATES]
-    why, score = F.col("_why_it_matters"), F.col("_sentiment_score")
+    checks += [kind(n).isNull() | kind(n).isin("STRING", "VOID") for n in _STATES]
     checks += [
-        _ok_if_present(F.col("_key_facts"), _kind(F.col("_key_facts")).startswith("OBJECT")),
-        _ok_if_present(why, _kind(why) == "STRING"),
-        _ok_if_present(score, (_kind(score) == "VOID") | _as_float(score).isNotNull()),
+        kind("key_facts").isNull() | kind("key_facts").startswith("OBJECT"),
+        kind("why_it_matters").isNull() | (kind("why_it_matters") == "STRING"),
+        kind("sentiment_score").isNull() | (kind("sentiment_score") == "VOID")
+        | F.col("_score").isNotNull(),
         _ok_if_present(
             F.col("_source_perspectives"),
             F.col("_items").isNotNull() & F.forall("_items", _perspective_ok),
@@ -131,11 +138,11 @@ def with_answer(df: DataFrame, raw: str, name: str = "answer") -> DataFrame:
     answer = F.struct(
         valid.alias("valid"),
         *[_text(F.col(f"_{n}")).alias(n) for n in _REQUIRED],
-        _as_float(score).alias("sentiment_score"),
+        F.col("_score").alias("sentiment_score"),
         *[_text_list(F.col(f"_{n}")).alias(n) for n in _LISTS],
         *[_text_list(F.col(f"_{n}")).alias(f"key_facts_{n}") for n in _FACTS],
-        F.coalesce(_text(why), F.lit("")).alias("why_it_matters"),
+        F.coalesce(_text(F.col("_why_it_matters")), F.lit("")).alias("why_it_matters"),
         *[_text(F.col(f"_{n}")).alias(n) for n in _STATES],
         F.coalesce(focus, no_focus).alias("perspectives"),
     )
-    return items.select(*df.columns, answer.alias(name))
+    return values.select(*df.columns, answer.alias(name))

@@ -137,8 +137,12 @@ def affinity_feed(
     offset: int = 0,
     topic: str | None = None,
     q: str | None = None,
+    readers: DataFrame | None = None,
 ) -> DataFrame:
-    """The page of the personal feed for every reader with votes: one row per reader and card.
+    """The page of the personal feed for every reader: one row per reader and card.
+
+    ``readers`` are the ``user_id`` to rank for; without it, those who have voted. A reader
+    without likes gets the order of the feed.
 
     The candidates are the 200 newest matching cards. A card scores twice the weight of its
     topic plus the weights of its keywords, each less the card's own share if the reader likes
@@ -155,7 +159,11 @@ def affinity_feed(
     # Written once, since it is used several times and the feed behind it is large.
     window = materialize(top.withColumn("place", place), "candidates")
     end = min(offset + limit, CANDIDATES)
-    readers = votes.select("user_id").distinct()
+    if readers is None:
+        readers = votes.select("user_id").distinct()
+    else:
+        readers = readers.select("user_id").distinct()
+        votes = votes.join(readers, "user_id", "left_semi")
     topics, keywords = affinity_profiles(votes, summaries)
 
     card_topics = F.broadcast(window.select("place", "cluster_id", "topic"))
