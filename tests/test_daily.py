@@ -5,7 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from tidings.plans import daily, enrichment, history
+from tidings.plans import daily, enrichment, history, serving
 from tidings.sources import landing, tables
 
 TITLES = ["Nine leaders say life skills matter most", "Nine leaders say life skills matter",
@@ -66,6 +66,9 @@ def test_daily_job(spark, tmp_path):
     assert daily.ingest(spark, path, "r2")["new"] == 1
     assert spark.table(daily.RAW).where("ingestion_run_id = 'r2'").count() == 1
 
+    cards = serving.feed_page(daily.feed(spark)).collect()
+    assert [(c.summary, c.article_count) for c in cards] == [("s", 4)]
+
     log = {r.task_id: r for r in history.run_history(daily.run_log(spark)).collect()}
     assert log["ingest"].status == "success" and log["ingest"].rows_new == 6
     assert log["enrich"].status == "failed" and log["enrich"].rows_failed == 2

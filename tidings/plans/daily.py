@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tidings.operators.keyed import above_watermark, fold_runs, fold_votes, split_votes
 from tidings.operators.quality import quality_report
-from tidings.plans import enrichment, history, layers
+from tidings.plans import enrichment, history, layers, serving
 from tidings.plans.stories import assignment_rows, story_clusters
 from tidings.session import materialize
 from tidings.sources import landing, tables
@@ -29,6 +29,7 @@ SOURCES = "mart.dim_source"
 MART = "mart.mart_articles"
 DAILY = "mart.mart_daily_stats"
 CLUSTERS = "mart.article_clusters"
+MEDIA = "mart.story_media"
 SUMMARIES = "mart.summary_clusters"
 RUN_EVENTS = "raw.run_events"
 FEEDBACK_EVENTS = "raw.feedback_events"
@@ -126,13 +127,23 @@ def check_layers(spark: SparkSession) -> DataFrame:
 
 
 def cluster(spark: SparkSession) -> dict:
-    """Append the current assignment of all articles to stories."""
+    """Append the current assignment of all articles to stories, and publish the media of each.
+
+    The media are a table, so that a page of the feed reads stories and not all articles.
+    """
     found = story_clusters(spark.table(MART))
     rows = assignment_rows(found, F.date_trunc("second", F.lit(_now()).cast("timestamp")))
     written = tables.append_table(rows, CLUSTERS)
+    assigned = enrichment.current_assignment(spark.table(CLUSTERS))
+    tables.publish_table(serving.story_media(assigned, spark.table(MART)), MEDIA)
     return {"fetched": written, "new": written}
 
 
+def feed(spark: SparkSession) -> DataFrame:
+    """Cards of all successful stories, for the pages and rankings of ``serving``."""
+    return serving.cards(_summaries(spark), spark.table(MEDIA))
+
+
 def _summaries(spark: SparkSession) -> DataFrame:
     known = tables.stored(spark, SUMMARIES)
     if known is None:

@@ -128,6 +128,14 @@ ARTICLE_CLUSTERS = T.StructType(
     ]
 )
 
+STORY_MEDIA = T.StructType(
+    [
+        _field("cluster_id", _TEXT, "key of the story", False),
+        _field("first_published_at", _TIME, "earliest publish time of its articles"),
+        _field("image_url", _TEXT, "one image of its articles"),
+    ]
+)
+
 PERSPECTIVE = T.StructType([T.StructField("url_hash", _TEXT), T.StructField("focus", _TEXT)])
 
 SUMMARY_CLUSTERS = T.StructType(
@@ -192,6 +200,7 @@ LAYERS = {
     "mart.dim_source": SOURCE_DIMENSION,
     "mart.mart_daily_stats": DAILY_STATS,
     "mart.article_clusters": ARTICLE_CLUSTERS,
+    "mart.story_media": STORY_MEDIA,
     "mart.summary_clusters": SUMMARY_CLUSTERS,
     "feedback": FEEDBACK,
     "run_log": RUN_LOG,
@@ -205,5 +214,6 @@ LINEAGE = {
     "mart.mart_articles": ["ods.ods_articles", "mart.dim_source"],
     "mart.mart_daily_stats": ["mart.mart_articles"],
     "mart.article_clusters": ["mart.mart_articles"],
+    "mart.story_media": ["mart.article_clusters", "mart.mart_articles"],
     "mart.summary_clusters": ["mart.article_clusters", "mart.mart_articles"],
 }
