@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+# The words left out of title tokens.
 STOPWORDS = (
     "the a an to of in on for and is are at by with as it its from after over into amid "
     "how why what will says said new more than this that be has have had not but or was "
@@ -352,7 +353,8 @@ _PENDING = """
 
 _CHECKED = "SELECT cluster_id, CAST(attempt AS BIGINT) AS attempt, is_valid{more} FROM checked"
 
-_VOTE_ROWS = f"user_id, cluster_id, CAST(vote AS BIGINT) AS vote, strftime(ts, {_MICRO}) AS created_at"
+_VOTE_ROWS = f"""user_id, cluster_id, CAST(vote AS BIGINT) AS vote,
+    strftime(ts, {_MICRO}) AS created_at"""
 
 ORACLE = {
     "landed_items": _query("keyed_items", f"""

@@ -59,6 +59,12 @@ def test_first_seen(spark, tmp_path):
     assert rows_of(run()) == before
 
 
+def test_a_table_without_batches_is_empty(spark, tmp_path):
+    schema = spark.range(1).schema
+    assert jobs.read_batches(spark, str(tmp_path / "none"), schema).columns == ["id", "batch"]
+    assert jobs.read_batches(spark, str(tmp_path / "none"), schema).isEmpty()
+
+
 def test_votes(spark, tmp_path):
     rows = [(n % 3, f"c{n % 4}", [1, -1, None, 1][n // 3 % 4], T0 + timedelta(minutes=n * 7 % 60), n)
             for n in range(80)]

@@ -126,16 +126,18 @@ def check_layers(spark: SparkSession) -> DataFrame:
     )
 
 
-def cluster(spark: SparkSession) -> dict:
-    """Append the current assignment of all articles to stories, and publish the media of each.
+def cluster(spark: SparkSession, buckets: int = 0) -> dict:
+    """Publish the assignment of all articles to stories, and the media of each story.
 
-    The media are a table, so that a page of the feed reads stories and not all articles.
+    Every run assigns every article, so the table is replaced; its rows are the newest version
+    of each key without a fold. The media are a table, so that a page of the feed reads stories
+    and not all articles.
     """
     found = story_clusters(spark.table(MART))
     rows = assignment_rows(found, F.date_trunc("second", F.lit(_now()).cast("timestamp")))
-    written = tables.append_table(rows, CLUSTERS)
-    assigned = enrichment.current_assignment(spark.table(CLUSTERS))
+    assigned = tables.publish_table(rows, CLUSTERS, KEY, buckets)
     tables.publish_table(serving.story_media(assigned, spark.table(MART)), MEDIA)
+    written = assigned.count()
     return {"fetched": written, "new": written}
 
 
@@ -153,8 +155,9 @@ def _summaries(spark: SparkSession) -> DataFrame:
 
 def pending(spark: SparkSession) -> DataFrame:
     """Numbered member articles of the stories without a summary."""
-    assigned = enrichment.current_assignment(spark.table(CLUSTERS))
-    return enrichment.pending_members(assigned, spark.table(MART), _summaries(spark))
+    return enrichment.pending_members(
+        spark.table(CLUSTERS), spark.table(MART), _summaries(spark)
+    )
 
 
 def record_answers(spark: SparkSession, responses: DataFrame, model: str) -> dict:

@@ -105,7 +105,9 @@ def prompts(
     )
     blocks = (
         members.select(
-            "cluster_id", part.alias("part"), F.struct("member_no", line.alias("line")).alias("entry")
+            "cluster_id",
+            part.alias("part"),
+            F.struct("member_no", line.alias("line")).alias("entry"),
         )
         .groupBy("cluster_id", "part")
         .agg(F.sort_array(F.collect_list("entry")).alias("entries"))

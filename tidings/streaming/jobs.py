@@ -1,13 +1,15 @@
 """Structured Streaming jobs.
 
 State lives in append-only tables with one folder per micro-batch. A batch that is replayed
-after a failure overwrites its own folder only, so replays change nothing.
+after a failure overwrites its own folder only, so replays change nothing. Batch numbers come
+from the checkpoint: a table and its checkpoint belong together and start together.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -46,8 +48,13 @@ def _folder(table: str, batch_id: int) -> str:
 
 def read_batches(spark: SparkSession, table: str, schema: StructType) -> DataFrame:
     """All rows of a table with one folder per batch; empty if nothing was written yet."""
-    with_batch = StructType(schema.fields).add("batch", "long")
-    return spark.read.schema(with_batch).option("ignoreMissingFiles", True).parquet(f"{table}/")
+    with_batch = StructType(list(schema.fields)).add("batch", "long")
+    try:
+        return spark.read.schema(with_batch).parquet(table)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], with_batch)
 
 
 def ingest_first_seen(items: DataFrame, table: str, checkpoint: str) -> StreamingQuery:
