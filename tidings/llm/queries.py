@@ -7,18 +7,30 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidings.llm import quality_rules
+from tidings.llm import bpe, quality_rules, simhash
 from tidings.llm.common import table
 from tidings.session import configure
 
 
+def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    found = simhash.simhash_components(table(spark, folder, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id", simhash.fingerprint_text().alias("fingerprint"), "component_id"
+    )
+
+
+def op6_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return bpe.encode(docs, bpe.vocabulary(), with_ids=False)
+
+
 def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
     judged = quality_rules.quality_rules(docs.select("doc_id", "text"), labels)
     return judged.select("doc_id", *quality_rules.RULE_COLUMNS)
 
 
-QUERIES = [op7_quality_rules]
+QUERIES = [op3_simhash, op6_bpe, op7_quality_rules]
 ORACLE: dict[str, str] = {}
 
 
