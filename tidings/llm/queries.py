@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidings.llm import bpe, quality_rules, simhash
+from tidings.llm import bpe, mixing, quality_rules, sharding, simhash
 from tidings.llm.common import table
 from tidings.session import configure
 
@@ -19,6 +19,14 @@ def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(table(spark, folder, "documents").select("doc_id", "source"))
+
+
+def op5_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.place(table(spark, folder, "documents").select("doc_id", "source"), ["doc_id"])
+
+
 def op6_bpe(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return bpe.encode(docs, bpe.vocabulary(), with_ids=False)
@@ -30,7 +38,7 @@ def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("doc_id", *quality_rules.RULE_COLUMNS)
 
 
-QUERIES = [op3_simhash, op6_bpe, op7_quality_rules]
+QUERIES = [op3_simhash, op4_mixing, op5_sharding, op6_bpe, op7_quality_rules]
 ORACLE: dict[str, str] = {}
 
 
