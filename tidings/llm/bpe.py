@@ -30,6 +30,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidings.llm.common import map_arrow
+
 CACHED_WORDS = 300_000
 #: Of the remembered verdicts on pairs of tokens.
 CACHED_PAIRS = 600_000
@@ -243,4 +245,4 @@ def encode(docs: DataFrame, path: str, with_ids: bool = True) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long"), "text")
     ids = "ids array<int>, " if with_ids else ""
     schema = f"doc_id long, n_tokens long, {ids}ids_sha256 string, decoded_sha256 string"
-    return rows.mapInArrow(compute, schema)
+    return map_arrow(rows, compute, schema)

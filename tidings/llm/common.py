@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+import zipfile
+from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,3 +40,23 @@ def free_name(df: DataFrame, stem: str) -> str:
 def reader_slots(spark: SparkSession) -> int:
     """The number of partitions that shuffles of this session use."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package, once a session; they need not have it installed."""
+    context = spark.sparkContext
+    if getattr(context, "_tidings_shipped", False):
+        return
+    root = Path(__file__).resolve().parents[1]
+    target = Path(tempfile.mkdtemp(prefix="tidings-")) / "tidings.zip"
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as archive:
+        for source in sorted(root.rglob("*.py")):
+            archive.write(source, Path(root.name) / source.relative_to(root))
+    context.addPyFile(str(target))
+    context._tidings_shipped = True
+
+
+def map_arrow(df: DataFrame, function: Callable, schema: str) -> DataFrame:
+    """``df.mapInArrow`` of a function of this package."""
+    ship(df.sparkSession)
+    return df.mapInArrow(function, schema)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidings.llm import bpe, mixing, quality_rules, sharding, simhash
+from tidings.llm import bpe, mixing, quality_rules, sharding, simhash, suffix_dedup
 from tidings.llm.common import table
 from tidings.session import configure
 
@@ -38,7 +38,12 @@ def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("doc_id", *quality_rules.RULE_COLUMNS)
 
 
-QUERIES = [op3_simhash, op4_mixing, op5_sharding, op6_bpe, op7_quality_rules]
+def op10_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return suffix_dedup.cut_repeats(docs, with_text=False)
+
+
+QUERIES = [op3_simhash, op4_mixing, op5_sharding, op6_bpe, op7_quality_rules, op10_suffix_dedup]
 ORACLE: dict[str, str] = {}
 
 

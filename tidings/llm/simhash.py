@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidings.llm.common import reader_slots
+from tidings.llm.common import map_arrow, reader_slots
 from tidings.operators.components import connected_components
 from tidings.session import materialize
 
@@ -63,7 +63,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), signed], ["doc_id", "fp"])
 
     rows = docs.select(F.col("doc_id").cast("long"), "text")
-    return rows.mapInArrow(compute, "doc_id long, fp long")
+    return map_arrow(rows, compute, "doc_id long, fp long")
 
 
 class BKTree:
@@ -162,7 +162,7 @@ def links(distinct: DataFrame, radius: int = RADIUS, shard_rows: int = SHARD_ROW
                 yield pa.RecordBatch.from_arrays([a, b], ["a", "b"])
 
     dealt = rows.repartition(slots, "shard", "part").sortWithinPartitions("shard", "part", "fp")
-    return dealt.mapInArrow(search, "a long, b long")
+    return map_arrow(dealt, search, "a long, b long")
 
 
 def _groups(batches: Iterable[pa.RecordBatch]) -> Iterator[list[int]]:
