@@ -7,11 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidings.llm import bpe, mixing, quality_rules, sharding, simhash, suffix_dedup
+from tidings.llm import bpe, mixing, quality_rules, sharding, simhash, suffix_dedup, topk
 from tidings.llm.common import table
 from tidings.session import configure
 
 
+def op2_topk(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = topk.quantised(table(spark, folder, "embeddings"))
+    return topk.search(vectors, vectors.where("vec_id % 20 = 0"), 20)
+
+
 def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.simhash_components(table(spark, folder, "documents").select("doc_id", "text"))
     return found.select(
@@ -43,8 +48,23 @@ def op10_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_dedup.cut_repeats(docs, with_text=False)
 
 
-QUERIES = [op3_simhash, op4_mixing, op5_sharding, op6_bpe, op7_quality_rules, op10_suffix_dedup]
-ORACLE: dict[str, str] = {}
+QUERIES = [op2_topk, op3_simhash, op4_mixing, op5_sharding, op6_bpe, op7_quality_rules, op10_suffix_dedup]
+#: Scores of all pairs; only SQL may do this.
+_TOPK_SQL = """
+WITH vectors AS (
+  SELECT vec_id, min([floor(64 * x::DOUBLE) FOR x IN embedding]) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len([1 FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+  GROUP BY vec_id),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+  FROM vectors q JOIN vectors c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place
+  FROM scored)
+SELECT query_id, place::INTEGER AS rank, vec_id, score FROM ranked WHERE place <= 20
+"""
+ORACLE: dict[str, str] = {"op2_topk": _TOPK_SQL}
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
