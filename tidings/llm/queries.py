@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidings.llm import bpe, mixing, quality_rules, sharding, simhash, suffix_dedup, topk
+from tidings.llm import bpe, mixing, quality_rules, sharding, simhash, suffix_dedup, topk, warc
 from tidings.llm.common import table
 from tidings.session import configure
 
@@ -43,12 +43,19 @@ def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("doc_id", *quality_rules.RULE_COLUMNS)
 
 
+def op9_warc(spark: SparkSession, folder: str) -> DataFrame:
+    records = warc.round_trip(table(spark, folder, "pages").select("page_id", "url", "html"))
+    return records.select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def op10_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return suffix_dedup.cut_repeats(docs, with_text=False)
 
 
-QUERIES = [op2_topk, op3_simhash, op4_mixing, op5_sharding, op6_bpe, op7_quality_rules, op10_suffix_dedup]
+QUERIES = [op2_topk, op3_simhash, op4_mixing, op5_sharding, op6_bpe, op7_quality_rules, op9_warc, op10_suffix_dedup]
 #: Scores of all pairs; only SQL may do this.
 _TOPK_SQL = """
 WITH vectors AS (
