@@ -7,11 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidings.llm import bpe, mixing, quality_rules, sharding, simhash, suffix_dedup, topk, warc
+from tidings.llm import bpe, mixing, perplexity, quality_rules, sharding, simhash, suffix_dedup, topk, warc
 from tidings.llm.common import table
 from tidings.session import configure
 
 
+def op1_perplexity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    return perplexity.classify(docs, table(spark, folder, "labels"))
+
+
 def op2_topk(spark: SparkSession, folder: str) -> DataFrame:
     vectors = topk.quantised(table(spark, folder, "embeddings"))
     return topk.search(vectors, vectors.where("vec_id % 20 = 0"), 20)
@@ -55,7 +60,7 @@ def op10_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_dedup.cut_repeats(docs, with_text=False)
 
 
-QUERIES = [op2_topk, op3_simhash, op4_mixing, op5_sharding, op6_bpe, op7_quality_rules, op9_warc, op10_suffix_dedup]
+QUERIES = [op1_perplexity, op2_topk, op3_simhash, op4_mixing, op5_sharding, op6_bpe, op7_quality_rules, op9_warc, op10_suffix_dedup]
 #: Scores of all pairs; only SQL may do this.
 _TOPK_SQL = """
 WITH vectors AS (
