@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidings.llm import bpe, mixing, perplexity, quality_rules, sharding, simhash, suffix_dedup, topk, warc
+from tidings.llm import bpe, mixing, perplexity, quality_rules, sharding, simhash, suffix_dedup, topk, toxicity, warc
 from tidings.llm.common import table
 from tidings.session import configure
 
@@ -48,6 +48,11 @@ def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("doc_id", *quality_rules.RULE_COLUMNS)
 
 
+def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return toxicity.toxicity(docs, table(spark, folder, "labels"))
+
+
 def op9_warc(spark: SparkSession, folder: str) -> DataFrame:
     records = warc.round_trip(table(spark, folder, "pages").select("page_id", "url", "html"))
     return records.select(
@@ -60,7 +65,7 @@ def op10_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_dedup.cut_repeats(docs, with_text=False)
 
 
-QUERIES = [op1_perplexity, op2_topk, op3_simhash, op4_mixing, op5_sharding, op6_bpe, op7_quality_rules, op9_warc, op10_suffix_dedup]
+QUERIES = [op1_perplexity, op2_topk, op3_simhash, op4_mixing, op5_sharding, op6_bpe, op7_quality_rules, op8_toxicity, op9_warc, op10_suffix_dedup]
 #: Scores of all pairs; only SQL may do this.
 _TOPK_SQL = """
 WITH vectors AS (
