@@ -47,7 +47,10 @@ LOCAL = 64
 HOT = 2048
 #: Bytes of text that a partition of the second and third step answers for.
 PART_BYTES = 16 << 20
-_PIECE = 1 << 22
+#: Bytes that a task hashes at once, rows that it takes from a batch, and hashes that it holds.
+_PIECE = 1 << 20
+_ROWS = 256
+_HELD = 1_000_000
 _PLACES = np.uint64((1 << 23) - 1)
 _NO_BYTES = b""
 
@@ -152,6 +155,12 @@ def _text_groups(texts: list[bytes], match: int) -> Iterator[tuple[np.ndarray, n
         yield np.frombuffer(b"".join(held), np.uint8), ends, places
 
 
+def _slices(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for start in range(0, batch.num_rows, _ROWS):
+            yield batch.slice(start, _ROWS)
+
+
 def _bytes_of(column: pa.Array) -> list[bytes]:
     return [(t or "").encode() for t in column.to_pylist()]
 
@@ -212,7 +221,7 @@ def _send_hashes(match: int, buckets: int, local: int):
         held: list[np.ndarray] = []
         owners: list[np.ndarray] = []
         size = 0
-        for batch in batches:
+        for batch in _slices(batches):
             ids = batch.column(0).to_numpy()
             for data, ends, places in _text_groups(_bytes_of(batch.column(1)), match):
                 first, _, hashes = units(data, ends, match)
@@ -220,7 +229,7 @@ def _send_hashes(match: int, buckets: int, local: int):
                 held.append(hashes)
                 owners.append(ids[rows])
                 size += len(hashes)
-                if size > 4_000_000:
+                if size > _HELD:
                     yield from flush(np.concatenate(held), np.concatenate(owners))
                     held, owners, size = [], [], 0
         if size:
@@ -291,7 +300,7 @@ def _send_units(match: int):
         return np.frombuffer(b"".join(lists), np.uint64)
 
     def compute(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             ids = batch.column(0).to_numpy()
             cold = [wanted(x) for x in batch.column(2).to_pylist()]
             hot = [wanted(x) for x in batch.column(3).to_pylist()]
@@ -552,7 +561,7 @@ def cut_repeats(
     names = [*CUT_COLUMNS, *(["kept"] if with_text else [])]
 
     def compute(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             out: list[tuple] = []
             for text, own in zip(_bytes_of(batch.column(body)), batch.column(at).to_pylist()):
                 runs = _merged(own or [], len(text))

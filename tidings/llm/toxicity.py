@@ -180,10 +180,7 @@ def _vote_rows(signs: list[str]):
 
 @dataclass(frozen=True)
 class LabelModel:
-    """How often each voter fires on either label, and the weight its correlations leave it.
-
-    A voter that does not fire abstains and says nothing.
-    """
+    """How often each voter fires on either label, and the weight its correlations leave it."""
 
     prior: float
     fires: np.ndarray  # (2, voters): probability to fire on label 0 and label 1
@@ -191,8 +188,9 @@ class LabelModel:
     marks: float  # accuracy of the given labels, which are a voter that never abstains
 
     def posterior(self, votes: np.ndarray, known: np.ndarray) -> np.ndarray:
-        fires = np.log(self.fires)
+        fires, quiet = np.log(self.fires), np.log1p(-self.fires)
         logit = math.log(self.prior / (1 - self.prior)) + votes @ ((fires[1] - fires[0]) * self.weight)
+        logit += (1 - votes) @ ((quiet[1] - quiet[0]) * self.weight)
         logit += (2 * known - 1) * math.log(self.marks / (1 - self.marks))
         return 1 / (1 + np.exp(-np.clip(logit, -40, 40)))
 
