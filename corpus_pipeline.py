@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidings.llm import quality_rules
+from tidings.llm import bpe, mixing, quality_rules, simhash, suffix_dedup
 from tidings.llm.common import table
 from tidings.session import configure, materialize
 
@@ -21,7 +21,40 @@ def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return judged.where("kept").select(*docs.columns)
 
 
-STAGES = [("quality rules", rules)]
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of fingerprints that are linked."""
+    return simhash.first_of_each(docs)
+
+
+def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents without the bytes that they repeat from documents with smaller ids.
+
+    A document keeps its row if nothing of its text is left.
+    """
+    cut = suffix_dedup.cut_repeats(docs.select("doc_id", "text", "lang", "source"))
+    text = F.col("kept")
+    return cut.select(
+        "doc_id", text.alias("text"), "lang", "source", F.length(text).cast("long").alias("n_chars")
+    )
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents in an order that mixes the sources, in files that follow it."""
+    return mixing.in_order(docs, mixing.mix(docs))
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of each document."""
+    return bpe.encode(docs, bpe.vocabulary())
+
+
+STAGES = [
+    ("quality rules", rules),
+    ("simhash near-dedup", near_copies),
+    ("suffix-array dedup", repeats),
+    ("source mixing", mixture),
+    ("bpe encoding", tokens),
+]
 
 #: Hashed likelihood ratios, fingerprints and token ids have no form in SQL; tests use brute force.
 ORACLE_SQL = None

@@ -37,8 +37,8 @@ PERIOD = 1_000
 BLOCK_ROWS = 8
 #: Sources of a mixture; a table of weights is checked against it before it goes to the driver.
 MAX_SOURCES = 1_000
-#: Hash slots that number the rows of a source.
-NUMBERING = 4096
+#: Bits of the hash slots that number the rows of a source.
+NUMBERING_BITS = 9
 MIX_COLUMNS = ("source_index", "slot", "release_slot", "deadline_slot", "position")
 
 
@@ -97,7 +97,7 @@ def _numbered(docs: DataFrame, source: str, index: str) -> DataFrame:
     keys = [c for c, kind in docs.dtypes if c not in skipped and not kind.startswith(("map", "var"))]
     order, slot = free_name(docs, "_order"), free_name(docs, "_hash_slot")
     hashed = docs.withColumn(order, F.xxhash64(*keys) if keys else F.lit(0).cast("long"))
-    hashed = hashed.withColumn(slot, F.shiftrightunsigned(order, 52).cast("int"))
+    hashed = hashed.withColumn(slot, F.shiftrightunsigned(order, 64 - NUMBERING_BITS).cast("int"))
     sizes = hashed.groupBy(source, slot).agg(F.count(F.lit(1)).alias("size"))
     earlier = Window.partitionBy(source).orderBy(slot).rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(
@@ -107,7 +107,8 @@ def _numbered(docs: DataFrame, source: str, index: str) -> DataFrame:
     within = Window.partitionBy(source, slot).orderBy(order, *keys)
     ranked = hashed.withColumn(index, F.row_number().over(within))
     same = F.col(source).eqNullSafe(F.col("_s")) & (F.col(slot) == F.col("_k"))
-    joined = ranked.join(offsets, same)
+    # At most a row for each slot of each of the sources, whose number is checked.
+    joined = ranked.join(F.broadcast(offsets), same)
     number = (F.col("_offset") + F.col(index) - 1).cast("long")
     return joined.withColumn(index, number).drop("_s", "_k", "_offset", order, slot)
 

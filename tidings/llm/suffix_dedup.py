@@ -549,7 +549,7 @@ def cut_repeats(
 ) -> DataFrame:
     """``docs`` with its repeats removed and ``(n_bytes, n_removed, n_spans, kept_sha256)``.
 
-    With ``with_text`` the column ``kept`` holds the remaining bytes.
+    With ``with_text`` the column ``kept`` holds the remaining text; characters that a cut splits go.
     """
     at, key, body = (free_name(docs, n) for n in ("_spans", "_doc", "_body"))
     found = repeated_spans(docs, match, local, hot_docs).groupBy(F.col("doc").alias(key))
@@ -568,8 +568,8 @@ def cut_repeats(
                 places = [0, *[x for run in runs for x in run], len(text)]
                 left = b"".join(text[a:b] for a, b in zip(places[::2], places[1::2]))
                 row = len(text), len(text) - len(left), len(runs), hashlib.sha256(left).hexdigest()
-                out.append((*row, left) if with_text else row)
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
+                out.append((*row, left.decode(errors="ignore")) if with_text else row)
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()]
             columns = [pa.array(x, kind) for x, kind in zip(zip(*out), kinds)]
             if batch.num_rows:
                 own = [batch.column(c) for c in passed]
@@ -579,7 +579,7 @@ def cut_repeats(
     schema = ", ".join(
         [f"`{c}` {kinds[c]}" for c in passed]
         + ["n_bytes long", "n_removed long", "n_spans long", "kept_sha256 string"]
-        + ["kept binary"] * with_text
+        + ["kept string"] * with_text
     )
     return map_arrow(rows.select(*passed, body, at), compute, schema)
 
