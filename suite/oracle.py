@@ -4,10 +4,11 @@ from __future__ import annotations
 
 # The words left out of title tokens.
 STOPWORDS = (
-    "the a an to of in on for and is are at by with as it its from after over into amid "
-    "how why what will says said new more than this that be has have had not but or was "
-    "were been being"
-).split()
+    "the", "a", "an", "to", "of", "in", "on", "for", "and", "is", "are", "at", "by", "with",
+    "as", "it", "its", "from", "after", "over", "into", "amid", "how", "why", "what", "will",
+    "says", "said", "new", "more", "than", "this", "that", "be", "has", "have", "had", "not",
+    "but", "or", "was", "were", "been", "being",
+)
 _STOP_LIST = "[" + ", ".join(f"'{word}'" for word in STOPWORDS) + "]"
 _TIME = "'%Y-%m-%d %H:%M:%S'"
 _MICRO = "'%Y-%m-%d %H:%M:%S.%f'"
@@ -215,7 +216,8 @@ _view("outcome", "members checked", """
 
 _view("vote_events", "", """
     SELECT event_id, user_id, ts,
-        sha256(CAST(3 * ((7 * CAST(json_extract(props, '$.k') AS BIGINT) + 13 * user_id) % 334)
+        sha256(CAST(3 * ((7 * CAST(json_extract(props, '$.k') AS BIGINT) + 13 * user_id)
+                 % (SELECT count(*) // 3 + 1 FROM documents))
                AS VARCHAR)) AS cluster_id,
         CASE event_type WHEN 'click' THEN 1 WHEN 'purchase' THEN 1 WHEN 'error' THEN -1
              WHEN 'signup' THEN 5 END AS vote
@@ -519,7 +521,8 @@ ORACLE = {
     "toggled_votes": f"""
         WITH presses AS (
             SELECT user_id, event_id, ts,
-                sha256(CAST(CAST(json_extract(props, '$.k') AS BIGINT) % 4 AS VARCHAR))
+                sha256(CAST(CAST(json_extract(props, '$.k') AS BIGINT)
+                  % greatest(4, (SELECT (count(*) // 3 + 1) // 80 FROM documents)) AS VARCHAR))
                     AS cluster_id,
                 CASE WHEN event_type IN ('click', 'purchase', 'view') THEN 1 ELSE -1 END AS vote
             FROM events),

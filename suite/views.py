@@ -230,9 +230,14 @@ def responses(spark: SparkSession, folder: str) -> DataFrame:
     return answers(1, first).unionByName(answers(2, second))
 
 
-def _event_story(events: DataFrame) -> Column:
+def _stories(spark: SparkSession, folder: str) -> int:
+    """One story in three documents, so that events reach all of them at every scale."""
+    return table(spark, folder, "documents").count() // 3 + 1
+
+
+def _event_story(stories: int) -> Column:
     k = F.get_json_object("props", "$.k").cast("long")
-    return doc_key(3 * ((7 * k + 13 * F.col("user_id")) % 334))
+    return doc_key(3 * ((7 * k + 13 * F.col("user_id")) % stories))
 
 
 def feedback(spark: SparkSession, folder: str) -> DataFrame:
@@ -246,7 +251,7 @@ def feedback(spark: SparkSession, folder: str) -> DataFrame:
     )
     return events.select(
         "user_id",
-        _event_story(events).alias("cluster_id"),
+        _event_story(_stories(spark, folder)).alias("cluster_id"),
         vote.cast("short").alias("vote"),
         F.col("ts").cast("timestamp").alias("created_at"),
         "event_id",
@@ -256,9 +261,10 @@ def feedback(spark: SparkSession, folder: str) -> DataFrame:
 def clicks(spark: SparkSession, folder: str) -> DataFrame:
     """Events as presses of the two vote buttons, on few stories so that presses repeat."""
     up = F.col("event_type").isin("click", "purchase", "view")
+    few = max(4, _stories(spark, folder) // 80)
     return table(spark, folder, "events").select(
         "user_id",
-        doc_key(F.get_json_object("props", "$.k").cast("long") % 4).alias("cluster_id"),
+        doc_key(F.get_json_object("props", "$.k").cast("long") % few).alias("cluster_id"),
         F.when(up, 1).otherwise(-1).alias("vote"),
         F.col("ts").cast("timestamp").alias("created_at"),
         "event_id",

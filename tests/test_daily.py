@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from tidings.plans import daily, enrichment, history, serving
 from tidings.sources import landing, tables
 
-TITLES = ["Nine leaders say life skills matter most", "Nine leaders say life skills matter",
-          "Sony discontinues physical discs", None]
+TITLES = ["Storm floods three river villages again", "Storm floods three river villages",
+          "Choir sings under water tower", None]
 
 
 def land(spark, path, run_id, provider, numbers, titles=TITLES):
@@ -17,10 +17,10 @@ def land(spark, path, run_id, provider, numbers, titles=TITLES):
     df = spark.createDataFrame(rows, "ordinal long, u string, t string")
     article = F.struct(
         F.struct(F.lit("S").alias("name")).alias("source"), F.col("t").alias("title"),
-        F.col("u").alias("url"), F.lit("2026-07-26T12:00:00Z").alias("publishedAt"))
+        F.col("u").alias("url"), F.lit("2025-03-09T08:30:00Z").alias("publishedAt"))
     landing.write_landing(df.select(
         "ordinal", F.lit("world").alias("category"), article.alias("article"),
-        F.lit("2026-07-26").alias("dt"), F.lit(run_id).alias("run_id"),
+        F.lit("2025-03-09").alias("dt"), F.lit(run_id).alias("run_id"),
         F.lit(provider).alias("provider")), path)
 
 

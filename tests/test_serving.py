@@ -202,3 +202,24 @@ def test_liked_list_is_limited_before_the_shuffle(spark):
     feed = serving.cards(summaries(spark, ("a", "t", [])), media(spark, "a"))
     text = serving.liked_page(votes(spark, (1, "a", 1)), feed, 5, 5)._jdf.queryExecution().toString()
     assert text[text.index("== Physical Plan"):].count("WindowGroupLimit") >= 2
+
+
+def test_counts_beyond_32_bits(spark):
+    from datetime import datetime
+
+    from tidings.plans import history
+
+    at = datetime(2025, 3, 9)
+    event = history.close_event(spark, "r", "t", 1, at, 1, counts={"fetched": 3_000_000_000})
+    assert event.first().rows_fetched == 3_000_000_000
+
+
+def test_old_versions_of_a_table_are_dropped(spark):
+    from tidings.sources import tables
+
+    spark.sql("CREATE DATABASE IF NOT EXISTS kept")
+    for k in range(4):
+        rows = tables.publish_table(spark.range(k + 1).toDF("n"), "kept.rows_of")
+        assert rows.count() == k + 1
+    stored = spark.sql("SHOW TABLES IN kept LIKE 'rows_of_v*'").where("NOT isTemporary").collect()
+    assert len(stored) == 2

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# The bounds and texts of the labels below.
 _MINUTE, _HOUR, _DAY = 60, 3600, 86400
 
 

@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 # Words without meaning for the comparison of titles.
 STOPWORDS = (
-    "the a an to of in on for and is are at by with as it its from after over into amid "
-    "how why what will says said new more than this that be has have had not but or was "
-    "were been being"
-).split()
+    "the", "a", "an", "to", "of", "in", "on", "for", "and", "is", "are", "at", "by", "with",
+    "as", "it", "its", "from", "after", "over", "into", "amid", "how", "why", "what", "will",
+    "says", "said", "new", "more", "than", "this", "that", "be", "has", "have", "had", "not",
+    "but", "or", "was", "were", "been", "being",
+)
 SHORTEST_TOKEN = 3
 TRUNCATION_BYTES = 260
 

@@ -67,8 +67,11 @@ def canonical_url(url: Column) -> Column:
     path = F.regexp_replace(F.regexp_extract(text, _PARTS, 3), "/+$", "")
     path = F.when(path == "", "/").otherwise(path)
     rooted = F.when(F.startswith(path, F.lit("/")), path).otherwise(F.concat(F.lit("/"), path))
-    has_authority = (authority != "") | (
-        scheme.isin(*HIERARCHICAL) & F.startswith(path, F.lit("/"))
+    # A path that itself begins with two slashes would else be read as an authority.
+    has_authority = (
+        (authority != "")
+        | (scheme.isin(*HIERARCHICAL) & F.startswith(path, F.lit("/")))
+        | F.startswith(path, F.lit("//"))
     )
     query = F.regexp_extract(text, _PARTS, 4)
     query = F.when(query == "", "").otherwise(_canonical_query(query))

@@ -27,5 +27,5 @@ def number_within(df: DataFrame, group: str, key: str, name: str) -> DataFrame:
     within = Window.partitionBy(group, "_slot").orderBy(key)
     numbered = slotted.withColumn("_number", F.row_number().over(within))
     return numbered.join(offsets, [group, "_slot"]).select(
-        *df.columns, (F.col("_offset") + F.col("_number")).cast("int").alias(name)
+        *df.columns, (F.col("_offset") + F.col("_number")).cast("long").alias(name)
     )

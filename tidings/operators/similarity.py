@@ -42,8 +42,6 @@ class Limits:
 
     #: nodes of one day that make a token hot; a group holds two days and is large beyond both
     group: int = 64
-    #: hot tokens broadcast; beyond them a token counts as cold
-    hot_tokens: int = 20_000
     #: pivots per large group
     pivots: int = 4
     #: pieces of the comparison of a large group
@@ -153,18 +151,14 @@ def _single_links(nodes: DataFrame) -> DataFrame:
 
 
 def _hot_tokens(nodes: DataFrame, limits: Limits) -> DataFrame:
-    """Tokens carried by many nodes of some day, at most ``limits.hot_tokens`` of them."""
+    """Tokens carried by many nodes of some day."""
     per_day = (
         nodes.select("day", F.explode("tokens").alias("token"))
         .groupBy("token", "day")
         .agg(F.count(F.lit(1)).alias("nodes"))
     )
     heat = per_day.groupBy("token").agg(F.max("nodes").alias("heat"))
-    return (
-        heat.where(F.col("heat") > limits.group)
-        .orderBy(F.desc("heat"), "token")
-        .limit(limits.hot_tokens)
-    )
+    return heat.where(F.col("heat") > limits.group)
 
 
 def _ordered_nodes(nodes: DataFrame, limits: Limits) -> DataFrame:
@@ -172,8 +166,7 @@ def _ordered_nodes(nodes: DataFrame, limits: Limits) -> DataFrame:
     exploded = nodes.where("len >= 2").select(
         "id", "day", "len", "first_at", "last_at", F.explode("tokens").alias("token")
     )
-    # The hot list is bounded by its limit, so it can be broadcast.
-    heated = exploded.join(F.broadcast(_hot_tokens(nodes, limits)), "token", "left")
+    heated = join_spread(exploded, _hot_tokens(nodes, limits), ["token"], "id", "left")
     is_hot = F.col("heat").isNotNull()
     ordered = heated.groupBy("id", "day", "len", "first_at", "last_at").agg(
         F.sort_array(F.collect_list(F.when(~is_hot, F.col("token")))).alias("cold"),
@@ -226,29 +219,39 @@ def _cold_keys(ordered: DataFrame) -> DataFrame:
     )
 
 
+def _band(size):
+    """Number of binary digits of a size."""
+    return F.length(F.bin(size))
+
+
 def _hot_keys(units: DataFrame) -> DataFrame:
-    """Pairs of hot tokens in the prefix of each unit, for each size of partners.
+    """Pairs of hot tokens in the prefix of each unit, for each band of sizes of partners.
 
-    With partners of ``want`` tokens the overlap is at least ``(len + want) / 3``, so only units
-    with that many hot tokens have a key for them.
+    A band holds the sizes between two powers of two; partners are in three bands at most. With
+    partners of at least ``n`` tokens the overlap is at least ``(len + n) / 3``, so only units with
+    that many hot tokens have a key for them.
     """
     length, hot = F.col("len"), F.size("hot")
     smallest = F.greatest(F.lit(2), F.ceil(length / 2)).cast("int")
     largest = F.least(2 * length, 3 * hot - length)
-    overlap = F.ceil((length + F.col("want")) / 3).cast("int")
+    bands = F.sequence(_band(smallest), _band(largest))
+    least = F.greatest(F.col("smallest"), F.expr("shiftleft(1, want - 1)"))
+    overlap = F.ceil((length + least) / 3).cast("int")
     # Positions within the hot tokens; those of the whole set start after the cold ones.
     first = F.explode(F.sequence(F.lit(0), hot - F.col("overlap"))).alias("i")
     second = F.explode(F.sequence(F.col("i") + 1, hot - F.col("overlap") + 1)).alias("j")
     return (
         units.where(smallest <= largest)
-        .select("id", "day", "len", "hot", F.explode(F.sequence(smallest, largest)).alias("want"))
+        .select(
+            "id", "day", "len", "hot", smallest.alias("smallest"), F.explode(bands).alias("want")
+        )
         .select("*", overlap.alias("overlap"))
         .where(hot >= F.col("overlap"))
         .select("*", first)
         .select("*", second)
         .select(
             F.xxhash64(
-                F.least("len", "want"), F.greatest("len", "want"),
+                F.least(_band(length), "want"), F.greatest(_band(length), "want"),
                 F.get("hot", F.col("i")), F.get("hot", F.col("j")),
             ).alias("key"),
             "id", "day", "len", "want", (length - hot + F.col("i")).alias("pos"),
@@ -305,7 +308,10 @@ def _may_match(a: str, b: str):
 
 def _sizes_agree(a: str, b: str):
     """The size conditions of a hot group, as equalities the join can use."""
-    side = lambda x: F.when(F.col(f"{x}.want") == 0, 0).otherwise(F.col(f"{x}.len"))
+
+    def side(x):
+        return F.when(F.col(f"{x}.want") == 0, 0).otherwise(_band(F.col(f"{x}.len")))
+
     return (side(a) == F.col(f"{b}.want")) & (side(b) == F.col(f"{a}.want"))
 
 

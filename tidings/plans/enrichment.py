@@ -16,6 +16,7 @@ from tidings.operators.skew import join_spread
 from tidings.schemas import SUMMARY_CLUSTERS
 from tidings.session import materialize
 
+# Answers asked for, share of failures that stops a run, name of a missing outlet.
 MAX_ATTEMPTS = 3
 MAX_FAILURE_RATE = 0.2
 UNKNOWN_SOURCE = "unknown source"
@@ -73,7 +74,7 @@ def pending_members(
 
 def pending_clusters(members: DataFrame) -> DataFrame:
     """Pending stories with their number of members."""
-    return members.groupBy("cluster_id").agg(F.count(F.lit(1)).cast("int").alias("article_count"))
+    return members.groupBy("cluster_id").agg(F.count(F.lit(1)).alias("article_count"))
 
 
 def member_line(number: Column, source: Column, title: Column, description: Column) -> Column:

@@ -14,8 +14,8 @@ HISTORY = [
 
 RUN_EVENT = (
     "run_id string, task_id string, try_number int, kind string, dag_id string, "
-    "execution_date timestamp, at timestamp, event_id long, status string, rows_fetched int, "
-    "rows_new int, rows_duplicate int, rows_failed int, error_message string, "
+    "execution_date timestamp, at timestamp, event_id long, status string, rows_fetched long, "
+    "rows_new long, rows_duplicate long, rows_failed long, error_message string, "
     "extra_metadata string"
 )
 

@@ -15,11 +15,10 @@ from tidings.operators.skew import join_spread
 from tidings.plans.enrichment import successful
 from tidings.session import materialize
 
+# Candidates of the personal feed, weight of a topic, and columns of cards and details.
 CANDIDATES = 200
 TOPIC_WEIGHT = 2
-#: rows up to which Spark limits a window before the shuffle
-WINDOW_LIMIT = 1000
-#: pieces a reader's likes are cut in beyond that
+#: pieces a reader's likes are cut in
 PIECES = 64
 CARD = [
     "cluster_id", "summary", "topic", "sentiment", "sentiment_score", "keywords",
@@ -208,19 +207,17 @@ def liked_page(votes: DataFrame, feed: DataFrame, limit: int = 20, offset: int =
     """The page of liked cards of every reader, newest like first.
 
     The page is cut before the cards are joined, so likes of stories without a card leave it
-    short. The rank filter reduces a reader's likes to the page in every task before the
-    shuffle. Spark does so up to 1000 rows; for deeper pages a reader's likes are cut in pieces
-    first.
+    short. A reader's likes are cut in pieces, each piece is reduced to the page, and what is left
+    is ranked, so that a reader with very many likes is no single task.
     """
     _check_page(limit, offset)
     end = offset + limit
     newest = [F.desc("created_at"), F.asc("cluster_id")]
     likes = liked(votes).select("user_id", "cluster_id", "created_at")
-    if end > WINDOW_LIMIT:
-        likes = likes.withColumn("piece", F.pmod(F.xxhash64("cluster_id"), F.lit(PIECES)))
-        of_piece = Window.partitionBy("user_id", "piece").orderBy(*newest)
-        likes = likes.withColumn("place", F.row_number().over(of_piece))
-        likes = likes.where(F.col("place") <= end).drop("piece", "place")
+    likes = likes.withColumn("piece", F.pmod(F.xxhash64("cluster_id"), F.lit(PIECES)))
+    of_piece = Window.partitionBy("user_id", "piece").orderBy(*newest)
+    likes = likes.withColumn("place", F.row_number().over(of_piece))
+    likes = likes.where(F.col("place") <= end).drop("piece", "place")
     order = Window.partitionBy("user_id").orderBy(*newest)
     ranked = likes.withColumn("like_rank", F.row_number().over(order))
     page = ranked.where(F.col("like_rank") <= end).where(F.col("like_rank") > offset)

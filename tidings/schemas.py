@@ -12,6 +12,7 @@ def _field(name, kind, comment, nullable=True):
 _TEXT = T.StringType()
 _TIME = T.TimestampType()
 _INT = T.IntegerType()
+_LONG = T.LongType()
 _TEXTS = T.ArrayType(T.StringType(), containsNull=False)
 
 SOURCE = T.StructType([T.StructField("id", _TEXT), T.StructField("name", _TEXT)])
@@ -149,7 +150,7 @@ SUMMARY_CLUSTERS = T.StructType(
         _field("llm_model", _TEXT, "model that produced the response", False),
         _field("enrichment_status", _TEXT, "success or failed", False),
         _field("raw_llm_response", _TEXT, "response or error text of a failed attempt"),
-        _field("article_count", _INT, "members at the time of the enrichment", False),
+        _field("article_count", _LONG, "members at the time of the enrichment", False),
         _field("enriched_at", _TIME, "version of the row", False),
         _field("key_facts_organizations", _TEXTS, "organisations named", False),
         _field("key_facts_locations", _TEXTS, "places named", False),
@@ -182,10 +183,10 @@ RUN_LOG = T.StructType(
         _field("started_at", _TIME, "start of the attempt", False),
         _field("finished_at", _TIME, "end of the attempt"),
         _field("status", _TEXT, "running, success or failed", False),
-        _field("rows_fetched", _INT, "rows read"),
-        _field("rows_new", _INT, "rows added"),
-        _field("rows_duplicate", _INT, "rows already known"),
-        _field("rows_failed", _INT, "rows that failed"),
+        _field("rows_fetched", _LONG, "rows read"),
+        _field("rows_new", _LONG, "rows added"),
+        _field("rows_duplicate", _LONG, "rows already known"),
+        _field("rows_failed", _LONG, "rows that failed"),
         _field("error_message", _TEXT, "error text, at most 4000 characters"),
         _field("extra_metadata", _TEXT, "further facts as JSON text"),
     ]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -30,18 +31,30 @@ def publish_table(
 
     The rows go to a new table and the view ``name`` is moved to it afterwards, so that a plan
     that reads the current version can build the next one, and readers never see half a table.
+    The version before stays for plans that still read it; older ones are dropped.
 
     With a key and buckets the table is bucketed and sorted: upserts, anti-joins and joins on
     the key then read the stored side without a shuffle. Use one number of buckets for all
     tables of a key.
     """
-    stored = f"{name}_{uuid.uuid4().hex}"
+    spark = df.sparkSession
+    database, _, base = name.rpartition(".")
+    versions = spark.sql(f"SHOW TABLES {f'IN {database} ' if database else ''}LIKE '{base}_v*'")
+    numbers = {}
+    for row in versions.select("tableName").collect():
+        if found := re.fullmatch(rf"{re.escape(base.lower())}_v(\d+)_[0-9a-f]{{32}}", row.tableName):
+            numbers[row.tableName] = int(found.group(1))
+    number = max(numbers.values(), default=0) + 1
+    stored = f"{name}_v{number}_{uuid.uuid4().hex}"
     writer = df.write.mode("error")
     if key and buckets:
         writer = writer.bucketBy(buckets, key).sortBy(key)
     writer.saveAsTable(stored)
-    df.sparkSession.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {stored}")
-    return df.sparkSession.table(name)
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {stored}")
+    for old, of in numbers.items():
+        if of < number - 1:
+            spark.sql(f"DROP TABLE IF EXISTS {f'{database}.' if database else ''}{old}")
+    return spark.table(name)
 
 
 def publish_incremental(
