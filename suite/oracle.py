@@ -504,6 +504,17 @@ ORACLE = {
                 AS has_change,
             organizations <> '' AS has_key_facts, doc_id % 6 > 0 AS has_consensus
         FROM feed"""),
+    "story_lookup": _query("feed", """
+        SELECT cluster_id, summary, why_it_matters FROM feed
+        WHERE cluster_id = (SELECT min(cluster_id) FROM feed)"""),
+    "story_head_jaccard": _query("tokens assigned", """
+        SELECT url_hash, cluster_id,
+            CASE WHEN least(n, m) = 0 THEN 0.0 ELSE round(shared / (n + m - shared), 6) END AS jaccard,
+            shared > 0 AND 3 * shared >= n + m AS is_similar
+        FROM (SELECT a.url_hash, cluster_id, len(t.tokens) AS n, len(h.tokens) AS m,
+                  len(list_intersect(t.tokens, h.tokens)) AS shared
+              FROM assigned a JOIN tokens t ON t.url_hash = a.url_hash
+              JOIN tokens h ON h.url_hash = a.cluster_id)"""),
     "story_sources": _query("assigned mart summary", f"""
         SELECT cluster_id, m.url_hash, source_name,
             coalesce(source_name, 'Unknown source') AS source_label, source_provider, m.title,

@@ -325,6 +325,28 @@ def story_detail(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def story_lookup(spark: SparkSession, folder: str) -> DataFrame:
+    """A story by its id, the first one of the feed, and an id that does not exist."""
+    summaries, media = _summaries(spark, folder), _media(spark, folder)
+    known = _feed(spark, folder).agg(F.min("cluster_id")).first()[0]
+    found = serving.story_detail(summaries, media, known)
+    missing = serving.story_detail(summaries, media, "no such story")
+    return found.unionByName(missing).select("cluster_id", "summary", "why_it_matters")
+
+
+def story_head_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    """How alike each article and the head of its story are."""
+    tokens = text.title_tokens(F.col("title")).alias("tokens")
+    titles = v.articles(spark, folder).select("url_hash", tokens)
+    heads = titles.select(F.col("url_hash").alias("cluster_id"), F.col("tokens").alias("head"))
+    joined = _assigned(spark, folder).join(titles, "url_hash").join(heads, "cluster_id")
+    own, head = F.col("tokens"), F.col("head")
+    return joined.select(
+        "url_hash", "cluster_id", F.round(text.jaccard(own, head), 6).alias("jaccard"),
+        text.is_similar(own, head).alias("is_similar"),
+    )
+
+
 def story_sources(spark: SparkSession, folder: str) -> DataFrame:
     sources = serving.story_sources(
         _assigned(spark, folder), _mart(spark, folder), _summaries(spark, folder)
@@ -512,7 +534,7 @@ QUERIES = [
     column_catalog, latest_articles, stage_articles, ods_increment, source_dim, mart_articles,
     daily_stats, daily_stats_page, title_tokens, story_clusters, pending_clusters,
     refreshed_clusters, prompts, responses_checked, enrichment_outcomes, enrichment_gate,
-    story_cards, feed_page, feed_search, feed_keyset_page, topic_stats, story_detail,
+    story_lookup, story_head_jaccard, story_cards, feed_page, feed_search, feed_keyset_page, topic_stats, story_detail,
     story_sources, valid_feedback, current_votes, toggled_votes, liked_page, affinity_profile,
     affinity_feed, run_log, run_history, quality_report, member_audit, stream_first_seen,
     stream_votes, stream_daily_stats, stream_responses,
