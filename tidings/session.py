@@ -62,6 +62,12 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{work_dir(spark)}/tidings/{name}-{uuid.uuid4().hex}"
 
 
+def temporary_path(spark: SparkSession, name: str) -> str:
+    """A fresh path in the scratch folder of the job, or in the work folder outside of one."""
+    folder = _scratch.get()
+    return f"{folder}/{name}-{uuid.uuid4().hex}" if folder else new_path(spark, name)
+
+
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
     """Collect the intermediate tables of a job in one folder and delete it at the end.
@@ -85,7 +91,6 @@ def materialize(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     generated ids stable, because the committed files are the only copy that is read.
     """
     spark = df.sparkSession
-    folder = None if keep else _scratch.get()
-    path = f"{folder}/{name}-{uuid.uuid4().hex}" if folder else new_path(spark, name)
+    path = new_path(spark, name) if keep else temporary_path(spark, name)
     df.write.mode("error").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
