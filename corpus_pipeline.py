@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tidings.llm import bpe, mixing, quality_rules, simhash, suffix_dedup
 from tidings.llm.common import table
-from tidings.session import configure, materialize
+from tidings.session import configure, materialize, scratch
 
 
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -62,6 +62,9 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(configure(spark), sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    last = STAGES[-1][0]
+    with scratch(spark):
+        for name, stage in STAGES:
+            rows = stage(spark, docs, sf_dir)
+            docs = materialize(rows, name.replace(" ", "-"), keep=name == last)
     return docs

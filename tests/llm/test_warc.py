@@ -5,6 +5,7 @@ import gzip
 import hashlib
 
 from tidings.llm import warc
+from tidings.session import new_path
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -65,7 +66,7 @@ def test_search_in_small_blocks(spark):
     pages = spark.read.parquet(f"{FOLDER}/pages.parquet")
     more = pages.unionByName(pages.selectExpr("page_id + 100000 AS page_id", "url", "html"))
     hot = pages.selectExpr("page_id + 500000 AS page_id", "'http://hot.example/' AS url", "html")
-    folder = warc.new_path(spark, "archives")
+    folder = new_path(spark, "archives")
     index = warc.build_index(warc.write_archives(more.unionByName(hot), folder), block_lines=7)
     rows = more.unionByName(hot).select("page_id", "url").collect()
     assert len(index.first) > 20 and len(index.places(warc.url_key("http://hot.example/"))) > 5

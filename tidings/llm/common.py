@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 WHITE = " \t\n\x0b\x0c\r"
 WHITE_RUN = r"[\x20\x09-\x0D]+"
 NOT_WHITE = r"[^\x20\x09-\x0D]"
+BATCH_ROWS = 1000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def whole_text(text: str | Column = "text") -> Column:
@@ -57,6 +59,12 @@ def ship(spark: SparkSession) -> None:
 
 
 def map_arrow(df: DataFrame, function: Callable, schema: str) -> DataFrame:
-    """``df.mapInArrow`` of a function of this package."""
-    ship(df.sparkSession)
+    """``df.mapInArrow`` of a function of this package.
+
+    Texts may be long, so a batch has fewer rows than Spark's default.
+    """
+    spark = df.sparkSession
+    ship(spark)
+    if int(spark.conf.get(_BATCH)) > BATCH_ROWS:
+        spark.conf.set(_BATCH, str(BATCH_ROWS))
     return df.mapInArrow(function, schema)

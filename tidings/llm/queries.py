@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from tidings.llm import bpe, mixing, perplexity, quality_rules, sharding, simhash, suffix_dedup, topk, toxicity, warc
+from tidings.llm import (
+    bpe, mixing, perplexity, quality_rules, sharding, simhash, suffix_dedup, topk, toxicity, warc,
+)
 from tidings.llm.common import table
-from tidings.session import configure
+from tidings.session import configure, materialize, scratch
 
 
 def op1_perplexity(spark: SparkSession, folder: str) -> DataFrame:
@@ -87,7 +88,9 @@ ORACLE: dict[str, str] = {"op2_topk": _TOPK_SQL}
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def prepared(query):
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            return query(configure(spark), folder)
+            # Only the result stays; the tables on the way to it are deleted.
+            with scratch(configure(spark)):
+                return materialize(query(spark, folder), query.__name__, keep=True)
 
         run.__name__, run.__doc__ = query.__name__, query.__doc__
         return run

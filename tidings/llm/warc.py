@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidings.llm.common import map_arrow, reader_slots
-from tidings.session import materialize, new_path
+from tidings.session import materialize, temporary_path
 
 DATE = "2024-01-01T00:00:00Z"
 #: Bytes after which a task begins another archive, and bytes of one range read.
@@ -331,6 +331,6 @@ def keys_of(pages: DataFrame) -> DataFrame:
 
 def round_trip(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     """Write all pages, index them, look every url up, and read the records back."""
-    folder = new_path(pages.sparkSession, "archives")
+    folder = temporary_path(pages.sparkSession, "archives")
     index = build_index(write_archives(pages, folder, least_bytes))
     return read_captures(index.find(keys_of(pages)), folder)
