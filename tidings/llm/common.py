@@ -17,6 +17,8 @@ WHITE_RUN = r"[\x20\x09-\x0D]+"
 NOT_WHITE = r"[^\x20\x09-\x0D]"
 BATCH_ROWS = 1000
 _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Shuffle files go when the query that made them is done; what is needed later is a written table.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def whole_text(text: str | Column = "text") -> Column:
@@ -67,4 +69,5 @@ def map_arrow(df: DataFrame, function: Callable, schema: str) -> DataFrame:
     ship(spark)
     if int(spark.conf.get(_BATCH)) > BATCH_ROWS:
         spark.conf.set(_BATCH, str(BATCH_ROWS))
+    spark.conf.set(_CLEANUP, "true")
     return df.mapInArrow(function, schema)

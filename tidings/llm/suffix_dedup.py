@@ -9,7 +9,7 @@ name the same place form a unit, some 14 windows. Work goes in three passes over
 1. The hashes of the anchors meet by value, without any text. Those found in one document only
    cannot repeat and go no further.
 2. The units of the other anchors meet by anchor. Equal units are merged to one with its smallest
-   id. Where an anchor has several units, the suffixes at their windows are sorted deep-shallow:
+   id, and documents that copy another's whole text are left out. Where an anchor has several units, the suffixes at their windows are sorted deep-shallow:
    multikey quicksort, with eight bytes as one key, to ``SHALLOW`` bytes; blind tries order what
    still agrees there, and show which suffixes have ``match`` bytes in common.
 3. The spans found go back to their documents, which are cut.
@@ -36,21 +36,21 @@ from pyspark.sql import functions as F
 
 from tidings.llm.common import free_name, map_arrow, reader_slots, whole_text
 from tidings.operators.skew import join_spread
-from tidings.session import materialize
+from tidings.session import materialize, temporary_path
 
 MATCH = 50
 ANCHOR = 24
 SHALLOW = 24
 #: Documents of an anchor in one task from which only a witness is sent on.
-LOCAL = 64
+LOCAL = 256
 #: Documents of an anchor from which it is hot.
-HOT = 2048
+HOT = 8192
 #: Bytes of text that a partition of the second and third step answers for.
-PART_BYTES = 16 << 20
+PART_BYTES = 8 << 20
 #: Bytes that a task hashes at once, rows that it takes from a batch, and hashes that it holds.
-_PIECE = 1 << 20
+_PIECE = 1 << 18
 _ROWS = 256
-_HELD = 1_000_000
+_HELD = 400_000
 _PLACES = np.uint64((1 << 23) - 1)
 _NO_BYTES = b""
 
@@ -503,6 +503,22 @@ def _hot_spans(hot: DataFrame, match: int) -> DataFrame:
     return later.unionByName(first.select("doc", begin.alias("begin"), (begin + match).alias("stop")))
 
 
+def _copies(rows: DataFrame, match: int) -> DataFrame:
+    """``(doc, size)`` of the documents of which all rows copy the text of smaller ids."""
+    size = F.octet_length("text").cast("long")
+    narrow = rows.select("doc", F.sha2("text", 256).alias("same"), size.alias("size"))
+    narrow = materialize(narrow, "texts")
+    firsts = materialize(
+        narrow.where(F.col("size") >= match).groupBy("same").agg(F.min("doc").alias("first")), "firsts"
+    )
+    # A document with another row that is no copy is worked on like any other.
+    judged = narrow.join(firsts, "same", "left").groupBy("doc").agg(
+        F.max(F.coalesce(F.col("first") >= F.col("doc"), F.lit(True))).alias("is_new"),
+        F.max("size").alias("size"),
+    )
+    return materialize(judged.where("NOT is_new").select("doc", "size"), "copies")
+
+
 def repeated_spans(
     docs: DataFrame, match: int = MATCH, local: int = LOCAL, hot_docs: int = HOT
 ) -> DataFrame:
@@ -515,17 +531,27 @@ def repeated_spans(
     rows = rows.where("doc IS NOT NULL")
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(reader_slots(spark), total // PART_BYTES + 1)
+    copies = _copies(rows, match)
     sent = map_arrow(rows, _send_hashes(match, parts, local), _MET).repartition(parts, "bucket")
     shared = map_arrow(sent, _meet(hot_docs), "doc long, cold binary, hot binary")
     lists = shared.groupBy("doc").agg(
         F.collect_list("cold").alias("cold"), F.collect_list("hot").alias("hot")
     )
-    joined = rows.join(lists, "doc").select("doc", "text", "cold", "hot")
-    found = materialize(map_arrow(joined, _send_units(match), _UNIT), "units")
+    # The units of a whole copy say nothing that those of the first document do not say.
+    firsts = rows.join(copies.select("doc"), "doc", "left_anti")
+    joined = firsts.join(lists, "doc").select("doc", "text", "cold", "hot")
+    units_path = temporary_path(spark, "units")
+    made = map_arrow(joined, _send_units(match), _UNIT)
+    made.write.option("compression", "zstd").parquet(units_path)
+    found = spark.read.schema(_UNIT).parquet(units_path)
     cold = found.where("NOT is_hot").drop("is_hot").repartition(parts, "anchor")
     spans = map_arrow(cold, _sort_units(match), _SPANS)
     hot = _hot_spans(found.where("is_hot").select("doc", "start", "region"), match)
-    return spans.unionByName(hot.select("doc", F.array("begin", "stop").alias("spans")))
+    whole = F.array(F.lit(0).cast("long"), F.col("size")).alias("spans")
+    return (
+        spans.unionByName(hot.select("doc", F.array("begin", "stop").alias("spans")))
+        .unionByName(copies.select("doc", whole))
+    )
 
 
 def _merged(spans: list[int], size: int) -> list[tuple[int, int]]:
