@@ -52,7 +52,6 @@ _PIECE = 1 << 18
 _ROWS = 256
 _HELD = 400_000
 _PLACES = np.uint64((1 << 23) - 1)
-_NO_BYTES = b""
 
 
 def _byte_keys() -> np.ndarray:
@@ -249,24 +248,23 @@ def _by_doc(docs: np.ndarray, values: np.ndarray) -> Iterator[tuple[int, np.ndar
 def _meet(hot: int):
     """Per bucket: the shared anchors of each document, those of few and of many documents."""
 
-    def send(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
-        for k in range(0, len(rows), 4096):
-            d, c, h = zip(*rows[k : k + 4096])
-            columns = [pa.array(d, pa.int64()), _binary(c), _binary(h)]
-            yield pa.RecordBatch.from_arrays(columns, ["doc", "cold", "hot"])
+    def send(docs: np.ndarray, hashes: np.ndarray, many: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for k in range(0, len(docs), 65_536):
+            part = slice(k, k + 65_536)
+            columns = [pa.array(docs[part]), pa.array(hashes[part].view(np.int64)), pa.array(many[part])]
+            yield pa.RecordBatch.from_arrays(columns, ["doc", "anchor", "is_hot"])
 
     def compute(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, docs, heavy = [], [], []
         for batch in batches:
-            passed = []
             for doc, h, o, w in zip(*(batch.column(k).to_pylist() for k in (1, 2, 3, 4))):
                 if h is None:
-                    passed.append((doc, _NO_BYTES, w))
+                    own = np.frombuffer(w, np.uint64)
+                    yield from send(np.full(len(own), doc), own, np.ones(len(own), bool))
                 else:
                     hashes.append(_from_planes(h, np.uint64))
                     docs.append(_from_planes(o, np.int64))
                     heavy.append(np.frombuffer(w, np.uint64))
-            yield from send(passed)
         if not hashes:
             return
         known, docs_of = np.concatenate(hashes), np.concatenate(docs)
@@ -279,13 +277,8 @@ def _meet(hot: int):
         is_shared = np.minimum.reduceat(docs_of, starts) != np.maximum.reduceat(docs_of, starts)
         is_hot = np.isin(known[starts], np.concatenate(heavy)) | (is_shared & (counts > hot))
         kind = np.repeat(np.where(is_hot, 2, is_shared.astype(np.int8)), counts)
-        rows: dict[int, list[bytes]] = {}
-        for wanted in (1, 2):
-            own = kind == wanted
-            order = np.argsort(docs_of[own], kind="stable")
-            for doc, values in _by_doc(docs_of[own][order], known[own][order]):
-                rows.setdefault(doc, [_NO_BYTES, _NO_BYTES])[wanted - 1] = values.tobytes()
-        yield from send([(doc, cold, many) for doc, (cold, many) in rows.items()])
+        found = kind > 0
+        yield from send(docs_of[found], known[found], kind[found] == 2)
 
     return compute
 
@@ -296,8 +289,8 @@ _UNIT = "is_hot boolean, anchor long, doc long, start long, region binary"
 def _send_units(match: int):
     """The units of each document whose anchors are shared."""
 
-    def wanted(lists: list[bytes]) -> np.ndarray:
-        return np.frombuffer(b"".join(lists), np.uint64)
+    def wanted(anchors: list[int]) -> np.ndarray:
+        return np.array(anchors, np.int64).view(np.uint64)
 
     def compute(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _slices(batches):
@@ -533,9 +526,10 @@ def repeated_spans(
     parts = max(reader_slots(spark), total // PART_BYTES + 1)
     copies = _copies(rows, match)
     sent = map_arrow(rows, _send_hashes(match, parts, local), _MET).repartition(parts, "bucket")
-    shared = map_arrow(sent, _meet(hot_docs), "doc long, cold binary, hot binary")
+    shared = map_arrow(sent, _meet(hot_docs), "doc long, anchor long, is_hot boolean")
     lists = shared.groupBy("doc").agg(
-        F.collect_list("cold").alias("cold"), F.collect_list("hot").alias("hot")
+        F.collect_list(F.when(~F.col("is_hot"), F.col("anchor"))).alias("cold"),
+        F.collect_list(F.when(F.col("is_hot"), F.col("anchor"))).alias("hot"),
     )
     # The units of a whole copy say nothing that those of the first document do not say.
     firsts = rows.join(copies.select("doc"), "doc", "left_anti")
