@@ -1,6 +1,9 @@
-"""Quality classifier: perplexity under a modified Kneser-Ney model of trusted text.
+"""Quality classifier: perplexity under modified Kneser-Ney models of trusted text.
 
-The model reads bytes. Each byte belongs to one of ``CLASSES`` classes (letters, one class for all
+One model reads words (``word_model``): its n-grams grow with the trusted text and are joined in shards.
+A text is kept only if both models find it likely enough.
+
+The other model reads bytes. Each byte belongs to one of ``CLASSES`` classes (letters, one class for all
 capitals, digits, marks, parts of longer characters), and the model gives the probability of a class
 after the ``ORDER - 1`` before it. All trusted text is counted: tasks add up their own text and send a
 row for each n-gram they met. The counts are joined, in shards by context, with the sums of their contexts
@@ -9,7 +12,7 @@ each order. The number of n-grams is bounded by the classes, not by the text, so
 broadcast, ``4 * CLASSES ** ORDER`` bytes at most.
 
 A document's perplexity is compared with a quantile of the trusted documents of its language, or of
-all languages where too few are trusted. Quantiles are taken from counts of fixed steps, so they are
+all languages where too few are trusted; so is its word perplexity. Quantiles are taken from counts of fixed steps, so they are
 exact in these steps and the same in every run.
 
 Defined results: a null or empty text has no perplexity and is not kept; a null language is a language of
@@ -26,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidings.llm import word_model
 from tidings.llm.common import free_name, map_arrow, whole_text
 from tidings.session import materialize
 
@@ -40,7 +44,7 @@ LEAST_TRUSTED = 50
 STEP = 0.01
 STEPS = 100_000
 MAX_LANGUAGES = 10_000
-SCORE_COLUMNS = ("perplexity", "threshold", "kept")
+SCORE_COLUMNS = ("perplexity", "threshold", "word_perplexity", "word_threshold", "kept")
 _ROWS = 256
 
 
@@ -110,7 +114,7 @@ def count_grams(docs: DataFrame) -> DataFrame:
     return rows.groupBy("code").agg(F.sum("n").alias("n"))
 
 
-def _discounts(counts: DataFrame) -> list[float]:
+def discounts(counts: DataFrame) -> list[float]:
     """The discounts of counts of one, two, and three or more."""
     n = counts.agg(*[F.sum((F.col("n") == k).cast("long")).alias(f"n{k}") for k in (1, 2, 3, 4)])
     n1, n2, n3, n4 = (x or 0 for x in n.first())
@@ -134,7 +138,7 @@ def probabilities(grams: DataFrame) -> list[tuple[DataFrame, DataFrame]]:
         counts[k] = materialize(counts[k], "grams")
     found: list[tuple[DataFrame, DataFrame]] = []
     for k in range(1, ORDER + 1):
-        d1, d2, d3 = _discounts(counts[k])
+        d1, d2, d3 = discounts(counts[k])
         off = F.when(F.col("n") == 1, d1).when(F.col("n") == 2, d2).otherwise(d3)
         own = counts[k].withColumn("context", F.floor(F.col("code") / CLASSES)).withColumn("off", off)
         sums = own.groupBy("context").agg(
@@ -237,21 +241,39 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
     return agreed.agg(F.min("quality").alias("q")).where("q = 1").select("doc_id")
 
 
+def _with_limits(scored: DataFrame, limits: dict[str | None, float], name: str) -> DataFrame:
+    """``scored`` with the limit of each row's language."""
+    everyone = limits.pop("*", float("inf"))
+    known = scored.sparkSession.createDataFrame(list(limits.items()), "_lang string, _limit double")
+    lang = free_name(scored, "_of")
+    same = F.col(lang).eqNullSafe(F.col("_lang"))
+    # One row for each language, of which the number is checked by ``thresholds``.
+    joined = scored.withColumn(lang, F.col("lang").cast("string")).join(F.broadcast(known), same, "left")
+    limit = F.coalesce("_limit", F.lit(everyone))
+    return joined.select(*scored.columns, limit.alias(name))
+
+
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` without ``text`` and with ``SCORE_COLUMNS``; one row per row of the input."""
-    spark = docs.sparkSession
+    kept = [c for c in docs.columns if c.lower() not in (*SCORE_COLUMNS, "text")]
     trusted = materialize(trusted_ids(labels), "trusted")
+    body = whole_text().alias("_body")
+    keyed = docs.withColumn("_key", word_model.text_key(whole_text()))
     # The trusted ids have no size bound, so their texts are found by a shuffle at every size.
-    good = docs.join(trusted.hint("merge"), "doc_id", "left_semi")
+    good = keyed.join(trusted.hint("merge"), "doc_id", "left_semi")
     table = log_table(materialize(count_grams(good), "grams"))
-    scored = materialize(perplexities(docs, table), "perplexities")
-    limits = thresholds(scored.join(trusted, "doc_id", "left_semi"))
-    everyone = limits.pop("*", float("inf"))
-    known = spark.createDataFrame(list(limits.items()), "_lang string, _limit double")
-    lang = free_name(scored, "_key")
-    same = F.col(lang).eqNullSafe(F.col("_lang"))
-    # One row for each language, of which the number is checked above.
-    joined = scored.withColumn(lang, F.col("lang").cast("string")).join(F.broadcast(known), same, "left")
-    limit = F.coalesce("_limit", F.lit(everyone))
-    kept = F.coalesce(F.col("perplexity") <= limit, F.lit(False))
-    return joined.select(*scored.columns, limit.alias("threshold"), kept.alias("kept"))
+    scored = materialize(perplexities(keyed, table), "perplexities")
+    model = word_model.Model(good.select("_key", body))
+    bits = materialize(model.bits(keyed.select("_key", body)), "bits")
+    scored = scored.join(bits.withColumnRenamed("key", "_key"), "_key", "left")
+    scored = materialize(scored, "scored")
+    of_trusted = scored.join(trusted, "doc_id", "left_semi")
+    joined = _with_limits(scored, thresholds(of_trusted), "threshold")
+    words = thresholds(of_trusted.select("lang", F.col("bits").alias("perplexity")))
+    joined = _with_limits(joined, words, "_most")
+    # Without a model of the words the bytes alone decide.
+    fits = (F.col("perplexity") <= F.col("threshold")) & F.coalesce(F.col("bits") <= F.col("_most"), F.lit(True))
+    return joined.select(
+        *kept, "perplexity", "threshold", F.round(F.pow(2.0, "bits"), 4).alias("word_perplexity"),
+        F.pow(2.0, "_most").alias("word_threshold"), F.coalesce(fits, F.lit(False)).alias("kept"),
+    )
