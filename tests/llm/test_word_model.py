@@ -120,3 +120,27 @@ def test_words_out_of_order_are_rejected(spark):
 def test_words_of_scripts_without_blanks():
     assert wm.words("Über 42, naïve_x 日本語! ไทย") == [
         "Über", "4", "2", ",", "naïve", "_", "x", "日", "本", "語", "!", "ไ", "ท", "ย"]
+
+
+def test_labelled_bad_documents_are_rejected(spark):
+    from tidings.llm.queries import op1_perplexity
+
+    folder = "/root/testdata/sf0.01"
+    quality = {r.doc_id: r.quality for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
+    got = [r for r in op1_perplexity(spark, folder).collect() if r.doc_id in quality]
+    bad = [r.kept for r in got if quality[r.doc_id] == 0]
+    good = [r.kept for r in got if quality[r.doc_id] == 1]
+    assert bad and sum(bad) <= 0.06 * len(bad)
+    assert sum(good) >= 0.95 * len(good)
+    assert all(r.least_perplexity <= r.perplexity <= r.threshold for r in got if r.kept)
+
+
+def test_limits_are_of_documents_left_out(spark):
+    """Texts of words of their own: each is less likely to a model that has not counted it."""
+    rnd = random.Random(8)
+    rows = [(i, " ".join("".join(rnd.choices("abcdefghijklmnop", k=6)) for _ in range(30)), "xx", 1)
+            for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, quality int")
+    got = kn.classify(docs.drop("quality"), docs.select("doc_id", "quality")).collect()
+    assert got[0].threshold > max(r.perplexity for r in got)
+    assert kn.SLACK == 1

@@ -11,8 +11,10 @@ and with the probabilities of the next lower order, by the interpolated formula
 each order. The number of n-grams is bounded by the classes, not by the text, so the finished table is
 broadcast, ``4 * CLASSES ** ORDER`` bytes at most.
 
-A document's perplexity is compared with a quantile of the trusted documents of its language, or of
-all languages where too few are trusted; so is its word perplexity. Quantiles are taken from counts of fixed steps, so they are
+A document's perplexity must lie between two quantiles of the trusted documents of its language, or of
+all languages where too few are trusted; its word perplexity must not exceed one. For the quantiles each
+trusted document is scored by a model of the other of two folds, which has not counted it; where the other
+fold is empty, by the model of all. Quantiles are taken from counts of fixed steps, so they are
 exact in these steps and the same in every run.
 
 Defined results: a null or empty text has no perplexity and is not kept; a null language is a language of
@@ -35,16 +37,21 @@ from tidings.session import materialize
 
 ORDER = 4
 CLASSES = 48
-QUANTILE = 0.995
-#: A document is kept up to so many times its language's quantile.
-SLACK = 1.15
+#: Trusted documents' quantiles that bound the perplexity of bytes from above and below, and of words.
+QUANTILE = 0.98
+LEAST_QUANTILE = 0.001
+WORD_QUANTILE = 0.995
+#: A limit is so many times its language's quantile: no more than the quantile itself.
+SLACK = 1.0
 #: Trusted documents that a language needs for a quantile of its own.
 LEAST_TRUSTED = 50
 #: Perplexities are counted in these steps up to this many of them.
 STEP = 0.01
 STEPS = 100_000
 MAX_LANGUAGES = 10_000
-SCORE_COLUMNS = ("perplexity", "threshold", "word_perplexity", "word_threshold", "kept")
+SCORE_COLUMNS = (
+    "perplexity", "least_perplexity", "threshold", "word_perplexity", "word_threshold", "kept",
+)
 _ROWS = 256
 
 
@@ -96,13 +103,25 @@ def _texts(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch,
             yield part, [(t or "").encode() for t in part.column("_body").to_pylist()]
 
 
-def count_grams(docs: DataFrame) -> DataFrame:
-    """``(code, n)`` of the n-grams of all texts."""
+def _folds(batch: pa.RecordBatch, key: str) -> np.ndarray:
+    return batch.column(key).to_numpy() & 1
+
+
+def count_grams(docs: DataFrame, key: str | None = None) -> DataFrame:
+    """``(code, n)`` of the n-grams of all texts.
+
+    With a ``key``, the codes of the texts whose last bit of the key is set stand ``CLASSES ** ORDER``
+    higher.
+    """
+    size = CLASSES**ORDER
 
     def compute(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(CLASSES**ORDER, np.int64)
-        for _, texts in _texts(batches):
-            codes, times = np.unique(_laid_out(texts)[0], return_counts=True)
+        counts = np.zeros(2 * size if key else size, np.int64)
+        for part, texts in _texts(batches):
+            codes, sizes = _laid_out(texts)
+            if key:
+                codes = codes + size * np.repeat(_folds(part, "_of"), sizes)
+            codes, times = np.unique(codes, return_counts=True)
             counts[codes] += times
         met = np.flatnonzero(counts)
         for start in range(0, len(met), 65_536):
@@ -110,7 +129,8 @@ def count_grams(docs: DataFrame) -> DataFrame:
             columns = [pa.array(own), pa.array(counts[own])]
             yield pa.RecordBatch.from_arrays(columns, ["code", "n"])
 
-    rows = map_arrow(docs.select(whole_text().alias("_body")), compute, "code long, n long")
+    own = [F.col(key).alias("_of")] if key else []
+    rows = map_arrow(docs.select(whole_text().alias("_body"), *own), compute, "code long, n long")
     return rows.groupBy("code").agg(F.sum("n").alias("n"))
 
 
@@ -184,31 +204,57 @@ def log_table(grams: DataFrame) -> np.ndarray:
     return np.log2(below).astype(np.float32)
 
 
-def perplexities(docs: DataFrame, table: np.ndarray) -> DataFrame:
-    """``docs`` with ``perplexity``, the mean over a text's bytes and its end."""
-    shared = docs.sparkSession.sparkContext.broadcast(table)
+def perplexities(
+    docs: DataFrame, table: np.ndarray, key: str | None = None, name: str = "",
+    others: tuple[np.ndarray | None, ...] = (),
+) -> DataFrame:
+    """``docs`` with ``perplexity``, the mean over a text's bytes and its end.
+
+    With a ``key`` also column ``name``: the perplexity by the table in ``others`` of the text's fold.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast((table, *others))
     kept = [c for c in docs.columns if c.lower() not in (*SCORE_COLUMNS, "_body")]
     passed = [c for c in kept if c.lower() != "text"]
     kinds = dict(docs.dtypes)
 
     def compute(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        logs = shared.value
+        logs, *halves = shared.value
         for part, texts in _texts(batches):
             codes, sizes = _laid_out(texts)
-            sums = np.concatenate(([0.0], np.cumsum(logs[codes], dtype=np.float64)))
             stops = np.cumsum(sizes)
-            mean = (sums[stops] - sums[stops - sizes]) / np.maximum(sizes, 1)
-            found = pa.array(np.round(2.0**-mean, 4), mask=sizes == 0)
+
+            def scored(values: np.ndarray) -> np.ndarray:
+                sums = np.concatenate(([0.0], np.cumsum(values, dtype=np.float64)))  # noqa: B023
+                mean = (sums[stops] - sums[stops - sizes]) / np.maximum(sizes, 1)  # noqa: B023
+                return np.round(2.0**-mean, 4)
+
+            found = [pa.array(scored(logs[codes]), mask=sizes == 0)]
+            if key:
+                folds = _folds(part, key)
+                left, unknown = np.zeros(len(sizes)), sizes == 0
+                for fold, half in enumerate(halves):
+                    here = folds == fold
+                    if half is None:
+                        unknown |= here
+                    elif here.any():
+                        left[here] = scored(half[codes])[here]
+                found.append(pa.array(left, mask=unknown))
             own = [part.column(c) for c in passed]
-            yield pa.RecordBatch.from_arrays([*own, found], [*passed, "perplexity"])
+            yield pa.RecordBatch.from_arrays([*own, *found], names)
 
+    names = [*passed, "perplexity", *([name] if key else [])]
     rows = docs.select(*passed, whole_text().alias("_body"))
-    schema = ", ".join([f"`{c}` {kinds[c]}" for c in passed] + ["perplexity double"])
+    schema = ", ".join([f"`{c}` {kinds[c]}" for c in passed] + [f"`{c}` double" for c in names[len(passed):]])
     return map_arrow(rows, compute, schema)
 
 
-def thresholds(scores: DataFrame, quantile: float = QUANTILE) -> dict[str | None, float]:
-    """The quantile of the perplexities of each language; key ``"*"`` is that of all."""
+def thresholds(
+    scores: DataFrame, quantile: float = QUANTILE, above: bool = True
+) -> dict[str | None, float]:
+    """The quantile of the perplexities of each language; key ``"*"`` is that of all.
+
+    The limit is the upper end of the quantile's step, or the lower end without ``above``.
+    """
     step = F.least(F.floor(F.col("perplexity") / STEP), F.lit(STEPS)).alias("step")
     steps = scores.where("perplexity IS NOT NULL").groupBy("lang", step).agg(
         F.count(F.lit(1)).alias("n")
@@ -227,7 +273,7 @@ def thresholds(scores: DataFrame, quantile: float = QUANTILE) -> dict[str | None
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
     out: dict[str | None, float] = {}
     for r in rows:
-        value = round((r.step + 1) * STEP * SLACK, 4)
+        value = round((r.step + above) * STEP * (SLACK if above else 1 / SLACK), 4)
         if r.of == "all":
             out["*"] = value
         elif r.total >= LEAST_TRUSTED:
@@ -241,9 +287,9 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
     return agreed.agg(F.min("quality").alias("q")).where("q = 1").select("doc_id")
 
 
-def _with_limits(scored: DataFrame, limits: dict[str | None, float], name: str) -> DataFrame:
+def _with_limits(scored: DataFrame, limits: dict[str | None, float], otherwise: float, name: str) -> DataFrame:
     """``scored`` with the limit of each row's language."""
-    everyone = limits.pop("*", float("inf"))
+    everyone = limits.pop("*", otherwise)
     known = scored.sparkSession.createDataFrame(list(limits.items()), "_lang string, _limit double")
     lang = free_name(scored, "_of")
     same = F.col(lang).eqNullSafe(F.col("_lang"))
@@ -253,27 +299,43 @@ def _with_limits(scored: DataFrame, limits: dict[str | None, float], name: str)
     return joined.select(*scored.columns, limit.alias(name))
 
 
+def _byte_scores(docs: DataFrame, good: DataFrame, key: str, left_out: str) -> DataFrame:
+    """``perplexity`` by all trusted texts, and column ``left_out`` by those of the other fold."""
+    size = CLASSES**ORDER
+    both = materialize(count_grams(good, key), "grams")
+    code = F.pmod("code", F.lit(size)).alias("code")
+    table = log_table(materialize(both.groupBy(code).agg(F.sum("n").alias("n")), "grams"))
+    others = []
+    for fold in (0, 1):
+        grams = both.where(F.floor(F.col("code") / size) == 1 - fold).select(code, "n")
+        others.append(None if grams.isEmpty() else log_table(grams))
+    return materialize(perplexities(docs, table, key, left_out, tuple(others)), "perplexities")
+
+
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` without ``text`` and with ``SCORE_COLUMNS``; one row per row of the input."""
     kept = [c for c in docs.columns if c.lower() not in (*SCORE_COLUMNS, "text")]
     trusted = materialize(trusted_ids(labels), "trusted")
-    body = whole_text().alias("_body")
-    keyed = docs.withColumn("_key", word_model.text_key(whole_text()))
+    key, bits, left_out, most = (free_name(docs, c) for c in ("_key", "_bits", "_left_out", "_most"))
+    keyed = docs.withColumn(key, word_model.text_key(whole_text()))
+    keyed_body = [F.col(key).alias("_key"), whole_text().alias("_body")]
     # The trusted ids have no size bound, so their texts are found by a shuffle at every size.
     good = keyed.join(trusted.hint("merge"), "doc_id", "left_semi")
-    table = log_table(materialize(count_grams(good), "grams"))
-    scored = materialize(perplexities(keyed, table), "perplexities")
-    model = word_model.Model(good.select("_key", body))
-    bits = materialize(model.bits(keyed.select("_key", body)), "bits")
-    scored = scored.join(bits.withColumnRenamed("key", "_key"), "_key", "left")
-    scored = materialize(scored, "scored")
+    scored = _byte_scores(keyed, good, key, left_out)
+    model = word_model.Model(good.select(keyed_body))
+    words = model.bits(keyed.select(keyed_body)).toDF(key, bits)
+    scored = materialize(scored.join(words, key, "left"), "scored")
     of_trusted = scored.join(trusted, "doc_id", "left_semi")
-    joined = _with_limits(scored, thresholds(of_trusted), "threshold")
-    words = thresholds(of_trusted.select("lang", F.col("bits").alias("perplexity")))
-    joined = _with_limits(joined, words, "_most")
+    bytewise = of_trusted.select("lang", F.coalesce(left_out, "perplexity").alias("perplexity"))
+    wordwise = of_trusted.select("lang", F.col(bits).alias("perplexity"))
+    joined = _with_limits(scored, thresholds(bytewise), float("inf"), "threshold")
+    joined = _with_limits(joined, thresholds(bytewise, LEAST_QUANTILE, False), 0.0, "least_perplexity")
+    joined = _with_limits(joined, thresholds(wordwise, WORD_QUANTILE), float("inf"), most)
     # Without a model of the words the bytes alone decide.
-    fits = (F.col("perplexity") <= F.col("threshold")) & F.coalesce(F.col("bits") <= F.col("_most"), F.lit(True))
+    fits = F.col("perplexity").between(F.col("least_perplexity"), F.col("threshold"))
+    fits &= F.coalesce(F.col(bits) <= F.col(most), F.lit(True))
     return joined.select(
-        *kept, "perplexity", "threshold", F.round(F.pow(2.0, "bits"), 4).alias("word_perplexity"),
-        F.pow(2.0, "_most").alias("word_threshold"), F.coalesce(fits, F.lit(False)).alias("kept"),
+        *kept, "perplexity", "least_perplexity", "threshold",
+        F.round(F.pow(2.0, bits), 4).alias("word_perplexity"),
+        F.pow(2.0, most).alias("word_threshold"), F.coalesce(fits, F.lit(False)).alias("kept"),
     )
