@@ -5,10 +5,11 @@ of a source with weight ``w`` is released at slot ``floor(i / w)`` and due by sl
 ``ceil((i + 1) / w)``; in each slot the released block with the earliest deadline goes next. With
 weights that sum to one, each source is then always less than one block away from its share.
 
-Weights are made whole numbers of slots in a period of ``period`` slots, so the schedule repeats and
-one period says all: a table of a fixed size, broadcast to the rows. A row finds its slot from its
-number in its source alone, and its place in the mixture from the number of rows that all sources
-have before that slot, so the rows are never sorted or scheduled one after another.
+Releases and deadlines are those of the exact weights, as fractions, over the whole input; only a caller
+who gives a ``period`` gets weights rounded to whole slots of it. The schedule has a row for each block.
+It is made block after block, by one task that holds a row for each source and takes time in proportion
+to the slots (those of sources that have run out included). Rows are joined with it by their source and
+the number of their block, so rows are never scheduled one after another.
 
 Rows are numbered by fixed slots of a hash: counts per slot give offsets, and a window sees one
 slot of one source, so that a source with a third of all rows is spread over all tasks.
@@ -24,21 +25,27 @@ repeated rows each get a place of their own; an empty table gives an empty resul
 from __future__ import annotations
 
 import heapq
-from collections.abc import Mapping
+from collections.abc import Iterable, Iterator, Mapping
+from fractions import Fraction
+from itertools import islice
+from math import lcm
 
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidings.llm.common import free_name
+from tidings.llm.common import free_name, map_arrow
 
 #: The mixture flattens the sizes of the sources by this exponent, unless weights are given.
 FLATTEN = 0.5
+#: A usual period for weights that a caller wants rounded.
 PERIOD = 1_000
 BLOCK_ROWS = 8
 #: Sources of a mixture; a table of weights is checked against it before it goes to the driver.
 MAX_SOURCES = 1_000
 #: Bits of the hash slots that number the rows of a source.
 NUMBERING_BITS = 9
+_PLAN_ROWS = 16_384
 MIX_COLUMNS = ("source_index", "slot", "release_slot", "deadline_slot", "position")
 
 
@@ -61,24 +68,37 @@ def whole_shares(weights: Mapping[str | None, float], period: int) -> dict[str |
     return {s: 1 + n for s, n in parts.items()}
 
 
-def schedule(shares: Mapping[str | None, int]) -> list[tuple[str | None, int, int, int]]:
-    """``(source, block, release, deadline)`` of each slot of one period, earliest deadline first."""
+def exact_shares(weights: Mapping[str | None, float]) -> dict[str | None, int]:
+    """Whole numbers in the exact proportions of the weights."""
+    if weights and min(weights.values()) <= 0:
+        raise ValueError("weights must be positive")
+    exact = {s: Fraction(w) for s, w in weights.items()}
+    unit = lcm(*[w.denominator for w in exact.values()])
+    return {s: int(w * unit) for s, w in exact.items()}
+
+
+def slots(shares: Mapping[str | None, int]) -> Iterator[tuple[str | None, int, int, int]]:
+    """``(source, block, release, deadline)`` of each slot without end, earliest deadline first."""
     period = sum(shares.values())
     names = sorted(shares, key=lambda s: (s is None, str(s)))
     waiting = [(0, k, 0) for k in range(len(names))]  # release, source, block
     heapq.heapify(waiting)
     ready: list[tuple[int, int, int, int]] = []  # deadline, source, block, release
-    plan = []
-    for slot in range(period):
+    slot = 0
+    while names:
         while waiting and waiting[0][0] <= slot:
             release, k, block = heapq.heappop(waiting)
             deadline = -(-(block + 1) * period // shares[names[k]])
             heapq.heappush(ready, (deadline, k, block, release))
         deadline, k, block, release = heapq.heappop(ready)
-        plan.append((names[k], block, release, deadline))
-        if block + 1 < shares[names[k]]:
-            heapq.heappush(waiting, ((block + 1) * period // shares[names[k]], k, block + 1))
-    return plan
+        yield names[k], block, release, deadline
+        heapq.heappush(waiting, ((block + 1) * period // shares[names[k]], k, block + 1))
+        slot += 1
+
+
+def schedule(shares: Mapping[str | None, int]) -> list[tuple[str | None, int, int, int]]:
+    """The slots of one period."""
+    return list(islice(slots(shares), sum(shares.values())))
 
 
 def source_sizes(docs: DataFrame, max_sources: int = MAX_SOURCES) -> dict[str | None, int]:
@@ -113,68 +133,73 @@ def _numbered(docs: DataFrame, source: str, index: str) -> DataFrame:
     return joined.withColumn(index, number).drop("_s", "_k", "_offset", order, slot)
 
 
-def _place(
-    before: Column, index: Column, shares: list[int], totals: list[int], block_rows: int
-) -> Column:
-    """Rows of all sources before a slot, plus those of the own block before the row."""
-    cycle, counts = before["cycle"], before["counts"]
-    sizes = F.array(*[F.lit(n).cast("long") for n in totals])
-    blocks = F.transform(counts, lambda c, k: (cycle * F.get(F.lit(shares), k) + c) * block_rows)
-    rows = F.zip_with(blocks, sizes, lambda b, n: F.least(b, n))
-    total = F.aggregate(rows, F.lit(0).cast("long"), lambda a, b: a + b)
-    return total + F.pmod(index, F.lit(block_rows))
+def _plan(
+    sizes: DataFrame, weights: Mapping[str | None, float] | None, period: int | None, block_rows: int
+) -> DataFrame:
+    """The slot of each block of ``(name, size)`` and the number of rows before it in the mixture."""
+    names = ["_n", "_b", "_slot", "_release", "_deadline", "_before"]
+    schema = "_n string, _b long, _slot long, _release long, _deadline long, _before long"
+
+    def compute(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        left: dict[str | None, int] = {}
+        for batch in batches:
+            left |= dict(zip(*(c.to_pylist() for c in batch.columns), strict=True))
+        own = {s: n**FLATTEN if weights is None else weights[s] for s, n in left.items()}
+        if period is None:
+            shares = exact_shares(own) if own else {}
+        else:
+            shares = whole_shares(own, max(period, 4 * len(own)))
+        rows: list[tuple] = []
+        before, waiting = 0, len(left)
+        for slot, (name, block, release, deadline) in enumerate(slots(shares)):
+            if size := left[name]:
+                rows.append((name, block, slot, release, deadline, before))
+                taken = min(block_rows, size)
+                before += taken
+                left[name] = size - taken
+                waiting -= taken == size
+            if len(rows) == _PLAN_ROWS or not waiting:
+                columns = zip(*rows, strict=True)
+                kinds = [pa.string()] + [pa.int64()] * 5
+                arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays(arrays, names)
+                rows = []
+            if not waiting:
+                break
+
+    return map_arrow(sizes.coalesce(1), compute, schema)
 
 
 def mix(
     docs: DataFrame,
     weights: Mapping[str | None, float] | None = None,
-    period: int = PERIOD,
+    period: int | None = None,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """``docs`` with ``MIX_COLUMNS``; ``position`` is the row's place in the mixture, from 0.
 
     ``weights`` gives the share of every source; without it shares follow the sizes of the sources,
-    flattened by ``FLATTEN``.
+    flattened by ``FLATTEN``. With a ``period`` they are rounded to whole slots of it.
     """
     kept = [c for c in docs.columns if c.lower() not in MIX_COLUMNS]
     sizes = source_sizes(docs)
     if not sizes:
         numbers = [F.lit(None).cast("long").alias(c) for c in MIX_COLUMNS]
         return docs.select(*kept, *numbers)
-    if weights is None:
-        weights = {s: n**FLATTEN for s, n in sizes.items()}
-    weights = {s: weights[s] for s in sizes}
-    shares = whole_shares(weights, max(period, 4 * len(sizes)))
-    period = sum(shares.values())
-    names = list(shares)
-    place = {s: k for k, s in enumerate(names)}
-    seen, rows = [0] * len(names), []
-    for slot, (name, block, release, deadline) in enumerate(schedule(shares)):
-        rows.append((place[name], block, slot, release, deadline, list(seen)))
-        seen[place[name]] += 1
-    spark = docs.sparkSession
-    kinds = "_p int, _b long, _slot long, _release long, _deadline long, _counts array<long>"
-    # A row for each slot of a period, of which the parameters fix the number.
-    plan = F.broadcast(spark.createDataFrame(rows, kinds))
+    if weights is not None and min(weights.values()) <= 0:
+        raise ValueError("weights must be positive")
     name, index = free_name(docs, "_source"), free_name(docs, "_index")
-    known = [(s, k, shares[s]) for s, k in place.items()]
-    of = F.broadcast(spark.createDataFrame(known, "_n string, _k int, _share long"))
-    named = _numbered(docs.withColumn(name, F.col("source").cast("string")), name, index)
-    placed = named.join(of, F.col(name).eqNullSafe(F.col("_n")))
+    named = docs.withColumn(name, F.col("source").cast("string"))
+    counted = named.groupBy(name).agg(F.count(F.lit(1)).alias("n"))
+    plan = _plan(counted, weights, period, block_rows)
+    placed = _numbered(named, name, index)
     block = F.floor(F.col(index) / block_rows)
-    placed = placed.withColumn("_block", block)
-    placed = placed.withColumn("_cycle", F.floor(F.col("_block") / F.col("_share")))
-    here = (F.col("_k") == F.col("_p")) & (F.pmod("_block", "_share") == F.col("_b"))
-    placed = placed.join(plan, here)
-    before = {"cycle": F.col("_cycle"), "counts": F.col("_counts")}
-    shift = F.col("_cycle") * period
-    position = _place(
-        before, F.col(index), [shares[s] for s in names], [sizes[s] for s in names], block_rows
-    )
+    placed = placed.join(plan, F.col(name).eqNullSafe(F.col("_n")) & (block == F.col("_b")))
+    position = F.col("_before") + F.pmod(index, F.lit(block_rows))
     return placed.select(
-        *kept, F.col(index).alias("source_index"), (shift + F.col("_slot")).alias("slot"),
-        (shift + F.col("_release")).alias("release_slot"),
-        (shift + F.col("_deadline")).alias("deadline_slot"), position.alias("position"),
+        *kept, F.col(index).alias("source_index"), F.col("_slot").alias("slot"),
+        F.col("_release").alias("release_slot"), F.col("_deadline").alias("deadline_slot"),
+        position.alias("position"),
     )
 
 
