@@ -2,7 +2,8 @@
 
 Each stage takes ``(spark, docs, sf_dir)``, works on all rows that the one before kept, and returns
 a DataFrame. ``run`` writes each result to the work folder and reads it as the next stage's input.
-All stages but the last return the columns of ``documents``.
+All stages but the last return the columns of ``documents``; the last one's ``position`` is the place of
+a row in the mixture, since rows of a table read from files have no order.
 """
 
 from __future__ import annotations
@@ -44,8 +45,8 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each document."""
-    return bpe.encode(docs, bpe.vocabulary())
+    """Token ids of each document, with its ``position`` in the mixture; ``docs`` are written files."""
+    return bpe.encode(mixing.with_place(docs), bpe.vocabulary(), passed=("position",))
 
 
 STAGES = [

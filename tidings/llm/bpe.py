@@ -216,8 +216,10 @@ def codec(path: str) -> Codec:
     return Codec(path)
 
 
-def encode(docs: DataFrame, path: str, with_ids: bool = True) -> DataFrame:
-    """``(doc_id, n_tokens, ids, ids_sha256, decoded_sha256)`` of every row.
+def encode(
+    docs: DataFrame, path: str, with_ids: bool = True, passed: tuple[str, ...] = ()
+) -> DataFrame:
+    """``(doc_id, n_tokens, ids, ids_sha256, decoded_sha256)`` of every row, and its ``passed`` columns.
 
     ``path`` is a file that every executor has. The text is encoded, and the ids are decoded again.
     """
@@ -240,9 +242,12 @@ def encode(docs: DataFrame, path: str, with_ids: bool = True) -> DataFrame:
                 columns.append(pa.array(all_ids, pa.list_(pa.int32())))
                 names.append("ids")
             columns += [pa.array(digests, pa.string()), pa.array(texts, pa.string())]
-            yield pa.RecordBatch.from_arrays(columns, [*names, "ids_sha256", "decoded_sha256"])
+            columns += [batch.column(c) for c in passed]
+            yield pa.RecordBatch.from_arrays(columns, [*names, "ids_sha256", "decoded_sha256", *passed])
 
-    rows = docs.select(F.col("doc_id").cast("long"), "text")
+    rows = docs.select(F.col("doc_id").cast("long"), "text", *passed)
+    kinds = dict(docs.dtypes)
     ids = "ids array<int>, " if with_ids else ""
     schema = f"doc_id long, n_tokens long, {ids}ids_sha256 string, decoded_sha256 string"
+    schema += "".join(f", `{c}` {kinds[c]}" for c in passed)
     return map_arrow(rows, compute, schema)

@@ -207,3 +207,29 @@ def in_order(docs: DataFrame, mixed: DataFrame) -> DataFrame:
     """The rows of ``mixed`` with the columns of ``docs``, in files that follow the mixture."""
     ordered = mixed.orderBy("position")
     return ordered.select(*docs.columns)
+
+
+def with_place(written: DataFrame) -> DataFrame:
+    """``written`` with ``position``, the place of each row, from 0, in files that ``in_order`` filled.
+
+    A reader packs the files by size, so the order is taken from their numbers and the rows in them.
+    """
+    part = F.regexp_extract("_metadata.file_path", r"part-(\d+)-[^/]*$", 1).cast("long")
+    # A task that closes a file early goes on in another with the next last number.
+    piece = F.regexp_extract("_metadata.file_path", r"-c(\d+)[^-/]*$", 1).cast("long")
+    kept = [c for c in written.columns if c.lower() != "position"]
+    part_name, piece_name, row = (free_name(written, c) for c in ("_part", "_piece", "_row"))
+    rows = written.select(
+        *kept, part.alias(part_name), F.coalesce(piece, F.lit(0)).alias(piece_name),
+        F.col("_metadata.row_index").alias(row),
+    )
+    sizes = rows.groupBy(part_name, piece_name).agg(F.count(F.lit(1)).alias("size"))
+    # A row for each file.
+    earlier = Window.orderBy(part_name, piece_name).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(
+        F.col(part_name).alias("_p"), F.col(piece_name).alias("_c"),
+        F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("_offset"),
+    )
+    same = (F.col(part_name) == F.col("_p")) & (F.col(piece_name) == F.col("_c"))
+    joined = rows.join(F.broadcast(offsets), same)
+    return joined.select(*kept, (F.col("_offset") + F.col(row)).cast("long").alias("position"))
