@@ -42,6 +42,16 @@ def test_a_small_weight_gets_its_share_only(spark):
     assert sum(r.source == "b" and r.position < 3000 for r in got) <= 1
 
 
+def test_more_sources_than_the_driver_may_ask_for(spark):
+    sizes = {f"host{k}": 1 + k % 3 for k in range(mixing.MAX_SOURCES + 300)}
+    rows = [(s, i) for s, n in sizes.items() for i in range(n)]
+    df = spark.createDataFrame(rows, "source string, doc_id long")
+    got = mixing.mix(df, block_rows=1).orderBy("position").collect()
+    assert [r.position for r in got] == list(range(len(rows)))
+    assert {(r.source, r.doc_id) for r in got} == set(rows)
+    assert mixing.mix(df.limit(0)).columns == [*df.columns, *mixing.MIX_COLUMNS]
+
+
 def test_shares_are_exact():
     shares = mixing.exact_shares({"a": 0.1, "b": 3, None: 2**0.5})
     total = sum(map(Fraction, (0.1, 3, 2**0.5)))

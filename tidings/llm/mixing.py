@@ -41,7 +41,7 @@ FLATTEN = 0.5
 #: A usual period for weights that a caller wants rounded.
 PERIOD = 1_000
 BLOCK_ROWS = 8
-#: Sources of a mixture; a table of weights is checked against it before it goes to the driver.
+#: Sources whose sizes the driver may ask for; a mixture itself has no such limit.
 MAX_SOURCES = 1_000
 #: Bits of the hash slots that number the rows of a source.
 NUMBERING_BITS = 9
@@ -127,8 +127,8 @@ def _numbered(docs: DataFrame, source: str, index: str) -> DataFrame:
     within = Window.partitionBy(source, slot).orderBy(order, *keys)
     ranked = hashed.withColumn(index, F.row_number().over(within))
     same = F.col(source).eqNullSafe(F.col("_s")) & (F.col(slot) == F.col("_k"))
-    # At most a row for each slot of each of the sources, whose number is checked.
-    joined = ranked.join(F.broadcast(offsets), same)
+    # The number of sources has no bound, so Spark decides by size.
+    joined = ranked.join(offsets, same)
     number = (F.col("_offset") + F.col(index) - 1).cast("long")
     return joined.withColumn(index, number).drop("_s", "_k", "_offset", order, slot)
 
@@ -182,11 +182,7 @@ def mix(
     flattened by ``FLATTEN``. With a ``period`` they are rounded to whole slots of it.
     """
     kept = [c for c in docs.columns if c.lower() not in MIX_COLUMNS]
-    sizes = source_sizes(docs)
-    if not sizes:
-        numbers = [F.lit(None).cast("long").alias(c) for c in MIX_COLUMNS]
-        return docs.select(*kept, *numbers)
-    if weights is not None and min(weights.values()) <= 0:
+    if weights and min(weights.values()) <= 0:
         raise ValueError("weights must be positive")
     name, index = free_name(docs, "_source"), free_name(docs, "_index")
     named = docs.withColumn(name, F.col("source").cast("string"))
