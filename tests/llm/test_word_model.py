@@ -132,7 +132,7 @@ def test_labelled_bad_documents_are_rejected(spark):
     good = [r.kept for r in got if quality[r.doc_id] == 1]
     assert bad and sum(bad) <= 0.06 * len(bad)
     assert sum(good) >= 0.95 * len(good)
-    assert all(r.least_perplexity <= r.perplexity <= r.threshold for r in got if r.kept)
+    assert all(r.perplexity <= r.threshold and r.left_out_perplexity >= r.least_perplexity for r in got if r.kept)
 
 
 def test_limits_are_of_documents_left_out(spark):

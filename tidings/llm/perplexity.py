@@ -11,10 +11,10 @@ and with the probabilities of the next lower order, by the interpolated formula
 each order. The number of n-grams is bounded by the classes, not by the text, so the finished table is
 broadcast, ``4 * CLASSES ** ORDER`` bytes at most.
 
-A document's perplexity must lie between two quantiles of the trusted documents of its language, or of
-all languages where too few are trusted; its word perplexity must not exceed one. For the quantiles each
-trusted document is scored by a model of the other of two folds, which has not counted it; where the other
-fold is empty, by the model of all. Quantiles are taken from counts of fixed steps, so they are
+A document's perplexity and its word perplexity must not exceed a quantile of the trusted documents of
+its language, or of all languages where too few are trusted. For the quantiles each trusted document is
+scored by a model of the other of two folds, which has not counted it; where that fold is empty, by the
+model of all. This left-out perplexity, which every document has, must not be below a low quantile. Quantiles are taken from counts of fixed steps, so they are
 exact in these steps and the same in every run.
 
 Defined results: a null or empty text has no perplexity and is not kept; a null language is a language of
@@ -50,7 +50,8 @@ STEP = 0.01
 STEPS = 100_000
 MAX_LANGUAGES = 10_000
 SCORE_COLUMNS = (
-    "perplexity", "least_perplexity", "threshold", "word_perplexity", "word_threshold", "kept",
+    "perplexity", "threshold", "left_out_perplexity", "least_perplexity", "word_perplexity",
+    "word_threshold", "kept",
 )
 _ROWS = 256
 
@@ -332,10 +333,12 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     joined = _with_limits(joined, thresholds(bytewise, LEAST_QUANTILE, False), 0.0, "least_perplexity")
     joined = _with_limits(joined, thresholds(wordwise, WORD_QUANTILE), float("inf"), most)
     # Without a model of the words the bytes alone decide.
-    fits = F.col("perplexity").between(F.col("least_perplexity"), F.col("threshold"))
+    # Below, like is compared with like: a trusted text is more likely to the model that counted it.
+    apart = F.coalesce(left_out, "perplexity")
+    fits = (F.col("perplexity") <= F.col("threshold")) & (apart >= F.col("least_perplexity"))
     fits &= F.coalesce(F.col(bits) <= F.col(most), F.lit(True))
     return joined.select(
-        *kept, "perplexity", "least_perplexity", "threshold",
+        *kept, "perplexity", "threshold", apart.alias("left_out_perplexity"), "least_perplexity",
         F.round(F.pow(2.0, bits), 4).alias("word_perplexity"),
         F.pow(2.0, most).alias("word_threshold"), F.coalesce(fits, F.lit(False)).alias("kept"),
     )
