@@ -10,7 +10,7 @@ name the same place form a unit, some 14 windows. Work goes in three passes over
    cannot repeat and go no further.
 2. The units of the other anchors meet by anchor. Equal units are merged to one with its smallest
    id, and documents that copy another's whole text are left out. Where an anchor has several units, the suffixes at their windows are sorted deep-shallow:
-   multikey quicksort, with eight bytes as one key, to ``SHALLOW`` bytes; blind tries order what
+   rounds of `np.lexsort`, with eight bytes as one key, to ``SHALLOW`` bytes; blind tries order what
    still agrees there, and show which suffixes have ``match`` bytes in common.
 3. The spans found go back to their documents, which are cut.
 
