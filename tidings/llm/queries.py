@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidings.llm import (
-    bpe, mixing, perplexity, quality_rules, sharding, simhash, suffix_dedup, topk, toxicity, warc,
+    bpe, mixing, packing, perplexity, quality_rules, sharding, simhash, suffix_dedup, topk, toxicity,
+    warc,
 )
 from tidings.llm.common import table
 from tidings.session import configure, materialize, scratch
@@ -66,7 +67,15 @@ def op10_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_dedup.cut_repeats(docs, with_text=False)
 
 
-QUERIES = [op1_perplexity, op2_topk, op3_simhash, op4_mixing, op5_sharding, op6_bpe, op7_quality_rules, op8_toxicity, op9_warc, op10_suffix_dedup]
+def op13_packing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return packing.pack(packing.pieces(docs, packing.vocabulary()))
+
+
+QUERIES = [
+    op1_perplexity, op2_topk, op3_simhash, op4_mixing, op5_sharding, op6_bpe, op7_quality_rules,
+    op8_toxicity, op9_warc, op10_suffix_dedup, op13_packing,
+]
 #: Scores of all pairs; only SQL may do this.
 _TOPK_SQL = """
 WITH vectors AS (
