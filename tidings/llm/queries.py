@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidings.llm import (
-    bpe, mixing, packing, perplexity, quality_rules, sharding, simhash, suffix_dedup, topk, toxicity,
-    warc,
+    bpe, mixing, packing, perplexity, prefix_trie, quality_rules, sharding, simhash, suffix_dedup, topk,
+    toxicity, warc,
 )
 from tidings.llm.common import table
 from tidings.session import configure, materialize, scratch
@@ -67,6 +68,23 @@ def op10_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_dedup.cut_repeats(docs, with_text=False)
 
 
+def rebuilt_trie(rows: DataFrame) -> DataFrame:
+    """The nodes of the rebuilt conversations with the digest of the members that end in each."""
+    nodes, ends = prefix_trie.trie(prefix_trie.rebuilt(prefix_trie.ordered_turns(rows)))
+    joined = nodes.join(prefix_trie.ends_sha256(ends), ["k1", "k2"], "left")
+    nobody = F.sha2(F.lit("").cast("binary"), 256)
+    return joined.select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves",
+        F.col("saved_words").alias("saved_tokens"),
+        F.coalesce("ends_sha256", nobody).alias("ends_sha256"),
+    )
+
+
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    return rebuilt_trie(rows)
+
+
 def op13_packing(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return packing.pack(packing.pieces(docs, packing.vocabulary()))
@@ -74,7 +92,7 @@ def op13_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = [
     op1_perplexity, op2_topk, op3_simhash, op4_mixing, op5_sharding, op6_bpe, op7_quality_rules,
-    op8_toxicity, op9_warc, op10_suffix_dedup, op13_packing,
+    op8_toxicity, op9_warc, op10_suffix_dedup, op11_prefix_trie, op13_packing,
 ]
 #: Scores of all pairs; only SQL may do this.
 _TOPK_SQL = """
