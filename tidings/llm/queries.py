@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidings.llm import (
-    bpe, mixing, packing, perplexity, prefix_trie, quality_rules, sharding, simhash, suffix_dedup, topk,
-    toxicity, warc,
+    bpe, hard_negatives, mixing, packing, perplexity, prefix_trie, quality_rules, sharding, simhash,
+    suffix_dedup, topk, toxicity, warc,
 )
 from tidings.llm.common import table
 from tidings.session import configure, materialize, scratch
@@ -85,6 +85,13 @@ def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
     return rebuilt_trie(rows)
 
 
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = hard_negatives.prepared(rows.withColumn("label", moved))
+    return hard_negatives.mine(vectors, vectors.where("vec_id % 100 = 0"))
+
+
 def op13_packing(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return packing.pack(packing.pieces(docs, packing.vocabulary()))
@@ -92,7 +99,7 @@ def op13_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = [
     op1_perplexity, op2_topk, op3_simhash, op4_mixing, op5_sharding, op6_bpe, op7_quality_rules,
-    op8_toxicity, op9_warc, op10_suffix_dedup, op11_prefix_trie, op13_packing,
+    op8_toxicity, op9_warc, op10_suffix_dedup, op11_prefix_trie, op12_hard_negatives, op13_packing,
 ]
 #: Scores of all pairs; only SQL may do this.
 _TOPK_SQL = """
@@ -109,7 +116,29 @@ ranked AS (
   FROM scored)
 SELECT query_id, place::INTEGER AS rank, vec_id, score FROM ranked WHERE place <= 20
 """
-ORACLE: dict[str, str] = {"op2_topk": _TOPK_SQL}
+_HARD_NEGATIVES_SQL = """
+WITH usable AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    [floor(256 * x::DOUBLE) FOR x IN embedding] AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len([1 FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+    list_dot_product(a.v, c.v)::BIGINT AS score
+  FROM usable a JOIN usable c ON a.vec_id <> c.vec_id WHERE a.vec_id % 100 = 0),
+near AS (
+  SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS place
+  FROM scored WHERE same),
+ranked AS (
+  SELECT p.anchor_id, p.vec_id AS positive_id, n.vec_id AS negative_id, p.score AS positive_score,
+    n.score AS negative_score,
+    row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY n.score DESC, n.vec_id) AS place
+  FROM near p JOIN scored n ON p.anchor_id = n.anchor_id AND NOT n.same
+  WHERE p.place <= 5 AND 80 * p.score <= 100 * n.score AND 100 * n.score <= 100 * p.score)
+SELECT anchor_id, positive_id, place::INTEGER AS rank, negative_id, positive_score, negative_score
+FROM ranked WHERE place <= 5
+"""
+ORACLE: dict[str, str] = {"op2_topk": _TOPK_SQL, "op12_hard_negatives": _HARD_NEGATIVES_SQL}
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
