@@ -129,11 +129,28 @@ _view("daily", "mart", """
         count(*) AS article_count
     FROM mart WHERE published_at IS NOT NULL GROUP BY 1, 2""")
 
-_view("tokens", "articles", f"""
+_TOKENS = f"""
     SELECT url_hash, published_at, list_sort(list_distinct(list_filter(
         regexp_extract_all(lower(title), '[a-z0-9]+'),
         lambda w: length(w) > 2 AND NOT list_contains({_STOP_LIST}, w)))) AS tokens
-    FROM articles""")
+    FROM {{articles}}"""
+_view("tokens", "articles", _TOKENS.format(articles="articles"))
+
+_view("busy_articles", "", """
+    SELECT sha256(CAST(doc_id AS VARCHAR)) AS url_hash,
+        CASE WHEN doc_id % 10 = 0
+             THEN 'five tagfive' || doc_id % 5 || ' seven tagseven' || doc_id % 7
+                  || ' three tagthree' || doc_id % 3 || ' forty tagforty' || doc_id % 40
+                  || ' ninety tagninety' || doc_id % 90
+             ELSE 'tagfive' || doc_id % 5 || ' tagseven' || doc_id % 7
+                  || ' tagthree' || doc_id % 3 || ' tagforty' || doc_id % 40
+                  || ' tagninety' || doc_id % 90 END AS title,
+        CASE WHEN doc_id % 97 <> 0
+             THEN TIMESTAMP '2024-01-01' + to_hours(doc_id % 48) END AS published_at
+    FROM documents""")
+
+_view("busy_tokens", "busy_articles", _TOKENS.format(articles="busy_articles"))
+
 
 _view("assigned", "", """
     SELECT sha256(CAST(doc_id AS VARCHAR)) AS url_hash,
@@ -290,6 +307,25 @@ def _query(needs: str, sql: str, recursive: str = "") -> str:
     return f"{word} {', '.join(parts)}\n{sql}"
 
 
+def _stories(tokens: str) -> tuple[str, str]:
+    """All pairs of articles that share a word, and what each reaches by links."""
+    return f"""
+        SELECT r.a AS url_hash, arg_min(t.url_hash,
+            {{'t': coalesce(t.published_at, TIMESTAMP '1900-01-01'), 'k': t.url_hash}}) AS cluster_id
+        FROM reach r JOIN {tokens} t ON t.url_hash = r.b GROUP BY r.a""", f"""
+        words AS (SELECT url_hash, unnest(tokens) AS word FROM {tokens}),
+        shared AS (SELECT x.url_hash AS a, y.url_hash AS b, count(*) AS n
+                   FROM words x JOIN words y ON x.word = y.word AND x.url_hash <> y.url_hash
+                   GROUP BY ALL),
+        links AS (SELECT s.a, s.b FROM shared s
+                  JOIN {tokens} x ON x.url_hash = s.a JOIN {tokens} y ON y.url_hash = s.b
+                  WHERE 2 * s.n >= len(x.tokens) + len(y.tokens) - s.n
+                    AND coalesce(abs(epoch(x.published_at) - epoch(y.published_at)), 0) <= 86400),
+        reach AS (SELECT url_hash AS a, url_hash AS b FROM {tokens}
+                  UNION
+                  SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b)"""
+
+
 def _age(column: str) -> str:
     seconds = f"date_diff('second', {column}, TIMESTAMP '2024-01-20')"
     return f"""CASE WHEN {column} IS NULL THEN NULL
@@ -425,21 +461,8 @@ ORACLE = {
         SELECT url_hash, CAST(len(tokens) AS BIGINT) AS n_tokens,
             array_to_string(tokens, ' ') AS tokens
         FROM tokens"""),
-    "story_clusters": _query("tokens", """
-        SELECT r.a AS url_hash, arg_min(t.url_hash,
-            {'t': coalesce(t.published_at, TIMESTAMP '1900-01-01'), 'k': t.url_hash}) AS cluster_id
-        FROM reach r JOIN tokens t ON t.url_hash = r.b GROUP BY r.a""", """
-        words AS (SELECT url_hash, unnest(tokens) AS word FROM tokens),
-        shared AS (SELECT x.url_hash AS a, y.url_hash AS b, count(*) AS n
-                   FROM words x JOIN words y ON x.word = y.word AND x.url_hash <> y.url_hash
-                   GROUP BY ALL),
-        links AS (SELECT s.a, s.b FROM shared s
-                  JOIN tokens x ON x.url_hash = s.a JOIN tokens y ON y.url_hash = s.b
-                  WHERE 2 * s.n >= len(x.tokens) + len(y.tokens) - s.n
-                    AND coalesce(abs(epoch(x.published_at) - epoch(y.published_at)), 0) <= 86400),
-        reach AS (SELECT url_hash AS a, url_hash AS b FROM tokens
-                  UNION
-                  SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b)"""),
+    "story_clusters": _query("tokens", *_stories("tokens")),
+    "story_clusters_hot": _query("busy_tokens", *_stories("busy_tokens")),
     "pending_clusters": _query("assigned articles summary", _PENDING.format(more="")),
     "refreshed_clusters": _query(
         "assigned articles summary", _PENDING.format(more=" AND topic <> 'en'")

@@ -9,6 +9,7 @@ from suite import views as v
 from tidings.functions import text, urls
 from tidings.functions.labels import age_label
 from tidings.operators import keyed, quality
+from tidings.operators.similarity import Limits
 from tidings.plans import enrichment, history, layers, serving, stories
 from tidings.schemas import LANDED_ITEM
 from tidings.session import configure, materialize, new_path
@@ -16,6 +17,7 @@ from tidings.sources import landing, tables
 from tidings.streaming import jobs
 
 AS_OF = "2024-01-20 00:00:00"
+HOT_LIMITS = Limits(group=4, pivots=2, pieces=4)
 
 
 def _joined(column):
@@ -193,6 +195,11 @@ def story_clusters(spark: SparkSession, folder: str) -> DataFrame:
     return stories.story_clusters(v.articles(spark, folder))
 
 
+def story_clusters_hot(spark: SparkSession, folder: str) -> DataFrame:
+    """Stories of titles made of frequent words; small limits, so that groups are large and split."""
+    return stories.story_clusters(v.busy_articles(spark, folder), HOT_LIMITS)
+
+
 def _assigned(spark: SparkSession, folder: str) -> DataFrame:
     return enrichment.current_assignment(v.assignments(spark, folder))
 
@@ -532,7 +539,8 @@ def stream_responses(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = [
     landed_items, first_seen_pages, rerun_counts, page_keys, run_copy, evolved_schema,
     column_catalog, latest_articles, stage_articles, ods_increment, source_dim, mart_articles,
-    daily_stats, daily_stats_page, title_tokens, story_clusters, pending_clusters,
+    daily_stats, daily_stats_page, title_tokens, story_clusters, story_clusters_hot,
+    pending_clusters,
     refreshed_clusters, prompts, responses_checked, enrichment_outcomes, enrichment_gate,
     story_lookup, story_head_jaccard, story_cards, feed_page, feed_search, feed_keyset_page, topic_stats, story_detail,
     story_sources, valid_feedback, current_votes, toggled_votes, liked_page, affinity_profile,

@@ -66,6 +66,21 @@ def articles(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def busy_articles(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents as articles of two days whose titles are made of a few frequent words."""
+    doc = F.col("doc_id")
+    words = [
+        F.concat(F.lit(f"{word} tag{word}"), (doc % n).cast("string"))
+        for word, n in (("five", 5), ("seven", 7), ("three", 3), ("forty", 40), ("ninety", 90))
+    ]
+    short = F.concat_ws(" ", *(F.split_part(w, F.lit(" "), F.lit(2)) for w in words))
+    return table(spark, folder, "documents").select(
+        doc_key("doc_id").alias("url_hash"),
+        F.when(doc % 10 == 0, F.concat_ws(" ", *words)).otherwise(short).alias("title"),
+        F.when(doc % 97 != 0, _at(JAN, (doc % 48) * 3600)).alias("published_at"),
+    )
+
+
 def article_versions(spark: SparkSession, folder: str) -> DataFrame:
     """Every article twice; the second version is fetched a day earlier, together, or later."""
     first = articles(spark, folder)

@@ -5,7 +5,9 @@ from datetime import datetime, timedelta
 
 import pytest
 
+from suite import queries, views
 from tidings.functions.text import STOPWORDS
+from tidings.operators import similarity
 from tidings.operators.similarity import Limits
 from tidings.plans.stories import story_clusters
 
@@ -158,3 +160,54 @@ def test_copies_of_one_title_are_split_over_tasks(spark):
     finally:
         for name, value in before.items():
             spark.conf.set(name, value)
+
+
+def hot_population(spark, size, rest=60):
+    """One long title of ``size`` frequent words, and titles that make them frequent."""
+    words = [f"word{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(size)]
+    rnd = random.Random(size)
+    rows = [("0000", " ".join(words), START)]
+    rows += [(f"{i:04x}", " ".join(rnd.sample(words, size // 2)), START) for i in range(1, rest)]
+    nodes = similarity.title_nodes(similarity.title_rows(spark.createDataFrame(rows, SCHEMA)))
+    units, _ = similarity._cliques(similarity._ordered_nodes(nodes, Limits(group=8)))
+    keys = similarity._hot_keys(units)
+    return keys.where(f"len = {size}").count()
+
+
+def test_keys_grow_with_the_tokens_of_a_title(spark):
+    few, many = hot_population(spark, 160), hot_population(spark, 320)
+    assert 0 < few < 2000
+    assert many <= 2.2 * few
+
+
+@pytest.mark.parametrize("levels", [1, 3])
+def test_levels_of_split_groups(spark, monkeypatch, levels):
+    """Large groups whose members are not all alike; the number of levels changes no story."""
+    rnd = random.Random(1)
+    words = [f"w{chr(97 + i)}{chr(98 + i)}x" for i in range(12)]
+    rows = [
+        (f"{i:04x}", " ".join([*rnd.sample(words, rnd.choice([2, 3, 4, 5, 6, 7])), *[f"own{i}"] * (i % 2)]),
+         START + timedelta(hours=rnd.randrange(50)))
+        for i in range(150)
+    ]
+    reached = []
+    taken = similarity._next_keys
+    monkeypatch.setattr(
+        similarity, "_next_keys", lambda *a: reached.append(a[2]) or taken(*a)
+    )
+    limits = Limits(group=3, pivots=1, pieces=3, levels=levels)
+    assert clusters(spark, rows, limits) == brute_force(rows)
+    assert max(reached, default=0) <= levels - 1
+    assert levels == 1 or reached
+
+
+def test_registered_hot_query_takes_every_branch(spark):
+    limits = queries.HOT_LIMITS
+    rows = similarity.title_rows(views.busy_articles(spark, "/root/testdata/sf0.001"))
+    nodes = similarity.title_nodes(rows)
+    assert similarity._hot_tokens(nodes, limits).count() > 0
+    ordered = similarity._ordered_nodes(nodes, limits)
+    units, _ = similarity._cliques(ordered)
+    assert units.count() > 0
+    members = similarity._members(similarity._hot_keys(units))
+    assert similarity._groups(members, limits).where(f"size > {limits.small}").count() > 0

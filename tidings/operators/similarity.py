@@ -12,11 +12,15 @@ nodes of a day is *hot*; hot tokens come last in the order. So there are two cas
 * It is hot. Then all shared tokens are, and only hot tokens and set sizes matter. Nodes of a
   day with the same hot tokens and size are a *clique* if the hot tokens alone make them
   similar; near copies of a title collapse to one unit this way. Units with enough hot tokens
-  meet in groups of their first two shared tokens and of the two set sizes.
-
-Groups that are still large are linked through a few pivots first; after that only members of
-different components are compared. Nothing is dropped: every pair of similar nodes is linked
-directly or was connected before.
+  meet in groups of their first shared token and of the two set sizes.
+
+The hot groups are the first level of a prefix tree. Small groups are compared as they are. The
+members of a large one are linked through a few pivots; where they still belong to different
+components, and only there, the group is split by the next shared token, and so on for
+``levels`` levels. What is large on the last level, or cannot have another shared token, is
+compared in pieces, members of different components only. So a title has one key for each prefix
+token, and further keys only in groups that are counted as large and open. Nothing is dropped:
+every pair of similar nodes is linked directly or was connected before.
 """
 
 from __future__ import annotations
@@ -46,6 +50,8 @@ class Limits:
     pivots: int = 4
     #: pieces of the comparison of a large group
     pieces: int = 16
+    #: shared tokens by which the groups of hot tokens are split at most
+    levels: int = 3
 
     @property
     def small(self) -> int:
@@ -206,7 +212,7 @@ def _cliques(ordered: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _cold_keys(ordered: DataFrame) -> DataFrame:
-    """Cold tokens in the prefix of each node: ``(key, id, day, len, want, pos)``.
+    """Cold tokens in the prefix of each node: ``(key, id, day, len, want, pos, overlap)``.
 
     Any partner of two or more tokens shares at least ``max(2, len / 2)`` tokens, so the first
     shared one leaves room for the others behind it. ``want`` is 0: partners of any size.
@@ -215,7 +221,7 @@ def _cold_keys(ordered: DataFrame) -> DataFrame:
     entries = ordered.select("id", "day", "len", F.posexplode("cold").alias("pos", "token"))
     return entries.where(F.col("pos") <= F.col("len") - overlap).select(
         F.xxhash64(F.lit(0), F.lit(0), "token", F.lit("")).alias("key"),
-        "id", "day", "len", F.lit(0).alias("want"), "pos",
+        "id", "day", "len", F.lit(0).alias("want"), "pos", overlap.alias("overlap"),
     )
 
 
@@ -225,7 +231,7 @@ def _band(size):
 
 
 def _hot_keys(units: DataFrame) -> DataFrame:
-    """Pairs of hot tokens in the prefix of each unit, for each band of sizes of partners.
+    """Hot tokens in the prefix of each unit, for each band of sizes of partners.
 
     A band holds the sizes between two powers of two; partners are in three bands at most. With
     partners of at least ``n`` tokens the overlap is at least ``(len + n) / 3``, so only units with
@@ -239,7 +245,6 @@ def _hot_keys(units: DataFrame) -> DataFrame:
     overlap = F.ceil((length + least) / 3).cast("int")
     # Positions within the hot tokens; those of the whole set start after the cold ones.
     first = F.explode(F.sequence(F.lit(0), hot - F.col("overlap"))).alias("i")
-    second = F.explode(F.sequence(F.col("i") + 1, hot - F.col("overlap") + 1)).alias("j")
     return (
         units.where(smallest <= largest)
         .select(
@@ -248,13 +253,32 @@ def _hot_keys(units: DataFrame) -> DataFrame:
         .select("*", overlap.alias("overlap"))
         .where(hot >= F.col("overlap"))
         .select("*", first)
-        .select("*", second)
         .select(
             F.xxhash64(
                 F.least(_band(length), "want"), F.greatest(_band(length), "want"),
-                F.get("hot", F.col("i")), F.get("hot", F.col("j")),
+                F.get("hot", F.col("i")),
             ).alias("key"),
-            "id", "day", "len", "want", (length - hot + F.col("i")).alias("pos"),
+            "id", "day", "len", "want", (length - hot + F.col("i")).alias("pos"), "overlap",
+        )
+    )
+
+
+def _next_keys(members: DataFrame, units: DataFrame, level: int) -> DataFrame:
+    """Members of groups of ``level`` shared tokens in groups of one more, in the same buckets.
+
+    Of ``overlap`` shared tokens the next one leaves room for the others behind it.
+    """
+    hot = F.size("hot")
+    here = F.col("pos") - (F.col("len") - hot)
+    last = hot - F.greatest(F.col("overlap"), F.lit(level + 1)) + level
+    return (
+        members.join(units.select("id", "hot"), "id")
+        .select("*", here.alias("here"), last.alias("last"))
+        .where("here < last")
+        .select("*", F.explode(F.sequence(F.col("here") + 1, F.col("last"))).alias("j"))
+        .select(
+            F.xxhash64("key", F.get("hot", F.col("j"))).alias("key"), "id", "len", "want",
+            (F.col("len") - hot + F.col("j")).alias("pos"), "overlap", "bucket", "own",
         )
     )
 
@@ -277,7 +301,7 @@ def _members(keys: DataFrame) -> DataFrame:
     )
     wanted = keys.where(undated).select("key").distinct()
     anytime = keys.where(~undated).join(wanted, "key", "left_semi")
-    columns = ["key", "id", "len", "want", "pos"]
+    columns = ["key", "id", "len", "want", "pos", "overlap"]
     return keys.select(*columns, F.inline(places)).unionByName(
         anytime.select(
             *columns, F.lit(ANY_TIME).cast("long").alias("bucket"), F.lit(False).alias("own")
@@ -299,10 +323,13 @@ def _groups(members: DataFrame, limits: Limits) -> DataFrame:
     return groups.where("size >= 2 and owners >= 1")
 
 
-def _may_match(a: str, b: str):
-    """Cheap tests of a pair in a group; true for every similar pair in its first group."""
+def _may_match(a: str, b: str, level: int):
+    """Cheap tests of a pair in a group; true for every similar pair in its first group.
+
+    The group stands for ``level`` shared tokens, the last of them at ``pos``.
+    """
     la, lb = F.col(f"{a}.len"), F.col(f"{b}.len")
-    reach = F.least(la - F.col(f"{a}.pos"), lb - F.col(f"{b}.pos"))
+    reach = F.least(la - F.col(f"{a}.pos"), lb - F.col(f"{b}.pos")) + (level - 1)
     return (2 * F.least(la, lb) >= F.greatest(la, lb)) & (3 * reach >= la + lb)
 
 
@@ -355,7 +382,7 @@ def _pair(a: str, b: str):
     ]
 
 
-def _small_group_pairs(sized: DataFrame, limits: Limits) -> DataFrame:
+def _small_group_pairs(sized: DataFrame, limits: Limits, level: int) -> DataFrame:
     """Candidate pairs of the groups with at most ``limits.small`` members.
 
     An owner is compared with all visitors and with the owners of larger id.
@@ -364,29 +391,33 @@ def _small_group_pairs(sized: DataFrame, limits: Limits) -> DataFrame:
     a, b = small.where("own").alias("a"), small.alias("b")
     return a.join(
         b,
-        _same_group("a", "b") & _sizes_agree("a", "b") & _may_match("a", "b")
+        _same_group("a", "b") & _sizes_agree("a", "b") & _may_match("a", "b", level)
         & (~F.col("b.own") | (F.col("a.id") < F.col("b.id"))),
     ).select(*_pair("a", "b"))
 
 
-def _large_group_pairs(large: DataFrame, labels: DataFrame, limits: Limits) -> DataFrame:
-    """Candidate pairs of large groups between nodes of different components.
-
-    Of two such nodes at least one is outside the group's main component, so only these
-    *minor* members are compared with the others, in ``limits.pieces`` pieces per group. Of two
-    nodes one must own the bucket: minor owners meet all others, minor visitors the owners.
-    """
+def _open_groups(large: DataFrame, labels: DataFrame, level: int) -> DataFrame:
+    """Members of the large groups that have several components, with their own and the main one."""
     labelled = large.join(labels, "id", "left").withColumn(
         "component", F.coalesce("label", "id")
     )
-    labelled = materialize(labelled.drop("label", "pivots"), "large")
+    labelled = materialize(labelled.drop("label", "pivots", "size", "owners"), f"large-{level}")
     counts = labelled.groupBy("key", "bucket", "component").agg(F.count(F.lit(1)).alias("n"))
     main = counts.groupBy("key", "bucket").agg(
         F.max_by("component", F.struct("n", "component")).alias("main"),
         F.count(F.lit(1)).alias("components"),
     )
-    main = materialize(main.where("components > 1"), "main")
-    open_groups = labelled.join(main, ["key", "bucket"])
+    main = materialize(main.where("components > 1").drop("components"), f"main-{level}")
+    return labelled.join(main, ["key", "bucket"])
+
+
+def _open_group_pairs(open_groups: DataFrame, limits: Limits, level: int) -> DataFrame:
+    """Candidate pairs of open groups between nodes of different components.
+
+    Of two such nodes at least one is outside the group's main component, so only these
+    *minor* members are compared with the others, in ``limits.pieces`` pieces per group. Of two
+    nodes one must own the bucket: minor owners meet all others, minor visitors the owners.
+    """
     piece = F.pmod(F.xxhash64("id"), F.lit(limits.pieces)).cast("int")
     others = open_groups.withColumn("piece", piece)
     minor = open_groups.where("component != main").withColumn(
@@ -398,7 +429,7 @@ def _large_group_pairs(large: DataFrame, labels: DataFrame, limits: Limits) -> D
         return a.join(
             b,
             _same_group("a", "b") & (F.col("a.piece") == F.col("b.piece"))
-            & _sizes_agree("a", "b") & _may_match("a", "b")
+            & _sizes_agree("a", "b") & _may_match("a", "b", level)
             & (F.col("a.component") != F.col("b.component")),
         ).select(*_pair("a", "b"))
 
@@ -411,30 +442,37 @@ def title_components(nodes: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """``(id, label)`` of every node that is linked to another one."""
     ordered = _ordered_nodes(nodes, limits)
     units, clique_links = _cliques(ordered)
+    units = materialize(units, "units")
     subjects = _subjects(nodes, units)
     members = _members(_cold_keys(ordered).unionByName(_hot_keys(units)))
-    sized = join_spread(members, _groups(members, limits), ["key", "bucket"], "id")
-    sized = materialize(sized, "members")
-    links = materialize(
-        _same_title_links(nodes)
-        .unionByName(_single_links(nodes))
-        .unionByName(clique_links)
-        .unionByName(_verify(_small_group_pairs(sized, limits), subjects)),
-        "links",
-    )
-    large = sized.where(F.col("size") > limits.small)
-    if large.isEmpty():
-        return connected_components(links)
-    pivot_pairs = large.select(
-        (F.col("want") > 0).alias("is_hot"), "id", F.explode("pivots").alias("other")
-    )
-    links = links.unionByName(materialize(_verify(pivot_pairs, subjects), "pivot_links"))
-    labels = materialize(connected_components(links), "labels")
-    rest = materialize(
-        _verify(_large_group_pairs(large, labels, limits), subjects), "rest_links"
-    )
-    if rest.isEmpty():
-        return labels
-    return connected_components(
-        labels.select("id", F.col("label").alias("other")).unionByName(rest)
-    )
+    links = _same_title_links(nodes).unionByName(_single_links(nodes)).unionByName(clique_links)
+    level = 1
+    while True:
+        sized = join_spread(members, _groups(members, limits), ["key", "bucket"], "id")
+        sized = materialize(sized, f"members-{level}")
+        found = _verify(_small_group_pairs(sized, limits, level), subjects)
+        links = materialize(links.unionByName(found), f"links-{level}")
+        large = sized.where(F.col("size") > limits.small)
+        if large.isEmpty():
+            return connected_components(links)
+        pivot_pairs = large.select(
+            (F.col("want") > 0).alias("is_hot"), "id", F.explode("pivots").alias("other")
+        )
+        pivot_links = materialize(_verify(pivot_pairs, subjects), f"pivot-links-{level}")
+        labels = connected_components(links.unionByName(pivot_links))
+        labels = materialize(labels, f"labels-{level}")
+        stars = labels.select("id", F.col("label").alias("other"))
+        open_groups = materialize(_open_groups(large, labels, level), f"open-{level}")
+        # Not split: cold tokens, and members that another shared token need not exist for.
+        goes_on = (F.col("want") > 0) & (F.col("overlap") > level) & F.lit(level < limits.levels)
+        stays = open_groups.where((F.col("want") == 0) | (F.col("overlap") <= level))
+        if level == limits.levels:
+            stays = open_groups
+        links = stars.unionByName(_verify(_open_group_pairs(stays, limits, level), subjects))
+        if open_groups.where(goes_on).isEmpty():
+            links = materialize(links, f"rest-links-{level}")
+            return connected_components(links)
+        # Members that stay are in the split groups too, for partners that must share more.
+        split = open_groups.where("want > 0")
+        members = materialize(_next_keys(split, units, level), f"split-{level}")
+        level += 1
