@@ -65,6 +65,30 @@ def test_cut_against_all_windows(spark, local, hot):
     assert {"spans", "kept"} <= set(got.columns)
 
 
+def test_rows_of_one_id_keep_their_own_bytes(spark):
+    """A second row of an id that repeats nothing loses nothing to the spans of the first."""
+    rnd = random.Random(11)
+    passage, other = ("".join(rnd.choices("abcdefgh ", k=n)) for n in (140, 419))
+    rows = [(1, passage), (2, "head " + passage), (2, other), (3, other[:200]), (3, passage)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = result(suffix_dedup.cut_repeats(df))
+    assert got == brute(rows)
+    assert (2, 419, 0, 0) in {r[:4] for r in got}
+
+
+@pytest.mark.parametrize("place, together", [(1, 1), (7, 30)])
+def test_span_rows_do_not_follow_the_partitions(spark, monkeypatch, place, together):
+    """Split sources change no result; a text has a row for each source it repeats from."""
+    rows = [r for r in texts() if r[0] is not None]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    few = suffix_dedup.repeated_spans(df).count()
+    monkeypatch.setattr(suffix_dedup, "PART_BYTES", 600)
+    assert suffix_dedup.repeated_spans(df).count() <= 1.05 * few + 5
+    monkeypatch.setattr(suffix_dedup, "PLACE_ROWS", place)
+    monkeypatch.setattr(suffix_dedup, "_TOGETHER", together)
+    assert result(suffix_dedup.cut_repeats(df)) == brute(rows)
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert suffix_dedup.cut_repeats(df).count() == 0

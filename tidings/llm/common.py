@@ -8,6 +8,7 @@ import zipfile
 from collections.abc import Callable
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -70,4 +71,12 @@ def map_arrow(df: DataFrame, function: Callable, schema: str) -> DataFrame:
     if int(spark.conf.get(_BATCH)) > BATCH_ROWS:
         spark.conf.set(_BATCH, str(BATCH_ROWS))
     spark.conf.set(_CLEANUP, "true")
-    return df.mapInArrow(function, schema)
+
+    def run(batches):
+        try:
+            yield from function(batches)
+        finally:
+            # A worker waits for its next task with what the allocator holds.
+            pa.default_memory_pool().release_unused()
+
+    return df.mapInArrow(run, schema)

@@ -7,9 +7,12 @@ smallest hash of ``ANCHOR`` bytes, so equal windows name equal anchors. The wind
 name the same place form a unit, some 14 windows. Work goes in three passes over the texts:
 
 1. The hashes of the anchors meet by value, without any text. Those found in one document only
-   cannot repeat and go no further.
-2. The units of the other anchors meet by anchor. Equal units are merged to one with its smallest
-   id, and documents that copy another's whole text are left out. Where an anchor has several units, the suffixes at their windows are sorted deep-shallow:
+   cannot repeat and go no further; the others know their *source*, the smallest of their documents.
+2. The units of the other anchors meet by source, so what a document repeats from another comes back in
+   one row, whatever the number of partitions; a source of more than ``PLACE_ROWS`` rows is split by anchor.
+   Equal units of a text are one row with all their starts, documents that copy another's whole text are
+   left out, and the groups are worked on one after the other from sorted rows. Equal units are merged
+   to one with its smallest id. Where an anchor has several units, the suffixes at their windows are sorted deep-shallow:
    rounds of `np.lexsort`, with eight bytes as one key, to ``SHALLOW`` bytes; blind tries order what
    still agrees there, and show which suffixes have ``match`` bytes in common.
 3. The spans found go back to their documents, which are cut.
@@ -21,7 +24,7 @@ the results are joined back with large partitions split. Both ways find the same
 
 Defined results: a null text counts as empty; texts shorter than ``match`` keep all; a row without id
 neither loses bytes nor takes any; rows that repeat an id are one document, so they take nothing from
-each other; an empty table gives an empty result; other columns are ignored.
+each other, and each loses what its own text repeats from smaller ids; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -45,6 +48,11 @@ SHALLOW = 24
 LOCAL = 256
 #: Documents of an anchor from which it is hot.
 HOT = 8192
+#: Rows of shared anchors beyond which a source is split, and rows that a task works on together.
+PLACE_ROWS = 50_000
+_TOGETHER = 20_000
+#: Hashes in a row on the way to their bucket.
+_SENT = 1024
 #: Bytes of text that a partition of the second and third step answers for.
 PART_BYTES = 8 << 20
 #: Bytes that a task hashes at once, rows that it takes from a batch, and hashes that it holds.
@@ -204,9 +212,11 @@ def _send_hashes(match: int, buckets: int, local: int):
         of = [0, *np.searchsorted(heavy, cut).tolist(), len(heavy)]
         for b in range(buckets):
             if at[b] < at[b + 1] or of[b] < of[b + 1]:
-                part = slice(at[b], at[b + 1])
-                rows.append((b, None, _planes(plain[part]), _planes(plain_docs[part]),
-                             heavy[of[b] : of[b + 1]].tobytes()))
+                own = heavy[of[b] : of[b + 1]].tobytes()
+                for lo in range(at[b], max(at[b + 1], at[b] + 1), _SENT):
+                    part = slice(lo, min(lo + _SENT, at[b + 1]))
+                    rows.append((b, None, _planes(plain[part]), _planes(plain_docs[part]), own))
+                    own = b""
         hot, hot_docs = hashes[here], docs[here]
         order = np.argsort(hot_docs, kind="stable")
         for doc, own in _by_doc(hot_docs[order], hot[order]):
@@ -246,13 +256,14 @@ def _by_doc(docs: np.ndarray, values: np.ndarray) -> Iterator[tuple[int, np.ndar
 
 
 def _meet(hot: int):
-    """Per bucket: the shared anchors of each document, those of few and of many documents."""
+    """Per bucket: the shared anchors of each document and their sources, of few and of many documents."""
 
-    def send(docs: np.ndarray, hashes: np.ndarray, many: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def send(docs: np.ndarray, hashes: np.ndarray, sources: np.ndarray | None) -> Iterator[pa.RecordBatch]:
         for k in range(0, len(docs), 65_536):
             part = slice(k, k + 65_536)
-            columns = [pa.array(docs[part]), pa.array(hashes[part].view(np.int64)), pa.array(many[part])]
-            yield pa.RecordBatch.from_arrays(columns, ["doc", "anchor", "is_hot"])
+            of = pa.nulls(len(docs[part]), pa.int64()) if sources is None else pa.array(sources[part])
+            columns = [pa.array(docs[part]), pa.array(hashes[part].view(np.int64)), of]
+            yield pa.RecordBatch.from_arrays(columns, ["doc", "anchor", "source"])
 
     def compute(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, docs, heavy = [], [], []
@@ -260,7 +271,7 @@ def _meet(hot: int):
             for doc, h, o, w in zip(*(batch.column(k).to_pylist() for k in (1, 2, 3, 4))):
                 if h is None:
                     own = np.frombuffer(w, np.uint64)
-                    yield from send(np.full(len(own), doc), own, np.ones(len(own), bool))
+                    yield from send(np.full(len(own), doc), own, None)
                 else:
                     hashes.append(_from_planes(h, np.uint64))
                     docs.append(_from_planes(o, np.int64))
@@ -274,59 +285,82 @@ def _meet(hot: int):
             return
         starts = np.flatnonzero(np.concatenate(([True], known[1:] != known[:-1])))
         counts = np.diff(np.append(starts, len(known)))
-        is_shared = np.minimum.reduceat(docs_of, starts) != np.maximum.reduceat(docs_of, starts)
+        source = np.minimum.reduceat(docs_of, starts)
+        is_shared = source != np.maximum.reduceat(docs_of, starts)
         is_hot = np.isin(known[starts], np.concatenate(heavy)) | (is_shared & (counts > hot))
         kind = np.repeat(np.where(is_hot, 2, is_shared.astype(np.int8)), counts)
-        found = kind > 0
-        yield from send(docs_of[found], known[found], kind[found] == 2)
+        few, many = kind == 1, kind == 2
+        yield from send(docs_of[few], known[few], np.repeat(source, counts)[few])
+        yield from send(docs_of[many], known[many], None)
 
     return compute
 
 
-_UNIT = "is_hot boolean, anchor long, doc long, start long, region binary"
+_UNIT = "place long, anchor long, doc long, row long, starts array<long>, region binary"
 
 
-def _send_units(match: int):
-    """The units of each document whose anchors are shared."""
+def _own_lists(column: pa.ListArray) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Offsets of the rows of a batch, and the numbers of its lists or of their two fields."""
+    values = column.values
+    fields = [values.field(k) for k in range(2)] if pa.types.is_struct(values.type) else [values]
+    return column.offsets.to_numpy(), [f.to_numpy(zero_copy_only=False) for f in fields]
+
+
+def _lists(flat: np.ndarray, counts: np.ndarray) -> pa.Array:
+    ends = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.astype(np.int64)))
 
-    def wanted(anchors: list[int]) -> np.ndarray:
-        return np.array(anchors, np.int64).view(np.uint64)
+
+def _send_units(match: int):
+    """The units of each text whose anchors are shared; those of hot anchors have no place."""
 
     def compute(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _slices(batches):
-            ids = batch.column(0).to_numpy()
-            cold = [wanted(x) for x in batch.column(2).to_pylist()]
-            hot = [wanted(x) for x in batch.column(3).to_pylist()]
-            for data, ends, places in _text_groups(_bytes_of(batch.column(1)), match):
+            ids, rows_of = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            cold_at, (cold, cold_places) = _own_lists(batch.column(3))
+            hot_at, (hot,) = _own_lists(batch.column(4))
+            cold, hot = cold.view(np.uint64), hot.view(np.uint64)
+            for data, ends, pieces in _text_groups(_bytes_of(batch.column(2)), match):
                 first, last, hashes = units(data, ends, match)
                 piece = np.searchsorted(ends, first, "right")
-                bounds = np.searchsorted(piece, np.arange(len(places) + 1))
-                kind = np.zeros(len(first), np.int8)
-                for k, (row, _) in enumerate(places):
-                    own = slice(bounds[k], bounds[k + 1])
-                    kind[own] = np.isin(hashes[own], cold[row])
-                    if len(hot[row]):
-                        kind[own][np.isin(hashes[own], hot[row])] = 2
-                chosen = np.flatnonzero(kind)
-                rows = np.array([r for r, _ in places])
-                offsets = np.array([o for _, o in places])
+                bounds = np.searchsorted(piece, np.arange(len(pieces) + 1))
                 begins = np.concatenate(([0], ends[:-1]))
-                starts = first[chosen] - begins[piece[chosen]] + offsets[piece[chosen]]
                 text = data.tobytes()
-                regions = [
-                    text[a:b]
-                    for a, b in zip(first[chosen].tolist(), (last[chosen] + match).tolist())
-                ]
-                for lo in range(0, len(chosen), 65_536):
-                    part = slice(lo, lo + 65_536)
+                # Equal units of a text have one anchor.
+                found: dict[tuple[int, bytes], list] = {}
+                for k, (row, offset) in enumerate(pieces):
+                    own = hashes[bounds[k] : bounds[k + 1]]
+                    order = np.argsort(cold[cold_at[row] : cold_at[row + 1]])
+                    known = cold[cold_at[row] : cold_at[row + 1]][order]
+                    if len(known):
+                        at = np.minimum(np.searchsorted(known, own), len(known) - 1)
+                        is_cold = known[at] == own
+                        place = cold_places[cold_at[row] : cold_at[row + 1]][order][at]
+                    else:
+                        is_cold, place = np.zeros(len(own), bool), np.zeros(len(own), np.int64)
+                    is_hot = np.isin(own, hot[hot_at[row] : hot_at[row + 1]])
+                    for u in np.flatnonzero(is_cold | is_hot).tolist():
+                        a = int(first[bounds[k] + u])
+                        region = text[a : int(last[bounds[k] + u]) + match]
+                        kept = found.get((row, region))
+                        if kept is None:
+                            of = None if is_hot[u] else int(place[u])
+                            found[row, region] = [of, int(own[u]), a - int(begins[k]) + offset]
+                        else:
+                            kept.append(a - int(begins[k]) + offset)
+                keys, values = list(found), list(found.values())
+                for lo in range(0, len(keys), 16_384):
+                    some, of = keys[lo : lo + 16_384], values[lo : lo + 16_384]
+                    rows = np.array([row for row, _ in some])
                     columns = [
-                        pa.array(kind[chosen[part]] == 2),
-                        pa.array(hashes[chosen[part]].view(np.int64)),
-                        pa.array(ids[rows[piece[chosen[part]]]]),
-                        pa.array(starts[part], pa.int64()),
-                        _binary(regions[part]),
+                        pa.array([x[0] for x in of], pa.int64()),
+                        pa.array(np.array([x[1] for x in of], np.uint64).view(np.int64)),
+                        pa.array(ids[rows]),
+                        pa.array(rows_of[rows]),
+                        _lists(np.array([p for x in of for p in x[2:]]), np.array([len(x) - 2 for x in of])),
+                        _binary([region for _, region in some]),
                     ]
-                    names = ["is_hot", "anchor", "doc", "start", "region"]
+                    names = ["place", "anchor", "doc", "row", "starts", "region"]
                     yield pa.RecordBatch.from_arrays(columns, names)
 
     return compute
@@ -418,13 +452,35 @@ def equal_suffixes(data: bytes, places: np.ndarray, owners: np.ndarray, match: i
                 yield index[members].tolist()
 
 
-_SPANS = "doc long, spans array<long>"
+_SPANS = "doc long, row long, spans array<long>"
 
 
-def _sort_units(match: int):
-    """Per set of anchors: the spans of documents that repeat from smaller ids."""
+def _runs(docs: np.ndarray, rows: np.ndarray, begins: np.ndarray, stops: np.ndarray) -> pa.RecordBatch:
+    """The maximal runs of each text as begins and stops in turn."""
+    order = np.lexsort((begins, rows, docs))
+    docs, rows, begins, stops = docs[order], rows[order], begins[order], stops[order]
+    fresh = np.concatenate(([True], (docs[1:] != docs[:-1]) | (rows[1:] != rows[:-1])))
+    text = np.cumsum(fresh) - 1
+    # Each text lies behind the one before, so that one running maximum serves all.
+    wide = int(stops.max()) + 1
+    reach = np.maximum.accumulate(text * wide + stops)
+    cut = np.concatenate(([True], (text * wide + begins)[1:] > reach[:-1]))
+    ends = np.append(np.flatnonzero(cut)[1:] - 1, len(text) - 1)
+    runs = np.stack([begins[cut], reach[ends] - text[ends] * wide], axis=1)
+    counts = np.bincount(text[cut], minlength=text[-1] + 1)
+    columns = [pa.array(docs[fresh]), pa.array(rows[fresh]), _lists(runs.ravel(), 2 * counts)]
+    return pa.RecordBatch.from_arrays(columns, ["doc", "row", "spans"])
+
 
-    def spans_of(anchors: np.ndarray, docs: np.ndarray, starts: np.ndarray, regions: list[bytes]):
+def _sort_units(match: int):
+    """From rows in order of their place: the spans of the texts that repeat from smaller ids."""
+
+    def spans_of(whole: pa.Table) -> pa.RecordBatch | None:
+        anchors, docs, rows = (whole.column(c).to_numpy() for c in ("anchor", "doc", "row"))
+        regions = whole.column("region").to_pylist()
+        lists = whole.column("starts").combine_chunks()
+        counts = lists.value_lengths().to_numpy()
+        starts = lists.flatten().to_numpy()
         number: dict[bytes, int] = {}
         unit = np.array([number.setdefault(r, len(number)) for r in regions])
         texts = list(number)
@@ -434,50 +490,65 @@ def _sort_units(match: int):
         anchor[unit] = anchors
         # Only an anchor with several units has windows that differ from unit to unit.
         order = np.argsort(anchor, kind="stable")
-        runs = np.flatnonzero(np.concatenate(([True], np.diff(anchor[order]) != 0)))
-        counts = np.diff(np.append(runs, len(order)))
-        mixed = order[np.repeat(counts > 1, counts)]
+        firsts = np.flatnonzero(np.concatenate(([True], np.diff(anchor[order]) != 0)))
+        several = np.diff(np.append(firsts, len(order)))
+        mixed = order[np.repeat(several > 1, several)]
         lengths = np.array([len(texts[u]) for u in mixed], np.int64)
-        begins = np.cumsum(lengths) - lengths
         windows = lengths - match + 1
         owner = np.repeat(mixed, windows)
         inside = np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows)
-        places = np.repeat(begins, windows) + inside
+        places = np.repeat(np.cumsum(lengths) - lengths, windows) + inside
         earlier: dict[int, list[int]] = {}
         for members in equal_suffixes(b"".join(texts[u] for u in mixed), places, owner, match):
             smallest = min(least[owner[m]] for m in members)
             for m in members:
                 if smallest < least[owner[m]]:
                     earlier.setdefault(int(owner[m]), []).append(int(inside[m]))
-        later = docs > least[unit]
-        size = np.array([len(t) for t in texts], np.int64)[unit]
-        found = [np.stack([docs[later], starts[later], starts[later] + size[later]], axis=1)]
+        row = np.repeat(np.arange(len(docs)), counts)  # of each start
+        later = (docs > least[unit])[row]
+        size = np.array([len(t) for t in texts], np.int64)[unit[row]]
+        owners, begins, stops = [row[later]], [starts[later]], [(starts + size)[later]]
         if earlier:
-            firsts = np.flatnonzero(~later & np.isin(unit, list(earlier)))
-            for k in firsts.tolist():
-                at = starts[k] + np.array(earlier[int(unit[k])], np.int64)
-                found.append(np.stack([np.full(len(at), docs[k]), at, at + match], axis=1))
-        return np.concatenate(found)
+            for k in np.flatnonzero(~later & np.isin(unit[row], list(earlier))).tolist():
+                at = starts[k] + np.array(earlier[int(unit[row[k]])], np.int64)
+                owners.append(np.full(len(at), row[k]))
+                begins.append(at)
+                stops.append(at + match)
+        of = np.concatenate(owners)
+        if not len(of):
+            return None
+        return _runs(docs[of], rows[of], np.concatenate(begins), np.concatenate(stops))
 
     def compute(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = [b for b in batches if b.num_rows]
-        if not parts:
-            return
-        whole = pa.Table.from_batches(parts)
-        anchors, docs, starts = (whole.column(c).to_numpy() for c in ("anchor", "doc", "start"))
-        found = spans_of(anchors, docs, starts, whole.column("region").to_pylist())
-        found = found[np.lexsort((found[:, 1], found[:, 0]))]
-        rows = [(d, x.ravel()) for d, x in _by_doc(found[:, 0], found[:, 1:])]
-        for k in range(0, len(rows), 4096):
-            d, x = zip(*rows[k : k + 4096])
-            columns = [pa.array(d, pa.int64()), pa.array(x, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, ["doc", "spans"])
+        held: list[pa.RecordBatch] = []
+        size, last = 0, None
+
+        def work() -> Iterator[pa.RecordBatch]:
+            found = spans_of(pa.Table.from_batches(held)) if size else None
+            if found is not None:
+                yield from (found.slice(k, 16_384) for k in range(0, found.num_rows, 16_384))
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            places = batch.column("place").to_numpy()
+            if size >= _TOGETHER:
+                changed = np.flatnonzero(places != last)
+                cut = int(changed[0]) if len(changed) else batch.num_rows
+                if cut < batch.num_rows:
+                    held.append(batch.slice(0, cut))
+                    yield from work()
+                    held, size, batch = [], 0, batch.slice(cut)
+            held.append(batch)
+            size += batch.num_rows
+            last = places[-1]
+        yield from work()
 
     return compute
 
 
 def _hot_spans(hot: DataFrame, match: int) -> DataFrame:
-    """``(doc, begin, stop)`` of the units of hot anchors, by merging equal units and windows."""
+    """Spans of the units of hot anchors, by merging equal units and windows."""
     merged = materialize(hot.groupBy("region").agg(F.min("doc").alias("least")), "hot-units")
     windows = merged.select(
         "region", "least", F.explode(F.sequence(F.lit(0), F.length("region") - match)).alias("at")
@@ -487,65 +558,66 @@ def _hot_spans(hot: DataFrame, match: int) -> DataFrame:
     hits = join_spread(windows, firsts, ["window"], "region").where("first < least")
     earlier = hits.groupBy("region").agg(F.collect_list("at").alias("at"))  # one unit's windows
     known = materialize(merged.join(earlier, "region", "left"), "hot-windows")
-    placed = hot.join(known, "region")
+    # Regions are larger than their compressed files, by which a broadcast would be chosen.
+    placed = hot.join(known.hint("merge"), "region")
     later = placed.where("doc > least").select(
-        "doc", F.col("start").alias("begin"), (F.col("start") + F.length("region")).alias("stop")
+        "doc", "row",
+        F.expr("flatten(transform(starts, s -> array(s, s + length(region))))").alias("spans"),
     )
-    first = placed.where("doc = least").select("doc", "start", F.explode("at").alias("at"))
-    begin = F.col("start") + F.col("at")
-    return later.unionByName(first.select("doc", begin.alias("begin"), (begin + match).alias("stop")))
+    own = f"flatten(transform(starts, s -> flatten(transform(at, a -> array(s + a, s + a + {match})))))"
+    first = placed.where("doc = least AND at IS NOT NULL").select("doc", "row", F.expr(own).alias("spans"))
+    return later.unionByName(first)
 
 
 def _copies(rows: DataFrame, match: int) -> DataFrame:
-    """``(doc, size)`` of the documents of which all rows copy the text of smaller ids."""
+    """``(doc, row, size)`` of the texts that copy the whole text of a smaller id."""
     size = F.octet_length("text").cast("long")
-    narrow = rows.select("doc", F.sha2("text", 256).alias("same"), size.alias("size"))
-    narrow = materialize(narrow, "texts")
-    firsts = materialize(
-        narrow.where(F.col("size") >= match).groupBy("same").agg(F.min("doc").alias("first")), "firsts"
-    )
-    # A document with another row that is no copy is worked on like any other.
-    judged = narrow.join(firsts, "same", "left").groupBy("doc").agg(
-        F.max(F.coalesce(F.col("first") >= F.col("doc"), F.lit(True))).alias("is_new"),
-        F.max("size").alias("size"),
-    )
-    return materialize(judged.where("NOT is_new").select("doc", "size"), "copies")
+    narrow = rows.select("doc", "row", F.sha2("text", 256).alias("same"), size.alias("size"))
+    narrow = materialize(narrow.where(F.col("size") >= match), "texts")
+    firsts = materialize(narrow.groupBy("same").agg(F.min("doc").alias("first")), "firsts")
+    later = narrow.join(firsts, "same").where("first < doc").select("doc", "row", "size").distinct()
+    return materialize(later, "copies")
 
 
 def repeated_spans(
     docs: DataFrame, match: int = MATCH, local: int = LOCAL, hot_docs: int = HOT
 ) -> DataFrame:
-    """``(doc, spans)``: spans of each document that repeat, as begins and stops in turn.
+    """``(doc, row, spans)``: spans of each text that repeat, as begins and stops in turn.
 
-    A document may have several rows, and spans may overlap.
+    ``row`` is the hash of the text, since rows may repeat an id. A text may have several rows, and
+    spans may overlap.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc"), whole_text().alias("text"))
-    rows = rows.where("doc IS NOT NULL")
+    rows = rows.where("doc IS NOT NULL").select("doc", F.xxhash64("text").alias("row"), "text")
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(reader_slots(spark), total // PART_BYTES + 1)
     copies = _copies(rows, match)
-    sent = map_arrow(rows, _send_hashes(match, parts, local), _MET).repartition(parts, "bucket")
-    shared = map_arrow(sent, _meet(hot_docs), "doc long, anchor long, is_hot boolean")
-    lists = shared.groupBy("doc").agg(
-        F.collect_list(F.when(~F.col("is_hot"), F.col("anchor"))).alias("cold"),
-        F.collect_list(F.when(F.col("is_hot"), F.col("anchor"))).alias("hot"),
+    sent = map_arrow(rows.select("doc", "text"), _send_hashes(match, parts, local), _MET)
+    met = map_arrow(sent.repartition(parts, "bucket"), _meet(hot_docs), "doc long, anchor long, source long")
+    shared = materialize(met, "shared")
+    heavy = shared.where("source IS NOT NULL").groupBy("source").agg(F.count(F.lit(1)).alias("n"))
+    pieces = F.ceil(F.col("n") / PLACE_ROWS)
+    heavy = heavy.where(F.col("n") > PLACE_ROWS).select("source", pieces.alias("pieces"))
+    piece = F.pmod("anchor", F.coalesce("pieces", F.lit(1).cast("long")))
+    is_hot = F.col("source").isNull()
+    cold = F.struct("anchor", F.xxhash64("source", piece).alias("place"))
+    lists = shared.join(heavy, "source", "left").groupBy("doc").agg(
+        F.collect_list(F.when(~is_hot, cold)).alias("cold"),
+        F.collect_list(F.when(is_hot, F.col("anchor"))).alias("hot"),
     )
     # The units of a whole copy say nothing that those of the first document do not say.
-    firsts = rows.join(copies.select("doc"), "doc", "left_anti")
-    joined = firsts.join(lists, "doc").select("doc", "text", "cold", "hot")
+    firsts = rows.join(copies.select("doc", "row"), ["doc", "row"], "left_anti")
+    joined = firsts.join(lists, "doc").select("doc", "row", "text", "cold", "hot")
     units_path = temporary_path(spark, "units")
     made = map_arrow(joined, _send_units(match), _UNIT)
     made.write.option("compression", "zstd").parquet(units_path)
     found = spark.read.schema(_UNIT).parquet(units_path)
-    cold = found.where("NOT is_hot").drop("is_hot").repartition(parts, "anchor")
-    spans = map_arrow(cold, _sort_units(match), _SPANS)
-    hot = _hot_spans(found.where("is_hot").select("doc", "start", "region"), match)
+    cold_units = found.where("place IS NOT NULL").repartition(parts, "place").sortWithinPartitions("place")
+    spans = map_arrow(cold_units, _sort_units(match), _SPANS)
+    hot = _hot_spans(found.where("place IS NULL").select("doc", "row", "starts", "region"), match)
     whole = F.array(F.lit(0).cast("long"), F.col("size")).alias("spans")
-    return (
-        spans.unionByName(hot.select("doc", F.array("begin", "stop").alias("spans")))
-        .unionByName(copies.select("doc", whole))
-    )
+    return spans.unionByName(hot).unionByName(copies.select("doc", "row", whole))
 
 
 def _merged(spans: list[int], size: int) -> list[tuple[int, int]]:
@@ -571,12 +643,14 @@ def cut_repeats(
 
     With ``with_text`` the column ``kept`` holds the remaining text; characters that a cut splits go.
     """
-    at, key, body = (free_name(docs, n) for n in ("_spans", "_doc", "_body"))
-    found = repeated_spans(docs, match, local, hot_docs).groupBy(F.col("doc").alias(key))
+    at, key, row, body = (free_name(docs, n) for n in ("_spans", "_doc", "_row", "_body"))
+    found = repeated_spans(docs, match, local, hot_docs)
+    found = found.groupBy(F.col("doc").alias(key), F.col("row").alias(row))
     spans = found.agg(F.flatten(F.collect_list("spans")).alias(at))
     kept = [c for c in docs.columns if c.lower() not in (*CUT_COLUMNS, "kept")]
     rows = docs.select(*kept).withColumn(body, whole_text())
-    rows = rows.join(spans, F.col("doc_id").cast("long") == F.col(key), "left")
+    same = (F.col("doc_id").cast("long") == F.col(key)) & (F.xxhash64(body) == F.col(row))
+    rows = rows.join(spans, same, "left")
     passed = [c for c in kept if c != "text"]
     names = [*CUT_COLUMNS, *(["kept"] if with_text else [])]
 
