@@ -94,6 +94,16 @@ def test_components_of_odd_rows(spark):
     assert simhash.first_of_each(df.limit(0)).count() == 0
 
 
+def test_every_text_of_a_repeated_id_counts(spark):
+    """Groups are of texts: three different texts leave three rows, whatever ids they share."""
+    a, b, c = ("alpha beta gamma delta", "one two three four five", "red green blue white black")
+    rows = [(1, a), (2, a), (2, b), (3, b), (3, c), (3, c), (None, a), (None, "lone words here"),
+            (None, "lone words here")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    left = sorted(((r.doc_id, r.text) for r in simhash.first_of_each(df).collect()), key=str)
+    assert left == sorted([(1, a), (2, b), (3, c), (None, "lone words here")], key=str)
+
+
 def test_query_against_all_pairs(spark):
     from tidings.llm.queries import op3_simhash
 

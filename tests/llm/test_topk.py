@@ -69,3 +69,19 @@ def test_several_shards_and_blocks(spark, monkeypatch):
     got = rows_of(topk.search(vectors, vectors.where("vec_id % 20 = 0"), 20))
     whole = {r.vec_id: [math.floor(64 * x) for x in r.embedding] for r in df.collect()}
     assert got == brute(whole, [i for i in whole if i % 20 == 0], 20)
+
+
+@pytest.mark.parametrize("large", [2.0**30, 2.0**41, 1e30])
+def test_large_components_take_part(spark, large):
+    rows = [(0, [large, 1.0]), (20, [large, 0.5]), (21, [-large, 3.0]), (22, [large + 2.0**12, 2.0]), (23, [0.25, 7.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    vectors = topk.quantised(df)
+    assert vectors.count() == 5
+    got = rows_of(topk.search(vectors, vectors.where("vec_id % 20 = 0"), 3))
+    whole = {i: [math.floor(64 * x) for x in v] for i, v in rows}
+    ends = [(q, r, i, min(max(s, -(2**63)), 2**63 - 1)) for q, r, i, s in brute(whole, [0, 20], 5)]
+    want = []
+    for q in (0, 20):
+        ranked = sorted(((-s, i) for a, _, i, s in ends if a == q))[:3]
+        want += [(q, k + 1, i, -s) for k, (s, i) in enumerate(ranked)]
+    assert got == want

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidings.llm.common import map_arrow, reader_slots
+from tidings.llm.common import free_name, map_arrow, reader_slots, whole_text
 from tidings.operators.components import connected_components
 from tidings.session import materialize
 
@@ -53,17 +53,24 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     return int.from_bytes(np.packbits(2 * ones > count).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """``(doc_id, fp)`` of every row; ``fp`` holds the 64 bits as a signed long."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, keep_row: bool = False) -> DataFrame:
+    """``(doc_id, fp)`` of every row; ``fp`` holds the 64 bits as a signed long.
+
+    With ``keep_row`` also ``row``, a hash of the whole text.
+    """
+    names = ["doc_id", "fp", *(["row"] if keep_row else [])]
 
     def compute(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [fingerprint(t.as_py(), shingle) for t in batch.column(1)]
             signed = pa.array(np.array(found, np.uint64).view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(0), signed], ["doc_id", "fp"])
+            kept = [batch.column(2)] if keep_row else []
+            yield pa.RecordBatch.from_arrays([batch.column(0), signed, *kept], names)
 
     rows = docs.select(F.col("doc_id").cast("long"), "text")
-    return map_arrow(rows, compute, "doc_id long, fp long")
+    if keep_row:
+        rows = rows.select("doc_id", "text", F.xxhash64(whole_text()).alias("row"))
+    return map_arrow(rows, compute, ", ".join(f"{name} long" for name in names))
 
 
 class BKTree:
@@ -188,19 +195,24 @@ def _unsigned(values: np.ndarray) -> list[int]:
     return values.view(np.uint64).tolist()
 
 
-def simhash_components(
-    docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, shard_rows: int = SHARD_ROWS
-) -> DataFrame:
-    """``(doc_id, fp, component_id)`` of every row."""
-    found = materialize(fingerprints(docs, shingle), "fingerprints")
+def _classes(found: DataFrame, radius: int, shard_rows: int) -> DataFrame:
+    """``(fp, label, component_id)`` of every fingerprint; the label names its class."""
     distinct = materialize(found.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
     labels = connected_components(links(distinct, radius, shard_rows))
     named = distinct.join(labels.withColumnRenamed("id", "fp"), "fp", "left").select(
         "fp", "first", F.coalesce("label", "fp").alias("label")
     )
     smallest = named.groupBy("label").agg(F.min("first").alias("component_id"))
-    # Stored, so that the join below has a plain shuffle on both sides and can split a hot value.
-    classes = materialize(named.join(smallest, "label").select("fp", "component_id"), "classes")
+    # Stored, so that joins with it have a plain shuffle on both sides and can split a hot value.
+    return materialize(named.join(smallest, "label").select("fp", "label", "component_id"), "classes")
+
+
+def simhash_components(
+    docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, shard_rows: int = SHARD_ROWS
+) -> DataFrame:
+    """``(doc_id, fp, component_id)`` of every row."""
+    found = materialize(fingerprints(docs, shingle), "fingerprints")
+    classes = _classes(found, radius, shard_rows)
     return found.join(classes, "fp").select("doc_id", "fp", "component_id")
 
 
@@ -210,15 +222,21 @@ def fingerprint_text(fp: str = "fp") -> Column:
 
 
 def first_of_each(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """One row of each group of near copies: that with the smallest id.
+    """One row of each group of near copies: that with the smallest id, then the smallest text hash.
 
-    Rows without id are kept, as nothing tells them apart; of rows that repeat an id one stays.
+    Groups are of texts, so rows that repeat an id are judged each by its own text. Rows without id come
+    last in their group and are kept only where no row has an id.
     """
-    found = simhash_components(docs, shingle, radius)
-    other = found.where("doc_id != component_id").select("doc_id").distinct()
-    left = docs.join(other, "doc_id", "left_anti").select(*docs.columns)
-    again = found.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1")
-    if again.isEmpty():
-        return left
-    has_id = left.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
-    return has_id.unionByName(left.where("doc_id IS NULL"))
+    names = [free_name(docs, n) for n in ("_none", "_id", "_text")]
+    # No key is null, so one shuffle serves the join and the removal of repeats.
+    own_id = F.col("doc_id").cast("long")
+    keys = [own_id.isNull(), F.coalesce(own_id, F.lit(0).cast("long")), F.xxhash64(whole_text())]
+    keyed = docs.select("*", *(k.alias(n) for k, n in zip(keys, names)))
+    found = materialize(fingerprints(docs, shingle, keep_row=True), "fingerprints")
+    classes = _classes(found, radius, SHARD_ROWS)
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
+    firsts = found.join(classes, "fp").groupBy("label").agg(F.min(order).alias("least"))
+    of = [F.col("least.none"), F.coalesce("least.doc_id", F.lit(0).cast("long")), F.col("least.row")]
+    firsts = materialize(firsts.select(*(k.alias(n) for k, n in zip(of, names))), "first-rows")
+    # What is left twice is one text under one id.
+    return keyed.join(firsts, names, "left_semi").dropDuplicates(names).select(*docs.columns)

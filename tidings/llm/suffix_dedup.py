@@ -599,6 +599,8 @@ def repeated_spans(
     heavy = shared.where("source IS NOT NULL").groupBy("source").agg(F.count(F.lit(1)).alias("n"))
     pieces = F.ceil(F.col("n") / PLACE_ROWS)
     heavy = heavy.where(F.col("n") > PLACE_ROWS).select("source", pieces.alias("pieces"))
+    # Stored, so that a hot source does not stay where it was counted.
+    heavy = materialize(heavy, "heavy")
     piece = F.pmod("anchor", F.coalesce("pieces", F.lit(1).cast("long")))
     is_hot = F.col("source").isNull()
     cold = F.struct("anchor", F.xxhash64("source", piece).alias("place"))

@@ -15,11 +15,13 @@ shard.
 Defined results: a vector that is null, empty, or holds a null or a non-finite component takes no part;
 of rows that repeat an id the one with the smallest components counts; shorter vectors are filled up
 with zeros; equal scores go to the smaller id; a query is never its own candidate; other columns are
-ignored; an empty table gives an empty result.
+ignored; scores beyond the range of a long are its ends, and components too large for exact sums in
+doubles are scored in endless whole numbers; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -43,9 +45,10 @@ def quantised(rows: DataFrame, key: str = "vec_id", vector: str = "embedding") -
     """``(vec_id, v)``: components times ``SCALE``, rounded down, of the vectors that take part."""
     exact = F.transform(F.col(vector), lambda x: x.cast("double"))
     usable = (F.size(vector) > 0) & F.forall(
-        exact, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < 2.0**40)
+        exact, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x * SCALE) < float("inf"))
     )
-    whole = F.transform(exact, lambda x: F.floor(x * SCALE).cast("long"))
+    # A whole number may be too large for a long; a double holds each of them.
+    whole = F.transform(exact, lambda x: x * SCALE - F.pmod(x * SCALE, F.lit(1.0)))
     valid = rows.where(F.col(key).isNotNull() & F.col(vector).isNotNull()).where(usable)
     return valid.select(F.col(key).cast("long").alias("vec_id"), whole.alias("v"))
 
@@ -131,7 +134,8 @@ def _answer(k: int):
         queries = _matrix(asked, shard.vectors.shape[1])[:, : shard.vectors.shape[1]]
         largest = np.abs(queries).max() * np.abs(shard.vectors).max() * queries.shape[1]
         if largest >= 2.0**53:
-            raise ValueError("components too large for exact sums")
+            yield from exactly(shard, ids, queries)
+            return
         if largest >= 2.0**24 and shard.vectors.dtype == np.float32:
             shard = Shard(shard.ids, shard.vectors.astype(np.float64))
         found = list(shard.search(np.array(ids), queries.astype(shard.vectors.dtype), k))
@@ -144,6 +148,21 @@ def _answer(k: int):
             ]
             yield pa.RecordBatch.from_arrays(columns, ["query_id", "vec_id", "score"])
 
+    def exactly(shard: Shard, ids: list[int], queries: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """All vectors in endless whole numbers, where a double does not hold the sums."""
+        stored = [[int(x) for x in v] for v in shard.vectors]
+        for query, vector in zip(ids, queries):
+            whole = [int(x) for x in vector]
+            scores = (
+                (-min(max(sum(a * b for a, b in zip(whole, v)), -(2**63)), 2**63 - 1), i)
+                for i, v in zip(shard.ids.tolist(), stored) if i != query
+            )
+            best = heapq.nsmallest(k, scores)
+            columns = [[query] * len(best), [i for _, i in best], [-s for s, _ in best]]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, pa.int64()) for c in columns], ["query_id", "vec_id", "score"]
+            )
+
     def built(ids: list[int], vectors: list[np.ndarray]) -> Shard:
         stored = _matrix(vectors, 1)
         exact = np.abs(stored).max() < 2.0**24
