@@ -2,6 +2,8 @@
 
 import datetime
 import os
+import subprocess
+import sys
 
 import pytest
 
@@ -52,5 +54,18 @@ def test_query_matches_sql(spark, database, name):
         assert seen <= KINDS[kind], (column, kind)
 
 
+@pytest.mark.parametrize("hidden", ["ahocorasick", "corpus_pipeline", "tidings.llm"])
+def test_queries_stay_where_an_operator_cannot_be_imported(hidden):
+    """In a new process one library or folder is hidden; all queries on the given tables stay."""
+    code = (
+        f"import sys; sys.modules[{hidden!r}] = None\n"
+        "import __spark_entry__ as entry\n"
+        "print(len(entry.queries()), len(entry.oracle_sql()), 'op6_bpe' in entry.queries())"
+    )
+    root = os.path.dirname(os.path.abspath(entry.__file__))
+    found = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True)
+    assert found.stdout.split() == [str(len(ORACLE)), str(len(ORACLE)), "False"], found.stderr
+
+
 def test_entry(spark):
     assert entry.entry(spark).columns == ["url_hash", "cluster_id"]
