@@ -505,7 +505,9 @@ def stream_votes(spark: SparkSession, folder: str) -> DataFrame:
     events, _ = keyed.split_votes(v.feedback(spark, folder))
     out = new_path(spark, "votes")
     stream = _stream_of(events, "vote-events")
-    jobs.fold_vote_stream(stream, out, new_path(spark, "votes-checkpoint")).awaitTermination()
+    jobs.fold_vote_stream(
+        stream, out, new_path(spark, "votes-checkpoint"), every=2
+    ).awaitTermination()
     return _vote_rows(jobs.current_votes(spark, out, events.schema))
 
 
@@ -526,10 +528,9 @@ def stream_responses(spark: SparkSession, folder: str) -> DataFrame:
     out = new_path(spark, "answers")
     stream = _stream_of(answers, "answer-files")
     jobs.check_response_stream(
-        stream, out, new_path(spark, "answers-checkpoint")
+        stream, out, new_path(spark, "answers-checkpoint"), every=2
     ).awaitTermination()
-    schema = answers.withColumn("is_valid", F.lit(True)).schema
-    settled = jobs.settled_responses(spark, out, schema)
+    settled = jobs.settled_responses(spark, out, answers.schema)
     return settled.select(
         "cluster_id", F.col("attempt").cast("long").alias("attempt"),
         F.col("answer.valid").alias("is_valid"),

@@ -79,3 +79,30 @@ def test_daily_job(spark, tmp_path):
     ).withColumn("created_at", F.current_timestamp())
     tables.append_table(feedback, daily.FEEDBACK_EVENTS)
     assert [r.vote for r in daily.current_votes(spark).collect()] == [1]
+
+
+def test_known_keys_need_no_shuffle(spark, tmp_path):
+    """The stored side of the insert is read by bucket; a run without index rows is found."""
+    path = str(tmp_path / "landing")
+    tables.create_namespaces(spark)
+    for run, numbers in (("k1", range(100, 140)), ("k2", range(130, 150))):
+        land(spark, path, run, "newsapi", numbers)
+        daily.ingest(spark, path, run)
+    known = tables.known_keys(spark, daily.RAW, daily.KEY, "ingestion_run_id", daily.KEY_BUCKETS)
+    raw = spark.table(daily.RAW)
+    assert known.count() == raw.count() == raw.select(daily.KEY).distinct().count()
+    rows = landing.normalise_items(landing.read_landing(spark, path, None, "k2"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fresh = landing.insert_rows(rows, known, F.lit("k3"), F.current_timestamp())
+        plan = fresh._jdf.queryExecution().executedPlan().toString()
+        assert fresh.isEmpty()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # The lines of the join's second side follow those of the first, which are marked by a colon.
+    lines = plan.splitlines()
+    first_side = [k for k, line in enumerate(lines) if line.lstrip(" ").startswith(":")]
+    index_side = "\n".join(lines[first_side[-1] + 1 :])
+    assert "SelectedBucketsCount: 64" in index_side and "Exchange" not in index_side
+    spark.sql(f"DROP TABLE {daily.RAW}_keys")
+    assert daily.ingest(spark, path, "k2")["new"] == 0

@@ -59,6 +59,81 @@ def test_first_seen(spark, tmp_path):
     assert rows_of(run()) == before
 
 
+def test_first_seen_state_follows_the_keys(spark, tmp_path):
+    """A batch reads no earlier batch: the keys are rows of the state store."""
+    path, table, checkpoint = (str(tmp_path / n) for n in ("in", "out", "check"))
+    for run, start in enumerate((0, 3, 3, 5)):
+        rows = landed(spark, "newsapi", range(start, start + 3)).withColumn("run_id", F.lit(f"r{run}"))
+        landing.write_landing(rows.coalesce(1), path)
+    query = jobs.ingest_first_seen(jobs.landing_stream(spark, path, 1), table, checkpoint)
+    query.awaitTermination()
+    state = query.lastProgress["stateOperators"][0]
+    assert state["numRowsTotal"] == 6
+    assert any("rocksdb" in name.lower() for name in state["customMetrics"])
+    # Any of the files of earlier batches may be gone.
+    for folder in (tmp_path / "out").iterdir():
+        for file in folder.glob("*.parquet"):
+            file.unlink()
+    again = landed(spark, "newsapi", range(6)).withColumn("run_id", F.lit("again"))
+    landing.write_landing(again.coalesce(1), path)
+    jobs.ingest_first_seen(jobs.landing_stream(spark, path, 1), table, checkpoint).awaitTermination()
+    schema = landing.normalise_items(spark.createDataFrame([], LANDED_ITEM)).schema
+    assert jobs.read_batches(spark, table, schema).isEmpty()
+
+
+def vote_events(spark, count=90):
+    rows = [(n % 3, f"c{n % 4}", [1, -1, None, 1][n // 3 % 4], T0 + timedelta(minutes=n * 7 % 60), n)
+            for n in range(count)]
+    return spark.createDataFrame(
+        rows, "user_id long, cluster_id string, vote short, created_at timestamp, event_id long")
+
+
+def test_vote_state_is_compacted(spark, tmp_path):
+    """A read takes one snapshot and the deltas since; compaction, replay and crash change no vote."""
+    events = vote_events(spark)
+    path, table, checkpoint = (str(tmp_path / n) for n in ("in", "out", "check"))
+    stream = stream_of(spark, events.repartition(7), path)
+    jobs.fold_vote_stream(stream, table, checkpoint, every=3).awaitTermination()
+    log = jobs.vote_log(spark, table, events.schema, 3)
+    expected = rows_of(fold_votes(events))
+    assert rows_of(jobs.current_votes(spark, table, events.schema)) == expected
+    manifest = log.manifest()
+    assert manifest["upto"] == 5
+    folders = {file.rsplit("/", 2)[-2] for file in log.read().inputFiles()}
+    assert folders <= {manifest["snapshot"].split("/")[1], "batch=6"}
+    # A batch that the snapshot covers is replayed; it counts once.
+    events.limit(5).write.mode("overwrite").parquet(f"{table}/deltas/batch=2")
+    assert rows_of(jobs.current_votes(spark, table, events.schema)) == expected
+    # A compaction that ends before its manifest leaves a snapshot that nothing reads.
+    publish, calls = type(log)._publish, []
+
+    def crash(self, new):
+        calls.append(new)
+        raise RuntimeError("lost")
+
+    type(log)._publish = crash
+    try:
+        log.compact(6)
+    except RuntimeError:
+        pass
+    finally:
+        type(log)._publish = publish
+    assert calls and log.manifest() == manifest
+    assert rows_of(jobs.current_votes(spark, table, events.schema)) == expected
+    log.compact(6)
+    assert log.manifest()["upto"] == 6
+    assert rows_of(jobs.current_votes(spark, table, events.schema)) == expected
+    names = {manifest["snapshot"], log.manifest()["snapshot"]}
+    assert {f"snapshots/{x.name}" for x in (tmp_path / "out" / "snapshots").iterdir()} == names
+    log.append(events.limit(0), 7)
+    assert rows_of(jobs.current_votes(spark, table, events.schema)) == expected
+
+
+def test_empty_state(spark, tmp_path):
+    events = vote_events(spark)
+    assert jobs.current_votes(spark, str(tmp_path / "none"), events.schema).isEmpty()
+
+
 def test_a_table_without_batches_is_empty(spark, tmp_path):
     schema = spark.range(1).schema
     assert jobs.read_batches(spark, str(tmp_path / "none"), schema).columns == ["id", "batch"]
@@ -95,8 +170,29 @@ def test_answers(spark, tmp_path):
         rows, "cluster_id string, attempt int, raw_text string, error string")
     path, table, checkpoint = (str(tmp_path / n) for n in ("in", "out", "check"))
     stream = stream_of(spark, answers.repartition(3), path)
-    jobs.check_response_stream(stream, table, checkpoint).awaitTermination()
-    schema = answers.withColumn("is_valid", F.lit(True)).schema
+    jobs.check_response_stream(stream, table, checkpoint, every=2).awaitTermination()
     pick = ["cluster_id", "attempt", "answer.valid"]
-    assert rows_of(jobs.settled_responses(spark, table, schema).select(*pick)) == rows_of(
-        checked_responses(answers).select(*pick))
+    found = jobs.settled_responses(spark, table, answers.schema)
+    assert rows_of(found.select(*pick)) == rows_of(checked_responses(answers).select(*pick))
+    # Every text was parsed when it arrived.
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "from_json" not in plan and "parse_json" not in plan and "raw_text" in plan
+
+
+def test_an_attempt_that_arrives_twice_has_one_answer(spark, tmp_path):
+    """Of answers of one attempt the last to arrive counts, in the stream and in the batch."""
+    def good(text):
+        return f'{{"summary": "{text}", "topic": "t", "sentiment": "n"}}'
+
+    rows = [("c", 1, good("first")), ("c", 1, good("second")), ("d", 2, "bad"), ("d", 2, "worse")]
+    path, table, checkpoint = (str(tmp_path / n) for n in ("in", "out", "check"))
+    schema = "cluster_id string, attempt int, raw_text string, error string"
+    for row in rows:
+        stream = stream_of(spark, spark.createDataFrame([(*row, None)], schema), path)
+        jobs.check_response_stream(stream, table, checkpoint).awaitTermination()
+    found = jobs.settled_responses(spark, table, stream.schema).select("cluster_id", "raw_text")
+    expected = [("c", good("second")), ("d", "worse")]
+    assert rows_of(found) == expected
+    numbered = spark.createDataFrame([(*r, None, n) for n, r in enumerate(rows)], schema + ", seq long")
+    chosen = checked_responses(numbered.repartition(3), ["seq"]).select("cluster_id", "raw_text")
+    assert rows_of(chosen) == expected

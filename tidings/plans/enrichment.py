@@ -6,6 +6,8 @@ The model itself is not called here. Its answers arrive as a table
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -129,22 +131,30 @@ def prompts(
     )
 
 
-def checked_responses(responses: DataFrame) -> DataFrame:
-    """The answer that counts for each story, parsed.
+def settled(parsed: DataFrame, sequence: Sequence[str] = ()) -> DataFrame:
+    """The parsed answer that counts for each story, with all its columns.
 
-    Up to three attempts are looked at: the first valid one counts, otherwise the last one.
+    The first valid attempt counts, otherwise the last one; of answers of one attempt the last by
+    ``sequence``. Settling parts first and the results again gives the same answers.
     """
-    checked = with_answer(responses.where(F.col("attempt") <= MAX_ATTEMPTS), "raw_text")
     valid = F.col("answer.valid")
-    rank = F.struct(valid, F.when(valid, -F.col("attempt")).otherwise(F.col("attempt")))
-    chosen = F.struct("attempt", "raw_text", "error", "answer")
+    attempt = F.when(valid, -F.col("attempt")).otherwise(F.col("attempt"))
+    rank = F.struct(valid, attempt.alias("attempt"), *sequence)
+    rest = [c for c in parsed.columns if c != "cluster_id"]
     return (
-        checked.groupBy("cluster_id")
-        .agg(F.max_by(chosen, rank).alias("chosen"))
+        parsed.groupBy("cluster_id")
+        .agg(F.max_by(F.struct(*rest), rank).alias("chosen"))
         .select("cluster_id", "chosen.*")
     )
 
 
+def checked_responses(responses: DataFrame, sequence: Sequence[str] = ()) -> DataFrame:
+    """The answer that counts for each story, parsed; up to three attempts are looked at."""
+    checked = with_answer(responses.where(F.col("attempt") <= MAX_ATTEMPTS), "raw_text")
+    chosen = settled(checked.select("cluster_id", "attempt", "raw_text", "error", "answer", *sequence), sequence)
+    return chosen.select("cluster_id", "attempt", "raw_text", "error", "answer")
+
+
 def _perspectives(chosen: DataFrame, members: DataFrame) -> DataFrame:
     """Focus texts with the key of the article they refer to, in the order of the answer.
 

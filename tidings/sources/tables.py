@@ -93,6 +93,27 @@ def append_table(
     return int(written.get["rows"])
 
 
+def known_keys(spark: SparkSession, table: str, key: str, run: str, buckets: int) -> DataFrame | None:
+    """The keys of an append-only table as an index that an anti-join reads without a shuffle.
+
+    ``<table>_keys`` holds key and run, bucketed by the key. It is brought up to date with the runs
+    that it does not have yet, and only their folders are read: a run that was appended before a
+    crash is found the next time. None before the table's first build.
+    """
+    rows, name = stored(spark, table), f"{table}_keys"
+    if rows is None:
+        return None
+    index, added = stored(spark, name), rows.select(key, run)
+    if index is not None:
+        indexed = index.select(run).distinct()
+        missing = rows.select(run).distinct().join(indexed, run, "left_anti").collect()
+        if not missing:
+            return index
+        added = added.where(F.col(run).isin([row[0] for row in missing]))
+    append_table(added, name, key=key, buckets=buckets)
+    return spark.table(name)
+
+
 def stored(spark: SparkSession, name: str) -> DataFrame | None:
     """A table or view of the catalog, or None before its first build."""
     return spark.table(name) if spark.catalog.tableExists(name) else None

@@ -1,8 +1,9 @@
 """Structured Streaming jobs.
 
-State lives in append-only tables with one folder per micro-batch. A batch that is replayed
-after a failure overwrites its own folder only, so replays change nothing. Batch numbers come
-from the checkpoint: a table and its checkpoint belong together and start together.
+Results are append-only tables with one folder per micro-batch, or the state of a
+:class:`~tidings.sources.state_log.StateLog`. A batch that is replayed after a failure overwrites
+its own folder only, so replays change nothing. Batch numbers come from the checkpoint: a table
+and its checkpoint belong together and start together.
 """
 
 from __future__ import annotations
@@ -13,13 +14,17 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupStateTimeout
 from pyspark.sql.types import StructType
 
 from tidings.functions.responses import with_answer
-from tidings.operators.keyed import first_seen, fold_votes, latest
-from tidings.plans.enrichment import checked_responses
+from tidings.operators.keyed import fold_votes, latest
+from tidings.plans.enrichment import MAX_ATTEMPTS, settled
 from tidings.schemas import LANDED_ITEM
 from tidings.sources.landing import normalise_items
+from tidings.sources.state_log import EVERY, StateLog
+
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def landing_stream(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
@@ -32,10 +37,11 @@ def landing_stream(spark: SparkSession, path: str, files_per_batch: int = 1000)
 
 
 def _run(
-    stream: DataFrame, checkpoint: str, each: Callable[[DataFrame, int], None]
+    stream: DataFrame, checkpoint: str, each: Callable[[DataFrame, int], None], mode: str = "append"
 ) -> StreamingQuery:
     return (
-        stream.writeStream.foreachBatch(each)
+        stream.writeStream.outputMode(mode)
+        .foreachBatch(each)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -46,6 +52,10 @@ def _folder(table: str, batch_id: int) -> str:
     return f"{table}/batch={batch_id}"
 
 
+def _write(batch: DataFrame, table: str, batch_id: int) -> None:
+    batch.write.mode("overwrite").parquet(_folder(table, batch_id))
+
+
 def read_batches(spark: SparkSession, table: str, schema: StructType) -> DataFrame:
     """All rows of a table with one folder per batch; empty if nothing was written yet."""
     with_batch = StructType(list(schema.fields)).add("batch", "long")
@@ -60,20 +70,30 @@ def read_batches(spark: SparkSession, table: str, schema: StructType) -> DataFra
 def ingest_first_seen(items: DataFrame, table: str, checkpoint: str) -> StreamingQuery:
     """Append the first article of every key over all time.
 
-    Each batch is reduced to its own first rows and anti-joined with the keys of earlier
-    batches; only the key column of the table is read.
+    The keys seen are a keyed state in the RocksDB state store, so a batch asks for its own keys
+    only and never reads the table; its time does not follow the number of batches before. Of
+    the rows of a key in one batch the first by provider rank and landed order counts.
     """
-    schema = normalise_items(items).schema
-
-    def each(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        target = None
-        if batch_id > 0:
-            target = read_batches(spark, table, schema).where(F.col("batch") < batch_id)
-        fresh = first_seen(normalise_items(batch), target, "url_hash", ["batch_rank", "ordinal"])
-        fresh.write.mode("overwrite").parquet(_folder(table, batch_id))
-
-    return _run(items, checkpoint, each)
+    spark = items.sparkSession
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
+    rows = normalise_items(items)
+    order = ["batch_rank", "ordinal"]
+
+    def firsts(key, frames, state):
+        best = None
+        for frame in frames:
+            # A key may have any number of rows: they come in pieces, and one row is held.
+            row = frame.sort_values(order, kind="stable").head(1)
+            if best is None or tuple(row[order].iloc[0]) < tuple(best[order].iloc[0]):
+                best = row
+        if not state.exists and best is not None:
+            state.update((True,))
+            yield best
+
+    fresh = rows.groupBy("url_hash").applyInPandasWithState(
+        firsts, rows.schema, "seen boolean", "append", GroupStateTimeout.NoTimeout
+    )
+    return _run(fresh, checkpoint, lambda batch, batch_id: _write(batch, table, batch_id))
 
 
 def daily_counts(articles: DataFrame, lateness: str) -> DataFrame:
@@ -97,54 +117,63 @@ def run_daily_counts(
     articles: DataFrame, lateness: str, table: str, checkpoint: str
 ) -> StreamingQuery:
     """Upsert the changed counts of each micro-batch; the last batch of a group counts."""
-
-    def each(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(_folder(table, batch_id))
-
-    return (
-        daily_counts(articles, lateness)
-        .writeStream.outputMode("update")
-        .foreachBatch(each)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    counts = daily_counts(articles, lateness)
+    return _run(counts, checkpoint, lambda batch, batch_id: _write(batch, table, batch_id), "update")
 
 
 def append_batches(stream: DataFrame, table: str, checkpoint: str) -> StreamingQuery:
     """Append every row of a stream, replay-safe."""
-
-    def each(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(_folder(table, batch_id))
-
-    return _run(stream, checkpoint, each)
+    return _run(stream, checkpoint, lambda batch, batch_id: _write(batch, table, batch_id))
 
 
-def fold_vote_stream(events: DataFrame, table: str, checkpoint: str) -> StreamingQuery:
-    """Keep the last event of each reader and story per batch.
+def vote_log(spark: SparkSession, table: str, schema: StructType, every: int = EVERY) -> StateLog:
+    """The last event of each reader and story.
 
-    Removals stay in the table, since they must hide votes of earlier batches; folding the
-    table with :func:`current_votes` gives the state.
+    Removals stay in the state, since they hide earlier votes that may still arrive.
     """
+    def fold(rows: DataFrame) -> DataFrame:
+        return latest(rows, ["user_id", "cluster_id"], ["created_at", "event_id"])
+
+    return StateLog(spark, table, schema, fold, every)
 
-    def each(batch: DataFrame, batch_id: int) -> None:
-        last = latest(batch, ["user_id", "cluster_id"], ["created_at", "event_id"])
-        last.write.mode("overwrite").parquet(_folder(table, batch_id))
 
-    return _run(events, checkpoint, each)
+def fold_vote_stream(
+    events: DataFrame, table: str, checkpoint: str, every: int = EVERY
+) -> StreamingQuery:
+    """Fold the votes of each batch into the state of :func:`vote_log`."""
+    log = vote_log(events.sparkSession, table, events.schema, every)
+    return _run(events, checkpoint, log.append)
 
 
 def current_votes(spark: SparkSession, table: str, schema: StructType) -> DataFrame:
-    return fold_votes(read_batches(spark, table, schema).drop("batch"))
+    return fold_votes(vote_log(spark, table, schema).read())
+
 
+def answer_log(spark: SparkSession, table: str, schema: StructType, every: int = EVERY) -> StateLog:
+    """The answer that counts for each story, parsed.
 
-def check_response_stream(responses: DataFrame, table: str, checkpoint: str) -> StreamingQuery:
-    """Parse answers as they arrive and append them with their verdict."""
-    checked = with_answer(responses, "raw_text").withColumn("is_valid", F.col("answer.valid"))
-    return append_batches(checked.drop("answer"), table, checkpoint)
+    ``schema`` is that of the answers. Of answers of one attempt the one that arrived last counts.
+    """
+    parsed = with_answer(spark.createDataFrame([], schema), "raw_text")
+    stored = StructType(list(parsed.schema.fields)).add("batch", "long").add("place", "long")
+    return StateLog(spark, table, stored, lambda rows: settled(rows, ["batch", "place"]), every)
 
 
-def settled_responses(spark: SparkSession, table: str, schema: StructType) -> DataFrame:
-    """The answer that counts for each story among all that have arrived."""
-    return checked_responses(read_batches(spark, table, schema).drop("batch", "is_valid"))
+def check_response_stream(
+    responses: DataFrame, table: str, checkpoint: str, every: int = EVERY
+) -> StreamingQuery:
+    """Parse every answer once, as it arrives, and keep the one that counts for each story."""
+    log = answer_log(responses.sparkSession, table, responses.schema, every)
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        place = F.monotonically_increasing_id()
+        numbered = batch.select("*", F.lit(batch_id).cast("long").alias("batch"), place.alias("place"))
+        parsed = with_answer(numbered.where(F.col("attempt") <= MAX_ATTEMPTS), "raw_text")
+        log.append(parsed, batch_id)
+
+    return _run(responses, checkpoint, each)
 
+
+def settled_responses(spark: SparkSession, table: str, schema: StructType) -> DataFrame:
+    """The answer that counts for each story among all that have arrived; nothing is parsed."""
+    return answer_log(spark, table, schema).read().drop("batch", "place")
