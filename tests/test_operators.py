@@ -5,7 +5,7 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
-from tidings.operators import keyed, quality
+from tidings.operators import components, keyed, quality, skew
 from tidings.operators.components import connected_components
 from tidings.operators.numbering import number_within
 from tidings.operators.skew import join_spread
@@ -153,6 +153,35 @@ def test_components(spark):
     assert {r.id: r.label for r in got} == find_labels(edges)
 
 
+def test_hubs_are_cut_and_change_nothing(spark, monkeypatch):
+    hub = [(5000, i) for i in range(400)] + [(i, 9000 + i % 7) for i in range(300, 350)]
+    chain = [(6000 + i, 6001 + i) for i in range(30)]
+    monkeypatch.setattr(skew, "SPLIT_ROWS", 20)
+    cuts = []
+    taken = skew.join_spread
+    monkeypatch.setattr(
+        components, "join_spread", lambda *a, **k: cuts.append(k["heavy"]) or taken(*a, **k)
+    )
+    got = connected_components(spark.createDataFrame(hub + chain, "a long, b long")).collect()
+    assert {r.id: r.label for r in got} == find_labels(hub + chain)
+    assert cuts[0][5000] == 20 and len(cuts[0]) < 20
+
+
+def test_an_even_graph_is_joined_as_it_is(spark):
+    """No copies of the unique side where no key is heavy, and a heavy key is spread."""
+    edges = spark.range(3000).select(F.col("id").alias("u"), (F.col("id") % 50).alias("v"))
+    stored, counts = skew.materialize_sketched(edges, "even", ["u", "v"])
+    assert stored.count() == 3000 and skew.heavy_pieces(counts["u"]) == {}
+    assert set(counts["v"].values()) == {60}
+    smallest = stored.groupBy("v").agg(F.min("u").alias("m"))
+    assert "Generate" not in plan(join_spread(stored, smallest, ["v"], "u", heavy={}))
+    spread = join_spread(stored, smallest, ["v"], "u", heavy={7: 4, 8: 2})
+    assert sorted(map(tuple, spread.select("u", "v", "m").collect())) == sorted(
+        map(tuple, stored.join(smallest, "v").select("u", "v", "m").collect()))
+    empty, none = skew.materialize_sketched(edges.limit(0), "none", ["u"])
+    assert empty.isEmpty() and none == {"u": {}}
+
+
 def test_components_without_edges(spark):
     assert connected_components(spark.createDataFrame([], "a long, b long")).isEmpty()
 
