@@ -204,3 +204,17 @@ def test_quality_report_and_audit(spark):
                                      "url_hash string, cluster_id string")
     stored = spark.createDataFrame([("a", 1), ("b", 1)], "cluster_id string, article_count int")
     assert [tuple(r) for r in quality.member_audit(assigned, stored).collect()] == [("a", 1, 2)]
+
+
+def test_a_table_is_read_once_for_all_its_checks(spark, tmp_path):
+    rows = spark.createDataFrame(
+        [(1, "a", None), (1, "b", None), (2, None, 5), (None, "b", 5), (3, "b", 6)], "k long, t string, n int")
+    rows.write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    report = quality.quality_report({"t": (df, ["k", "t"], ["k", "t", "n"]), "u": (df, [], ["n"])})
+    assert sorted(tuple(r) for r in report.collect()) == [
+        ("t", "k", "not_null", 1), ("t", "k", "unique", 1), ("t", "n", "unique", 1),
+        ("t", "t", "not_null", 1), ("t", "t", "unique", 1), ("u", "n", "unique", 1)]
+    assert report._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 2
+    empty = quality.quality_report({"t": (df.limit(0), ["k"], ["t"])})
+    assert sorted(tuple(r) for r in empty.collect()) == [("t", "k", "not_null", 0), ("t", "t", "unique", 0)]

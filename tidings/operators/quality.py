@@ -8,32 +8,44 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def not_null_report(df: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
-    """NULL counts of the columns, all from one aggregation."""
-    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(columns)])
+def table_report(
+    df: DataFrame, table: str, required: Sequence[str], unique: Sequence[str]
+) -> DataFrame:
+    """Failures of all checks of a table, from one pass over it.
+
+    Every row gives ``(check, key)`` pairs: one for each required column that is NULL, and the value
+    of each unique column that is not. Their counts tell both kinds of failures: NULLs, and values
+    that occur more than once. Counting combines before the shuffle, so a value that many rows share
+    is one pair a task.
+    """
+    checks = [(c, "not_null") for c in required] + [(c, "unique") for c in unique]
+
+    def pair(number: int, column: str, kind: str):
+        value = F.col(column)
+        key = value.cast("string") if kind == "unique" else F.lit(None).cast("string")
+        wanted = value.isNotNull() if kind == "unique" else value.isNull()
+        return F.when(wanted, F.struct(F.lit(number).alias("check"), key.alias("key")))
+
+    pairs = F.array_compact(F.array(*[pair(i, *check) for i, check in enumerate(checks)]))
+    counts = df.select(F.inline(pairs)).groupBy("check", "key").agg(F.count(F.lit(1)).alias("n"))
+
+    def failures(number: int, kind: str):
+        here = F.col("check") == number
+        found = F.count_if(here & (F.col("n") > 1)) if kind == "unique" else F.sum(F.when(here, F.col("n")))
+        return F.coalesce(found, F.lit(0)).cast("long").alias(f"n{number}")
+
+    totals = counts.agg(*[failures(i, kind) for i, (_, kind) in enumerate(checks)])
     entries = F.array(
         *[
-            F.struct(F.lit(c).alias("column_name"), F.col(f"n{i}").alias("failures"))
-            for i, c in enumerate(columns)
+            F.struct(
+                F.lit(c).alias("column_name"), F.lit(kind).alias("check_name"),
+                F.col(f"n{i}").alias("failures"),
+            )
+            for i, (c, kind) in enumerate(checks)
         ]
     )
-    return counts.select(F.inline(entries)).select(
-        F.lit(table).alias("table_name"), "column_name", F.lit("not_null").alias("check_name"),
-        "failures",
-    )
-
-
-def unique_report(df: DataFrame, table: str, column: str) -> DataFrame:
-    """Number of values that occur more than once; NULL is not a value."""
-    repeated = (
-        df.where(F.col(column).isNotNull())
-        .groupBy(column)
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .where(F.col("rows") > 1)
-    )
-    return repeated.agg(F.count(F.lit(1)).alias("failures")).select(
-        F.lit(table).alias("table_name"), F.lit(column).alias("column_name"),
-        F.lit("unique").alias("check_name"), "failures",
+    return totals.select(F.inline(entries)).select(
+        F.lit(table).alias("table_name"), "column_name", "check_name", "failures"
     )
 
 
@@ -44,11 +56,10 @@ def quality_report(
 
     ``tables`` maps a name to the table, its not-null columns and its unique columns.
     """
-    reports = []
-    for name, (df, required, unique) in tables.items():
-        if required:
-            reports.append(not_null_report(df, name, required))
-        reports += [unique_report(df, name, column) for column in unique]
+    reports = [
+        table_report(df, name, required, unique)
+        for name, (df, required, unique) in tables.items() if [*required, *unique]
+    ]
     result = reports[0]
     for report in reports[1:]:
         result = result.unionByName(report)
