@@ -394,6 +394,27 @@ _CHECKED = "SELECT cluster_id, CAST(attempt AS BIGINT) AS attempt, is_valid{more
 _VOTE_ROWS = f"""user_id, cluster_id, CAST(vote AS BIGINT) AS vote,
     strftime(ts, {_MICRO}) AS created_at"""
 
+_RANKED = """
+        candidates AS (
+            SELECT *, row_number() OVER (ORDER BY enriched_at DESC, cluster_id) AS place
+            FROM {feed} ORDER BY enriched_at DESC, cluster_id LIMIT 200),
+        pairs AS (
+            SELECT u.user_id, c.place, c.cluster_id, c.topic, c.keywords, v.vote,
+                CASE WHEN v.vote = 1 THEN 1 ELSE 0 END AS own
+            FROM (SELECT DISTINCT user_id FROM votes) u CROSS JOIN candidates c
+            LEFT JOIN votes v ON v.user_id = u.user_id AND v.cluster_id = c.cluster_id),
+        words AS (
+            SELECT p.user_id, p.place, sum(greatest(coalesce(w.weight, 0) - p.own, 0)) AS score
+            FROM (SELECT user_id, place, own, unnest(keywords) AS word FROM pairs) p
+            LEFT JOIN word_weight w ON w.user_id = p.user_id AND w.word = p.word
+            GROUP BY ALL),
+        scores AS (
+            SELECT p.*, 2 * greatest(coalesce(t.weight, 0) - p.own, 0) + coalesce(w.score, 0)
+                AS score
+            FROM pairs p
+            LEFT JOIN topic_weight t ON t.user_id = p.user_id AND t.topic = p.topic
+            LEFT JOIN words w ON w.user_id = p.user_id AND w.place = p.place)"""
+
 ORACLE = {
     "landed_items": _query("keyed_items", f"""
         SELECT source_provider, page_id AS ordinal, url_hash,
@@ -468,13 +489,43 @@ ORACLE = {
         "assigned articles summary", _PENDING.format(more=" AND topic <> 'en'")
     ),
     "prompts": _query("members", """
-        SELECT cluster_id, CAST(0 AS BIGINT) AS part, CAST(1 AS BIGINT) AS parts,
+        SELECT cluster_id, member_no AS line_no,
+            CASE WHEN member_no > 1 THEN chr(10) ELSE '' END || member_no || '. ['
+            || coalesce(source_name, 'unknown source') || '] ' || coalesce(title, '') || chr(10)
+            || '   ' || coalesce(description, '') AS text
+        FROM members
+        UNION ALL SELECT DISTINCT cluster_id, 0, 'Story:' || chr(10) FROM members
+        UNION ALL SELECT cluster_id, count(*) + 1, chr(10) || 'End {}.' FROM members GROUP BY 1"""),
+    "enrichment_errors": _query("members", """
+        SELECT cluster_id, 'failed' AS enrichment_status, length(raw) AS n_chars,
+            md5(raw) AS raw_md5
+        FROM (SELECT m.cluster_id, CASE WHEN a.doc_id % 7 <> 0
+                  THEN left(repeat(trim(a.title, ' ') || '; ', 100), 2000)
+                  ELSE 'No JSON object found in LLM response: ''''' END AS raw
+              FROM (SELECT DISTINCT cluster_id FROM members) m
+              JOIN articles a ON a.url_hash = m.cluster_id)"""),
+    "landed_payloads": _query("keyed_items", """
+        SELECT source_provider, page_id AS ordinal, 'wire' AS category,
+            CASE source_provider WHEN 'gnews'
+                THEN 'author|content|description|image|publishedAt|source|title|url'
+                ELSE 'author|content|description|publishedAt|source|title|url|urlToImage' END
+                AS names,
+            category AS outlet, url, CASE WHEN has_bad_time THEN 'not a time'
+                ELSE strftime(published_at, '%Y-%m-%dT%H:%M:%SZ') END AS published,
+            md5(content) AS content_md5
+        FROM keyed_items"""),
+    "stream_daily_late": _query("articles", """
+        SELECT strftime(published_at, '%Y-%m-%d') AS published_date, source_name,
             count(*) AS article_count,
-            'Story:' || chr(10) || string_agg(
-                member_no || '. [' || coalesce(source_name, 'unknown source') || '] '
-                || coalesce(title, '') || chr(10) || '   ' || coalesce(description, ''),
-                chr(10) ORDER BY member_no) || chr(10) || 'End {}.' AS prompt
-        FROM members GROUP BY cluster_id"""),
+            count(*) FILTER (date_trunc('day', published_at) + INTERVAL 1 DAY
+                             <= newest - INTERVAL 2 DAY) AS late_count
+        FROM (SELECT *, CASE
+                  WHEN doc_id % 240 < 120 THEN (SELECT max(published_at) FROM articles
+                      WHERE doc_id % 240 >= 120 AND doc_id % 2 = 0)
+                  WHEN doc_id % 2 = 1 THEN (SELECT max(published_at) FROM articles
+                      WHERE doc_id % 240 < 120 OR doc_id % 2 = 0) END AS newest
+              FROM articles WHERE published_at IS NOT NULL)
+        GROUP BY 1, 2"""),
     "responses_checked": _query("checked", _CHECKED.format(more="""
         , CASE WHEN is_valid THEN json_extract_string(block, '$.summary') END AS summary,
         CASE WHEN is_valid THEN json_extract_string(block, '$.topic') END AS topic,
@@ -587,26 +638,13 @@ ORACLE = {
             CAST(vote AS BIGINT) AS my_vote
         FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, place)
                   AS rank FROM scores)
-        WHERE rank BETWEEN 4 AND 23""", """
-        candidates AS (
-            SELECT *, row_number() OVER (ORDER BY enriched_at DESC, cluster_id) AS place
-            FROM feed ORDER BY enriched_at DESC, cluster_id LIMIT 200),
-        pairs AS (
-            SELECT u.user_id, c.place, c.cluster_id, c.topic, c.keywords, v.vote,
-                CASE WHEN v.vote = 1 THEN 1 ELSE 0 END AS own
-            FROM (SELECT DISTINCT user_id FROM votes) u CROSS JOIN candidates c
-            LEFT JOIN votes v ON v.user_id = u.user_id AND v.cluster_id = c.cluster_id),
-        words AS (
-            SELECT p.user_id, p.place, sum(greatest(coalesce(w.weight, 0) - p.own, 0)) AS score
-            FROM (SELECT user_id, place, own, unnest(keywords) AS word FROM pairs) p
-            LEFT JOIN word_weight w ON w.user_id = p.user_id AND w.word = p.word
-            GROUP BY ALL),
-        scores AS (
-            SELECT p.*, 2 * greatest(coalesce(t.weight, 0) - p.own, 0) + coalesce(w.score, 0)
-                AS score
-            FROM pairs p
-            LEFT JOIN topic_weight t ON t.user_id = p.user_id AND t.topic = p.topic
-            LEFT JOIN words w ON w.user_id = p.user_id AND w.place = p.place)"""),
+        WHERE rank BETWEEN 4 AND 23""", _RANKED.format(feed="feed")),
+    "affinity_feed_deep": _query("summary articles votes topic_weight word_weight", """
+        SELECT user_id, rank, CAST(score AS BIGINT) AS score, cluster_id
+        FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, place)
+                  AS rank FROM scores)
+        WHERE rank BETWEEN 4 AND 103""",
+        _RANKED.format(feed="summary")),
     "run_log": _query("log", f"""
         SELECT run_id, task_id, try_number, 'daily' AS dag_id,
             strftime(execution_date, {_TIME}) AS execution_date,

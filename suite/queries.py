@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,6 +61,27 @@ def first_seen_pages(spark: SparkSession, folder: str) -> DataFrame:
     return inserted.select("url_hash", "url", "source_provider", "ingestion_run_id")
 
 
+def landed_payloads(spark: SparkSession, folder: str) -> DataFrame:
+    """The provider's own object of each item, as it was landed, with the tags of its batch."""
+    batches = []
+    for rows, provider in ((v.page_batch, "newsapi"), (v.second_page_batch, "gnews")):
+        objects = v.landed_objects(rows(spark, folder), provider)
+        own = objects.withColumn("article", F.to_variant_object("article"))
+        batches.append(landing.tag_items(own.drop("provider", "category"), provider, F.lit("wire")))
+    path = new_path(spark, "landing")
+    landing.write_landing(landing.union_batches(*batches).drop("batch"), path)
+    rows = landing.normalise_items(landing.read_landing(spark, path))
+    payload = F.col("raw_payload")
+    names = F.array_join(F.array_sort(F.json_object_keys(payload)), "|")
+    return rows.select(
+        "source_provider", F.col("ordinal").cast("long").alias("ordinal"), "category",
+        names.alias("names"), F.get_json_object(payload, "$.source.name").alias("outlet"),
+        F.get_json_object(payload, "$.url").alias("url"),
+        F.get_json_object(payload, "$.publishedAt").alias("published"),
+        F.md5(F.get_json_object(payload, "$.content")).alias("content_md5"),
+    )
+
+
 def rerun_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Counts of inserting one provider's pages, then both providers' into the same table."""
     items = landing.read_landing(spark, _land(spark, folder))
@@ -235,12 +258,11 @@ def refreshed_clusters(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def prompts(spark: SparkSession, folder: str) -> DataFrame:
-    rows = enrichment.prompts(_pending(spark, folder), "Story:\n{articles_block}\nEnd {{}}.")
-    return rows.select(
-        "cluster_id", F.col("part").cast("long").alias("part"),
-        F.col("parts").cast("long").alias("parts"),
-        F.col("article_count").cast("long").alias("article_count"), "prompt",
-    )
+    """The lines of all prompts, stored as they are sent and read back."""
+    lines = enrichment.prompts(_pending(spark, folder), "Story:\n{articles_block}\nEnd {{}}.")
+    path = new_path(spark, "prompts")
+    enrichment.write_prompts(lines, path)
+    return spark.read.schema(lines.schema).parquet(path)
 
 
 def _outcomes(spark: SparkSession, folder: str) -> DataFrame:
@@ -275,6 +297,19 @@ def enrichment_outcomes(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def enrichment_errors(spark: SparkSession, folder: str) -> DataFrame:
+    """Outcomes of calls that failed: the error text, cut, or the text for an empty answer."""
+    rows = enrichment.outcomes(
+        _pending(spark, folder), v.failed_responses(spark, folder), F.lit("model"),
+        F.lit("2024-04-01 00:00:00").cast("timestamp"),
+    )
+    raw = F.col("raw_llm_response")
+    return rows.select(
+        "cluster_id", "enrichment_status", F.length(raw).cast("long").alias("n_chars"),
+        F.md5(raw).alias("raw_md5"),
+    )
+
+
 def enrichment_gate(spark: SparkSession, folder: str) -> DataFrame:
     return enrichment.enrichment_counts(_outcomes(spark, folder))
 
@@ -428,6 +463,21 @@ def affinity_feed(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def affinity_feed_deep(spark: SparkSession, folder: str) -> DataFrame:
+    """A long page of a feed of every labelled article alone, which is longer than the window."""
+    every = _summaries(spark, folder).withColumn("enrichment_status", F.lit("success"))
+    articles = v.articles(spark, folder)
+    alone = articles.select("url_hash", F.col("url_hash").alias("cluster_id"))
+    page = serving.affinity_feed(
+        serving.cards(every, serving.story_media(alone, articles)), _votes(spark, folder), every,
+        100, 3,
+    )
+    return page.select(
+        "user_id", F.col("rank").cast("long").alias("rank"),
+        F.col("score").cast("long").alias("score"), "cluster_id",
+    )
+
+
 # ---- run log and quality
 
 def _log(spark: SparkSession, folder: str) -> DataFrame:
@@ -523,6 +573,17 @@ def stream_daily_stats(spark: SparkSession, folder: str) -> DataFrame:
     return _date_text(current.drop("batch"))
 
 
+def stream_daily_late(spark: SparkSession, folder: str) -> DataFrame:
+    """Daily counts with two days of lateness, of articles of which many come later."""
+    path, out = new_path(spark, "day-articles"), new_path(spark, "days")
+    checkpoint = new_path(spark, "days-checkpoint")
+    counts = jobs.DayCounts(spark, out, timedelta(days=2), every=2)
+    for arrival in v.day_arrivals(spark, folder):
+        arrival.write.mode("append").parquet(path)
+        counts.run(spark.readStream.schema(arrival.schema).parquet(path), checkpoint).awaitTermination()
+    return _date_text(counts.read())
+
+
 def stream_responses(spark: SparkSession, folder: str) -> DataFrame:
     answers = v.responses(spark, folder)
     out = new_path(spark, "answers")
@@ -546,7 +607,8 @@ QUERIES = [
     story_lookup, story_head_jaccard, story_cards, feed_page, feed_search, feed_keyset_page, topic_stats, story_detail,
     story_sources, valid_feedback, current_votes, toggled_votes, liked_page, affinity_profile,
     affinity_feed, run_log, run_history, quality_report, member_audit, stream_first_seen,
-    stream_votes, stream_daily_stats, stream_responses,
+    stream_votes, stream_daily_stats, stream_responses, landed_payloads, enrichment_errors,
+    affinity_feed_deep, stream_daily_late,
 ]
 
 

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidings.plans.history import metadata_json
+
 JAN, FEB, MAR = 1704067200, 1706745600, 1709251200  # first days of 2024, UTC
 
 
@@ -245,6 +247,24 @@ def responses(spark: SparkSession, folder: str) -> DataFrame:
     return answers(1, first).unionByName(answers(2, second))
 
 
+def failed_responses(spark: SparkSession, folder: str) -> DataFrame:
+    """A call of the model per document that failed with a long error text, or without any."""
+    error = F.repeat(F.concat(F.trim("title"), F.lit("; ")), F.lit(100))
+    return articles(spark, folder).select(
+        F.col("url_hash").alias("cluster_id"), F.lit(1).alias("attempt"),
+        F.lit(None).cast("string").alias("raw_text"),
+        F.when(F.col("doc_id") % 7 != 0, error).alias("error"),
+    )
+
+
+def day_arrivals(spark: SparkSession, folder: str) -> list[DataFrame]:
+    """Articles in three arrivals: half of the late days, all early days, the rest."""
+    doc = F.col("doc_id")
+    rows, early = articles(spark, folder), doc % 240 < 120
+    parts = [~early & (doc % 2 == 0), early, ~early & (doc % 2 == 1)]
+    return [rows.where(part).select("published_at", "source_name") for part in parts]
+
+
 def _stories(spark: SparkSession, folder: str) -> int:
     """One story in three documents, so that events reach all of them at every scale."""
     return table(spark, folder, "documents").count() // 3 + 1
@@ -310,5 +330,5 @@ def run_events(spark: SparkSession, folder: str) -> DataFrame:
         F.when(failed, F.repeat(F.concat(F.col("event_type"), F.lit(" ")), F.lit(900))).alias(
             "error_message"
         ),
-        F.to_json(F.struct(k.alias("k"), "user_id")).alias("extra_metadata"),
+        metadata_json(k.alias("k"), "user_id").alias("extra_metadata"),
     )

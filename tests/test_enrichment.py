@@ -51,24 +51,38 @@ MEMBERS = [("a", key(1), "T1", "D1", "Forbes", 1), ("a", key(2), None, None, Non
            ("a", key(3), "T3", None, "", 3), ("b", key(4), "T4", "D4", "X", 1)]
 
 
+def joined(lines, story):
+    own = sorted((r.line_no, r.text) for r in lines.collect() if r.cluster_id == story)
+    assert [number for number, _ in own] == list(range(len(own)))
+    return "".join(text for _, text in own)
+
+
 def test_prompts(spark):
     members = member_table(spark, MEMBERS)
-    got = {r.cluster_id: r for r in enrichment.prompts(
-        members, "Head {{}}\n{articles_block}\nTail").collect()}
-    assert got["a"].prompt == (
+    got = enrichment.prompts(members, "Head {{}}\n{articles_block}\nTail")
+    assert joined(got, "a") == (
         "Head {}\n1. [Forbes] T1\n   D1\n2. [unknown source] \n   \n"
         "3. [unknown source] T3\n   \nTail")
-    assert (got["a"].parts, got["a"].article_count) == (1, 3)
+    assert joined(got, "b") == "Head {}\n1. [X] T4\n   D4\nTail"
     assert "{articles_block}" in enrichment.TEMPLATE
-
-
-def test_parts_of_a_long_prompt_join_to_the_whole(spark):
-    rows = [("a", key(n), f"T{n}", f"D{n}", "S", n) for n in range(1, 24)]
-    members = member_table(spark, rows)
-    whole = enrichment.prompts(members).first().prompt
-    parts = enrichment.prompts(members, lines_per_part=5).orderBy("part").collect()
-    assert len(parts) == 5 == parts[0].parts
-    assert "".join(r.prompt for r in parts) == whole
+    assert enrichment.prompts(members.limit(0)).isEmpty()
+
+
+def test_stored_prompts_are_read_in_order(spark, tmp_path):
+    """A story that is cut over several files is one text; others keep their own."""
+    rows = [("a", key(n), f"T{n}", f"D{n}", "S", n) for n in range(1, 400)]
+    lines = enrichment.prompts(member_table(spark, rows + [("b", key(0), "T", None, None, 1)]))
+    path = str(tmp_path / "prompts")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        enrichment.write_prompts(lines, path)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    files = spark.read.parquet(path).where("cluster_id = 'a'").select(F.input_file_name()).distinct()
+    assert files.count() > 1
+    for story in ("a", "b"):
+        assert "".join(enrichment.prompt_text(spark, path, story)) == joined(lines, story)
+    assert list(enrichment.prompt_text(spark, path, "c")) == []
 
 
 GOOD = ('{"summary": "s%s", "topic": "t", "sentiment": "n", "keywords": ["k"], '

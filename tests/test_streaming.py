@@ -163,6 +163,28 @@ def test_daily_counts(spark, tmp_path):
     assert rows_of(current) == rows_of(daily_stats(articles))
 
 
+def test_late_rows_are_counted_aside(spark, tmp_path):
+    """Rows behind the watermark are a side table; a replayed batch changes nothing."""
+    days = [[8, 9, 9, 10], [1, 2, 10], [9, 1, 20], [10, 25]]
+    path, table, checkpoint = (str(tmp_path / n) for n in ("in", "out", "check"))
+    counts = jobs.DayCounts(spark, table, timedelta(days=2), every=2)
+    batches = [
+        spark.createDataFrame([(T0 + timedelta(days=d), "s") for d in batch] + [(None, "s")],
+                              "published_at timestamp, source_name string") for batch in days]
+    for batch in batches:
+        stream = stream_of(spark, batch.coalesce(1), path)
+        counts.run(stream, checkpoint).awaitTermination()
+    every = batches[0].union(batches[1]).union(batches[2]).union(batches[3])
+    assert rows_of(counts.read().drop("late_count")) == rows_of(daily_stats(every))
+    first = T0.date()
+    late = {(r.published_date - first).days: r.article_count for r in counts.late().collect()}
+    # behind 8 - 2 days are 1 and 2, then 1 again, and behind 20 - 2 days is 10
+    assert late == {1: 2, 2: 1, 10: 1}
+    before = rows_of(counts.read())
+    counts._count(batches[3], 3)
+    assert rows_of(counts.read()) == before
+
+
 def test_answers(spark, tmp_path):
     good = '{"summary": "s", "topic": "t", "sentiment": "n"}'
     rows = [(f"c{n % 7}", n // 7 + 1, good if n % 4 == 0 else "bad", None) for n in range(21)]

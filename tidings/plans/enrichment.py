@@ -6,9 +6,9 @@ The model itself is not called here. Its answers arrive as a table
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidings.functions.responses import with_answer
@@ -22,7 +22,6 @@ from tidings.session import materialize
 MAX_ATTEMPTS = 3
 MAX_FAILURE_RATE = 0.2
 UNKNOWN_SOURCE = "unknown source"
-LINES_PER_PART = 500
 
 # Fixed value: error text stored for an empty answer.
 EMPTY_ANSWER = "No JSON object found in LLM response: ''"
@@ -88,47 +87,48 @@ def member_line(number: Column, source: Column, title: Column, description: Colu
     )
 
 
-def prompts(
-    members: DataFrame, template: str = TEMPLATE, lines_per_part: int = LINES_PER_PART
-) -> DataFrame:
-    """Prompt text per pending story: ``(cluster_id, part, parts, article_count, prompt)``.
+def prompts(members: DataFrame, template: str = TEMPLATE) -> DataFrame:
+    """The prompt of each pending story as lines: ``(cluster_id, line_no, text)``.
 
-    A story of up to ``lines_per_part`` articles has one part, its whole prompt. The prompt of
-    a larger one comes in consecutive parts, so no task holds an unbounded text; the parts
-    joined in order are the whole prompt.
+    Line 0 is the template before the articles, lines 1 to n are the articles, line n + 1 is the
+    rest of the template. The texts of a story, one after the other, are its prompt. Lines have one
+    form at every size, so a story of any size is neither collected nor cut.
     """
     head, tail = [
         text.replace("{{", "{").replace("}}", "}")
         for text in template.split("{articles_block}", 1)
     ]
-    counts = pending_clusters(members)
-    part = F.floor((F.col("member_no") - 1) / lines_per_part).cast("int")
     line = member_line(
         F.col("member_no"), F.col("source_name"), F.col("title"), F.col("description")
     )
-    blocks = (
-        members.select(
-            "cluster_id",
-            part.alias("part"),
-            F.struct("member_no", line.alias("line")).alias("entry"),
-        )
-        .groupBy("cluster_id", "part")
-        .agg(F.sort_array(F.collect_list("entry")).alias("entries"))
-        .select(
-            "cluster_id", "part",
-            F.array_join(F.col("entries.line"), "\n").alias("block"),
-        )
-    )
-    parts = F.ceil(F.col("article_count") / lines_per_part).cast("int")
-    whole = join_spread(blocks, counts, ["cluster_id"], "part")
-    return whole.select(
-        "cluster_id", "part", parts.alias("parts"), "article_count",
-        F.concat(
-            F.when(F.col("part") == 0, head).otherwise(""),
-            "block",
-            F.when(F.col("part") == parts - 1, tail).otherwise("\n"),
-        ).alias("prompt"),
+    number = F.col("member_no").cast("long").alias("line_no")
+    before = F.when(F.col("member_no") > 1, "\n").otherwise("")
+    entries = members.select("cluster_id", number, F.concat(before, line).alias("text"))
+    frames = F.array(
+        F.struct(F.lit(0).cast("long").alias("line_no"), F.lit(head).alias("text")),
+        F.struct((F.col("article_count") + 1).alias("line_no"), F.lit(tail).alias("text")),
     )
+    frame = pending_clusters(members).select("cluster_id", F.inline(frames))
+    return entries.unionByName(frame)
+
+
+def write_prompts(lines: DataFrame, path: str) -> None:
+    """Store the lines of :func:`prompts` in the order in which they are sent.
+
+    Files are ranges of stories and lines, sorted, so that one prompt is one stretch of rows and a
+    large one goes on in the next file.
+    """
+    order = ["cluster_id", "line_no"]
+    ranged = lines.repartitionByRange(*order).sortWithinPartitions(*order)
+    ranged.write.mode("error").parquet(path)
+
+
+def prompt_text(spark: SparkSession, path: str, cluster_id: str) -> Iterator[str]:
+    """The stored prompt of one story, text by text; only the row groups that hold it are read."""
+    stored = spark.read.schema("cluster_id string, line_no long, text string").parquet(path)
+    own = stored.where(F.col("cluster_id") == cluster_id).orderBy("line_no")
+    for row in own.toLocalIterator():
+        yield row.text
 
 
 def settled(parsed: DataFrame, sequence: Sequence[str] = ()) -> DataFrame:
@@ -184,16 +184,18 @@ def _perspectives(chosen: DataFrame, members: DataFrame) -> DataFrame:
 
 
 def outcomes(
-    members: DataFrame, responses: DataFrame, model: Column, enriched_at: Column
+    members: DataFrame, responses: DataFrame, model: Column, enriched_at: Column,
+    sequence: Sequence[str] = (),
 ) -> DataFrame:
     """One summary row per pending story, to append to the summary table.
 
     A story with a valid answer succeeds with all its fields; any other gets a failed row with
-    empty fields and the answer or error text. One bad answer never touches another story.
+    empty fields and the answer or error text. One bad answer never touches another story. Of
+    answers of one attempt the last by ``sequence`` counts.
     """
     # Both are used twice: for the stories and for the articles their answers refer to.
     members = materialize(members.select("cluster_id", "url_hash", "member_no"), "members")
-    chosen = materialize(checked_responses(responses), "chosen")
+    chosen = materialize(checked_responses(responses, sequence), "chosen")
     stories = (
         pending_clusters(members)
         .join(chosen, "cluster_id", "left")

@@ -9,6 +9,7 @@ and its checkpoint belong together and start together.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timedelta
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -21,6 +22,7 @@ from tidings.functions.responses import with_answer
 from tidings.operators.keyed import fold_votes, latest
 from tidings.plans.enrichment import MAX_ATTEMPTS, settled
 from tidings.schemas import LANDED_ITEM
+from tidings.session import materialize, scratch
 from tidings.sources.landing import normalise_items
 from tidings.sources.state_log import EVERY, StateLog
 
@@ -100,7 +102,7 @@ def daily_counts(articles: DataFrame, lateness: str) -> DataFrame:
     """Articles per publish date and outlet with bounded state.
 
     Rows later than ``lateness`` are left out, which the batch form never does; choose it
-    larger than the longest delay that still counts.
+    larger than the longest delay that still counts, or use :class:`DayCounts`.
     """
     return (
         articles.where(F.col("published_at").isNotNull())
@@ -121,6 +123,77 @@ def run_daily_counts(
     return _run(counts, checkpoint, lambda batch, batch_id: _write(batch, table, batch_id), "update")
 
 
+class DayCounts:
+    """Articles per publish date and outlet with an ordinary lateness, and no row lost.
+
+    The watermark of a batch is the newest publish time of all batches before it less ``lateness``.
+    Rows of days that had ended by then are *late*: they go to a side log, the others to the main one.
+    Both are folded by :class:`StateLog`, and a read adds them up, which gives the counts of the batch
+    form whatever the order of arrival. Readers that want settled days only take :meth:`on_time`.
+    """
+
+    KEYS = ("published_date", "source_name")
+
+    def __init__(
+        self, spark: SparkSession, table: str, lateness: timedelta, every: int = EVERY
+    ) -> None:
+        self.spark, self.table, self.lateness = spark, table, lateness
+        schema = "published_date date, source_name string, article_count long"
+        stored = spark.createDataFrame([], schema).schema
+        self.main, self.side = (
+            StateLog(spark, f"{table}/{name}", stored, self._fold, every) for name in ("main", "late")
+        )
+
+    def _fold(self, counts: DataFrame) -> DataFrame:
+        return counts.groupBy(*self.KEYS).agg(F.sum("article_count").alias("article_count"))
+
+    def _newest(self, upto: int) -> datetime | None:
+        """The newest publish time of the batches up to a number; one row was kept for each batch."""
+        if upto < 0:
+            return None
+        return self.spark.read.schema("newest timestamp").parquet(
+            f"{self.table}/newest/batch={upto}"
+        ).first().newest
+
+    def _count(self, batch: DataFrame, batch_id: int) -> None:
+        before = self._newest(batch_id - 1)
+        day = F.to_date("published_at").alias("published_date")
+        known = batch.where(F.col("published_at").isNotNull())
+        with scratch(self.spark):
+            counts = materialize(
+                known.groupBy(day, "source_name").agg(
+                    F.count(F.lit(1)).alias("article_count"), F.max("published_at").alias("newest")
+                ),
+                "day-counts",
+            )
+            newest = F.greatest(F.max("newest"), F.lit(before).cast("timestamp")).alias("newest")
+            counts.agg(newest).coalesce(1).write.mode("overwrite").parquet(
+                f"{self.table}/newest/batch={batch_id}"
+            )
+            ended = F.date_add("published_date", 1).cast("timestamp")
+            bound = F.lit(before).cast("timestamp") - F.lit(self.lateness)
+            is_late = F.coalesce(ended <= bound, F.lit(False))
+            self.main.append(counts.where(~is_late), batch_id)
+            self.side.append(counts.where(is_late), batch_id)
+
+    def run(self, articles: DataFrame, checkpoint: str) -> StreamingQuery:
+        return _run(articles.select("published_at", "source_name"), checkpoint, self._count)
+
+    def on_time(self) -> DataFrame:
+        return self.main.read()
+
+    def late(self) -> DataFrame:
+        return self.side.read()
+
+    def read(self) -> DataFrame:
+        """``(published_date, source_name, article_count, late_count)`` of all rows."""
+        late = self.late().withColumn("late_count", F.col("article_count"))
+        both = self.on_time().withColumn("late_count", F.lit(0).cast("long")).unionByName(late)
+        return both.groupBy(*self.KEYS).agg(
+            F.sum("article_count").alias("article_count"), F.sum("late_count").alias("late_count")
+        )
+
+
 def append_batches(stream: DataFrame, table: str, checkpoint: str) -> StreamingQuery:
     """Append every row of a stream, replay-safe."""
     return _run(stream, checkpoint, lambda batch, batch_id: _write(batch, table, batch_id))
