@@ -357,6 +357,41 @@ def _catalog() -> str:
     return _query("stage", " UNION ALL ".join(rows))
 
 
+#: Columns of the published layers: table, what it is built from, name, type, comment.
+_LAYER_COLUMNS = [
+    *(("stage", "", name, kind, "") for name, kind in _STAGE_TYPES),
+    ("dim_source", "stage", "source_name", "string", "outlet name; Unknown stands for a missing one"),
+    ("dim_source", "stage", "source_id", "string", "one provider id seen for the outlet"),
+    ("dim_source", "stage", "sample_domain", "string", "one host seen for the outlet"),
+    *(("mart_articles", "dim_source|stage", *column) for column in (
+        ("url_hash", "string", "key of the article"), ("title", "string", "headline"),
+        ("description", "string", "short summary"), ("content", "string", "article body"),
+        ("is_content_truncated", "boolean", "body is 260 bytes or longer"),
+        ("url", "string", "article URL"), ("url_domain", "string", "host of the URL"),
+        ("url_to_image", "string", "image URL"), ("published_at", "timestamp", "publish time"),
+        ("category", "string", "category"), ("source_provider", "string", "provider"),
+        ("source_id", "string", "id of the outlet from the source dimension"),
+        ("source_name", "string", "outlet name of the article, may be missing"),
+        ("fetched_at", "timestamp", "time of the fetch"))),
+    ("daily_stats", "mart_articles", "published_date", "date", "publish date (UTC)"),
+    ("daily_stats", "mart_articles", "source_name", "string", "outlet name"),
+    ("daily_stats", "mart_articles", "article_count", "bigint",
+     "articles of that outlet on that date"),
+]
+
+
+def _layers() -> str:
+    values = ", ".join(
+        "(" + ", ".join(f"'{text}'" for text in column) + ")" for column in _LAYER_COLUMNS)
+    return _query("stage dim mart daily", f"""
+        SELECT c.table_name, c.sources, c.column_name, c.type, c.comment, n.rows
+        FROM (VALUES {values}) AS c(table_name, sources, column_name, type, comment)
+        JOIN (SELECT 'stage' AS table_name, count(*) AS rows FROM stage
+              UNION ALL SELECT 'dim_source', count(*) FROM dim
+              UNION ALL SELECT 'mart_articles', count(*) FROM mart
+              UNION ALL SELECT 'daily_stats', count(*) FROM daily) n USING (table_name)""")
+
+
 def _quality() -> str:
     versions = "(SELECT url_hash, url, published_at FROM article_versions)"
     tables = [
@@ -461,6 +496,27 @@ ORACLE = {
         FROM (SELECT *, row_number() OVER (PARTITION BY url_hash
                                            ORDER BY fetched_at DESC, seq DESC) AS n
               FROM article_versions) WHERE n = 1"""),
+    "appended_versions": _query("article_versions", """
+        SELECT url_hash, title, CAST(seq AS BIGINT) AS seq, CAST(seq + 1 AS BIGINT) AS append_no
+        FROM (SELECT *, row_number() OVER (PARTITION BY url_hash
+                                           ORDER BY fetched_at DESC, seq DESC) AS n
+              FROM article_versions) WHERE n = 1"""),
+    "appended_answers": _query("answers", r"""
+        SELECT cluster_id, CAST(attempt AS BIGINT) AS attempt, is_valid, md5(raw_text) AS raw_md5
+        FROM (
+            SELECT *, row_number() OVER (PARTITION BY cluster_id ORDER BY is_valid DESC,
+                CASE WHEN is_valid THEN attempt ELSE -attempt END, append DESC) AS place
+            FROM (
+                SELECT *, CASE WHEN json_valid(block) THEN
+                        coalesce(json_type(block, '$.summary') = 'VARCHAR'
+                             AND json_type(block, '$.topic') = 'VARCHAR'
+                             AND json_type(block, '$.sentiment') = 'VARCHAR', false)
+                    ELSE false END AS is_valid
+                FROM (SELECT *, regexp_extract(raw_text, '(?s)\{.*\}') AS block FROM (
+                    SELECT cluster_id, attempt, raw_text, 1 AS append FROM answers
+                    UNION ALL SELECT url_hash, 1 + doc_id % 2, 'taken back', 2 FROM articles))))
+        WHERE place = 1"""),
+    "layer_catalog": _layers(),
     "stage_articles": _query("stage", f"""
         SELECT url_hash, source_id, source_name, title, description, md5(content) AS content_md5,
             is_content_truncated, url, url_domain,

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from datetime import timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +17,7 @@ from tidings.functions.labels import age_label
 from tidings.operators import keyed, quality
 from tidings.operators.similarity import Limits
 from tidings.plans import enrichment, history, layers, serving, stories
-from tidings.schemas import LANDED_ITEM
+from tidings.schemas import DAILY_STATS, LANDED_ITEM, MART_ARTICLES, SOURCE_DIMENSION
 from tidings.session import configure, materialize, new_path
 from tidings.sources import landing, tables
 from tidings.streaming import jobs
@@ -153,6 +157,76 @@ def latest_articles(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@contextmanager
+def _database(spark: SparkSession) -> Iterator[str]:
+    """A database of its own; a query that is run again finds no table of the run before."""
+    name = f"suite_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {name}")
+    try:
+        yield name
+    finally:
+        spark.sql(f"DROP DATABASE {name} CASCADE")
+
+
+def appended_versions(spark: SparkSession, folder: str) -> DataFrame:
+    """Newest rows of a table that had two appends; of equal times the later append counts."""
+    versions = v.article_versions(spark, folder).select("url_hash", "title", "fetched_at", "seq")
+    with _database(spark) as database:
+        name = f"{database}.versions"
+        for seq in (0, 1):
+            tables.append_table(versions.where(F.col("seq") == seq), name, sequence=True)
+        current = layers.current_articles(spark.table(name), tables.SEQUENCE)
+        rows = current.select(
+            "url_hash", "title", F.col("seq").cast("long").alias("seq"),
+            F.col(f"{tables.SEQUENCE}.commit").alias("append_no"),
+        )
+        return materialize(rows, "current", keep=True)
+
+
+def appended_answers(spark: SparkSession, folder: str) -> DataFrame:
+    """Answers of which one attempt came twice: the one received last is the attempt's answer."""
+    with _database(spark) as database:
+        name = f"{database}.answers"
+        for arrival in v.repeated_answers(spark, folder):
+            tables.append_table(arrival, name, sequence=True)
+        chosen = enrichment.checked_responses(spark.table(name), [tables.SEQUENCE])
+        rows = chosen.select(
+            "cluster_id", F.col("attempt").cast("long").alias("attempt"),
+            F.col("answer.valid").alias("is_valid"), F.md5("raw_text").alias("raw_md5"),
+        )
+        return materialize(rows, "settled", keep=True)
+
+
+def layer_catalog(spark: SparkSession, folder: str) -> DataFrame:
+    """Published layers: every column with its comment, its table's rows and what it was built from."""
+    with _database(spark) as database:
+        stage, dim, mart, daily = (
+            f"{database}.{name}" for name in ("stage", "dim_source", "mart_articles", "daily_stats")
+        )
+        tables.append_table(layers.stage_articles(v.articles(spark, folder)), stage)
+        source = spark.table(stage)
+        sources = tables.publish_table(
+            layers.source_dimension(source), dim, schema=SOURCE_DIMENSION
+        )
+        articles = tables.publish_table(
+            layers.mart_articles(source, sources), mart, schema=MART_ARTICLES
+        )
+        tables.publish_table(layers.daily_stats(articles), daily, schema=DAILY_STATS)
+        found = tables.published(spark, database)
+        rows = reduce(DataFrame.unionAll, [
+            spark.table(name).agg(F.count(F.lit(1)).alias("rows")).select(
+                F.lit(name).alias("table_name"), "rows") for name in found])
+        built = tables.lineage(spark, [database]).groupBy("table_name").agg(
+            F.array_join(F.array_sort(F.collect_list(F.split_part("source_name", F.lit("."), F.lit(2)))),
+                         "|").alias("sources"))
+        columns = tables.catalog(spark, found).join(rows, "table_name")
+        columns = columns.join(built, "table_name", "left").select(
+            F.split_part("table_name", F.lit("."), F.lit(2)).alias("table_name"), "column_name", "type",
+            "comment", F.coalesce("sources", F.lit("")).alias("sources"), "rows",
+        )
+        return materialize(columns, "catalog", keep=True)
+
+
 def stage_articles(spark: SparkSession, folder: str) -> DataFrame:
     stage = layers.stage_articles(v.articles(spark, folder))
     return stage.select(
@@ -608,7 +682,7 @@ QUERIES = [
     story_sources, valid_feedback, current_votes, toggled_votes, liked_page, affinity_profile,
     affinity_feed, run_log, run_history, quality_report, member_audit, stream_first_seen,
     stream_votes, stream_daily_stats, stream_responses, landed_payloads, enrichment_errors,
-    affinity_feed_deep, stream_daily_late,
+    affinity_feed_deep, stream_daily_late, appended_versions, appended_answers, layer_catalog,
 ]
 
 

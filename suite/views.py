@@ -265,6 +265,16 @@ def day_arrivals(spark: SparkSession, folder: str) -> list[DataFrame]:
     return [rows.where(part).select("published_at", "source_name") for part in parts]
 
 
+def repeated_answers(spark: SparkSession, folder: str) -> list[DataFrame]:
+    """Both appends of a table of answers: every answer, then one attempt of every document again."""
+    rows = responses(spark, folder)
+    again = articles(spark, folder).select(
+        F.col("url_hash").alias("cluster_id"), (1 + F.col("doc_id") % 2).cast("int").alias("attempt"),
+        F.lit("taken back").alias("raw_text"), F.lit(None).cast("string").alias("error"),
+    )
+    return [rows, again]
+
+
 def _stories(spark: SparkSession, folder: str) -> int:
     """One story in three documents, so that events reach all of them at every scale."""
     return table(spark, folder, "documents").count() // 3 + 1

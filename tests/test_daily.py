@@ -53,6 +53,12 @@ def test_daily_job(spark, tmp_path):
         daily.require_success(counts)
     assert (counts["fetched"], counts["new"], counts["failed"]) == (3, 1, 2)
 
+    built = {tuple(r) for r in tables.lineage(spark).collect()}
+    assert {("mart.mart_articles", "mart.dim_source"), ("mart.mart_articles", "ods.ods_articles"),
+            ("mart.story_media", "mart.article_clusters"),
+            ("mart.summary_clusters", "mart.mart_articles")} <= built
+    assert spark.table(daily.MART).schema["title"].metadata["comment"] == "headline"
+
     # the same files again: nothing is added, and the summarised story is not pending
     assert daily.ingest(spark, path, "r1")["new"] == 0
     daily.refresh_layers(spark)

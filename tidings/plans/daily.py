@@ -19,7 +19,7 @@ from tidings.operators.keyed import above_watermark, fold_runs, fold_votes, spli
 from tidings.operators.quality import quality_report
 from tidings.plans import enrichment, history, layers, serving
 from tidings.plans.stories import assignment_rows, story_clusters
-from tidings.session import materialize
+from tidings.session import materialize, scratch
 from tidings.sources import landing, tables
 
 RAW = "raw.newsapi_articles"
@@ -35,6 +35,7 @@ MEDIA = "mart.story_media"
 SUMMARIES = "mart.summary_clusters"
 RUN_EVENTS = "raw.run_events"
 FEEDBACK_EVENTS = "raw.feedback_events"
+ANSWERS = "raw.llm_answers"
 KEY = "url_hash"
 
 
@@ -103,7 +104,9 @@ def refresh_layers(spark: SparkSession, buckets: int = 0) -> dict:
     tables.publish_view(stage, STAGE)
     known = tables.stored(spark, ODS)
     fresh = stage if known is None else above_watermark(stage, known, "fetched_at")
-    tables.append_table(layers.current_articles(fresh), ODS, key=KEY, buckets=buckets)
+    tables.append_table(
+        layers.current_articles(fresh), ODS, key=KEY, buckets=buckets, sequence=True, sources=[STAGE]
+    )
     ods = current_ods(spark)
     sources = tables.publish_table(layers.source_dimension(ods), SOURCES)
     mart = tables.publish_table(layers.mart_articles(ods, sources), MART, KEY, buckets)
@@ -113,7 +116,7 @@ def refresh_layers(spark: SparkSession, buckets: int = 0) -> dict:
 
 def current_ods(spark: SparkSession) -> DataFrame:
     """Newest version of each deduplicated article."""
-    return layers.current_articles(spark.table(ODS))
+    return layers.current_articles(spark.table(ODS), tables.SEQUENCE).drop(tables.SEQUENCE)
 
 
 def check_layers(spark: SparkSession) -> DataFrame:
@@ -152,7 +155,8 @@ def _summaries(spark: SparkSession) -> DataFrame:
     known = tables.stored(spark, SUMMARIES)
     if known is None:
         known = spark.createDataFrame([], enrichment.SUMMARY_CLUSTERS)
-    return enrichment.current_summaries(known)
+        return enrichment.current_summaries(known)
+    return enrichment.current_summaries(known, tables.SEQUENCE).drop(tables.SEQUENCE)
 
 
 def pending(spark: SparkSession) -> DataFrame:
@@ -162,16 +166,27 @@ def pending(spark: SparkSession) -> DataFrame:
     )
 
 
-def record_answers(spark: SparkSession, responses: DataFrame, model: str) -> dict:
+def receive_answers(spark: SparkSession, responses: DataFrame) -> int:
+    """Append answers of the model as they arrive; an attempt may come again."""
+    columns = ["cluster_id", "attempt", "raw_text", "error"]
+    return tables.append_table(responses.select(*columns), ANSWERS, sequence=True)
+
+
+def record_answers(spark: SparkSession, responses: DataFrame | None, model: str) -> dict:
     """Append one outcome per pending story and count them.
 
+    Without ``responses`` the received answers count, and of one attempt the one received last.
     Put the counts into the run log, then call :func:`require_success` on them.
     """
     now = F.date_trunc("second", F.lit(_now()).cast("timestamp"))
-    rows = enrichment.outcomes(pending(spark), responses, F.lit(model), now)
-    rows = materialize(rows, "outcomes")
-    tables.append_table(rows, SUMMARIES)
-    counts = enrichment.enrichment_counts(rows).first()
+    if responses is None:
+        responses = spark.table(ANSWERS)
+    order = [tables.SEQUENCE] if tables.SEQUENCE in responses.columns else []
+    with scratch(spark):
+        rows = enrichment.outcomes(pending(spark), responses, F.lit(model), now, order)
+        rows = materialize(rows, "outcomes")
+        tables.append_table(rows, SUMMARIES, sequence=True, sources=[CLUSTERS, MART, ANSWERS])
+        counts = enrichment.enrichment_counts(rows).first()
     return {"fetched": counts.attempted, "new": counts.succeeded, "failed": counts.failed,
             "is_over_limit": counts.is_over_limit}
 

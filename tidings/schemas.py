@@ -206,15 +206,3 @@ LAYERS = {
     "feedback": FEEDBACK,
     "run_log": RUN_LOG,
 }
-
-#: Tables each table is built from.
-LINEAGE = {
-    "stage.stg_articles": ["raw.newsapi_articles"],
-    "ods.ods_articles": ["stage.stg_articles"],
-    "mart.dim_source": ["ods.ods_articles"],
-    "mart.mart_articles": ["ods.ods_articles", "mart.dim_source"],
-    "mart.mart_daily_stats": ["mart.mart_articles"],
-    "mart.article_clusters": ["mart.mart_articles"],
-    "mart.story_media": ["mart.article_clusters", "mart.mart_articles"],
-    "mart.summary_clusters": ["mart.article_clusters", "mart.mart_articles"],
-}

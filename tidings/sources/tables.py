@@ -2,15 +2,23 @@
 
 from __future__ import annotations
 
+import json
 import re
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tidings.operators.keyed import delete_insert
-from tidings.schemas import LAYERS, LINEAGE
+from tidings.schemas import LAYERS
+
+#: Properties of a table: the number of its last append, the tables it was built from.
+COMMITS, SOURCES = "tidings.commits", "tidings.sources"
+#: The column that tells rows of equal versions apart.
+SEQUENCE = "commit_seq"
+_CATALOG = "spark_catalog"
 
 
 def create_namespaces(spark: SparkSession) -> None:
@@ -24,8 +32,46 @@ def publish_view(df: DataFrame, name: str) -> None:
     df.createOrReplaceTempView(name)
 
 
+def plan_sources(df: DataFrame) -> list[str]:
+    """Names of the tables and views of the catalog that a frame reads, from its analysed plan.
+
+    A view counts as itself and not as what it reads. Files that are read by path have no name.
+    """
+    found: set[str] = set()
+    open_nodes = [df._jdf.queryExecution().analyzed()]
+    while open_nodes:
+        node = open_nodes.pop()
+        kind = node.nodeName()
+        if kind == "View":
+            found.add(node.desc().identifier().unquotedString())
+            continue
+        if kind == "LogicalRelation" and node.catalogTable().isDefined():
+            found.add(node.catalogTable().get().identifier().unquotedString())
+        children = node.children()
+        open_nodes += [children.apply(i) for i in range(children.size())]
+    return sorted(name.removeprefix(f"{_CATALOG}.") for name in found)
+
+
+def _sources(df: DataFrame, given: Sequence[str] | None) -> list[str]:
+    return sorted(given) if given is not None else plan_sources(df)
+
+
+def _note_sources(spark: SparkSession, kind: str, name: str, sources: Sequence[str]) -> None:
+    noted = json.dumps(list(sources)).replace("'", "\\'")
+    spark.sql(f"ALTER {kind} {name} SET TBLPROPERTIES ('{SOURCES}' = '{noted}')")
+
+
+def _with_comments(df: DataFrame, schema: StructType | None) -> DataFrame:
+    """``df`` with the comments that ``schema`` has for its columns."""
+    comments = {f.name: f.metadata["comment"] for f in schema or () if "comment" in f.metadata}
+    for name in comments.keys() & set(df.columns):
+        df = df.withMetadata(name, {"comment": comments[name]})
+    return df
+
+
 def publish_table(
-    df: DataFrame, name: str, key: str | None = None, buckets: int = 0
+    df: DataFrame, name: str, key: str | None = None, buckets: int = 0,
+    sources: Sequence[str] | None = None, schema: StructType | None = None,
 ) -> DataFrame:
     """Publish a layer as a full rebuild.
 
@@ -36,8 +82,14 @@ def publish_table(
     With a key and buckets the table is bucketed and sorted: upserts, anti-joins and joins on
     the key then read the stored side without a shuffle. Use one number of buckets for all
     tables of a key.
+
+    The tables and views that the plan reads are noted as the sources of ``name``; name them where
+    the plan was cut by a table in the work folder. Columns get the comments of ``schema``, by default
+    of the layer of that name.
     """
     spark = df.sparkSession
+    read = _sources(df, sources)
+    df = _with_comments(df, schema or LAYERS.get(name))
     database, _, base = name.rpartition(".")
     versions = spark.sql(f"SHOW TABLES {f'IN {database} ' if database else ''}LIKE '{base}_v*'")
     numbers = {}
@@ -51,6 +103,7 @@ def publish_table(
         writer = writer.bucketBy(buckets, key).sortBy(key)
     writer.saveAsTable(stored)
     spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {stored}")
+    _note_sources(spark, "VIEW", name, read)
     for old, of in numbers.items():
         if of < number - 1:
             spark.sql(f"DROP TABLE IF EXISTS {f'{database}.' if database else ''}{old}")
@@ -78,11 +131,42 @@ def append_files(df: DataFrame, path: str) -> int:
     return int(written.get["rows"])
 
 
+def _property(spark: SparkSession, name: str, key: str) -> str | None:
+    found = spark.sql(f"SHOW TBLPROPERTIES {name}").where(F.col("key") == key).first()
+    return found.value if found else None
+
+
+def _next_commit(spark: SparkSession, name: str) -> int:
+    """The number of the next append, taken before its rows are written.
+
+    An append that fails leaves a gap. A table without the property had its first append only.
+    """
+    if not spark.catalog.tableExists(name):
+        return 1
+    number = int(_property(spark, name, COMMITS) or 1) + 1
+    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{COMMITS}' = '{number}')")
+    return number
+
+
 def append_table(
     df: DataFrame, name: str, partition: str | None = None, key: str | None = None,
-    buckets: int = 0,
+    buckets: int = 0, sequence: bool = False, sources: Sequence[str] | None = None,
 ) -> int:
-    """Append rows to an append-only table, creating it if needed; returns their number."""
+    """Append rows to an append-only table, creating it if needed; returns their number.
+
+    With ``sequence`` every row gets ``commit_seq``, the number of the append and of the row in it. Of
+    versions of equal time the one with the largest is the one inserted last, in every read. A table
+    has one writer at a time. ``sources`` as for :func:`publish_table`.
+    """
+    spark = df.sparkSession
+    is_new = not spark.catalog.tableExists(name)
+    read = _sources(df, sources)
+    if sequence:
+        commit = F.lit(_next_commit(spark, name)).cast("long").alias("commit")
+        place = F.monotonically_increasing_id().alias("row")
+        df = df.withColumn(SEQUENCE, F.struct(commit, place))
+    if is_new:
+        df = _with_comments(df, LAYERS.get(name))
     counted, written = _counted(df)
     writer = counted.write.mode("append")
     if partition:
@@ -90,6 +174,8 @@ def append_table(
     if key and buckets:
         writer = writer.bucketBy(buckets, key).sortBy(key)
     writer.saveAsTable(name)
+    if is_new:
+        _note_sources(spark, "TABLE", name, read)
     return int(written.get["rows"])
 
 
@@ -153,9 +239,27 @@ def catalog(spark: SparkSession, tables: dict[str, StructType] | None = None) ->
     )
 
 
-def lineage(spark: SparkSession) -> DataFrame:
-    """Which table is built from which."""
-    entries = [(table, source) for table, sources in LINEAGE.items() for source in sources]
+def published(spark: SparkSession, database: str) -> dict[str, StructType]:
+    """The published tables of a database and their schemas, without the stored versions."""
+    rows = spark.sql(f"SHOW TABLES IN {database}").where("NOT isTemporary").collect()
+    names = [r.tableName for r in rows if not re.search(r"_v\d+_[0-9a-f]{32}$", r.tableName)]
+    return {f"{database}.{name}": spark.table(f"{database}.{name}").schema for name in names}
+
+
+def lineage(spark: SparkSession, databases: Sequence[str] | None = None) -> DataFrame:
+    """``(table_name, source_name)``: which published table was built from which, as noted.
+
+    The sources come from the plans that built the tables. One row per table and source, and both
+    numbers follow the catalog and not the data.
+    """
+    wanted = databases or [
+        name for name in dict.fromkeys(t.split(".")[0] for t in LAYERS if "." in t)
+        if spark.catalog.databaseExists(name)
+    ]
+    entries = [
+        (table, source) for database in wanted for table in published(spark, database)
+        for source in json.loads(_property(spark, table, SOURCES) or "[]")
+    ]
     return spark.createDataFrame(entries, "table_name string, source_name string")
 
 
