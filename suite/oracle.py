@@ -517,6 +517,32 @@ ORACLE = {
                     UNION ALL SELECT url_hash, 1 + doc_id % 2, 'taken back', 2 FROM articles))))
         WHERE place = 1"""),
     "layer_catalog": _layers(),
+    "daily_job": _query("items keyed_items", """
+        SELECT * FROM (WITH runs AS (SELECT * FROM (VALUES (1, 'newsapi', 1), (2, 'gnews', 2), (3, 'gnews', 2))
+                      AS r(run, provider, upto)),
+        firsts AS (SELECT * FROM (
+            SELECT *, row_number() OVER (PARTITION BY url_hash ORDER BY batch_rank, page_id) AS n
+            FROM keyed_items) WHERE n = 1),
+        ingested AS (
+            SELECT run, (SELECT count(*) FROM items i WHERE i.source_provider = r.provider) AS fetched,
+                (SELECT count(*) FROM keyed_items k WHERE k.source_provider = r.provider) AS seen,
+                CASE WHEN run = 3 THEN 0 ELSE (SELECT count(*) FROM firsts f
+                    WHERE f.source_provider = r.provider) END AS fresh
+            FROM runs r),
+        built AS (
+            SELECT run, (SELECT count(*) FROM firsts f WHERE f.batch_rank <= r.upto) AS articles,
+                (SELECT count(DISTINCT coalesce(category, 'Unknown')) FROM firsts f
+                 WHERE f.batch_rank <= r.upto) AS sources,
+                (SELECT count(*) FROM (
+                     SELECT DISTINCT date_trunc('day', published_at), category FROM firsts f
+                     WHERE f.batch_rank <= r.upto AND published_at IS NOT NULL)) AS days
+            FROM runs r)
+        SELECT 'run-' || run AS run_id, 'ingest' AS task_id, 'success' AS status,
+            fetched AS rows_fetched, fresh AS rows_new, seen - fresh AS rows_duplicate,
+            CAST(NULL AS BIGINT) AS n_sources FROM ingested
+        UNION ALL SELECT 'run-' || run, 'layers', 'success', articles, days, 0, sources FROM built
+        UNION ALL SELECT 'run-3', 'cluster', 'success', articles, articles, 0, NULL FROM built
+        WHERE run = 3)"""),
     "stage_articles": _query("stage", f"""
         SELECT url_hash, source_id, source_name, title, description, md5(content) AS content_md5,
             is_content_truncated, url, url_domain,

@@ -16,9 +16,9 @@ from tidings.functions import text, urls
 from tidings.functions.labels import age_label
 from tidings.operators import keyed, quality
 from tidings.operators.similarity import Limits
-from tidings.plans import enrichment, history, layers, serving, stories
+from tidings.plans import daily, enrichment, history, layers, serving, stories
 from tidings.schemas import DAILY_STATS, LANDED_ITEM, MART_ARTICLES, SOURCE_DIMENSION
-from tidings.session import configure, materialize, new_path
+from tidings.session import configure, materialize, scratch, temporary_path
 from tidings.sources import landing, tables
 from tidings.streaming import jobs
 
@@ -34,7 +34,7 @@ def _joined(column):
 # ---- landing and layers
 
 def _land(spark: SparkSession, folder: str) -> str:
-    path = new_path(spark, "landing")
+    path = temporary_path(spark, "landing")
     batches = landing.union_batches(
         v.landed_objects(v.page_batch(spark, folder), "newsapi").withColumn(
             "article", F.to_variant_object("article")
@@ -72,7 +72,7 @@ def landed_payloads(spark: SparkSession, folder: str) -> DataFrame:
         objects = v.landed_objects(rows(spark, folder), provider)
         own = objects.withColumn("article", F.to_variant_object("article"))
         batches.append(landing.tag_items(own.drop("provider", "category"), provider, F.lit("wire")))
-    path = new_path(spark, "landing")
+    path = temporary_path(spark, "landing")
     landing.write_landing(landing.union_batches(*batches).drop("batch"), path)
     rows = landing.normalise_items(landing.read_landing(spark, path))
     payload = F.col("raw_payload")
@@ -115,7 +115,7 @@ def run_copy(spark: SparkSession, folder: str) -> DataFrame:
     columns = ["url_hash", "title", "ingestion_run_id"]
     run = F.concat(F.lit("run-"), F.col("seq").cast("string"))
     source = v.article_versions(spark, folder).withColumn("ingestion_run_id", run)
-    path = new_path(spark, "copy")
+    path = temporary_path(spark, "copy")
     counts = [
         tables.append_files(landing.run_rows(source, name, columns), path)
         for name in ("run-0", "run-1")
@@ -180,7 +180,7 @@ def appended_versions(spark: SparkSession, folder: str) -> DataFrame:
             "url_hash", "title", F.col("seq").cast("long").alias("seq"),
             F.col(f"{tables.SEQUENCE}.commit").alias("append_no"),
         )
-        return materialize(rows, "current", keep=True)
+        return materialize(rows, "current")
 
 
 def appended_answers(spark: SparkSession, folder: str) -> DataFrame:
@@ -194,7 +194,7 @@ def appended_answers(spark: SparkSession, folder: str) -> DataFrame:
             "cluster_id", F.col("attempt").cast("long").alias("attempt"),
             F.col("answer.valid").alias("is_valid"), F.md5("raw_text").alias("raw_md5"),
         )
-        return materialize(rows, "settled", keep=True)
+        return materialize(rows, "settled")
 
 
 def layer_catalog(spark: SparkSession, folder: str) -> DataFrame:
@@ -224,7 +224,38 @@ def layer_catalog(spark: SparkSession, folder: str) -> DataFrame:
             F.split_part("table_name", F.lit("."), F.lit(2)).alias("table_name"), "column_name", "type",
             "comment", F.coalesce("sources", F.lit("")).alias("sources"), "rows",
         )
-        return materialize(columns, "catalog", keep=True)
+        return materialize(columns, "catalog")
+
+
+def daily_job(spark: SparkSession, folder: str) -> DataFrame:
+    """Three runs of the daily job on landed pages, the last over files that are known; its run log.
+
+    Each run lands its pages, inserts them and rebuilds the layers, and the last one groups stories.
+    """
+    path = temporary_path(spark, "landing")
+    batches = [(v.page_batch, "newsapi"), (v.second_page_batch, "gnews"), (v.second_page_batch, "gnews")]
+    with tables.namespace(f"suite_{uuid.uuid4().hex}_"):
+        try:
+            tables.create_namespaces(spark)
+            for number, (pages, provider) in enumerate(batches, start=1):
+                run = f"run-{number}"
+                landed = v.landed_objects(pages(spark, folder), provider)
+                landing.write_landing(landed.withColumn("run_id", F.lit(run)), path)
+                with daily.track(spark, run, "ingest") as counts:
+                    counts.update(daily.ingest(spark, path, run))
+                with daily.track(spark, run, "layers") as counts:
+                    written = daily.refresh_layers(spark)
+                    counts.update(fetched=written["articles"], new=written["days"],
+                                  metadata={"sources": written["sources"]})
+            with daily.track(spark, run, "cluster") as counts:
+                counts.update(daily.cluster(spark))
+            log = daily.run_log(spark).select(
+                "run_id", "task_id", "status", "rows_fetched", "rows_new", "rows_duplicate",
+                F.get_json_object("extra_metadata", "$.sources").cast("long").alias("n_sources"),
+            )
+            return materialize(log, "log")
+        finally:
+            tables.drop_namespaces(spark)
 
 
 def stage_articles(spark: SparkSession, folder: str) -> DataFrame:
@@ -334,7 +365,7 @@ def refreshed_clusters(spark: SparkSession, folder: str) -> DataFrame:
 def prompts(spark: SparkSession, folder: str) -> DataFrame:
     """The lines of all prompts, stored as they are sent and read back."""
     lines = enrichment.prompts(_pending(spark, folder), "Story:\n{articles_block}\nEnd {{}}.")
-    path = new_path(spark, "prompts")
+    path = temporary_path(spark, "prompts")
     enrichment.write_prompts(lines, path)
     return spark.read.schema(lines.schema).parquet(path)
 
@@ -603,8 +634,8 @@ def member_audit(spark: SparkSession, folder: str) -> DataFrame:
 
 def stream_first_seen(spark: SparkSession, folder: str) -> DataFrame:
     """The two providers' pages arriving one after the other."""
-    path, out = new_path(spark, "arriving"), new_path(spark, "seen")
-    checkpoint = new_path(spark, "seen-checkpoint")
+    path, out = temporary_path(spark, "arriving"), temporary_path(spark, "seen")
+    checkpoint = temporary_path(spark, "seen-checkpoint")
     arrivals = [
         v.landed_objects(v.page_batch(spark, folder), "newsapi"),
         v.landed_objects(v.second_page_batch(spark, folder), "gnews"),
@@ -620,26 +651,26 @@ def stream_first_seen(spark: SparkSession, folder: str) -> DataFrame:
 
 def _stream_of(df: DataFrame, name: str, files: int = 4) -> DataFrame:
     """A stream over a table written in several files, read one file per batch."""
-    spark, path = df.sparkSession, new_path(df.sparkSession, name)
+    spark, path = df.sparkSession, temporary_path(df.sparkSession, name)
     df.repartition(files).write.parquet(path)
     return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
 
 
 def stream_votes(spark: SparkSession, folder: str) -> DataFrame:
     events, _ = keyed.split_votes(v.feedback(spark, folder))
-    out = new_path(spark, "votes")
+    out = temporary_path(spark, "votes")
     stream = _stream_of(events, "vote-events")
     jobs.fold_vote_stream(
-        stream, out, new_path(spark, "votes-checkpoint"), every=2
+        stream, out, temporary_path(spark, "votes-checkpoint"), every=2
     ).awaitTermination()
     return _vote_rows(jobs.current_votes(spark, out, events.schema))
 
 
 def stream_daily_stats(spark: SparkSession, folder: str) -> DataFrame:
     articles = v.articles(spark, folder).select("published_at", "source_name")
-    out = new_path(spark, "daily")
+    out = temporary_path(spark, "daily")
     stream = _stream_of(articles, "daily-articles")
-    query = jobs.run_daily_counts(stream, "400 days", out, new_path(spark, "daily-checkpoint"))
+    query = jobs.run_daily_counts(stream, "400 days", out, temporary_path(spark, "daily-checkpoint"))
     query.awaitTermination()
     schema = jobs.daily_counts(articles, "400 days").schema
     rows = jobs.read_batches(spark, out, schema)
@@ -649,8 +680,8 @@ def stream_daily_stats(spark: SparkSession, folder: str) -> DataFrame:
 
 def stream_daily_late(spark: SparkSession, folder: str) -> DataFrame:
     """Daily counts with two days of lateness, of articles of which many come later."""
-    path, out = new_path(spark, "day-articles"), new_path(spark, "days")
-    checkpoint = new_path(spark, "days-checkpoint")
+    path, out = temporary_path(spark, "day-articles"), temporary_path(spark, "days")
+    checkpoint = temporary_path(spark, "days-checkpoint")
     counts = jobs.DayCounts(spark, out, timedelta(days=2), every=2)
     for arrival in v.day_arrivals(spark, folder):
         arrival.write.mode("append").parquet(path)
@@ -660,10 +691,10 @@ def stream_daily_late(spark: SparkSession, folder: str) -> DataFrame:
 
 def stream_responses(spark: SparkSession, folder: str) -> DataFrame:
     answers = v.responses(spark, folder)
-    out = new_path(spark, "answers")
+    out = temporary_path(spark, "answers")
     stream = _stream_of(answers, "answer-files")
     jobs.check_response_stream(
-        stream, out, new_path(spark, "answers-checkpoint"), every=2
+        stream, out, temporary_path(spark, "answers-checkpoint"), every=2
     ).awaitTermination()
     settled = jobs.settled_responses(spark, out, answers.schema)
     return settled.select(
@@ -683,13 +714,15 @@ QUERIES = [
     affinity_feed, run_log, run_history, quality_report, member_audit, stream_first_seen,
     stream_votes, stream_daily_stats, stream_responses, landed_payloads, enrichment_errors,
     affinity_feed_deep, stream_daily_late, appended_versions, appended_answers, layer_catalog,
+    daily_job,
 ]
 
 
 def registered():
     def prepared(query):
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            return query(configure(spark), folder)
+            with scratch(configure(spark)):
+                return materialize(query(spark, folder), query.__name__, keep=True)
 
         run.__name__, run.__doc__ = query.__name__, query.__doc__
         return run

@@ -1,10 +1,12 @@
 """The daily job end to end on catalog tables, and its reruns."""
 
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
+from tidings import session
 from tidings.plans import daily, enrichment, history, serving
 from tidings.sources import landing, tables
 
@@ -111,3 +113,30 @@ def test_known_keys_need_no_shuffle(spark, tmp_path):
     assert "SelectedBucketsCount: 64" in index_side and "Exchange" not in index_side
     spark.sql(f"DROP TABLE {daily.RAW}_keys")
     assert daily.ingest(spark, path, "k2")["new"] == 0
+
+
+def test_runs_leave_a_constant_number_of_tables_and_folders(spark, tmp_path):
+    """A namespace has tables of its own; versions and work folders do not pile up."""
+    path, work = str(tmp_path / "landing"), session.work_dir(spark)
+    def names(prefix):
+        found = [d for d in ("raw", "ods", "mart") if spark.catalog.databaseExists(f"{prefix}{d}")]
+        return sorted(t.name for d in found for t in spark.catalog.listTables(f"{prefix}{d}") if not t.isTemporary)
+
+    before = names("")
+    sizes = []
+    with tables.namespace("apart_"):
+        tables.create_namespaces(spark)
+        for number in range(4):
+            land(spark, path, f"n{number}", "newsapi", range(number, number + 4))
+            with session.scratch(spark):
+                assert daily.ingest(spark, path, f"n{number}")["new"] == (1 if number else 4)
+                written = daily.refresh_layers(spark)
+                assert written["articles"] == 4 + number == daily.cluster(spark)["new"]
+            folders = os.listdir(f"{work}/tidings") if os.path.isdir(f"{work}/tidings") else []
+            sizes.append((len(names("apart_")), len(folders)))
+        assert sizes[1] == sizes[2] == sizes[3]
+        tables.drop_namespaces(spark)
+        assert not spark.catalog.databaseExists("apart_mart")
+    assert names("") == before
+    with pytest.raises(ValueError):
+        tables.drop_namespaces(spark)

@@ -8,9 +8,10 @@ from __future__ import annotations
 
 import json
 import traceback
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from datetime import datetime, timezone
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,6 +44,16 @@ def _now() -> datetime:
     return datetime.now(timezone.utc)
 
 
+def _step(function: Callable[..., dict]) -> Callable[..., dict]:
+    """The tables on the way of a step are deleted at its end."""
+    @wraps(function)
+    def run(spark: SparkSession, *given, **named) -> dict:
+        with scratch(spark):
+            return function(spark, *given, **named)
+
+    return run
+
+
 @contextmanager
 def track(
     spark: SparkSession, run_id: str, task_id: str, try_number: int = 1, dag_id: str = "daily",
@@ -74,9 +85,10 @@ def track(
 
 
 def run_log(spark: SparkSession) -> DataFrame:
-    return fold_runs(spark.table(RUN_EVENTS))
+    return fold_runs(tables.read(spark, RUN_EVENTS))
 
 
+@_step
 def ingest(spark: SparkSession, path: str, run_id: str, dt: str | None = None) -> dict:
     """Insert a run's landed items into the raw table."""
     items = landing.read_landing(spark, path, dt, run_id)
@@ -91,6 +103,7 @@ def ingest(spark: SparkSession, path: str, run_id: str, dt: str | None = None) -
     return {"fetched": fetched, "new": new, "duplicate": with_url - new}
 
 
+@_step
 def refresh_layers(spark: SparkSession, buckets: int = 0) -> dict:
     """Stage view, incremental ODS, dimension, mart and daily counts.
 
@@ -100,7 +113,7 @@ def refresh_layers(spark: SparkSession, buckets: int = 0) -> dict:
     filter, which keeps the newest version of a key whenever it is new, so that old raw rows
     are not shuffled. With buckets the readers need no shuffle either.
     """
-    stage = layers.stage_articles(spark.table(RAW))
+    stage = layers.stage_articles(tables.read(spark, RAW))
     tables.publish_view(stage, STAGE)
     known = tables.stored(spark, ODS)
     fresh = stage if known is None else above_watermark(stage, known, "fetched_at")
@@ -110,27 +123,29 @@ def refresh_layers(spark: SparkSession, buckets: int = 0) -> dict:
     ods = current_ods(spark)
     sources = tables.publish_table(layers.source_dimension(ods), SOURCES)
     mart = tables.publish_table(layers.mart_articles(ods, sources), MART, KEY, buckets)
-    daily = tables.publish_table(layers.daily_stats(mart), DAILY)
-    return {"articles": mart.count(), "sources": sources.count(), "days": daily.count()}
+    tables.publish_table(layers.daily_stats(mart), DAILY)
+    named = {"articles": MART, "sources": SOURCES, "days": DAILY}
+    return {key: tables.rows_published(spark, name) for key, name in named.items()}
 
 
 def current_ods(spark: SparkSession) -> DataFrame:
     """Newest version of each deduplicated article."""
-    return layers.current_articles(spark.table(ODS), tables.SEQUENCE).drop(tables.SEQUENCE)
+    return layers.current_articles(tables.read(spark, ODS), tables.SEQUENCE).drop(tables.SEQUENCE)
 
 
 def check_layers(spark: SparkSession) -> DataFrame:
     """Data tests of the layers."""
     return quality_report(
         {
-            "stage": (spark.table(STAGE), [KEY, "url"], [KEY]),
+            "stage": (tables.read(spark, STAGE), [KEY, "url"], [KEY]),
             "ods": (current_ods(spark), [KEY, "title", "url"], [KEY]),
-            "mart": (spark.table(MART), [KEY, "url"], [KEY]),
-            "dim_source": (spark.table(SOURCES), ["source_name"], ["source_name"]),
+            "mart": (tables.read(spark, MART), [KEY, "url"], [KEY]),
+            "dim_source": (tables.read(spark, SOURCES), ["source_name"], ["source_name"]),
         }
     )
 
 
+@_step
 def cluster(spark: SparkSession, buckets: int = 0) -> dict:
     """Publish the assignment of all articles to stories, and the media of each story.
 
@@ -138,17 +153,17 @@ def cluster(spark: SparkSession, buckets: int = 0) -> dict:
     of each key without a fold. The media are a table, so that a page of the feed reads stories
     and not all articles.
     """
-    found = story_clusters(spark.table(MART))
+    found = story_clusters(tables.read(spark, MART))
     rows = assignment_rows(found, F.date_trunc("second", F.lit(_now()).cast("timestamp")))
     assigned = tables.publish_table(rows, CLUSTERS, KEY, buckets)
-    tables.publish_table(serving.story_media(assigned, spark.table(MART)), MEDIA)
-    written = assigned.count()
+    tables.publish_table(serving.story_media(assigned, tables.read(spark, MART)), MEDIA)
+    written = tables.rows_published(spark, CLUSTERS)
     return {"fetched": written, "new": written}
 
 
 def feed(spark: SparkSession) -> DataFrame:
     """Cards of all successful stories, for the pages and rankings of ``serving``."""
-    return serving.cards(_summaries(spark), spark.table(MEDIA))
+    return serving.cards(_summaries(spark), tables.read(spark, MEDIA))
 
 
 def _summaries(spark: SparkSession) -> DataFrame:
@@ -162,7 +177,7 @@ def _summaries(spark: SparkSession) -> DataFrame:
 def pending(spark: SparkSession) -> DataFrame:
     """Numbered member articles of the stories without a summary."""
     return enrichment.pending_members(
-        spark.table(CLUSTERS), spark.table(MART), _summaries(spark)
+        tables.read(spark, CLUSTERS), tables.read(spark, MART), _summaries(spark)
     )
 
 
@@ -172,6 +187,7 @@ def receive_answers(spark: SparkSession, responses: DataFrame) -> int:
     return tables.append_table(responses.select(*columns), ANSWERS, sequence=True)
 
 
+@_step
 def record_answers(spark: SparkSession, responses: DataFrame | None, model: str) -> dict:
     """Append one outcome per pending story and count them.
 
@@ -180,13 +196,12 @@ def record_answers(spark: SparkSession, responses: DataFrame | None, model: str)
     """
     now = F.date_trunc("second", F.lit(_now()).cast("timestamp"))
     if responses is None:
-        responses = spark.table(ANSWERS)
+        responses = tables.read(spark, ANSWERS)
     order = [tables.SEQUENCE] if tables.SEQUENCE in responses.columns else []
-    with scratch(spark):
-        rows = enrichment.outcomes(pending(spark), responses, F.lit(model), now, order)
-        rows = materialize(rows, "outcomes")
-        tables.append_table(rows, SUMMARIES, sequence=True, sources=[CLUSTERS, MART, ANSWERS])
-        counts = enrichment.enrichment_counts(rows).first()
+    rows = enrichment.outcomes(pending(spark), responses, F.lit(model), now, order)
+    rows = materialize(rows, "outcomes")
+    tables.append_table(rows, SUMMARIES, sequence=True, sources=[CLUSTERS, MART, ANSWERS])
+    counts = enrichment.enrichment_counts(rows).first()
     return {"fetched": counts.attempted, "new": counts.succeeded, "failed": counts.failed,
             "is_over_limit": counts.is_over_limit}
 
@@ -198,5 +213,5 @@ def require_success(counts: dict) -> None:
 
 
 def current_votes(spark: SparkSession) -> DataFrame:
-    allowed, _ = split_votes(spark.table(FEEDBACK_EVENTS))
+    allowed, _ = split_votes(tables.read(spark, FEEDBACK_EVENTS))
     return fold_votes(allowed)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidings.operators.similarity import Limits, title_components, title_nodes, title_rows
 from tidings.operators.skew import join_spread
-from tidings.session import materialize, scratch
+from tidings.session import hand_over, scratch
 
 
 def story_clusters(articles: DataFrame, limits: Limits = Limits()) -> DataFrame:
@@ -22,7 +22,7 @@ def story_clusters(articles: DataFrame, limits: Limits = Limits()) -> DataFrame:
     with scratch(articles.sparkSession):
         nodes = title_nodes(rows)
         labels = title_components(nodes, limits)
-        stories = materialize(_story_of_nodes(nodes, labels), "stories", keep=True)
+        stories = hand_over(_story_of_nodes(nodes, labels), "stories")
     # A title of the day may have any number of copies: with a written table on one side and
     # the articles on the other, the skew join can split its rows.
     return (

@@ -12,6 +12,8 @@ from contextvars import ContextVar
 from pyspark.sql import DataFrame, SparkSession
 
 _scratch: ContextVar[str | None] = ContextVar("scratch", default=None)
+#: The scratch folder around the current one.
+_outer: ContextVar[str | None] = ContextVar("outer", default=None)
 
 RUNTIME_SETTINGS = {
     # Times are compared and printed as UTC everywhere.
@@ -76,11 +78,13 @@ def scratch(spark: SparkSession) -> Iterator[None]:
     Results that are read after the job must be written with ``keep=True``.
     """
     folder = new_path(spark, "scratch")
+    around = _outer.set(_scratch.get())
     token = _scratch.set(folder)
     try:
         yield
     finally:
         _scratch.reset(token)
+        _outer.reset(around)
         path = spark._jvm.org.apache.hadoop.fs.Path(folder)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
@@ -95,3 +99,14 @@ def materialize(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     path = new_path(spark, name) if keep else temporary_path(spark, name)
     df.write.mode("error").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def hand_over(df: DataFrame, name: str) -> DataFrame:
+    """:func:`materialize` for the result of a job inside a job: it goes when the outer one ends.
+
+    Without an outer job it is kept.
+    """
+    spark, folder = df.sparkSession, _outer.get()
+    path = f"{folder}/{name}-{uuid.uuid4().hex}" if folder else new_path(spark, name)
+    df.write.mode("error").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

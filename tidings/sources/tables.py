@@ -5,7 +5,9 @@ from __future__ import annotations
 import json
 import re
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -14,22 +16,54 @@ from pyspark.sql.types import StructType
 from tidings.operators.keyed import delete_insert
 from tidings.schemas import LAYERS
 
-#: Properties of a table: the number of its last append, the tables it was built from.
-COMMITS, SOURCES = "tidings.commits", "tidings.sources"
+#: Properties of a table: the number of its last append, the tables it was built from, its rows.
+COMMITS, SOURCES, ROWS = "tidings.commits", "tidings.sources", "tidings.rows"
 #: The column that tells rows of equal versions apart.
 SEQUENCE = "commit_seq"
 _CATALOG = "spark_catalog"
+_prefix: ContextVar[str] = ContextVar("prefix", default="")
+
+
+@contextmanager
+def namespace(prefix: str) -> Iterator[None]:
+    """Within it the names of all layers start with ``prefix``: a second set of the same tables."""
+    token = _prefix.set(prefix)
+    try:
+        yield
+    finally:
+        _prefix.reset(token)
+
+
+def resolve(name: str) -> str:
+    """The name of a table, view or database in the current namespace."""
+    return f"{_prefix.get()}{name}"
+
+
+def read(spark: SparkSession, name: str) -> DataFrame:
+    return spark.table(resolve(name))
+
+
+def _databases() -> list[str]:
+    return [resolve(n) for n in dict.fromkeys(t.split(".")[0] for t in LAYERS if "." in t)]
 
 
 def create_namespaces(spark: SparkSession) -> None:
     """One database per layer."""
-    for name in dict.fromkeys(table.split(".")[0] for table in LAYERS if "." in table):
+    for name in _databases():
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}")
 
 
+def drop_namespaces(spark: SparkSession) -> None:
+    """Drop the databases of a namespace of its own with all their tables."""
+    if not _prefix.get():
+        raise ValueError("only a namespace with a prefix can be dropped")
+    for name in _databases():
+        spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
+
+
 def publish_view(df: DataFrame, name: str) -> None:
     """Publish a layer as a view of the session: computed when it is read."""
-    df.createOrReplaceTempView(name)
+    df.createOrReplaceTempView(resolve(name))
 
 
 def plan_sources(df: DataFrame) -> list[str]:
@@ -53,12 +87,17 @@ def plan_sources(df: DataFrame) -> list[str]:
 
 
 def _sources(df: DataFrame, given: Sequence[str] | None) -> list[str]:
-    return sorted(given) if given is not None else plan_sources(df)
+    return sorted(map(resolve, given)) if given is not None else plan_sources(df)
+
+
+def _note(spark: SparkSession, kind: str, name: str, facts: dict[str, str]) -> None:
+    listed = ", ".join("'{}' = '{}'".format(key, value.replace("'", "\\'")) for key, value in facts.items())
+    spark.sql(f"ALTER {kind} {name} SET TBLPROPERTIES ({listed})")
 
 
-def _note_sources(spark: SparkSession, kind: str, name: str, sources: Sequence[str]) -> None:
-    noted = json.dumps(list(sources)).replace("'", "\\'")
-    spark.sql(f"ALTER {kind} {name} SET TBLPROPERTIES ('{SOURCES}' = '{noted}')")
+def rows_published(spark: SparkSession, name: str) -> int:
+    """Rows of the current version of a published table, counted while they were written."""
+    return int(_property(spark, resolve(name), ROWS))
 
 
 def _with_comments(df: DataFrame, schema: StructType | None) -> DataFrame:
@@ -88,8 +127,9 @@ def publish_table(
     of the layer of that name.
     """
     spark = df.sparkSession
-    read = _sources(df, sources)
+    noted = _sources(df, sources)
     df = _with_comments(df, schema or LAYERS.get(name))
+    name = resolve(name)
     database, _, base = name.rpartition(".")
     versions = spark.sql(f"SHOW TABLES {f'IN {database} ' if database else ''}LIKE '{base}_v*'")
     numbers = {}
@@ -98,12 +138,13 @@ def publish_table(
             numbers[row.tableName] = int(found.group(1))
     number = max(numbers.values(), default=0) + 1
     stored = f"{name}_v{number}_{uuid.uuid4().hex}"
-    writer = df.write.mode("error")
+    counted, written = _counted(df)
+    writer = counted.write.mode("error")
     if key and buckets:
         writer = writer.bucketBy(buckets, key).sortBy(key)
     writer.saveAsTable(stored)
     spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {stored}")
-    _note_sources(spark, "VIEW", name, read)
+    _note(spark, "VIEW", name, {SOURCES: json.dumps(noted), ROWS: str(written.get["rows"])})
     for old, of in numbers.items():
         if of < number - 1:
             spark.sql(f"DROP TABLE IF EXISTS {f'{database}.' if database else ''}{old}")
@@ -159,14 +200,15 @@ def append_table(
     has one writer at a time. ``sources`` as for :func:`publish_table`.
     """
     spark = df.sparkSession
+    schema, name = LAYERS.get(name), resolve(name)
     is_new = not spark.catalog.tableExists(name)
-    read = _sources(df, sources)
+    noted = _sources(df, sources) if is_new else []
     if sequence:
         commit = F.lit(_next_commit(spark, name)).cast("long").alias("commit")
         place = F.monotonically_increasing_id().alias("row")
         df = df.withColumn(SEQUENCE, F.struct(commit, place))
     if is_new:
-        df = _with_comments(df, LAYERS.get(name))
+        df = _with_comments(df, schema)
     counted, written = _counted(df)
     writer = counted.write.mode("append")
     if partition:
@@ -175,7 +217,7 @@ def append_table(
         writer = writer.bucketBy(buckets, key).sortBy(key)
     writer.saveAsTable(name)
     if is_new:
-        _note_sources(spark, "TABLE", name, read)
+        _note(spark, "TABLE", name, {SOURCES: json.dumps(noted)})
     return int(written.get["rows"])
 
 
@@ -197,12 +239,12 @@ def known_keys(spark: SparkSession, table: str, key: str, run: str, buckets: int
             return index
         added = added.where(F.col(run).isin([row[0] for row in missing]))
     append_table(added, name, key=key, buckets=buckets)
-    return spark.table(name)
+    return read(spark, name)
 
 
 def stored(spark: SparkSession, name: str) -> DataFrame | None:
     """A table or view of the catalog, or None before its first build."""
-    return spark.table(name) if spark.catalog.tableExists(name) else None
+    return read(spark, name) if spark.catalog.tableExists(resolve(name)) else None
 
 
 def evolve(
@@ -252,10 +294,7 @@ def lineage(spark: SparkSession, databases: Sequence[str] | None = None) -> Data
     The sources come from the plans that built the tables. One row per table and source, and both
     numbers follow the catalog and not the data.
     """
-    wanted = databases or [
-        name for name in dict.fromkeys(t.split(".")[0] for t in LAYERS if "." in t)
-        if spark.catalog.databaseExists(name)
-    ]
+    wanted = databases or [name for name in _databases() if spark.catalog.databaseExists(name)]
     entries = [
         (table, source) for database in wanted for table in published(spark, database)
         for source in json.loads(_property(spark, table, SOURCES) or "[]")
