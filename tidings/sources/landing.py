@@ -13,6 +13,9 @@ from tidings.schemas import LANDED_ITEM, PROVIDER_ARTICLE, RAW_ARTICLES
 # Names of the providers, in the order their batches are inserted.
 PROVIDERS = ("newsapi", "gnews")
 
+#: Items of one landed file at most: a compressed file is read by one task.
+FILE_ITEMS = 20_000
+
 
 def landing_date(logical_date: Column | None = None) -> Column:
     """Landing date of a run: its logical date, or today for a run without one."""
@@ -22,7 +25,7 @@ def landing_date(logical_date: Column | None = None) -> Column:
 
 
 def write_landing(items: DataFrame, path: str) -> None:
-    """Write items as JSON lines under ``dt=/run_id=/provider=``.
+    """Write items as compressed JSON lines under ``dt=/run_id=/provider=``.
 
     The files of a date, run and provider are replaced as a whole, so a rerun leaves one copy.
     ``article`` is a struct or variant and is written as a nested object.
@@ -30,6 +33,8 @@ def write_landing(items: DataFrame, path: str) -> None:
     (
         items.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
+        .option("compression", "gzip")
+        .option("maxRecordsPerFile", FILE_ITEMS)
         .partitionBy("dt", "run_id", "provider")
         .json(path)
     )
