@@ -81,6 +81,23 @@ def test_first_seen_state_follows_the_keys(spark, tmp_path):
     assert jobs.read_batches(spark, table, schema).isEmpty()
 
 
+def test_first_seen_takes_the_first_of_all_files_of_a_batch(spark, tmp_path):
+    path, table, checkpoint = (str(tmp_path / "a folder" / n) for n in ("in", "out", "check"))
+    for provider in ("gnews", "newsapi"):
+        rows = landed(spark, provider, range(30)).withColumn("run_id", F.lit("2024 at 10:00"))
+        # Every item twice, and some without a place or a URL.
+        spoilt = rows.where("ordinal < 3").withColumn("ordinal", F.lit(None).cast("long"))
+        empty = rows.withColumn("article", F.struct(F.lit("").alias("url"), F.lit("t").alias("title")))
+        landing.write_landing(rows.union(rows).union(spoilt).union(empty).repartition(3), path)
+    jobs.ingest_first_seen(jobs.landing_stream(spark, path), table, checkpoint).awaitTermination()
+    everything = landing.normalise_items(landing.read_landing(spark, path))
+    got = jobs.read_batches(spark, table, everything.schema)
+    expected = first_seen(everything, None, "url_hash", ["batch_rank", "ordinal", "raw_payload"])
+    kept = ["url_hash", "url", "source_provider", "ordinal"]
+    assert rows_of(got.select(kept)) == rows_of(expected.select(kept))
+    assert got.count() == 6
+
+
 def vote_events(spark, count=90):
     rows = [(n % 3, f"c{n % 4}", [1, -1, None, 1][n // 3 % 4], T0 + timedelta(minutes=n * 7 % 60), n)
             for n in range(count)]

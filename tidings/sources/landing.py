@@ -123,6 +123,16 @@ def normalise_items(items: DataFrame) -> DataFrame:
     return with_url.withColumn("url_hash", url_key(F.col("url")))
 
 
+def item_keys(items: DataFrame, *kept: Column | str) -> DataFrame:
+    """Key and insert order of the items that have a URL, and the columns ``kept``.
+
+    Only the URLs are read from the articles.
+    """
+    url = F.from_json("article", PROVIDER_ARTICLE)["url"]
+    rank = provider_rank(F.col("provider")).alias("batch_rank")
+    return items.where(url != "").select(url_key(url).alias("url_hash"), rank, "ordinal", *kept)
+
+
 def insert_rows(
     rows: DataFrame, target: DataFrame | None, run_id: Column, fetched_at: Column
 ) -> DataFrame:

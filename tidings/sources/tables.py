@@ -20,6 +20,8 @@ from tidings.schemas import LAYERS
 COMMITS, SOURCES, ROWS = "tidings.commits", "tidings.sources", "tidings.rows"
 #: The column that tells rows of equal versions apart.
 SEQUENCE = "commit_seq"
+#: Stored layers are read more often than written.
+CODEC = "zstd"
 _CATALOG = "spark_catalog"
 _prefix: ContextVar[str] = ContextVar("prefix", default="")
 
@@ -139,7 +141,7 @@ def publish_table(
     number = max(numbers.values(), default=0) + 1
     stored = f"{name}_v{number}_{uuid.uuid4().hex}"
     counted, written = _counted(df)
-    writer = counted.write.mode("error")
+    writer = counted.write.mode("error").option("compression", CODEC)
     if key and buckets:
         writer = writer.bucketBy(buckets, key).sortBy(key)
     writer.saveAsTable(stored)
@@ -168,7 +170,7 @@ def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
 def append_files(df: DataFrame, path: str) -> int:
     """Append rows to the table at a path; returns their number."""
     counted, written = _counted(df)
-    counted.write.mode("append").parquet(path)
+    counted.write.mode("append").option("compression", CODEC).parquet(path)
     return int(written.get["rows"])
 
 
@@ -210,7 +212,7 @@ def append_table(
     if is_new:
         df = _with_comments(df, schema)
     counted, written = _counted(df)
-    writer = counted.write.mode("append")
+    writer = counted.write.mode("append").option("compression", CODEC)
     if partition:
         writer = writer.partitionBy(partition)
     if key and buckets:

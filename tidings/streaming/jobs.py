@@ -10,20 +10,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime, timedelta
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupStateTimeout
 from pyspark.sql.types import StructType
 
 from tidings.functions.responses import with_answer
-from tidings.operators.keyed import fold_votes, latest
+from tidings.functions.urls import url_key
+from tidings.operators.keyed import earliest, fold_votes, latest
 from tidings.plans.enrichment import MAX_ATTEMPTS, settled
-from tidings.schemas import LANDED_ITEM
+from tidings.schemas import LANDED_ITEM, PROVIDER_ARTICLE
 from tidings.session import materialize, scratch
-from tidings.sources.landing import normalise_items
+from tidings.sources.landing import item_keys, normalise_items
 from tidings.sources.state_log import EVERY, StateLog
 
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -70,32 +71,46 @@ def read_batches(spark: SparkSession, table: str, schema: StructType) -> DataFra
 
 
 def ingest_first_seen(items: DataFrame, table: str, checkpoint: str) -> StreamingQuery:
-    """Append the first article of every key over all time.
-
-    The keys seen are a keyed state in the RocksDB state store, so a batch asks for its own keys
-    only and never reads the table; its time does not follow the number of batches before. Of
-    the rows of a key in one batch the first by provider rank and landed order counts.
+    """Append the first article of every key over all time; ``items`` come from :func:`landing_stream`.
+
+    The keyed state in the RocksDB state store holds where a key was first seen: batch time, provider
+    rank, landed order and file. A batch asks for its own keys only and never reads the table; its
+    time does not follow the number of batches before. Of the rows of a key in one batch the first by
+    provider rank and landed order counts, of those of one place the smallest payload. The articles
+    are no part of the state: those of new keys are read from the files of the batch once more.
+    Batch times are the checkpoint's, so a replay finds the same keys; the clock of the driver must not go back.
     """
-    spark = items.sparkSession
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
-    rows = normalise_items(items)
-    order = ["batch_rank", "ordinal"]
-
-    def firsts(key, frames, state):
-        best = None
-        for frame in frames:
-            # A key may have any number of rows: they come in pieces, and one row is held.
-            row = frame.sort_values(order, kind="stable").head(1)
-            if best is None or tuple(row[order].iloc[0]) < tuple(best[order].iloc[0]):
-                best = row
-        if not state.exists and best is not None:
-            state.update((True,))
-            yield best
-
-    fresh = rows.groupBy("url_hash").applyInPandasWithState(
-        firsts, rows.schema, "seen boolean", "append", GroupStateTimeout.NoTimeout
+    items.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
+    file, arrived = F.col("_metadata.file_path").alias("file"), F.current_timestamp().alias("arrived")
+    keys = item_keys(items, file, "provider", arrived)
+    place = F.struct("arrived", "batch_rank", "ordinal", "file", "provider")
+    first = keys.groupBy("url_hash").agg(F.min(place).alias("first"))
+    fresh = first.where(F.col("first.arrived") == F.current_timestamp())
+    return _run(
+        fresh.select("url_hash", "first.*"), checkpoint,
+        lambda batch, batch_id: _insert_fresh(batch, table, batch_id), "update",
     )
-    return _run(fresh, checkpoint, lambda batch, batch_id: _write(batch, table, batch_id))
+
+
+def _insert_fresh(batch: DataFrame, table: str, batch_id: int) -> None:
+    """Write the articles of the new keys of a batch."""
+    spark = batch.sparkSession
+    place = F.coalesce("ordinal", F.lit(-1).cast("long")).alias("place")
+    with scratch(spark):
+        fresh = materialize(batch.select("url_hash", "file", "provider", place), "fresh")
+        # At most the files of one batch.
+        files = [unquote(r.file) for r in fresh.select("file").distinct().collect()]
+        if not files:
+            return
+        schema = StructType([f for f in LANDED_ITEM if f.name in ("ordinal", "category", "article")])
+        landed = spark.read.schema(schema).json(files)
+        url = F.from_json("article", PROVIDER_ARTICLE)["url"]
+        keyed = landed.where(url != "").select(
+            "*", url_key(url).alias("url_hash"), F.col("_metadata.file_path").alias("file"), place
+        )
+        where = ["url_hash", "file", "place"]
+        rows = earliest(keyed.join(fresh, where), where, ["article", "category"])
+        _write(normalise_items(rows), table, batch_id)
 
 
 def daily_counts(articles: DataFrame, lateness: str) -> DataFrame:
