@@ -89,15 +89,14 @@ def landed_payloads(spark: SparkSession, folder: str) -> DataFrame:
 def rerun_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Counts of inserting one provider's pages, then both providers' into the same table."""
     items = landing.read_landing(spark, _land(spark, folder))
-    rows = landing.normalise_items(items)
     # The counts need no texts; those are read for the insert alone.
-    seen = materialize(rows.select("url_hash", "source_provider"), "seen")
-    now, early = F.current_timestamp(), F.col("source_provider") == "newsapi"
+    seen = materialize(landing.item_keys(items, "provider"), "seen")
+    now, early = F.current_timestamp(), F.col("provider") == "newsapi"
     path = temporary_path(spark, "known")
-    inserted = landing.insert_rows(rows.where(early), None, F.lit("run-1"), now)
+    inserted = landing.insert_items(items.where(early), None, F.lit("run-1"), now)
     tables.append_files(inserted, path)
     known = spark.read.schema(inserted.schema).parquet(path)
-    late = landing.insert_rows(rows, known, F.lit("run-2"), now)
+    late = landing.insert_items(items, known, F.lit("run-2"), now)
     first = landing.insert_counts(seen.where(early), known).withColumn("run_id", F.lit("run-1"))
     second = landing.insert_counts(seen, late).withColumn("run_id", F.lit("run-2"))
     return first.unionByName(second)

@@ -98,6 +98,21 @@ def test_array_files_keep_their_order(spark, tmp_path):
     assert {(r.run_id, r.provider) for r in got} == {("r1", "newsapi")}
 
 
+def test_inserted_items_are_the_inserted_rows(spark):
+    rows = [(n, "c", json.dumps({"url": u, "title": f"T{n}"}), "2024-01-01", "r1", p)
+            for p in ("gnews", "newsapi", "other") for n, u in enumerate(["https://e.com/1", "", "https://e.com/2"])]
+    rows += [(None, None, None, None, None, None), (5, "c", "no object", "2024-01-01", "r1", "gnews"),
+             (6, "c", json.dumps({"url": "https://e.com/3"}), "2024-01-01", "r1", "other")]
+    items = spark.createDataFrame(rows, LANDED_ITEM)
+    normal = landing.normalise_items(items)
+    for known in (None, landing.insert_rows(normal.where("title = 'T0'"), None, F.lit("r0"), now())):
+        want = landing.insert_rows(normal, known, F.lit("r1"), F.lit("2024-01-02").cast("timestamp"))
+        got = landing.insert_items(items, known, F.lit("r1"), F.lit("2024-01-02").cast("timestamp"))
+        assert got.schema.names == want.schema.names
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+        assert got.count()
+
+
 def test_landing_date_falls_back_to_today(spark):
     day = F.lit("2024-05-06 07:00:00").cast("timestamp")
     none = F.lit(None).cast("timestamp")

@@ -92,11 +92,10 @@ def run_log(spark: SparkSession) -> DataFrame:
 def ingest(spark: SparkSession, path: str, run_id: str, dt: str | None = None) -> dict:
     """Insert a run's landed items into the raw table."""
     items = landing.read_landing(spark, path, dt, run_id)
-    rows = landing.normalise_items(items)
     now = F.lit(_now()).cast("timestamp")
     # The stored side of the anti-join is read by bucket, without a shuffle.
     known = tables.known_keys(spark, RAW, KEY, "ingestion_run_id", KEY_BUCKETS)
-    fresh = landing.insert_rows(rows, known, F.lit(run_id), F.date_trunc("second", now))
+    fresh = landing.insert_items(items, known, F.lit(run_id), F.date_trunc("second", now))
     # The rows of a run share a folder, so a copy of one run reads that folder only.
     new = tables.append_table(fresh, RAW, "ingestion_run_id")
     fetched, with_url = landing.item_counts(items)

@@ -142,6 +142,19 @@ def insert_rows(
     batch again yields nothing, and known rows keep the run that inserted them.
     """
     fresh = first_seen(rows, target, "url_hash", ["batch_rank", "ordinal"])
+    return _stamped(fresh, run_id, fetched_at)
+
+
+def insert_items(
+    items: DataFrame, target: DataFrame | None, run_id: Column, fetched_at: Column
+) -> DataFrame:
+    """:func:`insert_rows` of landed items: an article is shuffled as its payload and read afterwards."""
+    keyed = item_keys(items, "category", "provider", "article")
+    fresh = first_seen(keyed, target, "url_hash", ["batch_rank", "ordinal"])
+    return _stamped(normalise_items(fresh), run_id, fetched_at)
+
+
+def _stamped(fresh: DataFrame, run_id: Column, fetched_at: Column) -> DataFrame:
     stamped = (
         fresh.withColumn("ingestion_run_id", run_id)
         .withColumn("fetched_at", fetched_at)

@@ -26,6 +26,7 @@ from tidings.schemas import LANDED_ITEM, PROVIDER_ARTICLE
 from tidings.session import materialize, scratch
 from tidings.sources.landing import item_keys, normalise_items
 from tidings.sources.state_log import EVERY, StateLog
+from tidings.sources.tables import CODEC
 
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -56,7 +57,8 @@ def _folder(table: str, batch_id: int) -> str:
 
 
 def _write(batch: DataFrame, table: str, batch_id: int) -> None:
-    batch.write.mode("overwrite").parquet(_folder(table, batch_id))
+    written = batch.write.mode("overwrite").option("compression", CODEC)
+    written.parquet(_folder(table, batch_id))
 
 
 def read_batches(spark: SparkSession, table: str, schema: StructType) -> DataFrame:
