@@ -96,11 +96,18 @@ def normalise_items(items: DataFrame) -> DataFrame:
     Only one provider has its own field names; all others are read by the common ones. Rows
     keep ``batch_rank`` and ``ordinal``, the order in which they count as seen.
     """
+    rows = _article_columns(items)
+    with_url = rows.where(F.col("url").isNotNull() & (F.col("url") != ""))
+    return with_url.withColumn("url_hash", url_key(F.col("url")))
+
+
+def _article_columns(items: DataFrame, *kept: str) -> DataFrame:
+    """Common article columns of each landed item, and the columns ``kept``."""
     article = F.from_json("article", PROVIDER_ARTICLE)
     read = items.withColumn("_a", article)
     is_gnews = F.col("provider") == "gnews"
     at = F.col("_a.publishedAt")
-    rows = read.select(
+    return read.select(
         F.when(~is_gnews, F.col("_a.source.id")).alias("source_id"),
         F.col("_a.source.name").alias("source_name"),
         F.when(~is_gnews, F.col("_a.author")).alias("author"),
@@ -118,9 +125,8 @@ def normalise_items(items: DataFrame) -> DataFrame:
         F.col("article").alias("raw_payload"),
         provider_rank(F.col("provider")).alias("batch_rank"),
         "ordinal",
+        *kept,
     )
-    with_url = rows.where(F.col("url").isNotNull() & (F.col("url") != ""))
-    return with_url.withColumn("url_hash", url_key(F.col("url")))
 
 
 def item_keys(items: DataFrame, *kept: Column | str) -> DataFrame:
@@ -151,7 +157,8 @@ def insert_items(
     """:func:`insert_rows` of landed items: an article is shuffled as its payload and read afterwards."""
     keyed = item_keys(items, "category", "provider", "article")
     fresh = first_seen(keyed, target, "url_hash", ["batch_rank", "ordinal"])
-    return _stamped(normalise_items(fresh), run_id, fetched_at)
+    # No filter after the fold asks for the articles, so that a count of the rows does not shuffle them.
+    return _stamped(_article_columns(fresh, "url_hash"), run_id, fetched_at)
 
 
 def _stamped(fresh: DataFrame, run_id: Column, fetched_at: Column) -> DataFrame:

@@ -28,7 +28,12 @@ from tidings.sources.landing import item_keys, normalise_items
 from tidings.sources.state_log import EVERY, StateLog
 from tidings.sources.tables import CODEC
 
-STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+STATE_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # A batch writes its changes, and whole snapshots come from time to time.
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 
 
 def landing_stream(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
@@ -82,7 +87,8 @@ def ingest_first_seen(items: DataFrame, table: str, checkpoint: str) -> Streamin
     are no part of the state: those of new keys are read from the files of the batch once more.
     Batch times are the checkpoint's, so a replay finds the same keys; the clock of the driver must not go back.
     """
-    items.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
+    for name, value in STATE_SETTINGS.items():
+        items.sparkSession.conf.set(name, value)
     file, arrived = F.col("_metadata.file_path").alias("file"), F.current_timestamp().alias("arrived")
     keys = item_keys(items, file, "provider", arrived)
     place = F.struct("arrived", "batch_rank", "ordinal", "file", "provider")
