@@ -211,3 +211,22 @@ def test_registered_hot_query_takes_every_branch(spark):
     assert units.count() > 0
     members = similarity._members(similarity._hot_keys(units))
     assert similarity._groups(members, limits).where(f"size > {limits.small}").count() > 0
+
+
+def test_few_pairs_leave_a_group(spark, monkeypatch):
+    """Titles that share words but too few of them are told apart where they meet."""
+    rnd = random.Random(7)
+    words = [f"word{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(150)]
+    rows = [(f"{i:04x}", " ".join(rnd.sample(words, 20)), START) for i in range(120)]
+    rows += [(f"f{i:03x}", f"{rows[i][1]} again{i}", START) for i in range(10)]
+    looked_at = []
+    taken = similarity._verify
+
+    def counted(pairs, subjects):
+        looked_at.append(pairs.distinct().count())
+        return taken(pairs, subjects)
+
+    monkeypatch.setattr(similarity, "_verify", counted)
+    found = clusters(spark, rows)
+    assert found == brute_force(rows) and len(set(found.values())) == 120
+    assert 10 <= sum(looked_at) <= 100

@@ -14,6 +14,9 @@ nodes of a day is *hot*; hot tokens come last in the order. So there are two cas
   similar; near copies of a title collapse to one unit this way. Units with enough hot tokens
   meet in groups of their first shared token and of the two set sizes.
 
+Every member of a group carries a bitmap of its tokens, from which a join of members tells most
+pairs that cannot share enough tokens; so few pairs leave the group and fetch their titles.
+
 The hot groups are the first level of a prefix tree. Small groups are compared as they are. The
 members of a large one are linked through a few pivots; where they still belong to different
 components, and only there, the group is split by the next shared token, and so on for
@@ -38,6 +41,7 @@ from tidings.session import materialize
 DAY = 86_400_000_000  # microseconds
 ANY_TIME = -1_000_000_000  # bucket in which nodes without a time meet all others
 UNDATED_PAIRS = ANY_TIME + 1  # bucket in which a dated single meets undated pairs
+VISITOR = 1 << 62  # bit that an id, which is below, has where the node visits the bucket
 
 
 @dataclass(frozen=True)
@@ -52,11 +56,19 @@ class Limits:
     pieces: int = 16
     #: shared tokens by which the groups of hot tokens are split at most
     levels: int = 3
+    #: members up to which all pairs of a group are looked at, if more than two days of a token
+    compared: int = 0
 
     @property
     def small(self) -> int:
         """Members up to which all pairs of a group are looked at."""
-        return 2 * self.group
+        return max(2 * self.group, self.compared)
+
+
+#: Comparing a group of some thousand members costs less than splitting it over further keys.
+USUAL = Limits(compared=4096)
+#: Bitmap of a token set: words of 64 bits.
+BITMAP = ["bits_0", "bits_1", "bits_2", "bits_3"]
 
 
 def title_rows(articles: DataFrame) -> DataFrame:
@@ -167,8 +179,24 @@ def _hot_tokens(nodes: DataFrame, limits: Limits) -> DataFrame:
     return heat.where(F.col("heat") > limits.group)
 
 
+def _bitmap(tokens, prefix: str = "") -> list:
+    """One bit for each token of the rows, in the words of a bitmap; null tokens have none."""
+    place = F.pmod(F.xxhash64(tokens), F.lit(64 * len(BITMAP))).cast("int")
+    none = F.lit(0).cast("long")
+
+    def word(low: int):
+        bit = F.call_function("shiftleft", F.lit(1).cast("long"), place - low)
+        inside = tokens.isNotNull() & (place >= low) & (place < low + 64)
+        return F.bit_or(F.when(inside, bit).otherwise(none))
+
+    return [word(64 * k).alias(prefix + name) for k, name in enumerate(BITMAP)]
+
+
 def _ordered_nodes(nodes: DataFrame, limits: Limits) -> DataFrame:
-    """Nodes of two or more tokens with their cold and hot tokens, each in the common order."""
+    """Nodes of two or more tokens with their cold and hot tokens, each in the common order.
+
+    They have the bitmap of all tokens and, as ``hot_*``, that of the hot ones.
+    """
     exploded = nodes.where("len >= 2").select(
         "id", "day", "len", "first_at", "last_at", F.explode("tokens").alias("token")
     )
@@ -177,6 +205,8 @@ def _ordered_nodes(nodes: DataFrame, limits: Limits) -> DataFrame:
     ordered = heated.groupBy("id", "day", "len", "first_at", "last_at").agg(
         F.sort_array(F.collect_list(F.when(~is_hot, F.col("token")))).alias("cold"),
         F.sort_array(F.collect_list(F.when(is_hot, F.struct("heat", "token")))).alias("hot"),
+        *_bitmap(F.col("token")),
+        *_bitmap(F.when(is_hot, F.col("token")), "hot_"),
     )
     return materialize(ordered.withColumn("hot", F.col("hot.token")), "ordered")
 
@@ -188,8 +218,9 @@ def _cliques(ordered: DataFrame) -> tuple[DataFrame, DataFrame]:
     makes them similar they are one unit: its times are those of all members together, and
     all members are linked to the one that gives the id. Any other node is a unit by itself.
     """
+    bits = [F.col(f"hot_{name}").alias(name) for name in BITMAP]
     rows = ordered.where(F.size("hot") >= 2).select(
-        "id", "day", "len", "hot", "first_at", "last_at",
+        "id", "day", "len", "hot", "first_at", "last_at", *bits,
         F.md5(F.array_join("hot", " ")).alias("pattern"),
         (3 * F.size("hot") >= 2 * F.col("len")).alias("similar"),
     )
@@ -200,11 +231,12 @@ def _cliques(ordered: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.any_value("hot").alias("hot"),
         F.min("first_at").alias("first_at"),
         F.max("last_at").alias("last_at"),
+        *[F.any_value(name).alias(name) for name in BITMAP],
     )
     cliques = materialize(cliques, "cliques")
     # Plain shuffles on both sides: the skew join can split the members of a large clique.
     links = alike.select("id", *pattern).join(cliques.select("unit", *pattern), pattern)
-    columns = ["id", "day", "len", "hot", "first_at", "last_at"]
+    columns = ["id", "day", "len", "hot", "first_at", "last_at", *BITMAP]
     units = cliques.withColumnRenamed("unit", "id").select(*columns).unionByName(
         rows.where("not similar").select(*columns)
     )
@@ -218,10 +250,13 @@ def _cold_keys(ordered: DataFrame) -> DataFrame:
     shared one leaves room for the others behind it. ``want`` is 0: partners of any size.
     """
     overlap = F.greatest(F.lit(2), F.ceil(F.col("len") / 2)).cast("int")
-    entries = ordered.select("id", "day", "len", F.posexplode("cold").alias("pos", "token"))
+    entries = ordered.select(
+        "id", "day", "len", F.posexplode("cold").alias("pos", "token"), *BITMAP
+    )
     return entries.where(F.col("pos") <= F.col("len") - overlap).select(
         F.xxhash64(F.lit(0), F.lit(0), "token", F.lit("")).alias("key"),
         "id", "day", "len", F.lit(0).alias("want"), "pos", overlap.alias("overlap"),
+        F.col("len").alias("tokens"), *BITMAP,
     )
 
 
@@ -248,7 +283,8 @@ def _hot_keys(units: DataFrame) -> DataFrame:
     return (
         units.where(smallest <= largest)
         .select(
-            "id", "day", "len", "hot", smallest.alias("smallest"), F.explode(bands).alias("want")
+            "id", "day", "len", "hot", smallest.alias("smallest"), F.explode(bands).alias("want"),
+            *BITMAP,
         )
         .select("*", overlap.alias("overlap"))
         .where(hot >= F.col("overlap"))
@@ -259,6 +295,7 @@ def _hot_keys(units: DataFrame) -> DataFrame:
                 F.get("hot", F.col("i")),
             ).alias("key"),
             "id", "day", "len", "want", (length - hot + F.col("i")).alias("pos"), "overlap",
+            hot.alias("tokens"), *BITMAP,
         )
     )
 
@@ -278,7 +315,8 @@ def _next_keys(members: DataFrame, units: DataFrame, level: int) -> DataFrame:
         .select("*", F.explode(F.sequence(F.col("here") + 1, F.col("last"))).alias("j"))
         .select(
             F.xxhash64("key", F.get("hot", F.col("j"))).alias("key"), "id", "len", "want",
-            (F.col("len") - hot + F.col("j")).alias("pos"), "overlap", "bucket", "own",
+            (F.col("len") - hot + F.col("j")).alias("pos"), "overlap", "tokens", *BITMAP, "bucket",
+            "own",
         )
     )
 
@@ -299,9 +337,10 @@ def _members(keys: DataFrame) -> DataFrame:
     places = F.when(undated, F.array(place(day, True))).otherwise(
         F.array(place(day, True), place(day + 1, False))
     )
-    wanted = keys.where(undated).select("key").distinct()
+    # Written, so that its size is known: few keys are broadcast to all others.
+    wanted = materialize(keys.where(undated).select("key").distinct(), "wanted")
     anytime = keys.where(~undated).join(wanted, "key", "left_semi")
-    columns = ["key", "id", "len", "want", "pos", "overlap"]
+    columns = ["key", "id", "len", "want", "pos", "overlap", "tokens", *BITMAP]
     return keys.select(*columns, F.inline(places)).unionByName(
         anytime.select(
             *columns, F.lit(ANY_TIME).cast("long").alias("bucket"), F.lit(False).alias("own")
@@ -312,8 +351,9 @@ def _members(keys: DataFrame) -> DataFrame:
 def _groups(members: DataFrame, limits: Limits) -> DataFrame:
     """Groups in which a comparison is possible, with their size and pivots."""
     slice_no = F.pmod(F.xxhash64("id"), F.lit(limits.pivots))
+    pivot = F.struct("id", "len", "tokens", *BITMAP)
     pivots = [
-        F.min(F.when(F.col("own") & (slice_no == n), F.col("id"))) for n in range(limits.pivots)
+        F.min(F.when(F.col("own") & (slice_no == n), pivot)) for n in range(limits.pivots)
     ]
     groups = members.groupBy("key", "bucket").agg(
         F.count(F.lit(1)).alias("size"),
@@ -333,6 +373,22 @@ def _may_match(a: str, b: str, level: int):
     return (2 * F.least(la, lb) >= F.greatest(la, lb)) & (3 * reach >= la + lb)
 
 
+def _share_enough(a: str, b: str):
+    """Whether the bitmaps allow as many shared tokens as similar titles have; never false for these.
+
+    Each bit that only one side has set stands for at least one token that the other has not.
+    """
+    def shared_at_most(x, y):
+        alone = [
+            F.bit_count(F.col(f"{x}.{name}").bitwiseAND(F.bitwise_not(F.col(f"{y}.{name}"))))
+            for name in BITMAP
+        ]
+        return F.col(f"{x}.tokens") - sum(alone)
+
+    least = F.least(shared_at_most(a, b), shared_at_most(b, a))
+    return 3 * least >= F.col(f"{a}.len") + F.col(f"{b}.len")
+
+
 def _sizes_agree(a: str, b: str):
     """The size conditions of a hot group, as equalities the join can use."""
 
@@ -382,18 +438,59 @@ def _pair(a: str, b: str):
     ]
 
 
-def _small_group_pairs(sized: DataFrame, limits: Limits, level: int) -> DataFrame:
-    """Candidate pairs of the groups with at most ``limits.small`` members.
+def _small_group_pairs(small: DataFrame, level: int) -> DataFrame:
+    """Candidate pairs of groups of which all members are compared.
 
-    An owner is compared with all visitors and with the owners of larger id.
+    An owner is compared with all visitors and with the owners of larger id. Both sides of the
+    join are the same rows, dealt by group alone, so that they are shuffled once: every other
+    condition is about both members, and ``place`` puts owners before visitors.
     """
-    small = sized.where(F.col("size") <= limits.small)
-    a, b = small.where("own").alias("a"), small.alias("b")
-    return a.join(
+    place = F.when(F.col("own"), F.col("id")).otherwise(F.col("id").bitwiseOR(F.lit(VISITOR)))
+    rows = small.select(
+        "key", "bucket", place.alias("place"), "len", "want", "pos", "tokens", *BITMAP
+    )
+    # Sorted by group even where one side is small: a broadcast would be searched by single tasks.
+    a, b = rows.alias("a"), rows.hint("merge").alias("b")
+
+    def off(x, y):
+        band = F.when(F.col(f"{x}.want") == 0, 0).otherwise(_band(F.col(f"{x}.len")))
+        return F.abs(band - F.col(f"{y}.want"))
+
+    owned = F.least("a.place", "b.place") < F.lit(VISITOR)
+    pairs = a.join(
         b,
-        _same_group("a", "b") & _sizes_agree("a", "b") & _may_match("a", "b", level)
-        & (~F.col("b.own") | (F.col("a.id") < F.col("b.id"))),
-    ).select(*_pair("a", "b"))
+        _same_group("a", "b") & (F.col("a.place") < F.col("b.place")) & owned
+        & (off("a", "b") + off("b", "a") == 0) & _may_match("a", "b", level)
+        & _share_enough("a", "b"),
+    )
+
+    def id_of(x):
+        return F.col(f"{x}.place").bitwiseAND(F.lit(VISITOR - 1))
+
+    is_hot = (F.col("a.want") + F.col("b.want") > 0).alias("is_hot")
+    return pairs.select(is_hot, id_of("a").alias("id"), id_of("b").alias("other"))
+
+
+def _large_groups(members: DataFrame, limits: Limits, level: int) -> DataFrame:
+    """The groups of more than ``limits.small`` members.
+
+    A cold token has at most ``limits.group`` nodes a day, and so its groups of two days are not counted.
+    """
+    if level == 1:
+        members = members.where((F.col("want") > 0) | (F.col("bucket") == ANY_TIME))
+    groups = _groups(members, limits).where(F.col("size") > limits.small)
+    return materialize(groups, f"large-groups-{level}")
+
+
+def _pivot_pairs(large: DataFrame) -> DataFrame:
+    """Members of large groups with the pivots they may be similar to."""
+    pairs = large.withColumn("p", F.explode("pivots"))
+    p = pairs.select(
+        F.struct("id", "want", "len", "tokens", *BITMAP).alias("a"), F.col("p").alias("b")
+    )
+    return p.where(_share_enough("a", "b")).select(
+        (F.col("a.want") > 0).alias("is_hot"), F.col("a.id").alias("id"), F.col("b.id").alias("other")
+    )
 
 
 def _open_groups(large: DataFrame, labels: DataFrame, level: int) -> DataFrame:
@@ -401,7 +498,7 @@ def _open_groups(large: DataFrame, labels: DataFrame, level: int) -> DataFrame:
     labelled = large.join(labels, "id", "left").withColumn(
         "component", F.coalesce("label", "id")
     )
-    labelled = materialize(labelled.drop("label", "pivots", "size", "owners"), f"large-{level}")
+    labelled = materialize(labelled.drop("label", "pivots", "owners"), f"large-{level}")
     counts = labelled.groupBy("key", "bucket", "component").agg(F.count(F.lit(1)).alias("n"))
     main = counts.groupBy("key", "bucket").agg(
         F.max_by("component", F.struct("n", "component")).alias("main"),
@@ -417,11 +514,13 @@ def _open_group_pairs(open_groups: DataFrame, limits: Limits, level: int) -> Dat
     Of two such nodes at least one is outside the group's main component, so only these
     *minor* members are compared with the others, in ``limits.pieces`` pieces per group. Of two
     nodes one must own the bucket: minor owners meet all others, minor visitors the owners.
+    A group is cut in no more pieces than it has times ``limits.small`` members.
     """
-    piece = F.pmod(F.xxhash64("id"), F.lit(limits.pieces)).cast("int")
+    pieces = F.least(F.lit(limits.pieces), F.ceil(F.col("size") / limits.small).cast("int"))
+    piece = F.pmod(F.xxhash64("id"), pieces).cast("int")
     others = open_groups.withColumn("piece", piece)
     minor = open_groups.where("component != main").withColumn(
-        "piece", F.explode(F.sequence(F.lit(0), F.lit(limits.pieces - 1)))
+        "piece", F.explode(F.sequence(F.lit(0), pieces - 1))
     )
 
     def pairs(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -429,7 +528,7 @@ def _open_group_pairs(open_groups: DataFrame, limits: Limits, level: int) -> Dat
         return a.join(
             b,
             _same_group("a", "b") & (F.col("a.piece") == F.col("b.piece"))
-            & _sizes_agree("a", "b") & _may_match("a", "b", level)
+            & _sizes_agree("a", "b") & _may_match("a", "b", level) & _share_enough("a", "b")
             & (F.col("a.component") != F.col("b.component")),
         ).select(*_pair("a", "b"))
 
@@ -438,7 +537,7 @@ def _open_group_pairs(open_groups: DataFrame, limits: Limits, level: int) -> Dat
     )
 
 
-def title_components(nodes: DataFrame, limits: Limits = Limits()) -> DataFrame:
+def title_components(nodes: DataFrame, limits: Limits = USUAL) -> DataFrame:
     """``(id, label)`` of every node that is linked to another one."""
     ordered = _ordered_nodes(nodes, limits)
     units, clique_links = _cliques(ordered)
@@ -448,17 +547,15 @@ def title_components(nodes: DataFrame, limits: Limits = Limits()) -> DataFrame:
     links = _same_title_links(nodes).unionByName(_single_links(nodes)).unionByName(clique_links)
     level = 1
     while True:
-        sized = join_spread(members, _groups(members, limits), ["key", "bucket"], "id")
-        sized = materialize(sized, f"members-{level}")
-        found = _verify(_small_group_pairs(sized, limits, level), subjects)
+        groups = _large_groups(members, limits, level)
+        if groups.isEmpty():
+            found = _verify(_small_group_pairs(members, level), subjects)
+            return connected_components(links.unionByName(found))
+        small = members.join(groups.select("key", "bucket"), ["key", "bucket"], "left_anti")
+        found = _verify(_small_group_pairs(small, level), subjects)
         links = materialize(links.unionByName(found), f"links-{level}")
-        large = sized.where(F.col("size") > limits.small)
-        if large.isEmpty():
-            return connected_components(links)
-        pivot_pairs = large.select(
-            (F.col("want") > 0).alias("is_hot"), "id", F.explode("pivots").alias("other")
-        )
-        pivot_links = materialize(_verify(pivot_pairs, subjects), f"pivot-links-{level}")
+        large = materialize(join_spread(members, groups, ["key", "bucket"], "id"), f"members-{level}")
+        pivot_links = materialize(_verify(_pivot_pairs(large), subjects), f"pivot-links-{level}")
         labels = connected_components(links.unionByName(pivot_links))
         labels = materialize(labels, f"labels-{level}")
         stars = labels.select("id", F.col("label").alias("other"))

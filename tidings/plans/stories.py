@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidings.operators.similarity import Limits, title_components, title_nodes, title_rows
+from tidings.operators.similarity import USUAL, Limits, title_components, title_nodes, title_rows
 from tidings.operators.skew import join_spread
 from tidings.session import hand_over, scratch
 
 
-def story_clusters(articles: DataFrame, limits: Limits = Limits()) -> DataFrame:
+def story_clusters(articles: DataFrame, limits: Limits = USUAL) -> DataFrame:
     """``(url_hash, cluster_id)`` for every article.
 
     Articles are linked when their titles have a Jaccard index of at least 1/2 and their times
