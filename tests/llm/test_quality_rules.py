@@ -104,6 +104,20 @@ def test_trusted_rows_are_bounded(spark):
     assert rules.trusted_documents(docs, labels, 10).count() == 10
 
 
+def test_every_trusted_row_counts(spark, monkeypatch):
+    """More labelled rows than were once taken: each has its part in counts and threshold."""
+    n = 21_000
+    docs = spark.range(n).selectExpr("id AS doc_id", "concat('w', id % 7) AS text")
+    labels = spark.range(n).selectExpr("id AS doc_id", "1 AS quality", "0 AS toxic")
+    trusted = rules.trusted_documents(docs, labels)
+    assert trusted.count() == n
+    # All documents are trusted, so that both multinomials are the same.
+    assert set(rules.fit(docs, trusted, buckets=20).ratios) == {0.0}
+    # Too many to broadcast: the same documents.
+    monkeypatch.setattr(rules, "BROADCAST_IDS", 100)
+    assert rules.trusted_documents(docs, labels).count() == n
+
+
 def test_query_against_the_plain_rules(spark):
     from tidings.llm.queries import op7_quality_rules
 

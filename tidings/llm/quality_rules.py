@@ -23,12 +23,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidings.llm.common import NOT_WHITE, free_name, whole_text, words_of
+from tidings.session import materialize
 
 BUCKETS = 10_000
 #: Pseudo-count of each bucket in both multinomials.
 SMOOTHING = 1.0
-#: At most so many labelled rows make the trusted multinomial; the corpus one covers all rows.
-TRUSTED_ROWS = 20_000
+#: Trusted ids up to which they are broadcast; of more, the texts are shuffled by id.
+BROADCAST_IDS = 4_000_000
 #: The trusted documents' scores are counted in bins of this width; the threshold is a bin's edge.
 BIN = 0.001
 #: Share of the trusted documents that may lie below the threshold before the margin is taken off.
@@ -153,16 +154,20 @@ def _bucket_counts(docs: DataFrame, text: str, buckets: int) -> dict[int, int]:
     return {r.b: r.n for r in counts.agg(F.count(F.lit(1)).alias("n")).collect()}
 
 
-def trusted_documents(docs: DataFrame, labels: DataFrame, rows: int = TRUSTED_ROWS) -> DataFrame:
-    """The documents of at most ``rows`` labelled ids with good quality.
+def trusted_documents(docs: DataFrame, labels: DataFrame, rows: int | None = None) -> DataFrame:
+    """The documents of the labelled ids with good quality, all of them.
 
-    The ids with the smallest hash are taken, the same ones in each run. Their number is bounded,
-    so they are broadcast and no text is shuffled. Conflicting labels count as not trusted.
+    Up to ``BROADCAST_IDS`` ids are broadcast, and no text is shuffled then. Conflicting labels
+    count as not trusted. With ``rows`` only so many ids are taken, those with the smallest hash.
     """
     agreed = labels.where(F.col("doc_id").isNotNull()).groupBy("doc_id")
     good = agreed.agg(F.min("quality").alias("quality")).where("quality = 1")
-    ids = good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows).select("doc_id")
-    return docs.join(F.broadcast(ids), "doc_id", "left_semi")
+    if rows is not None:
+        good = good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+    # Written, as its number of rows is asked for and it is read twice.
+    ids = materialize(good.select("doc_id"), "trusted")
+    few = ids.count() <= BROADCAST_IDS
+    return docs.join(F.broadcast(ids) if few else ids.hint("merge"), "doc_id", "left_semi")
 
 
 def fit(docs: DataFrame, trusted: DataFrame, text: str = "text", buckets: int = BUCKETS) -> Model:
