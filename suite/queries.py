@@ -366,11 +366,11 @@ def refreshed_clusters(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def prompts(spark: SparkSession, folder: str) -> DataFrame:
-    """The lines of all prompts, stored as they are sent and read back."""
+    """All prompts, put together from their lines as they are stored and read back."""
     lines = enrichment.prompts(_pending(spark, folder), "Story:\n{articles_block}\nEnd {{}}.")
     path = temporary_path(spark, "prompts")
     enrichment.write_prompts(lines, path)
-    return spark.read.schema(lines.schema).parquet(path)
+    return enrichment.prompt_parts(spark.read.schema(lines.schema).parquet(path))
 
 
 def _outcomes(spark: SparkSession, folder: str) -> DataFrame:

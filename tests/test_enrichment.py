@@ -68,6 +68,21 @@ def test_prompts(spark):
     assert enrichment.prompts(members.limit(0)).isEmpty()
 
 
+@pytest.mark.parametrize("size", [1, 4, 5, 6, 10, 23])
+def test_prompts_are_put_together(spark, size):
+    rows = [("a", key(n), f"T{n}", f"D{n}", "S", n) for n in range(1, size + 1)]
+    lines = enrichment.prompts(member_table(spark, rows + [("b", key(0), "T", None, None, 1)]))
+    whole = {r.cluster_id: r for r in enrichment.prompt_parts(lines).collect()}
+    assert set(whole) == {"a", "b"}
+    for story, count in (("a", size), ("b", 1)):
+        own = whole[story]
+        assert (own.part, own.parts, own.article_count) == (0, 1, count)
+        assert own.prompt == joined(lines, story)
+    parts = enrichment.prompt_parts(lines, 5).where("cluster_id = 'a'").orderBy("part").collect()
+    assert [(r.part, r.parts) for r in parts] == [(k, len(parts)) for k in range(-(-size // 5))]
+    assert "".join(r.prompt for r in parts) == joined(lines, "a")
+
+
 def test_stored_prompts_are_read_in_order(spark, tmp_path):
     """A story that is cut over several files is one text; others keep their own."""
     rows = [("a", key(n), f"T{n}", f"D{n}", "S", n) for n in range(1, 400)]

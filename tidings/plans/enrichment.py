@@ -22,6 +22,8 @@ from tidings.session import materialize
 MAX_ATTEMPTS = 3
 MAX_FAILURE_RATE = 0.2
 UNKNOWN_SOURCE = "unknown source"
+#: Articles of one part of a prompt; the text of a story of any size is in no row whole.
+LINES_PER_PART = 500
 
 # Fixed value: error text stored for an empty answer.
 EMPTY_ANSWER = "No JSON object found in LLM response: ''"
@@ -131,6 +133,28 @@ def prompt_text(spark: SparkSession, path: str, cluster_id: str) -> Iterator[str
         yield row.text
 
 
+def prompt_parts(lines: DataFrame, lines_per_part: int = LINES_PER_PART) -> DataFrame:
+    """The prompts put together: ``(cluster_id, part, parts, article_count, prompt)``.
+
+    ``lines`` are those of :func:`prompts`, stored or not. A story of up to ``lines_per_part``
+    articles has one part, its whole prompt. That of a larger one comes in consecutive parts, which
+    joined in order are the whole prompt.
+    """
+    counts = lines.groupBy(F.col("cluster_id").alias("story")).agg(
+        (F.max("line_no") - 1).alias("article_count")
+    )
+    # Plain shuffles on both sides: the skew join can split the lines of a large story.
+    own = F.col("cluster_id").eqNullSafe(F.col("story"))
+    placed = lines.join(counts, own).drop("story")
+    last = F.floor((F.col("article_count") - 1) / lines_per_part)
+    part = F.least(F.greatest(F.floor((F.col("line_no") - 1) / lines_per_part), F.lit(0)), last)
+    parts = placed.groupBy("cluster_id", "article_count", part.alias("part"))
+    texts = F.sort_array(F.collect_list(F.struct("line_no", "text")))["text"]
+    return parts.agg(F.array_join(texts, "").alias("prompt")).select(
+        "cluster_id", "part", (last + 1).alias("parts"), "article_count", "prompt"
+    )
+
+
 def settled(parsed: DataFrame, sequence: Sequence[str] = ()) -> DataFrame:
     """The parsed answer that counts for each story, with all its columns.
 
