@@ -111,20 +111,22 @@ def liked(votes: DataFrame) -> DataFrame:
     return votes.where(F.col("vote") == 1)
 
 
-def affinity_profiles(votes: DataFrame, summaries: DataFrame) -> tuple[DataFrame, DataFrame]:
+def affinity_profiles(
+    votes: DataFrame, summaries: DataFrame, among: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame]:
     """Weights of topics and of keywords per reader, from the stories they like.
 
-    A keyword counts once per occurrence. The status of a summary does not matter here.
+    A keyword counts once per occurrence. The status of a summary does not matter here. With
+    ``among(keyword)``, a bounded set, weights of other keywords are left out before they are counted.
     """
     words = summaries.select("cluster_id", "topic", "keywords")
     likes = liked(votes).select("user_id", "cluster_id")
     known = join_spread(likes, words, ["cluster_id"], "user_id")
     topics = known.groupBy("user_id", "topic").agg(F.count(F.lit(1)).alias("weight"))
-    keywords = (
-        known.select("user_id", F.explode("keywords").alias("keyword"))
-        .groupBy("user_id", "keyword")
-        .agg(F.count(F.lit(1)).alias("weight"))
-    )
+    words_liked = known.select("user_id", F.explode("keywords").alias("keyword"))
+    if among is not None:
+        words_liked = words_liked.join(F.broadcast(among), "keyword", "left_semi")
+    keywords = words_liked.groupBy("user_id", "keyword").agg(F.count(F.lit(1)).alias("weight"))
     return topics, keywords
 
 
@@ -148,7 +150,10 @@ def affinity_feed(
     it; equal scores keep the order of the feed. ``rank`` is the place in the ranked list.
 
     All readers are ranked in one job: scores come from joins on topic and keyword with the
-    candidates, which are broadcast since there are 200 at most. Cards without a score matter
+    candidates, which are broadcast since there are 200 at most. A reader's weights of the
+    candidates' words are bounded as well; they come together before they meet the cards, so that
+    scores are summed up before they are shuffled. The own share of a liked card is taken off
+    where the profile has the word: every weight is at least 1. Cards without a score matter
     only up to the end of the page, so a reader gets the scored ones and the first
     ``offset + limit`` of the feed.
     """
@@ -158,30 +163,39 @@ def affinity_feed(
     # Written once, since it is used several times and the feed behind it is large.
     window = materialize(top.withColumn("place", place), "candidates")
     end = min(offset + limit, CANDIDATES)
-    if readers is None:
-        readers = votes.select("user_id").distinct()
-    else:
+    if readers is not None:
         readers = readers.select("user_id").distinct()
         votes = votes.join(readers, "user_id", "left_semi")
-    topics, keywords = affinity_profiles(votes, summaries)
-
-    card_topics = F.broadcast(window.select("place", "cluster_id", "topic"))
-    card_words = F.broadcast(
-        window.select("place", "cluster_id", F.explode("keywords").alias("keyword"))
-        .groupBy("place", "cluster_id", "keyword")
+    # Written once; the fold of the votes is used for readers, profiles, and the own votes.
+    votes = materialize(votes.select("user_id", "cluster_id", "vote"), "votes", codec="zstd")
+    if readers is None:
+        readers = votes.select("user_id").distinct()
+    card_topics = F.broadcast(window.select("place", "topic"))
+    words = (
+        window.select("place", F.explode("keywords").alias("keyword"))
+        .groupBy("place", "keyword")
         .agg(F.count(F.lit(1)).alias("times"))
     )
+    card_words = F.broadcast(words)
+    topics, keywords = affinity_profiles(votes, summaries, words.select("keyword").distinct())
+    # Written too: the weights meet all cards, and the own ones once more.
+    keywords = materialize(keywords.repartition("user_id"), "keywords", codec="zstd")
+
     by_topic = topics.join(card_topics, "topic").select(
-        "user_id", "place", "cluster_id", "weight", F.lit(TOPIC_WEIGHT).alias("times")
+        "user_id", "place", (F.col("weight") * TOPIC_WEIGHT).alias("score")
     )
     by_word = keywords.join(card_words, "keyword").select(
-        "user_id", "place", "cluster_id", "weight", "times"
+        "user_id", "place", (F.col("weight") * F.col("times")).alias("score")
     )
-    own = liked(votes).join(F.broadcast(window.select("cluster_id")), "cluster_id", "left_semi")
-    own = own.select("user_id", "cluster_id", F.lit(1).alias("own"))
-    terms = by_topic.unionByName(by_word).join(own, ["user_id", "cluster_id"], "left")
-    gain = F.greatest(F.col("weight") - F.coalesce("own", F.lit(0)), F.lit(0)) * F.col("times")
-    scored = terms.select("user_id", "place", gain.alias("score"))
+    own = liked(votes).join(F.broadcast(window), "cluster_id")
+    own_topics = own.select("user_id", "place", "topic").join(topics, ["user_id", "topic"])
+    own_words = own.select("user_id", "place").join(card_words, "place")
+    own_words = own_words.join(keywords, ["user_id", "keyword"])
+    scored = by_topic.unionByName(by_word)
+    for taken, times in ((own_topics, F.lit(TOPIC_WEIGHT)), (own_words, F.col("times"))):
+        scored = scored.unionByName(
+            taken.select("user_id", "place", (-times).cast("long").alias("score"))
+        )
     first_places = F.explode(F.sequence(F.lit(0), F.lit(end - 1))).alias("place")
     unscored = readers.select("user_id", first_places, F.lit(0).cast("long").alias("score"))
     scores = (
@@ -194,7 +208,8 @@ def affinity_feed(
     )
     page = ranked.where((F.col("rank") > offset) & (F.col("rank") <= offset + limit))
     shown = page.join(F.broadcast(window), "place").select("user_id", "rank", "score", *CARD)
-    return with_own_vote(shown, votes)
+    on_cards = votes.join(F.broadcast(window.select("cluster_id")), "cluster_id", "left_semi")
+    return with_own_vote(shown, on_cards)
 
 
 def with_own_vote(shown: DataFrame, votes: DataFrame) -> DataFrame:

@@ -89,15 +89,15 @@ def scratch(spark: SparkSession) -> Iterator[None]:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def materialize(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
-    """Write ``df`` as a table in the work folder and read it back.
+def materialize(df: DataFrame, name: str, keep: bool = False, codec: str | None = None) -> DataFrame:
+    """Write ``df`` as a table in the work folder and read it back; ``codec`` compresses its files.
 
     Cuts the lineage, so a lost executor costs one stage and not the whole history, and makes
     generated ids stable, because the committed files are the only copy that is read.
     """
     spark = df.sparkSession
     path = new_path(spark, name) if keep else temporary_path(spark, name)
-    df.write.mode("error").parquet(path)
+    df.write.mode("error").parquet(path, compression=codec)
     return spark.read.schema(df.schema).parquet(path)
 
 
