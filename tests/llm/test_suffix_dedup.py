@@ -129,3 +129,33 @@ def test_query_against_all_windows(spark):
 
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()]
     assert result(op10_suffix_dedup(spark, FOLDER)) == brute(docs)
+
+
+def test_a_task_holds_one_bucket_at_a_time():
+    """What two documents share in a bucket is sent on before the next bucket is read."""
+    import numpy as np
+    import pyarrow as pa
+
+    from tidings.llm import suffix_dedup as dedup
+
+    def bucket(b):
+        known = np.repeat(np.arange(5, dtype=np.uint64) + np.uint64(100 * b), 2)
+        docs = np.tile(np.array([1, 2]), 5)
+        row = [[b], [None], [dedup._planes(known)], [dedup._planes(docs)], [b""]]
+        kinds = [pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
+        columns = [pa.array(x, kind) for x, kind in zip(row, kinds)]
+        return pa.RecordBatch.from_arrays(columns, ["bucket", "doc", "hashes", "docs", "heavy"])
+
+    read = []
+
+    def batches():
+        for b in range(4):
+            read.append(b)
+            yield bucket(b)
+
+    out, seen = dedup._meet(100)(batches()), []
+    for found in out:
+        if found.num_rows:
+            seen.append((len(read), sorted(set(a // 100 for a in found.column(1).to_pylist()))))
+    assert [b for _, b in seen] == [[0], [1], [2], [3]]
+    assert [n for n, _ in seen] == [2, 3, 4, 4]

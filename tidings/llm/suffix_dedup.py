@@ -256,7 +256,10 @@ def _by_doc(docs: np.ndarray, values: np.ndarray) -> Iterator[tuple[int, np.ndar
 
 
 def _meet(hot: int):
-    """Per bucket: the shared anchors of each document and their sources, of few and of many documents."""
+    """Per bucket: the shared anchors of each document and their sources, of few and of many documents.
+
+    Rows come sorted by bucket, as a task has several; it holds the hashes of one at a time.
+    """
 
     def send(docs: np.ndarray, hashes: np.ndarray, sources: np.ndarray | None) -> Iterator[pa.RecordBatch]:
         for k in range(0, len(docs), 65_536):
@@ -267,8 +270,12 @@ def _meet(hot: int):
 
     def compute(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, docs, heavy = [], [], []
+        current = None
         for batch in batches:
-            for doc, h, o, w in zip(*(batch.column(k).to_pylist() for k in (1, 2, 3, 4))):
+            for b, doc, h, o, w in zip(*(batch.column(k).to_pylist() for k in range(5))):
+                if b != current:
+                    yield from met(hashes, docs, heavy)
+                    current = b
                 if h is None:
                     own = np.frombuffer(w, np.uint64)
                     yield from send(np.full(len(own), doc), own, None)
@@ -276,9 +283,15 @@ def _meet(hot: int):
                     hashes.append(_from_planes(h, np.uint64))
                     docs.append(_from_planes(o, np.int64))
                     heavy.append(np.frombuffer(w, np.uint64))
+        yield from met(hashes, docs, heavy)
+
+    def met(hashes: list, docs: list, heavy: list) -> Iterator[pa.RecordBatch]:
+        """The rows of a bucket; empties the lists."""
         if not hashes:
             return
-        known, docs_of = np.concatenate(hashes), np.concatenate(docs)
+        known, docs_of, many_here = np.concatenate(hashes), np.concatenate(docs), np.concatenate(heavy)
+        for held in (hashes, docs, heavy):
+            held.clear()
         order = np.argsort(known, kind="stable")
         known, docs_of = known[order], docs_of[order]
         if not len(known):
@@ -287,7 +300,7 @@ def _meet(hot: int):
         counts = np.diff(np.append(starts, len(known)))
         source = np.minimum.reduceat(docs_of, starts)
         is_shared = source != np.maximum.reduceat(docs_of, starts)
-        is_hot = np.isin(known[starts], np.concatenate(heavy)) | (is_shared & (counts > hot))
+        is_hot = np.isin(known[starts], many_here) | (is_shared & (counts > hot))
         kind = np.repeat(np.where(is_hot, 2, is_shared.astype(np.int8)), counts)
         few, many = kind == 1, kind == 2
         yield from send(docs_of[few], known[few], np.repeat(source, counts)[few])
@@ -594,7 +607,8 @@ def repeated_spans(
     parts = max(reader_slots(spark), total // PART_BYTES + 1)
     copies = _copies(rows, match)
     sent = map_arrow(rows.select("doc", "text"), _send_hashes(match, parts, local), _MET)
-    met = map_arrow(sent.repartition(parts, "bucket"), _meet(hot_docs), "doc long, anchor long, source long")
+    dealt = sent.repartition(parts, "bucket").sortWithinPartitions("bucket")
+    met = map_arrow(dealt, _meet(hot_docs), "doc long, anchor long, source long")
     shared = materialize(met, "shared")
     heavy = shared.where("source IS NOT NULL").groupBy("source").agg(F.count(F.lit(1)).alias("n"))
     pieces = F.ceil(F.col("n") / PLACE_ROWS)
