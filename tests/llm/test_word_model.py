@@ -144,3 +144,54 @@ def test_limits_are_of_documents_left_out(spark):
     got = kn.classify(docs.drop("quality"), docs.select("doc_id", "quality")).collect()
     assert got[0].threshold > max(r.perplexity for r in got)
     assert kn.SLACK == 1
+
+
+def test_hashed_words_are_those_of_the_pattern():
+    rnd = random.Random(2)
+    odd = ["", " ", "Über 42, naïve_x 日本語! ไทย", "é\u0301² ½ a\x00b ٣\u3000x", "ab", "ba", "x" * 3000]
+    odd += ["".join(chr(rnd.choice([rnd.randrange(0xD800), rnd.randrange(0xE000, 0x110000)])) for _ in range(400))]
+    hashes, sizes = wm.hashed_words([*odd, *texts(30, 4), ""])
+    found = [wm.words(t) for t in [*odd, *texts(30, 4), ""]]
+    assert sizes.tolist() == [len(w) for w in found]
+    pairs = set(zip([w for own in found for w in own], hashes.tolist(), strict=True))
+    assert len({w for w, _ in pairs}) == len(pairs) == len({h for _, h in pairs})
+
+
+def test_passes_shards_and_pieces_do_not_change_the_bits(spark, monkeypatch):
+    """Every n-gram is looked up, in passes over the shards; a heavy word is dealt over pieces."""
+    train = [*texts(60, 6), texts(60, 6)[0], "the", "the the the the"]
+    asked = [*train[:30], "", " ", "zebra", "THE OF !!", *texts(20, 9)]
+    for name, value in {"SHARD_BYTES": 900, "BATCH_BYTES": 700, "HEAVY_SAMPLE": 1.0}.items():
+        monkeypatch.setattr(wm, name, value)
+    fold = {r._body: r._key & 1 for r in keyed(spark, {*train, *asked}).collect()}
+    key = {r._body: r._key for r in keyed(spark, {*asked}).collect()}
+    plain = {f: Plain([t for t in train if fold[t] != f]) for f in (0, 1)}
+    docs = keyed(spark, asked).repartition(2)
+    model = wm.Model(keyed(spark, train).repartition(3), docs)
+    assert model.dealt.shards > wm.PASSES == len(model.passes) and len(model.dealt.words) and model.heavy.count()
+    got = {r.key: r.bits for r in model.bits(docs).collect()}
+    assert set(got) == {key[t] for t in asked if t}
+    for t in asked:
+        if t:
+            assert got[key[t]] == pytest.approx(plain[fold[t]].bits(t), rel=1e-5)
+
+
+def test_ngrams_of_a_pass_take_few_bytes(spark):
+    """A row of seven numbers for each n-gram, shuffled five times, was forty times the text."""
+    rnd = random.Random(4)
+    known = ["".join(rnd.choices("abcdefgh", k=6)) for _ in range(2000)]
+    rows = [" ".join(rnd.choices(known, k=500)) for _ in range(300)]
+    dealt = wm._Dealt(10, {})
+    sent = [wm._sent(wm._sized(keyed(spark, rows)).coalesce(1), dealt, k, k + 2, False) for k in range(0, 10, 2)]
+    sizes = [s.selectExpr("coalesce(sum(octet_length(body)), 0) AS n").first().n for s in sent]
+    assert sum(sizes) < 10 * 300 * 500 and max(sizes) < 0.3 * sum(sizes)
+
+
+def test_trusted_texts_beyond_the_broadcast(spark, monkeypatch):
+    rnd = random.Random(1)
+    rows = [(i, " ".join(rnd.choices(["a", "b", "c", "dd"], k=20)), "xx", i % 3) for i in range(90)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, quality int")
+    labels = docs.select("doc_id", F.col("quality").cast("int").alias("quality"))
+    want = sorted(kn.classify(docs.drop("quality"), labels).collect())
+    monkeypatch.setattr(kn, "BROADCAST_IDS", 3)
+    assert sorted(kn.classify(docs.drop("quality"), labels).collect()) == want

@@ -49,6 +49,8 @@ LEAST_TRUSTED = 50
 STEP = 0.01
 STEPS = 100_000
 MAX_LANGUAGES = 10_000
+#: Trusted ids up to which they are broadcast; of more, the texts are shuffled by id.
+BROADCAST_IDS = 4_000_000
 SCORE_COLUMNS = (
     "perplexity", "threshold", "left_out_perplexity", "least_perplexity", "word_perplexity",
     "word_threshold", "kept",
@@ -139,11 +141,7 @@ def discounts(counts: DataFrame) -> list[float]:
     """The discounts of counts of one, two, and three or more."""
     n = counts.agg(*[F.sum((F.col("n") == k).cast("long")).alias(f"n{k}") for k in (1, 2, 3, 4)])
     n1, n2, n3, n4 = (x or 0 for x in n.first())
-    if not n1 or not n2:
-        return [0.5, 0.5, 0.5]
-    y = n1 / (n1 + 2 * n2)
-    found = [1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3 if n3 else 1.5]
-    return [min(max(d, 0.05), k + 0.95) for k, d in enumerate(found)]
+    return word_model.discounts_of(n1, n2, n3, n4)
 
 
 def probabilities(grams: DataFrame) -> list[tuple[DataFrame, DataFrame]]:
@@ -320,10 +318,14 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     key, bits, left_out, most = (free_name(docs, c) for c in ("_key", "_bits", "_left_out", "_most"))
     keyed = docs.withColumn(key, word_model.text_key(whole_text()))
     keyed_body = [F.col(key).alias("_key"), whole_text().alias("_body")]
-    # The trusted ids have no size bound, so their texts are found by a shuffle at every size.
-    good = keyed.join(trusted.hint("merge"), "doc_id", "left_semi")
+    if trusted.count() <= BROADCAST_IDS:
+        good = keyed.join(F.broadcast(trusted), "doc_id", "left_semi").select("doc_id", "text", key)
+    else:
+        # Read many times, shuffled once.
+        good = keyed.select("doc_id", "text", key).join(trusted.hint("merge"), "doc_id", "left_semi")
+        good = materialize(good, "trusted-texts", codec="zstd")
     scored = _byte_scores(keyed, good, key, left_out)
-    model = word_model.Model(good.select(keyed_body))
+    model = word_model.Model(good.select(keyed_body), keyed.select(keyed_body))
     words = model.bits(keyed.select(keyed_body)).toDF(key, bits)
     scored = materialize(scored.join(words, key, "left"), "scored")
     of_trusted = scored.join(trusted, "doc_id", "left_semi")
