@@ -3,8 +3,7 @@
 The words of a text are hashed to 64 bits. All that the model says of an n-gram but the share of its
 last word alone hangs on its middle word: counts, both contexts and the ways in which the last two
 words are continued to the left. So an n-gram goes to the shard of its middle word and meets the
-trusted n-grams there. What the shard sends back is ``x`` and ``r`` of ``p = x + r * p1``, where
-``p1`` is the probability of the last word; the words of each batch of documents are joined with the
+trusted n-grams there. What the shard sends back are these counts; the words of each batch of documents are joined with the
 words of the model once. Nothing of the model comes to the driver but three discounts for each order
 and fold, some sums and the heavy middle words.
 
@@ -44,7 +43,7 @@ _LETTER = re.compile(rf"(?!{_APART})[^\W\d_]")
 #: Runs of letters and marks that belong to them; digits, signs and letters of scripts without blanks alone.
 _WORDS = re.compile(rf"{_APART}|(?:{_LETTER.pattern})+|\d|[^\w\s]|_")
 #: Passes over the texts to look up n-grams, and those of the trusted texts to count them.
-PASSES = 5
+PASSES = 10
 COUNT_PASSES = 2
 #: Bytes of text whose n-grams share a shard, over all passes.
 SHARD_BYTES = 7_000_000
@@ -150,10 +149,9 @@ def _packed(*columns: np.ndarray) -> bytes:
     """Columns of numbers of the least width, compressed."""
     codec, parts = pa.Codec("zstd", compression_level=1), []
     for own in columns:
-        if own.dtype.kind != "f":
-            own = own.astype(np.min_scalar_type(own.max() if len(own) else 0))
+        own = own.astype(np.min_scalar_type(own.max() if len(own) else 0))
         raw = own.view(np.uint8)
-        if own.dtype.kind != "f" and own.itemsize < 8:
+        if own.itemsize < 8:
             # Bytes of one weight together are more alike.
             raw = raw.reshape(-1, own.itemsize).T
         body = codec.compress(raw.tobytes(), asbytes=True)
@@ -169,7 +167,7 @@ def _opened(body: bytes) -> list[np.ndarray]:
         raw = np.frombuffer(codec.decompress(body[at : at + length], size, asbytes=True), np.uint8)
         at += length
         kind = np.dtype("<" + kind.decode())
-        if kind.kind != "f" and kind.itemsize < 8:
+        if kind.itemsize < 8:
             raw = np.ascontiguousarray(raw.reshape(kind.itemsize, -1).T)
         found.append(raw.reshape(-1).view(kind))
     return found
@@ -375,60 +373,62 @@ def discounts_of(n1: int, n2: int, n3: int, n4: int) -> list[float]:
 
 
 class _Table:
-    """Numbers by the sorted hashes of a shard."""
+    """Whole numbers by the sorted hashes of a shard or a batch; 0 for others."""
 
     def __init__(self, names: np.ndarray, *columns: np.ndarray) -> None:
         order = np.argsort(names)
         self.names, self.columns = names[order], [c[order] for c in columns]
 
-    def found(self, names: np.ndarray, *otherwise: float) -> list[np.ndarray]:
+    def found(self, names: np.ndarray) -> list[np.ndarray]:
         if not len(self.names):
-            return [np.full(len(names), x, float) for x in otherwise]
+            return [np.zeros(len(names), np.int64) for _ in self.columns]
         at = np.minimum(np.searchsorted(self.names, names), len(self.names) - 1)
         met = self.names[at] == names
-        return [np.where(met, c[at], x) for c, x in zip(self.columns, otherwise, strict=True)]
+        return [np.where(met, c[at], 0) for c in self.columns]
 
 
 class _Shard:
     """What the trusted n-grams of a shard say of an n-gram."""
 
     def __init__(
-        self, dealt: _Dealt, off: dict[tuple[int, int], list[float]],
-        grams: list[tuple[np.ndarray, ...]], pairs: list[tuple[np.ndarray, ...]],
+        self, dealt: _Dealt, grams: list[tuple[np.ndarray, ...]], pairs: list[tuple[np.ndarray, ...]]
     ) -> None:
         none = [np.zeros(0, np.uint64)] * 3
         names, a, b, c, n = _distinct(*(np.concatenate(x) for x in zip(none, *grams, strict=True)))
-        self.grams, self.contexts = self._tables(names, _mixed(b, a), b, n, off, ORDER)
+        self.grams, self.contexts = self._tables(names, _mixed(b, a), n)
         _, first, n = np.unique(_mixed(c, b), return_index=True, return_counts=True)
         b, c = b[first], c[first]
         # Of a heavy word the shard has a piece only; the sums of all pieces have been sent.
         own = ~dealt.is_heavy(b)[0]
         sent = [np.concatenate(x) for x in zip([none[0], none[0], np.zeros(0, np.int64)], *pairs, strict=True)]
         b, c, n = (np.concatenate(x) for x in zip((b[own], c[own], n[own]), sent, strict=True))
-        self.pairs, self.words = self._tables(_mixed(c, b), b, b, n, off, 2)
+        self.pairs, self.words = self._tables(_mixed(c, b), b, n)
 
     @staticmethod
-    def _tables(
-        names: np.ndarray, context: np.ndarray, middle: np.ndarray, n: np.ndarray,
-        off: dict[tuple[int, int], list[float]], order: int,
-    ) -> tuple[_Table, _Table]:
-        shares = np.array([off[order, fold] for fold in (0, 1)])
-        less = shares[(middle & np.uint64(1)).astype(np.int64), np.minimum(n, 3) - 1]
+    def _tables(names: np.ndarray, context: np.ndarray, n: np.ndarray) -> tuple[_Table, _Table]:
+        """Counts of n-grams; for each context their sum and how many are 1, 2, and more."""
+        n = n.astype(np.int64)
         known, at = np.unique(context, return_inverse=True)
-        total = np.bincount(at, n, len(known))
-        rest = np.bincount(at, less, len(known)) / np.maximum(total, 1)
-        return _Table(names, (n - less) / total[at]), _Table(known, rest)
+        sums = [np.bincount(at, x, len(known)).astype(np.int64) for x in (n, n == 1, n == 2, n > 2)]
+        return _Table(names, n), _Table(known, *sums)
 
-    def asked(self, a: np.ndarray, b: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """``x`` and ``r`` of ``p = x + r * p1``."""
+    def asked(self, a: np.ndarray, b: np.ndarray, c: np.ndarray) -> list[np.ndarray]:
+        """Count and sums of the context, five numbers for the n-gram and five for its last two words."""
         pair = _mixed(c, b)
-        (x3,), (r3,) = self.grams.found(_mixed(pair, a), 0.0), self.contexts.found(_mixed(b, a), 1.0)
-        (x2,), (r2,) = self.pairs.found(pair, 0.0), self.words.found(b, 1.0)
-        return x3 + r3 * x2, r3 * r2
+        long = self.grams.found(_mixed(pair, a)) + self.contexts.found(_mixed(b, a))
+        return long + self.pairs.found(pair) + self.words.found(b)
 
 
-def _looked_up(rows: DataFrame, dealt: _Dealt, off: dict[tuple[int, int], list[float]]) -> DataFrame:
-    """A row for each batch and shard: the text, the last word, ``x`` and ``r`` of its n-grams."""
+def _share(fold: np.ndarray, off: np.ndarray, n: np.ndarray, total: np.ndarray, *kinds: np.ndarray) -> list[np.ndarray]:
+    """``x`` and ``r`` of ``p = x + r * p_lower``; 0 and 1 where the context is not known."""
+    most = np.maximum(total, 1)
+    less = np.concatenate((np.zeros((2, 1)), off), axis=1)[fold, np.minimum(n, 3)]
+    rest = sum(k * off[fold, j] for j, k in enumerate(kinds))
+    return [(n - less) / most, np.where(total > 0, rest / most, 1.0)]
+
+
+def _looked_up(rows: DataFrame, dealt: _Dealt) -> DataFrame:
+    """A row for each batch and shard: the text, the last word and what is known of each n-gram."""
 
     def compute(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, grams, pairs, model = None, [], [], None
@@ -442,18 +442,21 @@ def _looked_up(rows: DataFrame, dealt: _Dealt, off: dict[tuple[int, int], list[f
                 grams.append(_read(row["body"]))
             else:
                 if model is None:
-                    model = _Shard(dealt, off, grams, pairs)
+                    model = _Shard(dealt, grams, pairs)
                     grams, pairs = [], []
                 a, b, c, doc = _read(row["body"])
-                x, r = model.asked(a, b, c)
+                met = model.asked(a, b, c)
                 known, c = np.unique(c, return_inverse=True)
-                yield _row(_BATCH_ROW, row["batch"], _SCORES, _packed(doc, known, c, x, r))
+                yield _row(_BATCH_ROW, row["batch"], _SCORES, _packed(doc, known, c, *met))
 
     return map_arrow(_by_shard(rows), compute, _BATCH_ROW)
 
 
-def _added_up(rows: DataFrame, ends: dict[int, tuple[list[float], float, float]]) -> DataFrame:
+def _added_up(
+    rows: DataFrame, ends: dict[int, tuple[list[float], float, float]], off: dict[tuple[int, int], list[float]]
+) -> DataFrame:
     """``(key, bits, n)``: the sum of ``log2 p`` of the n-grams of each text in a pass."""
+    long, short = (np.array([off[order, fold] for fold in (0, 1)]) for order in (ORDER, 2))
 
     def last(n: np.ndarray, fold: int) -> np.ndarray:
         if fold not in ends:
@@ -463,10 +466,13 @@ def _added_up(rows: DataFrame, ends: dict[int, tuple[list[float], float, float]]
         return (n - less) / total + base
 
     def scores(keys: np.ndarray, table: _Table, body: bytes) -> tuple[np.ndarray, np.ndarray]:
-        doc, known, c, x, r = _opened(body)
-        times = table.found(known.astype(np.uint64), 0, 0)
+        doc, known, c, *met = _opened(body)
+        times = table.found(known.astype(np.uint64))
         p1 = [last(n.astype(np.int64), fold) for fold, n in enumerate(times)]
-        found = np.log2(x + r * np.where((keys & 1)[doc], p1[1][c], p1[0][c]))
+        fold = (keys & 1)[doc]
+        x3, r3 = _share(fold, long, *met[:5])
+        x2, r2 = _share(fold, short, *met[5:])
+        found = np.log2(x3 + r3 * (x2 + r2 * np.where(fold, p1[1][c], p1[0][c])))
         return np.bincount(doc, found, len(keys)), np.bincount(doc, minlength=len(keys))
 
     def summed(keys: np.ndarray, bits: np.ndarray, count: np.ndarray) -> pa.RecordBatch:
@@ -675,8 +681,8 @@ class Model:
             sent = sent.unionByName(_sent(self.good, self.dealt, lowest, highest, True))
             if self.dealt.words.size:
                 sent = sent.unionByName(self._pairs(lowest, highest))
-            rows = _looked_up(sent, self.dealt, self.off).unionByName(pages)
-            part = materialize(_added_up(rows, self.ends), "word-sums")
+            rows = _looked_up(sent, self.dealt).unionByName(pages)
+            part = materialize(_added_up(rows, self.ends, self.off), "word-sums")
             sums = sums.unionByName(part) if sums else part
         # Rows that repeat a text add to both sums alike.
         mean = -F.sum("bits") / F.sum("n")
